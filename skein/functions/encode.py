@@ -72,7 +72,7 @@ def normalise_entities(entities: Column) -> Column:
 
 def parse_vector(values: Column) -> Column:
     """List -> doubles through their text form (FN-06); a bad element becomes NULL."""
-    return F.transform(values, lambda x: F.try_cast(x.cast("string"), "double"))
+    return F.transform(values, lambda x: x.cast("string").try_cast("double"))
 
 
 def has_null_element(arr: Column) -> Column:

@@ -81,7 +81,11 @@ def art(spark: SparkSession, sf_dir: str, with_maps: bool = False) -> DataFrame:
             .agg(F.map_from_entries(F.collect_list(F.struct("entity", "tfidf"))).alias(f"{kind}_name_entities_tfidf"))
         )
         maps = m if maps is None else maps.join(m, "article_seq_id", "full")
-    return out.join(maps, "article_seq_id", "left")
+    empty = F.create_map().cast("map<string,double>")
+    return out.join(maps, "article_seq_id", "left").select(
+        *out.columns,
+        *[F.coalesce(f"{k}_name_entities_tfidf", empty).alias(f"{k}_name_entities_tfidf") for k in ("title", "content")],
+    )
 
 
 def entity_tfidf(profiles: DataFrame, kind: str = "content") -> DataFrame:

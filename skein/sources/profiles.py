@@ -55,7 +55,7 @@ def _checks(fields: Iterable[str]) -> tuple[list[Column], list[tuple[str, Column
             bad.append((f, src.isNull() | E.has_null_element(src)))
         elif f in TFIDF_FIELDS:
             src = F.col(TFIDF_FIELDS[f])
-            vals = F.transform_values(src, lambda k, v: F.try_cast(v.cast("string"), "double"))
+            vals = F.transform_values(src, lambda k, v: v.cast("string").try_cast("double"))
             cols.append(vals.alias(f))
             bad.append((f, src.isNull() | F.exists(F.map_values(vals), lambda v: v.isNull())))
         elif f in VECTOR_FIELDS:
