@@ -197,3 +197,100 @@ def sql(body: str, *names: str) -> str:
         return body.strip()
     parts = [f"{n} AS ({CTES[n][0].strip()})" for n in order]
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+
+
+# --- model scenario: training examples, features, state, SGD, ranking ---------------
+def term(feat: str, value: str, weight: str) -> str:
+    w = fmt6(f"coalesce({weight}, 0.0)")
+    return (f"CASE WHEN {value} = 1 THEN {feat}||': '||{w} WHEN {value} = 0 THEN {feat}||': ('||{w}||')' "
+            f"ELSE {feat}||': '||{w}||' *'||{fmt6(value)} END")
+
+
+cte("ex", 'SELECT "user", item, label, count(*) AS mult FROM inst GROUP BY ALL', "inst")
+
+cte("ue_set", """
+SELECT DISTINCT i."user", t.entity FROM (SELECT DISTINCT "user", item FROM inst) i
+JOIN prof_tfidf t ON t.article_seq_id = i.item""", "inst", "prof_tfidf")
+
+cte("st_ue", """
+SELECT "user", entity, ((CAST("user" AS BIGINT)*5 + length(entity)*3)%21 - 10)/100.0 AS weight FROM ue_set""", "ue_set")
+
+cte("state", """
+SELECT 'g' AS kind, CAST(c AS VARCHAR) AS k1, '' AS k2, weight FROM st_global
+UNION ALL SELECT 'u', "user", CAST(c AS VARCHAR), weight FROM st_user
+UNION ALL SELECT 'i', item, '', weight FROM st_item
+UNION ALL SELECT 't', "user", entity, weight FROM st_ue""", "st_global", "st_user", "st_item", "st_ue")
+
+cte("ex_cat", """
+SELECT e."user", e.item, e.label, e.mult, unnest(p.cat) AS c FROM ex e JOIN prof p ON p.article_seq_id = e.item""",
+    "ex", "prof")
+
+cte("feats", """
+SELECT *, CASE WHEN k2 = '' THEN kind||':'||k1 ELSE kind||':'||k1||':'||k2 END AS feat FROM (
+  SELECT "user", item, label, mult, 'g' AS kind, CAST(c AS VARCHAR) AS k1, '' AS k2, 1.0::DOUBLE AS value FROM ex_cat
+  UNION ALL SELECT "user", item, label, mult, 'u', "user", CAST(c AS VARCHAR), 1.0 FROM ex_cat
+  UNION ALL SELECT "user", item, label, mult, 'i', item, '', 1.0 FROM ex
+  UNION ALL SELECT e."user", e.item, e.label, e.mult, 't', e."user", t.entity, 0.5*t.tfidf
+    FROM ex e JOIN prof_tfidf t ON t.article_seq_id = e.item)""", "ex_cat", "ex", "prof_tfidf")
+
+cte("w0", """
+SELECT s.kind, s.k1, s.k2, s.feat, coalesce(st.weight, 0.0) AS weight
+FROM (SELECT DISTINCT kind, k1, k2, feat FROM feats) s LEFT JOIN state st USING (kind, k1, k2)""", "feats", "state")
+
+cte("n_ex", "SELECT sum(mult) AS n FROM ex", "ex")
+
+
+def _grad(w: str) -> str:
+    return f"""
+SELECT f.feat, sum(m.err * f.value) AS grad FROM feats f JOIN (
+  SELECT "user", item, label, mult * (1.0/(1.0+exp(-sum(value*weight))) - label) AS err
+  FROM (SELECT f."user", f.item, f.label, f.mult, f.value, coalesce(w.weight, 0.0) AS weight
+        FROM feats f LEFT JOIN {w} w USING (feat)) GROUP BY "user", item, label, mult) m
+USING ("user", item, label) GROUP BY f.feat"""
+
+
+cte("g1", _grad("w0"), "feats", "w0")
+cte("w1", """
+SELECT w.kind, w.k1, w.k2, w.feat, w.weight - 1.0/sqrt(1) * coalesce(g.grad, 0.0)/n.n AS weight
+FROM w0 w LEFT JOIN g1 g USING (feat) CROSS JOIN n_ex n""", "w0", "g1", "n_ex")
+cte("g2", _grad("w1"), "feats", "w1")
+cte("w2", """
+SELECT w.kind, w.k1, w.k2, w.feat, w.weight - 1.0/sqrt(2) * coalesce(g.grad, 0.0)/n.n AS weight
+FROM w1 w LEFT JOIN g2 g USING (feat) CROSS JOIN n_ex n""", "w1", "g2", "n_ex")
+
+cte("cand", f"""
+SELECT p.article_seq_id AS item, p.cat, {r6('coalesce(s.weight, 0.0)')} AS score
+FROM prof p LEFT JOIN st_item s ON s.item = p.article_seq_id WHERE len(p.cat) > 0
+ORDER BY score DESC, item DESC LIMIT 10""", "prof", "st_item")
+
+cte("cand_cat", "SELECT item, unnest(cat) AS c FROM cand", "cand")
+
+cte("cand_feat", """
+SELECT x.item, 'g:'||CAST(x.c AS VARCHAR) AS feat, 1.0::DOUBLE AS value, g.weight FROM cand_cat x LEFT JOIN st_global g ON g.c = x.c
+UNION ALL SELECT item, 'i:'||item, 1.0, score FROM cand""", "cand_cat", "st_global")
+
+cte("cand_tfidf", "SELECT * FROM prof_tfidf WHERE article_seq_id IN (SELECT item FROM cand)", "prof_tfidf", "cand")
+
+cte("contrib", """
+SELECT a."user", f.item, f.feat, f.value, f.weight FROM active a CROSS JOIN cand_feat f
+UNION ALL
+SELECT u."user", x.item, 'u:'||u."user"||':'||CAST(x.c AS VARCHAR), 1.0, u.weight
+FROM st_user u JOIN cand_cat x ON x.c = u.c WHERE u."user" IN (SELECT "user" FROM active)
+UNION ALL
+SELECT e."user", t.article_seq_id, 't:'||e."user"||':'||e.entity, 0.5*t.tfidf, e.weight
+FROM st_ue e JOIN cand_tfidf t ON t.entity = e.entity WHERE e."user" IN (SELECT "user" FROM active)""",
+    "active", "cand_feat", "st_user", "cand_cat", "st_ue", "cand_tfidf")
+
+cte("scored", f"""
+SELECT "user", item, {r6('sum(value * coalesce(weight, 0.0))')} AS score,
+  string_agg({term('feat', 'value', 'weight')}, ', ' ORDER BY feat) AS explanation
+FROM contrib GROUP BY "user", item""", "contrib")
+
+cte("unshown", """
+SELECT s.* FROM scored s WHERE NOT EXISTS (SELECT 1 FROM rec_log l WHERE l."user" = s."user" AND l.item = s.item)""",
+    "scored", "rec_log")
+
+cte("rec", """
+SELECT * FROM (SELECT "user", item, score, explanation,
+  row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item DESC) AS rank FROM unshown) WHERE rank <= 5""",
+    "unshown")
