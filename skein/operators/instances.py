@@ -16,37 +16,36 @@ def prefilter(lines: DataFrame, col: str = "line") -> DataFrame:
 
 
 def parse_events(lines: DataFrame, col: str = "line") -> DataFrame:
-    """One parsed row per line: kind, both parses, and a corrupt flag (FN-07).
+    """One parsed row per line: kind, the parse its kind selects, and a corrupt flag (FN-07).
 
-    Only the parse the kind rule selects is evaluated for a line.
+    Each line is parsed once, into its own projection; fields are read from that
+    struct afterwards, so the JSON parser does not run once per extracted field.
     """
     line = F.col(col)
-    read = EV.parse_read(line)
-    refresh = EV.parse_refresh(line)
     is_read = EV.is_read(line)
-    p = F.when(is_read, F.struct(
-        read["user_seq_id"].alias("user_seq_id"),
-        F.array(read["article_seq_id"]).alias("articles"),
-        read["article_type"].alias("article_type"),
-        read["lang"].alias("lang"),
-        read["ts"].alias("ts"),
-        read["source"].alias("source"),
-        F.lit(None).cast("string").alias("req_mode"),
-        read["custom_categories"].alias("custom_categories"),
-        read[EV.CORRUPT].alias("corrupt"),
-    )).otherwise(F.struct(
-        refresh["user_seq_id"].alias("user_seq_id"),
-        refresh["article_seq_id"].alias("articles"),
-        refresh["article_type"].alias("article_type"),
-        refresh["lang"].alias("lang"),
-        refresh["ts"].alias("ts"),
-        F.lit(None).cast("string").alias("source"),
-        refresh["req_mode"].alias("req_mode"),
-        refresh["custom_categories"].alias("custom_categories"),
-        refresh[EV.CORRUPT].alias("corrupt"),
-    ))
     keep = [c for c in lines.columns if c != col]
-    return lines.select(*keep, col, F.when(is_read, "read").otherwise("refresh").alias("kind"), p.alias("p"))
+    parsed = lines.select(
+        *keep, col, F.when(is_read, "read").otherwise("refresh").alias("kind"),
+        F.when(is_read, EV.parse_read(line)).alias("r"),
+        F.when(~is_read, EV.parse_refresh(line)).alias("f"),
+    )
+    r, f = F.col("r"), F.col("f")
+
+    def pick(name, read_val, refresh_val):
+        return F.when(F.col("kind") == "read", read_val).otherwise(refresh_val).alias(name)
+
+    p = F.struct(
+        pick("user_seq_id", r["user_seq_id"], f["user_seq_id"]),
+        pick("articles", F.array(r["article_seq_id"]), f["article_seq_id"]),
+        pick("article_type", r["article_type"], f["article_type"]),
+        pick("lang", r["lang"], f["lang"]),
+        pick("ts", r["ts"], f["ts"]),
+        pick("source", r["source"], F.lit(None).cast("string")),
+        pick("req_mode", F.lit(None).cast("string"), f["req_mode"]),
+        pick("custom_categories", r["custom_categories"], f["custom_categories"]),
+        pick("corrupt", r[EV.CORRUPT], f[EV.CORRUPT]),
+    )
+    return parsed.select(*keep, col, "kind", p.alias("p"))
 
 
 def _accepted(lang: str) -> Column:
@@ -69,12 +68,17 @@ def rejected_events(lines: DataFrame, col: str = "line") -> DataFrame:
 
 
 def _instances(lines: DataFrame, lang: str, col: str, plus: bool) -> DataFrame:
-    ev = filtered_events(lines, lang, col)
+    # Accepted lines keep their article list, others an empty one; the explode then drops
+    # them. No Filter references the parsed struct, so the optimizer cannot push a copy of
+    # the JSON parse below the projection that computes it (the parse runs once per line).
+    ev = parse_events(prefilter(lines, col), col)
+    ok = F.col("p.corrupt").isNull() & _accepted(lang)
+    items = F.when(ok, F.col("p.articles")).otherwise(F.array().cast("array<int>"))
     label = F.when(F.col("kind") == "read", F.lit(1.0)).otherwise(F.lit(0.0))
     # Refreshes fan out to one instance per listed article; an empty list gives none (PRJ-11).
     out = ev.select(
         F.coalesce(F.col("p.user_seq_id"), F.lit(0)).cast("string").alias("user"),
-        F.explode("p.articles").alias("item_i"),
+        F.explode(items).alias("item_i"),
         label.alias("label"),
         F.col("p.custom_categories").alias("custom_categories"),
     ).select("user", F.coalesce("item_i", F.lit(0)).cast("string").alias("item"), "label", "custom_categories")

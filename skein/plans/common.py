@@ -25,9 +25,14 @@ def window_profiles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def window_tfidf(spark: SparkSession, d: str, profiles: DataFrame | None = None) -> DataFrame:
-    """Content tf-idf (long form) of the window profiles."""
-    profiles = profiles if profiles is not None else window_profiles(spark, d)
-    return fx.art_tfidf(spark, d).join(profiles.select("article_seq_id"), "article_seq_id", "left_semi")
+    """Content tf-idf (long form) of the window profiles.
+
+    The window predicate and the validity rule run before the entity lists are
+    exploded, so only the window's articles are tokenised and counted.
+    """
+    scanned = P.scan_profiles(fx.art(spark, d), ["category"], since=fx.WINDOW_START_TS, usable_only=True,
+                              keep=["content_name_entities"])
+    return fx.entity_tfidf(scanned, "content")
 
 
 def active_users(spark: SparkSession, d: str) -> DataFrame:

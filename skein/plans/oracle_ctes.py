@@ -138,7 +138,7 @@ cte("st_global", "SELECT CAST(c AS INT) AS c, ((c*7)%13 - 6)/10.0 AS weight FROM
 
 cte("st_user", """
 SELECT CAST(u.user_id AS VARCHAR) AS "user", CAST(c AS INT) AS c, ((u.user_id*13 + c*7)%41 - 20)/100.0 AS weight
-FROM (SELECT DISTINCT user_id FROM events) u CROSS JOIN range(13) t(c)""")
+FROM (SELECT c_custkey AS user_id FROM customer) u CROSS JOIN range(13) t(c)""")
 
 cte("st_item", """
 SELECT CAST(doc_id AS VARCHAR) AS item, ((doc_id*31)%101 - 50)/100.0 AS weight FROM (SELECT DISTINCT doc_id FROM labels)""")
@@ -193,10 +193,14 @@ def sql(body: str, *names: str) -> str:
 
     for n in names:
         visit(n)
+    body = body.strip()
     if not order:
-        return body.strip()
+        return body
     parts = [f"{n} AS ({CTES[n][0].strip()})" for n in order]
-    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+    if body[:5].upper() == "WITH ":
+        # The body has CTEs of its own: one WITH clause holds both lists.
+        return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
+    return "WITH " + ",\n".join(parts) + "\n" + body
 
 
 # --- model scenario: training examples, features, state, SGD, ranking ---------------
@@ -294,3 +298,13 @@ cte("rec", """
 SELECT * FROM (SELECT "user", item, score, explanation,
   row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item DESC) AS rank FROM unshown) WHERE rank <= 5""",
     "unshown")
+
+cte("doc_lines", "SELECT unnest(string_split(text, chr(10))) AS value FROM documents")
+
+cte("refresh_pairs", """
+SELECT event_id, epoch_us(ts) // 1000 - epoch_ms(TIMESTAMP '2024-01-01') AS target_ms,
+  CASE WHEN event_type = 'signup' THEN -1
+       ELSE epoch_us(ts) // 1000 - epoch_ms(TIMESTAMP '2024-01-01') - CAST(floor(value) AS BIGINT) * 3600000 END AS last_ms
+FROM events""")
+
+cte("registry", "SELECT feat, row_number() OVER (ORDER BY feat) - 1 AS idx FROM (SELECT DISTINCT feat FROM feats)", "feats")

@@ -34,5 +34,5 @@ def query(key: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every plan module so that its queries register."""
     from skein.plans import (  # noqa: F401
-        q_events, q_model, q_profiles,
+        q_events, q_incremental, q_model, q_profiles, q_store, q_stream, q_text,
     )

@@ -110,7 +110,12 @@ def _events_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event lines (event_id, line): reads, refreshes, foreign-language reads, non-user lines."""
-    e = _events_k(spark, sf_dir)
+    return lines_from_events(table(spark, sf_dir, "events"))
+
+
+def lines_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The event-line encoding of ``events`` rows (works on batch and streaming frames)."""
+    e = events.withColumn("k", F.regexp_extract("props", "[0-9]+", 0).cast("int"))
     uid = F.col("user_id").cast("string")
     k = F.col("k").cast("string")
     src = F.element_at(F.array(*[F.lit(s) for s in ("main", "hot", "trending", "push")]),
@@ -140,7 +145,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "error", error)
         .otherwise(other)
     )
-    return e.select("event_id", line.alias("line"))
+    return e.select("event_id", *keep, line.alias("line"))
 
 
 def lines_with_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +164,11 @@ def pair_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User-action lines (event_id, line) from clicks and views."""
-    e = table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
+    return actions_from_events(table(spark, sf_dir, "events"))
+
+
+def actions_from_events(events: DataFrame) -> DataFrame:
+    e = events.where(F.col("event_type").isin("click", "view"))
     version = F.when(F.col("event_id") % 4 == 0, F.lit("")).otherwise(
         F.concat(F.lit(',"version":"v'), (F.col("event_id") % 3).cast("string"), F.lit('"'))
     )
@@ -222,7 +231,8 @@ def state_global(spark: SparkSession) -> DataFrame:
 
 
 def state_user_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    """User-category weights ``u:user:c`` for every known user (customer) and slot."""
+    users = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
     return users.select(
         F.col("user_id").cast("string").alias("user"),
         F.explode(F.sequence(F.lit(0), F.lit(12))).alias("c"),
@@ -245,3 +255,28 @@ def state_user_entity(user_entities: DataFrame) -> DataFrame:
         "user", "entity",
         ((((F.col("user").cast("bigint") * 5 + F.length("entity") * 3) % 21) - 10) / 100.0).alias("weight"),
     )
+
+
+def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines of every document (whole texts split at newlines)."""
+    return table(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")).alias("value"))
+
+
+def doc_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of a per-document record: the crawl (lang) and a later label (quality)."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("value"))
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.concat(F.lit("q"), F.col("quality").cast("string")).alias("value"))
+    base = _hours_after_start((F.col("doc_id") * 37) % 720)
+    return (d.select(F.col("doc_id").cast("string").alias("key"), base.alias("ts"), "value")
+            .unionByName(lab.select(F.col("doc_id").cast("string").alias("key"),
+                                    F.timestamp_add("HOUR", F.lit(1), base).alias("ts"), "value")))
+
+
+def refresh_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, target_ms, last_ms): batch times since the data start and the previous refresh."""
+    from skein.functions.text import epoch_ms
+    e = table(spark, sf_dir, "events")
+    target = epoch_ms(F.col("ts")) - epoch_ms(DATA_START)
+    last = F.when(F.col("event_type") == "signup", F.lit(-1).cast("bigint")).otherwise(
+        target - F.floor(F.col("value")) * 3_600_000)
+    return e.select("event_id", target.alias("target_ms"), last.alias("last_ms"))

@@ -83,15 +83,15 @@ def _filtered(profiles: DataFrame, since, inclusive: bool, usable_only: bool,
 
 def scan_profiles(profiles: DataFrame, fields: Iterable[str], since=None, inclusive: bool = False,
                   usable_only: bool = False, ids: DataFrame | None = None,
-                  id_col: str = "article_seq_id") -> DataFrame:
-    """Valid profile rows: ``id_col`` plus the coerced ``fields``."""
+                  id_col: str = "article_seq_id", keep: Iterable[str] = ()) -> DataFrame:
+    """Valid profile rows: ``id_col`` plus the coerced ``fields`` (and raw ``keep`` columns)."""
     fields = list(fields)
     cols, bad = _checks(fields)
     df = _filtered(profiles, since, inclusive, usable_only, ids)
     ok = F.col(id_col).isNotNull() & (F.col(id_col).cast("string") != "")
     for _, b in bad:
         ok = ok & ~F.coalesce(b, F.lit(False))
-    return df.where(ok).select(F.col(id_col).cast("string").alias(id_col), *cols)
+    return df.where(ok).select(F.col(id_col).cast("string").alias(id_col), *cols, *keep)
 
 
 def rejected_profiles(profiles: DataFrame, fields: Iterable[str], since=None, inclusive: bool = False,
