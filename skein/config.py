@@ -51,3 +51,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path:
         os.makedirs(os.path.dirname(path), exist_ok=True)
     return path
+
+
+def spread(df):
+    """Spread a scan over the session's cores when it arrives in fewer partitions.
+
+    A source with few large files (or one row group) scans as a handful of tasks,
+    and per-row work after it (JSON parsing, tokenising whole texts) would run on
+    that many cores. Below the default parallelism the rows are redistributed
+    round-robin; on a cluster reading many files this is a no-op.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

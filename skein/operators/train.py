@@ -42,7 +42,7 @@ def gradient(features: DataFrame, weights: DataFrame) -> DataFrame:
 
 
 def sgd(features: DataFrame, weights: DataFrame, iterations: int, step: float, fraction: float = 1.0,
-        convergence_tol: float = 0.001, seed: int = 42) -> DataFrame:
+        convergence_tol: float = 0.001, seed: int = 42, materialized: bool = False) -> DataFrame:
     """ML-05: warm-start SGD, ``w ← w − step/√t · g/n`` (no regularisation).
 
     ``fraction < 1`` samples examples by a seeded hash of (example, iteration), so a
@@ -50,13 +50,19 @@ def sgd(features: DataFrame, weights: DataFrame, iterations: int, step: float, f
     second iteration on (tol 0 disables it). ``weights``: ``(kind, k1, k2, feat, weight)``.
     """
     w = weights.checkpoint(eager=True)
-    feats = features.checkpoint(eager=True)
+    feats = features if materialized else features.checkpoint(eager=True)
+    n_all = None
     for t in range(1, iterations + 1):
         batch = feats
         if fraction < 1.0:
             h = F.xxhash64(*[F.col(c) for c in EX], F.lit(seed + t))
             batch = feats.where((F.abs(h) % 1_000_000) < int(fraction * 1_000_000))
-        n = batch.select(*EX, "mult").distinct().agg(F.sum("mult")).first()[0] or 0
+            n = batch.select(*EX, "mult").distinct().agg(F.sum("mult")).first()[0] or 0
+        else:
+            if n_all is None:
+                # One number per run: the example count (Σ mult) of the whole batch.
+                n_all = feats.select(*EX, "mult").distinct().agg(F.sum("mult")).first()[0] or 0
+            n = n_all
         if n == 0:
             continue
         g = gradient(batch, w)

@@ -180,8 +180,7 @@ def last_per_key(spark, d):
 
 
 def _updates(s: Scenario):
-    w = TR.sgd(s.features(), s.initial_weights(), 2, 1.0, 1.0, convergence_tol=0.0)
-    return FT.write_back(w)
+    return FT.write_back(s.trained(2, 1.0, 1.0))
 
 
 @query("state_snapshot", sql(f"""

@@ -99,8 +99,7 @@ def sparse_dot(spark, d):
 @query("sgd_train", sql(f"SELECT feat, {R6('weight')} AS weight FROM w2", "w2"))
 def sgd_train(spark, d):
     """ML-05: two warm-start SGD iterations, step 1, full batch (early stop off)."""
-    s = Scenario(spark, d)
-    w = TR.sgd(s.features(), s.initial_weights(), ITER, STEP, FRACTION, convergence_tol=0.0)
+    w = Scenario(spark, d).trained(ITER, STEP, FRACTION)
     return w.select("feat", r6(F.col("weight")).alias("weight"))
 
 
@@ -124,8 +123,7 @@ def train_routing(spark, d):
 @query("weights_write_back", sql(f"SELECT kind, k1, k2, {R6('weight')} AS weight FROM w2 WHERE kind <> 't' OR weight > 0", "w2"))
 def weights_write_back(spark, d):
     """ML-04: trained weights split into the four groups; only positive tag weights kept."""
-    s = Scenario(spark, d)
-    w = TR.sgd(s.features(), s.initial_weights(), ITER, STEP, FRACTION, convergence_tol=0.0)
+    w = Scenario(spark, d).trained(ITER, STEP, FRACTION)
     return FT.write_back(w).withColumn("weight", r6(F.col("weight")))
 
 

@@ -48,9 +48,7 @@ def registry_sorted(spark, d):
 
 def _indexed_weights(s: Scenario, trained: bool = False):
     reg = _registry(s)
-    w = s.initial_weights()
-    if trained:
-        w = TR.sgd(s.features(), w, 2, 1.0, 1.0, convergence_tol=0.0)
+    w = s.trained(2, 1.0, 1.0) if trained else s.initial_weights()
     return reg.join(w.select("feat", "weight"), "feat")
 
 

@@ -1,48 +1,88 @@
-"""The training and ranking scenario shared by the model queries (all lazy plans)."""
+"""The training and ranking scenario shared by the model queries.
+
+Base inputs of a batch (instances, window profiles, their tf-idf, the user-entity
+sets) are materialised once, on first use, with a reliable checkpoint in the
+shared folder: every later branch of the plan reads them instead of re-parsing
+events and re-tokenising texts, and the lineage is cut (the original persists
+its profile set per refresh for the same reason).
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skein.config import checkpoint_root
 from skein.operators import features as FT
 from skein.operators import rank as RK
 from skein.plans import common as C
 from skein.sources import fixtures as fx
 
 
-@dataclass
 class Scenario:
-    spark: SparkSession
-    d: str
-
-    def __post_init__(self):
-        s, d = self.spark, self.d
-        self.instances = C.instances(s, d)
-        self.profiles = C.window_profiles(s, d)
-        self.tfidf = C.window_tfidf(s, d, self.profiles)
-        self.examples = FT.examples(self.instances)
-        self.user_entities = FT.user_entity_set(self.instances, self.profiles, self.tfidf)
-        self.global_w = fx.state_global(s)
-        self.user_w = fx.state_user_inferred(s, d)
-        self.item_w = fx.state_item_inferred(s, d)
-        self.user_entity_w = fx.state_user_entity(self.user_entities)
-        self.state = FT.state_long(self.global_w, self.user_w, self.item_w, self.user_entity_w)
+    def __init__(self, spark: SparkSession, d: str):
+        self.spark, self.d = spark, d
+        checkpoint_root(spark)
+        self.global_w = fx.state_global(spark)
+        self.user_w = fx.state_user_inferred(spark, d)
+        self.item_w = fx.state_item_inferred(spark, d)
+
+    @cached_property
+    def instances(self) -> DataFrame:
+        return C.instances(self.spark, self.d).checkpoint(eager=True)
+
+    @cached_property
+    def profiles(self) -> DataFrame:
+        return C.window_profiles(self.spark, self.d).checkpoint(eager=True)
+
+    @cached_property
+    def tfidf(self) -> DataFrame:
+        return C.window_tfidf(self.spark, self.d).checkpoint(eager=True)
+
+    @cached_property
+    def examples(self) -> DataFrame:
+        return FT.examples(self.instances)
+
+    @cached_property
+    def user_entities(self) -> DataFrame:
+        return FT.user_entity_set(self.instances, self.profiles, self.tfidf).checkpoint(eager=True)
+
+    @cached_property
+    def user_entity_w(self) -> DataFrame:
+        return fx.state_user_entity(self.user_entities)
+
+    @cached_property
+    def state(self) -> DataFrame:
+        return FT.state_long(self.global_w, self.user_w, self.item_w, self.user_entity_w)
 
     # --- training ---------------------------------------------------------------
     def features(self) -> DataFrame:
         return FT.train_features(self.examples, self.profiles, self.tfidf, fx.ENTITY_SCALAR)
 
-    def initial_weights(self) -> DataFrame:
-        return FT.gather_weights(FT.batch_symbols(self.features()), self.state)
+    def initial_weights(self, features: DataFrame | None = None) -> DataFrame:
+        f = features if features is not None else self.features()
+        return FT.gather_weights(FT.batch_symbols(f), self.state)
+
+    def trained(self, iterations: int = 2, step: float = 1.0, fraction: float = 1.0, tol: float = 0.0) -> DataFrame:
+        """Warm-start SGD over features materialised once (checkpoint) and reused."""
+        from skein.operators import train as TR
+        f = self.features().checkpoint(eager=True)
+        return TR.sgd(f, self.initial_weights(f), iterations, step, fraction, convergence_tol=tol,
+                      materialized=True)
 
     # --- ranking ----------------------------------------------------------------
     def prescored(self) -> DataFrame:
         return RK.prescore(self.profiles, self.item_w)
 
+    @cached_property
+    def _candidates(self) -> DataFrame:
+        return RK.top_candidates(self.prescored(), fx.N_CANDIDATES)
+
     def candidates(self, explain: bool = False) -> DataFrame:
-        return RK.top_candidates(self.prescored(), fx.N_CANDIDATES, self.global_w if explain else None)
+        if explain:
+            return RK.top_candidates(self.prescored(), fx.N_CANDIDATES, self.global_w)
+        return self._candidates
 
     def users(self) -> DataFrame:
         return C.active_users(self.spark, self.d)

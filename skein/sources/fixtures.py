@@ -37,8 +37,14 @@ SOURCE_NAMES = [
 DATA_START = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
 
 
+# Tables whose rows carry per-row work heavy enough to spread over all cores.
+HEAVY = {"documents", "events"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    from skein.config import spread
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in HEAVY else df
 
 
 def _hours_after_start(n) -> F.Column:
@@ -91,8 +97,11 @@ def art(spark: SparkSession, sf_dir: str, with_maps: bool = False) -> DataFrame:
 def entity_tfidf(profiles: DataFrame, kind: str = "content") -> DataFrame:
     """Long-form tf-idf of an entity list: weight = occurrences / list length; keys keep case."""
     col = f"{kind}_name_entities"
+    # explode_outer + a null filter: a plain explode makes the optimizer infer
+    # ``size(list) > 0`` and push it below the projection, tokenising every text twice.
     return (
-        profiles.select("article_seq_id", F.explode(col).alias("entity"), F.size(col).alias("n"))
+        profiles.select("article_seq_id", F.explode_outer(col).alias("entity"), F.size(col).alias("n"))
+        .where(F.col("entity").isNotNull())
         .groupBy("article_seq_id", "entity")
         .agg((F.count(F.lit(1)).cast("double") / F.max("n")).alias("tfidf"))
     )
