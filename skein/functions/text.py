@@ -7,21 +7,22 @@ from pyspark.sql import functions as F
 
 from skein.constants import BATCH_DIR_PATTERN
 
-EPOCH_NTZ = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+def _epoch() -> Column:
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
 
 
 def epoch_ms(ts: Column) -> Column:
     """Milliseconds since the epoch of a naive (UTC) timestamp."""
-    return F.timestamp_diff("MILLISECOND", EPOCH_NTZ, ts.cast("timestamp_ntz"))
+    return F.timestamp_diff("MILLISECOND", _epoch(), ts.cast("timestamp_ntz"))
 
 
 def epoch_s(ts: Column) -> Column:
-    return F.timestamp_diff("SECOND", EPOCH_NTZ, ts.cast("timestamp_ntz"))
+    return F.timestamp_diff("SECOND", _epoch(), ts.cast("timestamp_ntz"))
 
 
 def ms_to_ts(ms: Column) -> Column:
     """Epoch milliseconds -> naive UTC timestamp."""
-    return F.timestamp_add("MILLISECOND", ms, EPOCH_NTZ)
+    return F.timestamp_add("MILLISECOND", ms, _epoch())
 
 
 def strip_pair_line(line: Column) -> Column:

@@ -34,7 +34,11 @@ SOURCE_NAMES = [
     "video", "joke", "local", "quiz", "deal", "misc",
 ]
 
-DATA_START = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+DATA_START_TS = dt.datetime(2024, 1, 1)
+
+
+def _data_start() -> F.Column:
+    return F.lit(DATA_START_TS).cast("timestamp_ntz")
 
 
 # Tables whose rows carry per-row work heavy enough to spread over all cores.
@@ -48,7 +52,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _hours_after_start(n) -> F.Column:
-    return F.timestamp_add("HOUR", n.cast("int"), DATA_START)
+    return F.timestamp_add("HOUR", n.cast("int"), _data_start())
 
 
 def art(spark: SparkSession, sf_dir: str, with_maps: bool = False) -> DataFrame:
@@ -285,7 +289,7 @@ def refresh_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(event_id, target_ms, last_ms): batch times since the data start and the previous refresh."""
     from skein.functions.text import epoch_ms
     e = table(spark, sf_dir, "events")
-    target = epoch_ms(F.col("ts")) - epoch_ms(DATA_START)
+    target = epoch_ms(F.col("ts")) - epoch_ms(_data_start())
     last = F.when(F.col("event_type") == "signup", F.lit(-1).cast("bigint")).otherwise(
         target - F.floor(F.col("value")) * 3_600_000)
     return e.select("event_id", target.alias("target_ms"), last.alias("last_ms"))
