@@ -39,6 +39,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(root)
         return root.rstrip("/")
+    if not sc.master.startswith("local"):
+        # A machine-local folder would not survive a lost executor: the cluster must name one.
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
     root = tempfile.mkdtemp(prefix="skein-ckpt-")
     sc.setCheckpointDir(root)
     return root
@@ -65,3 +68,19 @@ def spread(df):
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+# Row limit for a broadcast whose size depends on run-time parameters.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """Broadcast ``df`` only after checking its size; above the limit return it unchanged
+    so the planner (and AQE, from runtime statistics) picks a shuffle join instead.
+
+    The check reads at most ``max_rows + 1`` rows, so it stays cheap for a large side.
+    """
+    from pyspark.sql import functions as F
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.config import broadcast_if_small
 from skein.functions.explain import explain_agg
 from skein.functions.text import r6
 
@@ -78,8 +79,11 @@ def pair_contributions(users: DataFrame, cands: DataFrame, global_w: DataFrame,
     ``base`` marks the one row per pair that guarantees the pair exists even when the
     user has no state. ``cands`` carries ``(item, category_idx, score=b_i)``.
     """
+    # Bounded by n_candidates × (categories + 1): a fixed-size broadcast.
     cand_cat = F.broadcast(cands.select("item", F.explode("category_idx").alias("c")))
     cand_feats = F.broadcast(_candidate_features(cands, global_w))
+    # Bounded by n_candidates × entities of one article, both run-time sizes: checked first.
+    cand_t = broadcast_if_small(cand_tfidf.withColumnRenamed("article_seq_id", "item"))
     pairs = user_candidate_pairs(users, cands)
     item_part = pairs.join(cand_feats, "item").select("user", "item", "feat", "value", "weight",
                                                       (F.col("feat").startswith("i:")).alias("base"))
@@ -89,7 +93,7 @@ def pair_contributions(users: DataFrame, cands: DataFrame, global_w: DataFrame,
         F.lit(1.0).alias("value"), "weight", F.lit(False).alias("base"))
     # JN-07: only tags present among the candidates take part (the broadcast join is the whitelist).
     ue = user_entity_w.join(users, "user", "left_semi")
-    uent = ue.join(F.broadcast(cand_tfidf.withColumnRenamed("article_seq_id", "item")), "entity").select(
+    uent = ue.join(cand_t, "entity").select(
         "user", "item", F.concat_ws(":", F.lit("t"), F.col("user"), F.col("entity")).alias("feat"),
         (F.lit(entity_scalar) * F.col("tfidf")).alias("value"), "weight", F.lit(False).alias("base"))
     return item_part.unionByName(ucat).unionByName(uent)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from skein.config import broadcast_if_small
 from skein.functions import encode as E
 from skein.functions.explain import explain_agg
 from skein.functions.text import r6
@@ -179,7 +180,7 @@ def tag_whitelist(spark, d):
     """JN-07: user-tag weights of active users, only for tags present among candidates."""
     s = Scenario(spark, d)
     tags = RK.candidate_tags(s.candidates(), s.tfidf).select("entity").distinct()
-    ue = s.user_entity_w.join(s.users(), "user", "left_semi").join(F.broadcast(tags), "entity", "left_semi")
+    ue = s.user_entity_w.join(s.users(), "user", "left_semi").join(broadcast_if_small(tags), "entity", "left_semi")
     return ue.select("user", "entity", r6(F.col("weight")).alias("weight"))
 
 

@@ -207,9 +207,9 @@ SELECT (SELECT count(*) FROM prof) AS n_profiles, (SELECT count(*) FROM active)
 def count_rows(spark, d):
     """AGG-05: counts of profiles, active users and instances."""
     a = C.window_profiles(spark, d).agg(F.count(F.lit(1)).alias("n_profiles"))
-    b = C.active_users(spark, d).agg(F.count(F.lit(1)).alias("n_users"))
-    c = C.instances(spark, d).agg(F.count(F.lit(1)).alias("n_instances"))
-    return a.crossJoin(b).crossJoin(c)
+    n_users = C.active_users(spark, d).agg(F.count(F.lit(1))).scalar()
+    n_inst = C.instances(spark, d).agg(F.count(F.lit(1))).scalar()
+    return a.select("n_profiles", n_users.alias("n_users"), n_inst.alias("n_instances"))
 
 
 @query("reclog_lookup", sql('SELECT a."user", l.item FROM active a LEFT JOIN rec_log l ON l."user" = a."user"', "active", "rec_log"))

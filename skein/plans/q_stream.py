@@ -85,4 +85,4 @@ def recommend_batch(spark, d):
                          fx.N_TOP, fx.N_CANDIDATES, fx.ENTITY_SCALAR, interval_ms=3_600_000,
                          expire_hours=fx.EXPIRE_HOURS, result_template=fx.RESULT_TEMPLATE, now_ms=lambda: BATCH_MS)
     run_available(fx.actions_from_events(_events(spark, d)), f"{out}/_ckpt", batch_fn=rec.handle)
-    return spark.read.parquet(rec.published[-1]).select("user", "rank", "item", "score")
+    return rec.current().select("user", "rank", "item", "score")

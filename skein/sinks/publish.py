@@ -66,3 +66,30 @@ def rec_feature_blocks(recs: DataFrame) -> DataFrame:
     g = recs.groupBy("user").agg(F.sort_array(F.collect_list(F.struct(F.col("rank"), line.alias("l")))).alias("xs"))
     return g.select("user", F.concat_ws("\n", F.col("user"), F.array_join(F.transform("xs", lambda x: x["l"]), "\n"))
                     .alias("block"))
+
+
+def publication_rows(batch_users: DataFrame, new_rows: DataFrame, batch_ms: int, expire_hours: int,
+                     result_template: str) -> DataFrame:
+    """One micro-batch's entry in the append-only publication log.
+
+    Each batch user gets its new list plus a tombstone row (item NULL), so that a user
+    whose new list is empty still records that its old list is gone (Q16). Appending
+    costs only the batch's rows; the full table is never rewritten per batch.
+    """
+    expires = F.lit(batch_ms + expire_hours * HOUR_SECONDS * 1000).cast("bigint")
+    new = new_rows.select("user", key_template(result_template, F.col("user")).alias("key"), "item",
+                          F.col("rank").cast("bigint").alias("rank"), "score", expires.alias("expires_ms"))
+    tomb = batch_users.select("user").distinct().select(
+        "user", key_template(result_template, F.col("user")).alias("key"), F.lit(None).cast("string").alias("item"),
+        F.lit(0).cast("bigint").alias("rank"), F.lit(None).cast("double").alias("score"), expires.alias("expires_ms"))
+    return new.unionByName(tomb)
+
+
+def current_lists(log: DataFrame) -> DataFrame:
+    """The published lists now in force: for each user, the rows of the latest batch that touched it.
+
+    ``log`` carries a ``batch_id`` column (the partition directory of each append). The
+    per-user max combines map-side; the result is also what a compaction writes back.
+    """
+    latest = log.groupBy("user").agg(F.max("batch_id").alias("batch_id"))
+    return log.join(latest, ["user", "batch_id"]).where(F.col("item").isNotNull()).drop("batch_id")

@@ -1,9 +1,10 @@
 """Micro-batch recommendation: per batch, refresh profiles when due, rank, publish (STR-02..05).
 
 Each ``foreachBatch`` call runs one DataFrame plan for the batch's distinct users
-(per-batch ``distinct``, not stateful de-duplication, Q8). The published table is
-versioned: a batch writes ``old LEFT ANTI batch users UNION new`` to a new
-directory named by the batch id, so a retried batch rewrites the same version.
+(per-batch ``distinct``, not stateful de-duplication, Q8). Publications go to an
+append-only log partitioned by batch id: a batch writes only its own users' rows
+(and tombstones) into ``batch_id=<id>``, overwriting that directory if the batch is
+retried, so delivery is idempotent. ``current_lists`` gives the lists in force.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from skein.operators import instances as I
 from skein.operators import rank as RK
-from skein.sinks.publish import publish
+from skein.sinks.publish import current_lists, publication_rows
 
 
 def refresh_due(batch_ms: Column, last_ms: Column, interval_ms: int) -> Column:
@@ -87,11 +88,12 @@ class Recommender:
             self.refresh(batch_ms)
         users = active_users(batch, self.version).persist()
         recs = self.rank(users)
-        if self.published:
-            old = self.spark.read.parquet(self.published[-1])
-        else:
-            old = self.spark.createDataFrame([], "user string, key string, item string, rank bigint, score double, expires_ms bigint")
-        path = f"{self.published_root}/batch={batch_id}"
-        publish(old, users, recs, batch_ms, self.expire_hours, self.result_template).write.mode("overwrite").parquet(path)
+        path = f"{self.published_root}/batch_id={batch_id}"
+        rows = publication_rows(users, recs, batch_ms, self.expire_hours, self.result_template)
+        rows.write.mode("overwrite").parquet(path)
         self.published.append(path)
         users.unpersist()
+
+    def current(self) -> DataFrame:
+        """The lists in force after the batches so far."""
+        return current_lists(self.spark.read.parquet(self.published_root))

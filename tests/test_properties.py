@@ -67,3 +67,15 @@ def test_sgd_equals_mllib(spark):
                                             regParam=0.0, intercept=False, convergenceTol=0.0)
     for k, w in enumerate(model.weights.toArray()):
         assert math.isclose(ours[f"f:{k}"], w, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_publication_log_keeps_latest_list_per_user(spark, tmp_dir):
+    from skein.sinks.publish import current_lists, publication_rows
+    recs1 = spark.createDataFrame([("u", "1", 1, 0.9), ("v", "2", 1, 0.8)], "user string, item string, rank int, score double")
+    users1 = spark.createDataFrame([("u",), ("v",)], "user string")
+    recs2 = spark.createDataFrame([("u", "3", 1, 0.7)], "user string, item string, rank int, score double")
+    users2 = spark.createDataFrame([("u",), ("v",)], "user string")   # v is active but gets nothing
+    publication_rows(users1, recs1, 0, 6, "rec:%s").write.parquet(tmp_dir + "/log/batch_id=0")
+    publication_rows(users2, recs2, 1, 6, "rec:%s").write.parquet(tmp_dir + "/log/batch_id=1")
+    cur = current_lists(spark.read.parquet(tmp_dir + "/log"))
+    assert _set(cur.select("user", "item")) == [("u", "3")]
