@@ -84,3 +84,19 @@ def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def materialize_partitioned(df):
+    """Checkpoint ``df`` keeping its hash partitioning for later joins and aggregations.
+
+    A checkpoint remembers the partitioning of the plan that produced it, but adaptive
+    execution may coalesce that plan's partitions and then reports none; the write is
+    therefore planned with adaptive execution off (restored right after).
+    """
+    spark = df.sparkSession
+    prev = spark.conf.get("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)

@@ -25,47 +25,71 @@ def active_examples(features: DataFrame) -> DataFrame:
     return features.groupBy(*EX, "mult").agg(F.count(F.lit(1)).alias("n_features"))
 
 
+EXK = ["user", "item", "y"]  # example key with an integer label: hash-partitionable as is
+
+
 def gradient(features: DataFrame, weights: DataFrame) -> DataFrame:
-    """AGG-10: ``g_f = Σ_ex mult · (σ(w·x) − y) · x_f`` per feature."""
+    """AGG-10: ``g_f = Σ_ex mult · (σ(w·x) − y) · x_f`` per feature.
+
+    ``features``: ``(user, item, label, mult, feat, value)``, best partitioned by the
+    example key (see ``sgd``). Products are summed into a margin per example, the
+    error per example meets the features again by example, and gradients are summed
+    per feature — partial aggregation first, so a hot feature combines map-side.
+    """
+    if "y" not in features.columns:
+        features = features.withColumn("y", F.col("label").cast("int"))
     margins = (
         features.join(weights.select("feat", "weight"), "feat", "left")
-        .groupBy(*EX, "mult")
+        .groupBy(*EXK, "label", "mult")
         .agg(F.sum(F.col("value") * F.coalesce(F.col("weight"), F.lit(0.0))).alias("margin"))
-        .select(*EX, (F.col("mult") * (sigmoid(F.col("margin")) - F.col("label"))).alias("err"))
+        .select(*EXK, (F.col("mult") * (sigmoid(F.col("margin")) - F.col("label"))).alias("err"))
     )
     return (
-        features.select(*EX, "feat", "value")
-        .join(margins, EX)
+        features.select(*EXK, "feat", "value")
+        .join(margins, EXK)
         .groupBy("feat")
         .agg(F.sum(F.col("err") * F.col("value")).alias("grad"))
     )
 
 
 def sgd(features: DataFrame, weights: DataFrame, iterations: int, step: float, fraction: float = 1.0,
-        convergence_tol: float = 0.001, seed: int = 42, materialized: bool = False) -> DataFrame:
+        convergence_tol: float = 0.001, seed: int = 42) -> DataFrame:
     """ML-05: warm-start SGD, ``w ← w − step/√t · g/n`` (no regularisation).
 
     ``fraction < 1`` samples examples by a seeded hash of (example, iteration), so a
     run repeats exactly. Stops early when ``‖Δw‖ < tol · max(‖w‖, 1)`` from the
     second iteration on (tol 0 disables it). ``weights``: ``(kind, k1, k2, feat, weight)``.
+
+    Layout: the features are materialised once, hash-partitioned by the example key
+    (balanced: examples are distinct). Each weight generation is checkpointed. When
+    the batch's weights pass the broadcast size check, an iteration joins them
+    map-side, sums margins, computes errors and joins them back all within the
+    example partitions, and its only shuffle is the partially aggregated gradient per
+    feature. Beyond the limit the weight join shuffles by feature, where AQE's skew
+    join splits a hot feature (a popular category) across tasks.
     """
-    w = weights.checkpoint(eager=True)
-    feats = features if materialized else features.checkpoint(eager=True)
+    from skein.config import broadcast_if_small, materialize_partitioned
+
+    spark = features.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = features.select(*EX, "mult", "feat", "value").withColumn("y", F.col("label").cast("int"))
+    by_ex = materialize_partitioned(base.repartition(parts, *EXK))
+    w = weights.select("kind", "k1", "k2", "feat", "weight").checkpoint(eager=True)
     n_all = None
     for t in range(1, iterations + 1):
-        batch = feats
+        ex = by_ex
         if fraction < 1.0:
-            h = F.xxhash64(*[F.col(c) for c in EX], F.lit(seed + t))
-            batch = feats.where((F.abs(h) % 1_000_000) < int(fraction * 1_000_000))
-            n = batch.select(*EX, "mult").distinct().agg(F.sum("mult")).first()[0] or 0
+            h = F.xxhash64(*[F.col(c) for c in EXK], F.lit(seed + t))
+            ex = by_ex.where((F.abs(h) % 1_000_000) < int(fraction * 1_000_000))
+            n = ex.select(*EXK, "mult").distinct().agg(F.sum("mult")).first()[0] or 0
         else:
             if n_all is None:
                 # One number per run: the example count (Σ mult) of the whole batch.
-                n_all = feats.select(*EX, "mult").distinct().agg(F.sum("mult")).first()[0] or 0
+                n_all = by_ex.select(*EXK, "mult").distinct().agg(F.sum("mult")).first()[0] or 0
             n = n_all
         if n == 0:
             continue
-        g = gradient(batch, w)
+        g = gradient(ex, broadcast_if_small(w.select("feat", "weight")))
         new = (
             w.join(g, "feat", "left")
             .select("kind", "k1", "k2", "feat",

@@ -68,8 +68,7 @@ class Scenario:
         """Warm-start SGD over features materialised once (checkpoint) and reused."""
         from skein.operators import train as TR
         f = self.features().checkpoint(eager=True)
-        return TR.sgd(f, self.initial_weights(f), iterations, step, fraction, convergence_tol=tol,
-                      materialized=True)
+        return TR.sgd(f, self.initial_weights(f), iterations, step, fraction, convergence_tol=tol)
 
     # --- ranking ----------------------------------------------------------------
     def prescored(self) -> DataFrame:
