@@ -10,6 +10,18 @@ from skein.functions import events as EV
 from skein.functions.text import strip_pair_line
 
 
+def keep_where(df: DataFrame, cond: Column) -> DataFrame:
+    """Filter on a condition over expensive columns (parsed JSON) without a pushable Filter.
+
+    A plain ``where`` is pushed below the projection that parses (and below a spreading
+    repartition), so the parser would run twice, the first time in the scan task. Here
+    the condition feeds an outer generator and the filter reads the generator's output,
+    which the optimizer cannot push below it.
+    """
+    gen = F.explode_outer(F.when(cond, F.array(F.lit(True)))).alias("__keep")
+    return df.select("*", gen).where(F.col("__keep")).drop("__keep")
+
+
 def prefilter(lines: DataFrame, col: str = "line") -> DataFrame:
     """Keep lines that mention ``user_seq_id`` (PRJ-04)."""
     return lines.where(F.col(col).contains("user_seq_id"))
@@ -58,7 +70,7 @@ def _accepted(lang: str) -> Column:
 def filtered_events(lines: DataFrame, lang: str, col: str = "line") -> DataFrame:
     """Parsed events that pass the kind's filter (PRJ-05); corrupt lines excluded."""
     parsed = parse_events(prefilter(lines, col), col)
-    return parsed.where(F.col("p.corrupt").isNull() & _accepted(lang))
+    return keep_where(parsed, F.col("p.corrupt").isNull() & _accepted(lang))
 
 
 def rejected_events(lines: DataFrame, col: str = "line") -> DataFrame:
@@ -73,15 +85,18 @@ def _instances(lines: DataFrame, lang: str, col: str, plus: bool) -> DataFrame:
     # the JSON parse below the projection that computes it (the parse runs once per line).
     ev = parse_events(prefilter(lines, col), col)
     ok = F.col("p.corrupt").isNull() & _accepted(lang)
-    items = F.when(ok, F.col("p.articles")).otherwise(F.array().cast("array<int>"))
+    items = F.when(ok, F.transform("p.articles", lambda a: F.struct(a.alias("a"))))
     label = F.when(F.col("kind") == "read", F.lit(1.0)).otherwise(F.lit(0.0))
     # Refreshes fan out to one instance per listed article; an empty list gives none (PRJ-11).
+    # An outer explode: a plain one makes the optimizer infer size(items) > 0 and push it,
+    # with the parse, below the projection.
     out = ev.select(
         F.coalesce(F.col("p.user_seq_id"), F.lit(0)).cast("string").alias("user"),
-        F.explode(items).alias("item_i"),
+        F.explode_outer(items).alias("item_s"),
         label.alias("label"),
         F.col("p.custom_categories").alias("custom_categories"),
-    ).select("user", F.coalesce("item_i", F.lit(0)).cast("string").alias("item"), "label", "custom_categories")
+    ).where(F.col("item_s").isNotNull()).select(
+        "user", F.coalesce(F.col("item_s.a"), F.lit(0)).cast("string").alias("item"), "label", "custom_categories")
     if plus:
         return out
     return out.drop("custom_categories")
@@ -113,7 +128,7 @@ def parse_user_actions(lines: DataFrame, col: str = "line") -> DataFrame:
     """(user_seq_id, version, custom_categories) of action lines (EV-04)."""
     p = EV.parse_action(F.col(col))
     keep = [c for c in lines.columns if c != col]
-    return lines.select(*keep, p.alias("a")).where(F.col(f"a.{EV.CORRUPT}").isNull()).select(
+    return keep_where(lines.select(*keep, p.alias("a")), F.col(f"a.{EV.CORRUPT}").isNull()).select(
         *keep, F.col("a.user_seq_id").cast("string").alias("user_seq_id"),
         F.col("a.version").alias("version"), F.col("a.custom_categories").alias("custom_categories"),
     )
@@ -121,7 +136,7 @@ def parse_user_actions(lines: DataFrame, col: str = "line") -> DataFrame:
 
 def version_filter(actions: DataFrame, version: str) -> DataFrame:
     """``version = x OR version IS NULL`` (PRJ-06)."""
-    return actions.where((F.col("version") == version) | F.col("version").isNull())
+    return keep_where(actions, (F.col("version") == version) | F.col("version").isNull())
 
 
 def active_users(action_lines: DataFrame, version: str, col: str = "line") -> DataFrame:
