@@ -87,11 +87,16 @@ def scan_profiles(profiles: DataFrame, fields: Iterable[str], since=None, inclus
     """Valid profile rows: ``id_col`` plus the coerced ``fields`` (and raw ``keep`` columns)."""
     fields = list(fields)
     cols, bad = _checks(fields)
-    df = _filtered(profiles, since, inclusive, usable_only, ids)
-    ok = F.col(id_col).isNotNull() & (F.col(id_col).cast("string") != "")
+    from skein.operators.instances import keep_where
+
+    # Time, usable and id set are plain predicates: they reach the file scan (PushedFilters).
+    df = _filtered(profiles, since, inclusive, usable_only, ids).where(
+        F.col(id_col).isNotNull() & (F.col(id_col).cast("string") != ""))
+    # Field coercion checks may read derived columns; they are kept above the projection.
+    ok = F.lit(True)
     for _, b in bad:
         ok = ok & ~F.coalesce(b, F.lit(False))
-    return df.where(ok).select(F.col(id_col).cast("string").alias(id_col), *cols, *keep)
+    return keep_where(df, ok).select(F.col(id_col).cast("string").alias(id_col), *cols, *keep)
 
 
 def rejected_profiles(profiles: DataFrame, fields: Iterable[str], since=None, inclusive: bool = False,
