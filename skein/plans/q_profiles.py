@@ -131,7 +131,9 @@ WHERE a.crawled_at > {WINDOW} AND {no_null('a.category')} AND a.article_seq_id <
 
 def _tfidf(spark, d, kind, city=False):
     from skein.functions.text import r6
-    df = P.profile_tfidf(fx.art(spark, d, with_maps=True), fx.WINDOW_START_TS, kind, city=city)
+    # The store's map columns are derived here, after the scan's window predicate.
+    windowed = P.time_filter(fx.art(spark, d), fx.WINDOW_START_TS)
+    df = P.profile_tfidf(fx.with_tfidf_maps(windowed, (kind,)), fx.WINDOW_START_TS, kind, city=city)
     name = "city_idx" if city else "category_idx"
     return df.select("article_seq_id", E.idx_string("category_idx").alias(name),
                      F.explode(f"{kind}_tfidf").alias("entity", "tfidf")).withColumn("tfidf", r6(F.col("tfidf")))

@@ -83,19 +83,29 @@ def art(spark: SparkSession, sf_dir: str, with_maps: bool = False) -> DataFrame:
     )
     if not with_maps:
         return out
-    maps = None
+    return with_tfidf_maps(out)
+
+
+def with_tfidf_maps(profiles: DataFrame, kinds=("title", "content")) -> DataFrame:
+    """Add ``<kind>_name_entities_tfidf`` map columns for the given profile rows.
+
+    Maps are built only for the rows passed in: filter first (a scan's window), then
+    build. Every map column is present; kinds not requested are empty maps.
+    """
+    empty = F.create_map().cast("map<string,double>")
+    out = profiles
     for kind in ("title", "content"):
+        name = f"{kind}_name_entities_tfidf"
+        if kind not in kinds:
+            out = out.withColumn(name, empty)
+            continue
         m = (
-            entity_tfidf(out, kind)
+            entity_tfidf(profiles, kind)
             .groupBy("article_seq_id")
-            .agg(F.map_from_entries(F.collect_list(F.struct("entity", "tfidf"))).alias(f"{kind}_name_entities_tfidf"))
+            .agg(F.map_from_entries(F.collect_list(F.struct("entity", "tfidf"))).alias(name))
         )
-        maps = m if maps is None else maps.join(m, "article_seq_id", "full")
-    empty = F.create_map().cast("map<string,double>")
-    return out.join(maps, "article_seq_id", "left").select(
-        *out.columns,
-        *[F.coalesce(f"{k}_name_entities_tfidf", empty).alias(f"{k}_name_entities_tfidf") for k in ("title", "content")],
-    )
+        out = out.join(m, "article_seq_id", "left").withColumn(name, F.coalesce(F.col(name), empty))
+    return out
 
 
 def entity_tfidf(profiles: DataFrame, kind: str = "content") -> DataFrame:
