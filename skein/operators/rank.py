@@ -91,8 +91,11 @@ def pair_contributions(users: DataFrame, cands: DataFrame, global_w: DataFrame,
     ucat = uw.join(cand_cat, "c").select(
         "user", "item", F.concat_ws(":", F.lit("u"), F.col("user"), F.col("c").cast("string")).alias("feat"),
         F.lit(1.0).alias("value"), "weight", F.lit(False).alias("base"))
-    # JN-07: only tags present among the candidates take part (the broadcast join is the whitelist).
-    ue = user_entity_w.join(users, "user", "left_semi")
+    # JN-07: only tags present among the candidates take part. The whitelist is a semi join
+    # on entity first, which the optimizer can push into however the user-tag table is
+    # derived (through its distinct), so non-candidate tags are never joined.
+    tags = broadcast_if_small(cand_tfidf.select("entity").distinct())
+    ue = user_entity_w.join(tags, "entity", "left_semi").join(users, "user", "left_semi")
     uent = ue.join(cand_t, "entity").select(
         "user", "item", F.concat_ws(":", F.lit("t"), F.col("user"), F.col("entity")).alias("feat"),
         (F.lit(entity_scalar) * F.col("tfidf")).alias("value"), "weight", F.lit(False).alias("base"))

@@ -46,7 +46,9 @@ class Scenario:
 
     @cached_property
     def user_entities(self) -> DataFrame:
-        return FT.user_entity_set(self.instances, self.profiles, self.tfidf).checkpoint(eager=True)
+        # Left lazy: ranking reads only active users' rows for candidate tags, and the
+        # optimizer pushes those semi joins into this derivation instead of building it all.
+        return FT.user_entity_set(self.instances, self.profiles, self.tfidf)
 
     @cached_property
     def user_entity_w(self) -> DataFrame:
