@@ -1,9 +1,10 @@
 """Incremental logistic regression on long-form features (ML-05..07, AGG-08, AGG-10).
 
-SGD runs as DataFrame iterations: each step joins features with the current
-weights, sums margins per example, and sums gradients per feature (partial
-aggregation, so a hot feature such as a popular category combines map-side).
-Weights are checkpointed every iteration to cut lineage.
+SGD and L-BFGS run as DataFrame iterations: each step joins features with the
+current weights, sums margins per example, and sums gradients per feature
+(partial aggregation, so a hot feature such as a popular category combines
+map-side). Weights are checkpointed every iteration to cut lineage; only
+scalars (counts, losses, dot products) reach the driver.
 """
 
 from __future__ import annotations
@@ -121,32 +122,131 @@ def routing(features: DataFrame, iterations: int, step: float, fraction: float)
     return s.select("n_examples", "has_positive", route.alias("route"))
 
 
-def lbfgs(features: DataFrame, weights: DataFrame, registry: DataFrame, iterations: int = 100,
-          tolerance: float = 1e-6) -> DataFrame:
-    """ML-06: warm-start LBFGS through MLlib; returns ``(feat, weight)``.
+def _loss_and_gradient(by_ex: DataFrame, weights: DataFrame, n: float) -> tuple[float, DataFrame]:
+    """Mean logistic loss (a scalar) and mean gradient ``(feat, grad)`` at ``weights``.
 
-    MLlib keeps the model as one dense vector on the driver, so this path is for
-    models that fit there; the SGD above has no such limit. Without a positive label
-    the base weights are returned, as the routing prescribes.
+    Same layout as an SGD step: weights broadcast after the size check, margins and
+    errors inside the example partitions, one partially aggregated shuffle per feature.
     """
-    from pyspark.mllib.classification import LogisticRegressionWithLBFGS
-    from pyspark.mllib.linalg import SparseVector
-    from pyspark.mllib.regression import LabeledPoint
-
-    reg = registry.select("feat", "idx")
-    size = reg.count()
-    x = features.join(reg, "feat")
-    rows = x.groupBy(*EX, "mult").agg(F.sort_array(F.collect_list(F.struct("idx", "value"))).alias("xs"))
-    rows = rows.select("label", "xs", F.explode(F.array_repeat(F.lit(1), F.col("mult").cast("int"))).alias("_"))
-    if rows.where(F.col("label") > 0).isEmpty():
-        return weights.select("feat", "weight")
-    init = [0.0] * size
-    for r in weights.join(reg, "feat").select("idx", "weight").toLocalIterator():
-        init[r["idx"]] = r["weight"]
-    data = rows.rdd.map(lambda r: LabeledPoint(r["label"], SparseVector(size, [e["idx"] for e in r["xs"]],
-                                                                           [e["value"] for e in r["xs"]])))
-    model = LogisticRegressionWithLBFGS.train(data, iterations=iterations, initialWeights=init, regParam=0.0,
-                                              intercept=False, tolerance=tolerance)
+    from skein.config import broadcast_if_small, materialize_partitioned
+
+    m = (
+        by_ex.join(broadcast_if_small(weights.select("feat", "weight")), "feat", "left")
+        .groupBy(*EXK, "label", "mult")
+        .agg(F.sum(F.col("value") * F.coalesce(F.col("weight"), F.lit(0.0))).alias("margin"))
+    )
+    mg = F.col("margin")
+    per = materialize_partitioned(m.select(
+        *EXK,
+        (F.col("mult") * (sigmoid(mg) - F.col("label"))).alias("err"),
+        # log(1 + e^m) − y·m, computed stably.
+        (F.col("mult") * (F.log1p(F.exp(-F.abs(mg))) + F.greatest(mg, F.lit(0.0)) - F.col("label") * mg)).alias("loss"),
+    ))
+    loss = (per.agg(F.sum("loss")).first()[0] or 0.0) / n
+    grad = (by_ex.select(*EXK, "feat", "value").join(per.select(*EXK, "err"), EXK)
+            .groupBy("feat").agg((F.sum(F.col("err") * F.col("value")) / F.lit(n)).alias("grad")))
+    return loss, grad
+
+
+def lbfgs(features: DataFrame, weights: DataFrame, iterations: int = 100, memory: int = 10,
+          tolerance: float = 1e-6, c1: float = 1e-4, max_halvings: int = 30) -> DataFrame:
+    """ML-06: warm-start L-BFGS on the mean logistic loss, fully distributed.
+
+    The weights, the gradient and the ``memory`` latest correction pairs (s, y) are
+    columns of one table keyed by feature ("vector-free" L-BFGS, Chen et al. 2014):
+    each iteration one aggregate gives the Gram matrix of those vectors, the two-loop
+    recursion runs on that (2m+1)² matrix of scalars, and the search direction is a
+    column expression over the table. A backtracking (Armijo) line search evaluates
+    loss and gradient like an SGD step. Only scalars reach the driver.
+
+    Returns ``(kind, k1, k2, feat, weight)``; without a positive label the starting
+    weights come back unchanged, as the routing prescribes.
+    """
+    from skein.config import materialize_partitioned
+
     spark = features.sparkSession
-    out = spark.createDataFrame([(int(i), float(v)) for i, v in enumerate(model.weights.toArray())], "idx bigint, weight double")
-    return reg.join(out, "idx").select("feat", "weight")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = features.select(*EX, "mult", "feat", "value").withColumn("y", F.col("label").cast("int"))
+    by_ex = materialize_partitioned(base.repartition(parts, *EXK))
+    start = weights.select("kind", "k1", "k2", "feat", "weight")
+    if by_ex.where(F.col("label") > 0).isEmpty():
+        return start
+    n = float(by_ex.select(*EXK, "mult").distinct().agg(F.sum("mult")).first()[0] or 0)
+    slots_s = [f"s{i}" for i in range(memory)]
+    slots_y = [f"y{i}" for i in range(memory)]
+    f, g = _loss_and_gradient(by_ex, start, n)
+    table = start.join(g, "feat", "left").select(
+        "kind", "k1", "k2", "feat", F.col("weight").alias("w"), F.coalesce("grad", F.lit(0.0)).alias("g"),
+        *[F.lit(0.0).alias(c) for c in slots_s + slots_y]).checkpoint(eager=True)
+    hist: list[int] = []  # slot numbers, oldest first
+    for it in range(iterations):
+        cols = ["g"] + [f"s{i}" for i in hist] + [f"y{i}" for i in hist]
+        idx = {c: k for k, c in enumerate(cols)}
+        sums = [F.sum(F.col(a) * F.col(b)).alias(f"{a}__{b}") for ai, a in enumerate(cols) for b in cols[ai:]]
+        row = table.agg(*sums).first()
+        gram = [[0.0] * len(cols) for _ in cols]
+        for ai, a in enumerate(cols):
+            for b in cols[ai:]:
+                gram[idx[a]][idx[b]] = gram[idx[b]][idx[a]] = row[f"{a}__{b}"] or 0.0
+        if gram[0][0] <= 1e-30:
+            break
+
+        def dot(u, v):
+            return sum(u[a] * gram[a][b] * v[b] for a in range(len(cols)) for b in range(len(cols)) if u[a] and v[b])
+
+        # Two-loop recursion on coefficient vectors over the base vectors.
+        q = [0.0] * len(cols)
+        q[0] = 1.0
+        alphas = {}
+        for i in reversed(hist):
+            e_s, e_y = [0.0] * len(cols), [0.0] * len(cols)
+            e_s[idx[f"s{i}"]], e_y[idx[f"y{i}"]] = 1.0, 1.0
+            rho = 1.0 / dot(e_y, e_s)
+            alphas[i] = rho * dot(e_s, q)
+            q[idx[f"y{i}"]] -= alphas[i]
+        if hist:
+            last = hist[-1]
+            ys = gram[idx[f"y{last}"]][idx[f"s{last}"]]
+            yy = gram[idx[f"y{last}"]][idx[f"y{last}"]]
+            gamma = ys / yy
+        else:
+            gamma = 1.0
+        r = [gamma * v for v in q]
+        for i in hist:
+            e_s, e_y = [0.0] * len(cols), [0.0] * len(cols)
+            e_s[idx[f"s{i}"]], e_y[idx[f"y{i}"]] = 1.0, 1.0
+            rho = 1.0 / dot(e_y, e_s)
+            beta = rho * dot(e_y, r)
+            r[idx[f"s{i}"]] += alphas[i] - beta
+        e_g = [0.0] * len(cols)
+        e_g[0] = 1.0
+        slope = -dot(e_g, r)  # g·d with d = −r
+        if slope >= 0:  # not a descent direction: restart from steepest descent
+            r, slope, hist = [0.0] * len(cols), -gram[0][0], []
+            r[0] = 1.0
+        direction = sum((F.lit(-c) * F.col(cols[k]) for k, c in enumerate(r) if c), F.lit(0.0))
+        t = 1.0 if hist else min(1.0, 1.0 / math.sqrt(gram[0][0]))
+        for _ in range(max_halvings):
+            trial = table.select("feat", (F.col("w") + F.lit(t) * direction).alias("weight"))
+            f_new, g_new = _loss_and_gradient(by_ex, trial, n)
+            if f_new <= f + c1 * t * slope:
+                break
+            t *= 0.5
+        else:
+            break
+        slot = hist.pop(0) if len(hist) == memory else next(i for i in range(memory) if i not in hist)
+        hist.append(slot)
+        step = F.lit(t) * direction
+        table = (
+            table.join(g_new.withColumnRenamed("grad", "g_new"), "feat", "left")
+            .select("kind", "k1", "k2", "feat", (F.col("w") + step).alias("w"),
+                    F.coalesce("g_new", F.lit(0.0)).alias("g"),
+                    *[(step.alias(c) if c == f"s{slot}" else F.col(c)) for c in slots_s],
+                    *[((F.coalesce("g_new", F.lit(0.0)) - F.col("g")).alias(c) if c == f"y{slot}" else F.col(c))
+                      for c in slots_y])
+        ).checkpoint(eager=True)
+        done = abs(f - f_new) <= tolerance * max(abs(f_new), abs(f), 1e-12)
+        f = f_new
+        if done:
+            break
+    return table.select("kind", "k1", "k2", "feat", F.col("w").alias("weight"))

@@ -79,3 +79,40 @@ def test_publication_log_keeps_latest_list_per_user(spark, tmp_dir):
     publication_rows(users2, recs2, 1, 6, "rec:%s").write.parquet(tmp_dir + "/log/batch_id=1")
     cur = current_lists(spark.read.parquet(tmp_dir + "/log"))
     assert _set(cur.select("user", "item")) == [("u", "3")]
+
+
+def test_lbfgs_reaches_the_mllib_optimum(spark):
+    """Distributed L-BFGS and MLlib's L-BFGS end at the same minimum of the logistic loss."""
+    import random
+    from pyspark.mllib.classification import LogisticRegressionWithLBFGS
+    from pyspark.mllib.linalg import SparseVector
+    from pyspark.mllib.regression import LabeledPoint
+
+    rnd = random.Random(7)
+    data = []
+    for e in range(60):
+        xs = {k: round(rnd.uniform(-1, 1), 3) for k in rnd.sample(range(4), 3)}
+        p = 1 / (1 + math.exp(-(0.8 * xs.get(0, 0) - 0.5 * xs.get(1, 0) + 0.3 * xs.get(2, 0))))
+        data.append((f"u{e}", "i", 1.0 if rnd.random() < p else 0.0, xs))
+    feats = spark.createDataFrame(
+        [(u, i, y, 1, f"f:{k}", v) for u, i, y, xs in data for k, v in xs.items()],
+        "user string, item string, label double, mult long, feat string, value double")
+    weights = spark.createDataFrame([("f", str(k), "", f"f:{k}", 0.0) for k in range(4)],
+                                    "kind string, k1 string, k2 string, feat string, weight double")
+    ours = {r["feat"]: r["weight"] for r in TR.lbfgs(feats, weights, iterations=60, memory=5, tolerance=1e-12).collect()}
+
+    def loss(w):
+        tot = 0.0
+        for _, _, y, xs in data:
+            m = sum(w[k] * v for k, v in xs.items())
+            tot += math.log1p(math.exp(-abs(m))) + max(m, 0) - y * m
+        return tot / len(data)
+
+    rdd = spark.sparkContext.parallelize(
+        [LabeledPoint(y, SparseVector(4, sorted(xs), [xs[k] for k in sorted(xs)])) for _, _, y, xs in data], 2)
+    model = LogisticRegressionWithLBFGS.train(rdd, iterations=200, regParam=0.0, intercept=False, tolerance=1e-12)
+    mine = loss([ours[f"f:{k}"] for k in range(4)])
+    theirs = loss(list(model.weights.toArray()))
+    start = loss([0.0] * 4)
+    assert mine < start
+    assert abs(mine - theirs) < 1e-6
