@@ -78,7 +78,8 @@ class Scenario:
 
     @cached_property
     def _candidates(self) -> DataFrame:
-        return RK.top_candidates(self.prescored(), fx.N_CANDIDATES)
+        # At most N rows, read by several branches and the pair expansion: materialised once.
+        return RK.top_candidates(self.prescored(), fx.N_CANDIDATES).checkpoint(eager=True)
 
     def candidates(self, explain: bool = False) -> DataFrame:
         if explain:
