@@ -204,8 +204,8 @@ def rank_users(spark, d):
     return Scenario(spark, d).scored().select("user", "item", "score")
 
 
-@query("rank_pipeline", sql('SELECT "user", item, score, explanation FROM scored', "scored"))
-def rank_pipeline(spark, d):
+@query("rank_explained", sql('SELECT "user", item, score, explanation FROM scored', "scored"))
+def rank_explained(spark, d):
     """ML-10: prescore -> top N -> tags -> weights -> score, with feature explanations."""
     return Scenario(spark, d).scored(explain=True)
 

@@ -17,7 +17,7 @@ QUICK = [
     "parse_instances", "parse_instances_pair", "filter_events", "explode_impressions", "json_parse", "event_ts",
     "instance_profile_join", "profile_category", "profile_by_ids", "user_categories_full", "profile_title_entities",
     "profile_content_tfidf", "profile3", "drop_bad_rows", "time_gt", "time_gte", "encode_custom_category",
-    "category_names", "train_features", "feature_registry", "sgd_train", "candidate_topn", "rank_pipeline",
+    "category_names", "train_features", "feature_registry", "sgd_train", "candidate_topn", "rank_explained",
     "recommend", "rec_publish", "dict_upsert", "state_snapshot", "start_ms", "word_count", "md5_bucket",
     "registry_load", "sparse_weights_load", "active_users_batch", "recommend_batch", "last_per_key",
 ]
