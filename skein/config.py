@@ -74,6 +74,11 @@ def spread(df):
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+def fits_broadcast(df, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """The size check alone: at most ``max_rows + 1`` rows are read."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
     """Broadcast ``df`` only after checking its size; above the limit return it unchanged
     so the planner (and AQE, from runtime statistics) picks a shuffle join instead.
@@ -81,7 +86,7 @@ def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
     The check reads at most ``max_rows + 1`` rows, so it stays cheap for a large side.
     """
     from pyspark.sql import functions as F
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if fits_broadcast(df, max_rows):
         return F.broadcast(df)
     return df
 

@@ -69,13 +69,15 @@ def sgd(features: DataFrame, weights: DataFrame, iterations: int, step: float, f
     feature. Beyond the limit the weight join shuffles by feature, where AQE's skew
     join splits a hot feature (a popular category) across tasks.
     """
-    from skein.config import broadcast_if_small, materialize_partitioned
+    from skein.config import fits_broadcast, materialize_partitioned
 
     spark = features.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = features.select(*EX, "mult", "feat", "value").withColumn("y", F.col("label").cast("int"))
     by_ex = materialize_partitioned(base.repartition(parts, *EXK))
     w = weights.select("kind", "k1", "k2", "feat", "weight").checkpoint(eager=True)
+    # Every generation has the same rows as the first: one size check decides the join.
+    small = fits_broadcast(w)
     n_all = None
     for t in range(1, iterations + 1):
         ex = by_ex
@@ -90,7 +92,8 @@ def sgd(features: DataFrame, weights: DataFrame, iterations: int, step: float, f
             n = n_all
         if n == 0:
             continue
-        g = gradient(ex, broadcast_if_small(w.select("feat", "weight")))
+        wf = w.select("feat", "weight")
+        g = gradient(ex, F.broadcast(wf) if small else wf)
         new = (
             w.join(g, "feat", "left")
             .select("kind", "k1", "k2", "feat",
@@ -122,16 +125,17 @@ def routing(features: DataFrame, iterations: int, step: float, fraction: float)
     return s.select("n_examples", "has_positive", route.alias("route"))
 
 
-def _loss_and_gradient(by_ex: DataFrame, weights: DataFrame, n: float) -> tuple[float, DataFrame]:
+def _loss_and_gradient(by_ex: DataFrame, weights: DataFrame, n: float, small: bool) -> tuple[float, DataFrame]:
     """Mean logistic loss (a scalar) and mean gradient ``(feat, grad)`` at ``weights``.
 
     Same layout as an SGD step: weights broadcast after the size check, margins and
     errors inside the example partitions, one partially aggregated shuffle per feature.
     """
-    from skein.config import broadcast_if_small, materialize_partitioned
+    from skein.config import materialize_partitioned
 
+    wf = weights.select("feat", "weight")
     m = (
-        by_ex.join(broadcast_if_small(weights.select("feat", "weight")), "feat", "left")
+        by_ex.join(F.broadcast(wf) if small else wf, "feat", "left")
         .groupBy(*EXK, "label", "mult")
         .agg(F.sum(F.col("value") * F.coalesce(F.col("weight"), F.lit(0.0))).alias("margin"))
     )
@@ -162,19 +166,20 @@ def lbfgs(features: DataFrame, weights: DataFrame, iterations: int = 100, memory
     Returns ``(kind, k1, k2, feat, weight)``; without a positive label the starting
     weights come back unchanged, as the routing prescribes.
     """
-    from skein.config import materialize_partitioned
+    from skein.config import fits_broadcast, materialize_partitioned
 
     spark = features.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = features.select(*EX, "mult", "feat", "value").withColumn("y", F.col("label").cast("int"))
     by_ex = materialize_partitioned(base.repartition(parts, *EXK))
-    start = weights.select("kind", "k1", "k2", "feat", "weight")
+    start = weights.select("kind", "k1", "k2", "feat", "weight").checkpoint(eager=True)
+    small = fits_broadcast(start)
     if by_ex.where(F.col("label") > 0).isEmpty():
         return start
     n = float(by_ex.select(*EXK, "mult").distinct().agg(F.sum("mult")).first()[0] or 0)
     slots_s = [f"s{i}" for i in range(memory)]
     slots_y = [f"y{i}" for i in range(memory)]
-    f, g = _loss_and_gradient(by_ex, start, n)
+    f, g = _loss_and_gradient(by_ex, start, n, small)
     table = start.join(g, "feat", "left").select(
         "kind", "k1", "k2", "feat", F.col("weight").alias("w"), F.coalesce("grad", F.lit(0.0)).alias("g"),
         *[F.lit(0.0).alias(c) for c in slots_s + slots_y]).checkpoint(eager=True)
@@ -228,7 +233,7 @@ def lbfgs(features: DataFrame, weights: DataFrame, iterations: int = 100, memory
         t = 1.0 if hist else min(1.0, 1.0 / math.sqrt(gram[0][0]))
         for _ in range(max_halvings):
             trial = table.select("feat", (F.col("w") + F.lit(t) * direction).alias("weight"))
-            f_new, g_new = _loss_and_gradient(by_ex, trial, n)
+            f_new, g_new = _loss_and_gradient(by_ex, trial, n, small)
             if f_new <= f + c1 * t * slope:
                 break
             t *= 0.5
