@@ -93,3 +93,16 @@ def current_lists(log: DataFrame) -> DataFrame:
     """
     latest = log.groupBy("user").agg(F.max("batch_id").alias("batch_id"))
     return log.join(latest, ["user", "batch_id"]).where(F.col("item").isNotNull()).drop("batch_id")
+
+
+def compact(log: DataFrame, upto_batch: int, path: str) -> str:
+    """Fold the log's batches ``<= upto_batch`` into one base partition under ``path``.
+
+    The base holds the lists in force at ``upto_batch`` (users with an empty list drop
+    out); later batches appended under the same root still win per user, so
+    ``current_lists`` over ``base + later batches`` equals it over the full log.
+    """
+    base = current_lists(log.where(F.col("batch_id") <= upto_batch))
+    out = f"{path}/batch_id={upto_batch}"
+    base.write.mode("overwrite").parquet(out)
+    return out

@@ -97,3 +97,15 @@ class Recommender:
     def current(self) -> DataFrame:
         """The lists in force after the batches so far."""
         return current_lists(self.spark.read.parquet(self.published_root))
+
+    def compact(self, new_root: str, upto_batch: int) -> None:
+        """Fold the log into a base under ``new_root`` and publish from there on.
+
+        Batches after ``upto_batch`` already written are copied over as they are.
+        """
+        from skein.sinks.publish import compact
+        log = self.spark.read.parquet(self.published_root)
+        compact(log, upto_batch, new_root)
+        later = log.where(F.col("batch_id") > upto_batch)
+        later.write.mode("append").partitionBy("batch_id").parquet(new_root)
+        self.published_root = new_root

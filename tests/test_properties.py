@@ -116,3 +116,20 @@ def test_lbfgs_reaches_the_mllib_optimum(spark):
     start = loss([0.0] * 4)
     assert mine < start
     assert abs(mine - theirs) < 1e-6
+
+
+def test_compaction_keeps_current_lists(spark, tmp_dir):
+    from skein.sinks.publish import compact, current_lists, publication_rows
+    schema = "user string, item string, rank int, score double"
+    batches = [
+        ([("u", "1", 1, 0.9), ("v", "2", 1, 0.8)], ["u", "v"]),
+        ([("u", "3", 1, 0.7)], ["u", "v"]),          # v emptied
+        ([("w", "4", 1, 0.6), ("u", "5", 1, 0.5)], ["w", "u"]),
+    ]
+    for b, (recs, users) in enumerate(batches):
+        publication_rows(spark.createDataFrame(users, "string").toDF("user"), spark.createDataFrame(recs, schema),
+                         b, 6, "rec:%s").write.parquet(f"{tmp_dir}/log/batch_id={b}")
+    full = _set(current_lists(spark.read.parquet(tmp_dir + "/log")).select("user", "item"))
+    compact(spark.read.parquet(tmp_dir + "/log"), 1, tmp_dir + "/new")
+    spark.read.parquet(tmp_dir + "/log").where("batch_id > 1").write.partitionBy("batch_id").parquet(tmp_dir + "/new", mode="append")
+    assert _set(current_lists(spark.read.parquet(tmp_dir + "/new")).select("user", "item")) == full == [("u", "5"), ("w", "4")]
