@@ -22,11 +22,6 @@ from pyspark.sql import functions as F
 EX = ["user", "item", "label"]
 
 
-def feat_key(kind: str, k1: Column, k2: Column | None = None) -> Column:
-    parts = [F.lit(kind), k1.cast("string")] + ([k2.cast("string")] if k2 is not None else [])
-    return F.concat_ws(":", *parts)
-
-
 def examples(instances: DataFrame) -> DataFrame:
     """Distinct (user, item, label) with their multiplicity ``mult`` — the training rows.
 

@@ -64,7 +64,7 @@ def keep_untouched(old: DataFrame, touched_keys: DataFrame, key: str) -> DataFra
     return old.join(touched_keys.select(key).distinct(), key, "left_anti")
 
 
-def snapshot(old: DataFrame, updates: DataFrame, key_cols: dict[str, str]) -> DataFrame:
+def snapshot(old: DataFrame, updates: DataFrame) -> DataFrame:
     """INC-06 over the long state ``(kind, k1, k2, weight)``.
 
     For each kind the save key is ``k1`` (user, item or category): old rows whose

@@ -12,7 +12,6 @@ from skein.functions import encode as E
 from skein.functions.text import epoch_ms, r6, tsv_key
 from skein.operators import features as FT
 from skein.operators import incremental as INC
-from skein.operators import train as TR
 from skein.plans import common as C
 from skein.plans.oracle_ctes import LAST, enc, idx_str, no_null, r6 as R6, fmt6, sql, vsum
 from skein.plans.registry import query
@@ -191,7 +190,7 @@ WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.kind = s.kind AND u.k1 = s.k1)""",
 def state_snapshot(spark, d):
     """INC-06: write updates, carry over untouched keys, into a new state version."""
     s = Scenario(spark, d)
-    snap = INC.snapshot(s.state, _updates(s), {})
+    snap = INC.snapshot(s.state, _updates(s))
     path = INC.write_version(snap, scratch_path(spark, "state"), "state", "1")
     return spark.read.parquet(path).select("kind", "k1", "k2", r6(F.col("weight")).alias("weight"))
 

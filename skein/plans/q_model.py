@@ -11,7 +11,7 @@ from skein.functions.text import r6
 from skein.operators import features as FT
 from skein.operators import rank as RK
 from skein.operators import train as TR
-from skein.plans.oracle_ctes import fmt6, idx_str, r6 as R6, sql, term
+from skein.plans.oracle_ctes import idx_str, r6 as R6, sql, term
 from skein.plans.registry import query
 from skein.plans.scenario import Scenario
 from skein.sources import fixtures as fx

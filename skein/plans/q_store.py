@@ -7,9 +7,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from skein.config import scratch_path
-from skein.functions.text import batch_path, epoch_ms, fmt6, key_template, r6, tsv_key
+from skein.functions.text import batch_path, fmt6, key_template, r6, tsv_key
 from skein.operators import features as FT
-from skein.operators import train as TR
 from skein.plans import common as C
 from skein.plans.oracle_ctes import fmt6 as F6, r6 as R6, sql
 from skein.plans.registry import query

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from skein.config import scratch_path
 from skein.operators.instances import active_users
-from skein.plans import common as C
 from skein.plans.oracle_ctes import sql
 from skein.plans.q_store import BATCH_MS
 from skein.plans.registry import query

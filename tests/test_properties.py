@@ -27,7 +27,7 @@ def test_snapshot_round_trip(spark, tmp_dir):
     old = spark.createDataFrame([("u", "1", "2", 0.5), ("u", "2", "3", 0.1), ("i", "9", "", 0.2)],
                                 "kind string, k1 string, k2 string, weight double")
     upd = spark.createDataFrame([("u", "1", "2", 0.7)], "kind string, k1 string, k2 string, weight double")
-    snap = INC.snapshot(old, upd, {})
+    snap = INC.snapshot(old, upd)
     path = INC.write_version(snap, tmp_dir, "state", "1")
     assert _set(spark.read.parquet(path)) == _set(snap) == [("i", "9", "", 0.2), ("u", "1", "2", 0.7), ("u", "2", "3", 0.1)]
 
