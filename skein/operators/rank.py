@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.config import broadcast_if_small
+from skein.config import BROADCAST_MAX_ROWS, broadcast_if_small, fits_broadcast
 from skein.functions.explain import explain_agg
 from skein.functions.text import r6
 
@@ -57,9 +57,25 @@ def top_candidates(scored: DataFrame, n: int, global_w: DataFrame | None = None)
     return top.join(ex, "item", "left")
 
 
+# Candidate-derived tables have at most this many rows per candidate (categories + item).
+ROWS_PER_CANDIDATE = 16
+
+
+def _hint(cands: DataFrame):
+    """Broadcast hint for tables derived from the candidates, decided by one size check.
+
+    ``n_candidates`` is a run-time parameter, so the candidate set is counted (at most
+    the limit is read) before anything derived from it is broadcast.
+    """
+    if fits_broadcast(cands, BROADCAST_MAX_ROWS // ROWS_PER_CANDIDATE):
+        return F.broadcast
+    return lambda df: df
+
+
 def candidate_tags(cands: DataFrame, tfidf: DataFrame) -> DataFrame:
     """JN-05 + AGG-03: tf-idf rows of the candidates, and their distinct entities."""
-    return tfidf.join(F.broadcast(cands.select(F.col("item").alias("article_seq_id"))), "article_seq_id", "left_semi")
+    ids = _hint(cands)(cands.select(F.col("item").alias("article_seq_id")))
+    return tfidf.join(ids, "article_seq_id", "left_semi")
 
 
 def user_candidate_pairs(users: DataFrame, cands: DataFrame) -> DataFrame:
@@ -79,9 +95,10 @@ def pair_contributions(users: DataFrame, cands: DataFrame, global_w: DataFrame,
     ``base`` marks the one row per pair that guarantees the pair exists even when the
     user has no state. ``cands`` carries ``(item, category_idx, score=b_i)``.
     """
-    # Bounded by n_candidates × (categories + 1): a fixed-size broadcast.
-    cand_cat = F.broadcast(cands.select("item", F.explode("category_idx").alias("c")))
-    cand_feats = F.broadcast(_candidate_features(cands, global_w))
+    # Bounded by n_candidates × (categories + 1), after the candidate-count check.
+    hint = _hint(cands)
+    cand_cat = hint(cands.select("item", F.explode("category_idx").alias("c")))
+    cand_feats = hint(_candidate_features(cands, global_w))
     # Bounded by n_candidates × entities of one article, both run-time sizes: checked first.
     cand_t = broadcast_if_small(cand_tfidf.withColumnRenamed("article_seq_id", "item"))
     pairs = user_candidate_pairs(users, cands)
@@ -114,7 +131,7 @@ def exclude_shown(scored: DataFrame, rec_log: DataFrame, cands: DataFrame | None
     """JN-03: drop (user, item) already shown. The log is first cut to candidate items."""
     log = rec_log.select("user", "item")
     if cands is not None:
-        log = log.join(F.broadcast(cands.select("item")), "item", "left_semi")
+        log = log.join(_hint(cands)(cands.select("item")), "item", "left_semi")
     return scored.join(log, ["user", "item"], "left_anti")
 
 
