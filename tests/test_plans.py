@@ -50,3 +50,44 @@ def test_pairs_without_cross_join_and_no_python_in_flagship(spark):
     rec = formatted(s.recommended())
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in rec
+
+
+def test_event_lines_are_parsed_once(spark):
+    from skein.plans.common import active_users, instances
+    inst = plan(instances(spark, SF001))
+    assert inst.count("from_json") == 2          # one parse per schema (read, refresh), nothing pushed below
+    assert plan(active_users(spark, SF001)).count("from_json") == 1
+
+
+def test_broadcast_size_check_falls_back(spark):
+    from skein.config import broadcast_if_small
+    big = spark.range(100).withColumnRenamed("id", "k")
+    small = broadcast_if_small(big, max_rows=1000)
+    large = broadcast_if_small(big, max_rows=10)
+    probe = spark.range(10_000).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(probe.join(small, "k"))
+        assert "BroadcastHashJoin" not in plan(probe.join(large, "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_materialised_partitioning_is_reused(spark):
+    from pyspark.sql import functions as F
+    from skein.config import materialize_partitioned
+    df = materialize_partitioned(spark.range(1000).select((F.col("id") % 7).alias("k"), "id").repartition(8, "k"))
+    assert "Exchange" not in plan(df.groupBy("k").count())
+
+
+def test_sgd_gradient_has_one_shuffle(spark):
+    from pyspark.sql import functions as F
+    from skein.config import materialize_partitioned
+    from skein.operators import train as TR
+    f = spark.createDataFrame([("u", "i", 1.0, 1, "a", 1.0), ("u", "j", 0.0, 1, "b", 1.0)],
+                              "user string, item string, label double, mult long, feat string, value double")
+    f = materialize_partitioned(f.withColumn("y", F.col("label").cast("int")).repartition(8, *TR.EXK))
+    w = spark.createDataFrame([("a", 0.1), ("b", 0.2)], "feat string, weight double")
+    p = plan(TR.gradient(f, F.broadcast(w)))
+    assert p.count("Exchange hashpartitioning") == 1     # the partially aggregated gradient per feature
+    assert "BroadcastHashJoin" in p
