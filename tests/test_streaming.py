@@ -49,3 +49,38 @@ def test_instance_stream_equals_batch(spark, tmp_dir):
     batch_lines = spark.read.text([tmp_dir + "/clicks", tmp_dir + "/imps"]).withColumnRenamed("value", "line")
     batch = sorted(tuple(r) for r in I.parse_instances(batch_lines, "en").collect())
     assert streamed == batch == [("1", "10", 1.0), ("2", "20", 0.0), ("2", "21", 0.0)]
+
+
+def test_recommender_refreshes_on_interval_and_publishes_each_batch(spark, tmp_dir):
+    from skein.streaming.recommend import Model, Recommender
+
+    loads = []
+
+    def load_model(batch_ms):
+        loads.append(batch_ms)
+        prof = spark.createDataFrame([("a", [1]), ("b", [2])], "article_seq_id string, category_idx array<int>")
+        return Model(
+            profiles=prof,
+            tfidf=spark.createDataFrame([("a", "x", 0.5)], "article_seq_id string, entity string, tfidf double"),
+            global_w=spark.createDataFrame([(1, 0.1), (2, 0.2)], "c int, weight double"),
+            user_w=spark.createDataFrame([("7", 1, 0.3)], "user string, c int, weight double"),
+            item_w=spark.createDataFrame([("a", 0.05), ("b", 0.01)], "item string, weight double"),
+            user_entity_w=spark.createDataFrame([("7", "x", 0.4)], "user string, entity string, weight double"),
+        )
+
+    clock = iter([1_000, 2_000, 10_000])
+    rec = Recommender(spark, load_model, lambda: spark.createDataFrame([("8", "a")], "user string, item string"),
+                      tmp_dir + "/published", "v1", n_top=5, n_candidates=10, entity_scalar=0.5, interval_ms=5_000,
+                      expire_hours=6, result_template="rec:%s", now_ms=lambda: next(clock))
+    src = tmp_dir + "/actions"
+    _write(src, "a.txt", [json.dumps({"user_seq_id": 7, "version": "v1"})])
+    _write(src, "b.txt", [json.dumps({"user_seq_id": 8})])
+    _write(src, "c.txt", [json.dumps({"user_seq_id": 7})])
+    stream = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(src).withColumnRenamed("value", "line")
+    q = (stream.writeStream.foreachBatch(rec.handle).option("checkpointLocation", tmp_dir + "/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert loads == [1_000, 10_000]                       # first batch, then only after the interval
+    cur = sorted((r["user"], r["rank"], r["item"]) for r in rec.current().collect())
+    # user 7: a (0.1 + 0.3 + 0.05 + 0.4·0.5·0.5) before b (0.2 + 0.01); user 8 has seen a.
+    assert cur == [("7", 1, "a"), ("7", 2, "b"), ("8", 1, "b")]
