@@ -133,3 +133,22 @@ def test_compaction_keeps_current_lists(spark, tmp_dir):
     compact(spark.read.parquet(tmp_dir + "/log"), 1, tmp_dir + "/new")
     spark.read.parquet(tmp_dir + "/log").where("batch_id > 1").write.partitionBy("batch_id").parquet(tmp_dir + "/new", mode="append")
     assert _set(current_lists(spark.read.parquet(tmp_dir + "/new")).select("user", "item")) == full == [("u", "5"), ("w", "4")]
+
+
+def test_filter_save_keeps_untouched_lines(spark, tmp_dir):
+    from skein.sinks.store import filter_save
+    lines = spark.createDataFrame(["u1\tx\t0.1", "u2\ty\t0.2", "u3", "u1\tz\t0.3"], "string")
+    touched = spark.createDataFrame([("u1",)], "key string")
+    filter_save(lines, touched, tmp_dir + "/keep")
+    assert sorted(r[0] for r in spark.read.text(tmp_dir + "/keep").collect()) == ["u2\ty\t0.2", "u3"]
+
+
+def test_message_payload_through_a_file_sink(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from skein.sinks.publish import fixed_payload, json_payload, write_messages
+    recs = spark.createDataFrame([("u", "a", 1, 0.1234567)], "user string, item string, rank bigint, score double")
+    fixed = fixed_payload(recs, F.col("user")).first()
+    assert (fixed["key"], fixed["value"]) == ("u", '{"user":"u","item":"a","rank":1,"score":0.123457}')
+    write_messages(json_payload(recs, F.col("user"), ["item", "rank"]), fmt="json", path=tmp_dir + "/msgs")
+    got = spark.read.json(tmp_dir + "/msgs").first()
+    assert got["key"] == "u" and got["value"] == '{"item":"a","rank":1}'
