@@ -53,8 +53,17 @@ def gradient(features: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
+def partition_by_example(features: DataFrame) -> DataFrame:
+    """Features materialised hash-partitioned by the example key (see ``sgd``)."""
+    from skein.config import materialize_partitioned
+    parts = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [c for c in ("kind", "k1", "k2") if c in features.columns]  # kept for the weight gather
+    base = features.select(*EX, "mult", *keys, "feat", "value").withColumn("y", F.col("label").cast("int"))
+    return materialize_partitioned(base.repartition(parts, *EXK))
+
+
 def sgd(features: DataFrame, weights: DataFrame, iterations: int, step: float, fraction: float = 1.0,
-        convergence_tol: float = 0.001, seed: int = 42) -> DataFrame:
+        convergence_tol: float = 0.001, seed: int = 42, partitioned: bool = False) -> DataFrame:
     """ML-05: warm-start SGD, ``w ← w − step/√t · g/n`` (no regularisation).
 
     ``fraction < 1`` samples examples by a seeded hash of (example, iteration), so a
@@ -69,12 +78,10 @@ def sgd(features: DataFrame, weights: DataFrame, iterations: int, step: float, f
     feature. Beyond the limit the weight join shuffles by feature, where AQE's skew
     join splits a hot feature (a popular category) across tasks.
     """
-    from skein.config import fits_broadcast, materialize_partitioned
+    from skein.config import fits_broadcast
 
-    spark = features.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = features.select(*EX, "mult", "feat", "value").withColumn("y", F.col("label").cast("int"))
-    by_ex = materialize_partitioned(base.repartition(parts, *EXK))
+    # ``partitioned``: the caller passes the output of ``partition_by_example``.
+    by_ex = features if partitioned else partition_by_example(features)
     w = weights.select("kind", "k1", "k2", "feat", "weight").checkpoint(eager=True)
     # Every generation has the same rows as the first: one size check decides the join.
     small = fits_broadcast(w)

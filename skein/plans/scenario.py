@@ -69,8 +69,8 @@ class Scenario:
     def trained(self, iterations: int = 2, step: float = 1.0, fraction: float = 1.0, tol: float = 0.0) -> DataFrame:
         """Warm-start SGD over features materialised once (checkpoint) and reused."""
         from skein.operators import train as TR
-        f = self.features().checkpoint(eager=True)
-        return TR.sgd(f, self.initial_weights(f), iterations, step, fraction, convergence_tol=tol)
+        f = TR.partition_by_example(self.features())
+        return TR.sgd(f, self.initial_weights(f), iterations, step, fraction, convergence_tol=tol, partitioned=True)
 
     # --- ranking ----------------------------------------------------------------
     def prescored(self) -> DataFrame:
