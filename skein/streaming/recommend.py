@@ -109,3 +109,15 @@ class Recommender:
         later = log.where(F.col("batch_id") > upto_batch)
         later.write.mode("append").partitionBy("batch_id").parquet(new_root)
         self.published_root = new_root
+
+
+def start_recommender(actions: DataFrame, recommender: Recommender, checkpoint: str, batch_seconds: int | None = None):
+    """Run ``recommender`` over a stream of action lines (column ``line``), STR-03/05.
+
+    ``batch_seconds`` sets a fixed processing-time trigger (the original's micro-batch
+    interval); without it every available input is processed once (``availableNow``).
+    The checkpoint must sit in the shared folder so a restarted driver resumes.
+    """
+    w = actions.writeStream.foreachBatch(recommender.handle).option("checkpointLocation", checkpoint)
+    w = w.trigger(processingTime=f"{batch_seconds} seconds") if batch_seconds else w.trigger(availableNow=True)
+    return w.start()

@@ -84,3 +84,23 @@ def test_recommender_refreshes_on_interval_and_publishes_each_batch(spark, tmp_d
     cur = sorted((r["user"], r["rank"], r["item"]) for r in rec.current().collect())
     # user 7: a (0.1 + 0.3 + 0.05 + 0.4·0.5·0.5) before b (0.2 + 0.01); user 8 has seen a.
     assert cur == [("7", 1, "a"), ("7", 2, "b"), ("8", 1, "b")]
+
+
+def test_start_recommender_with_processing_time_trigger(spark, tmp_dir):
+    from skein.streaming.recommend import start_recommender
+
+    calls = []
+
+    class Probe:
+        def handle(self, batch, batch_id):
+            calls.append(batch.count())
+
+    src = tmp_dir + "/actions"
+    _write(src, "a.txt", [json.dumps({"user_seq_id": 1})])
+    stream = spark.readStream.format("text").load(src).withColumnRenamed("value", "line")
+    q = start_recommender(stream, Probe(), tmp_dir + "/ck", batch_seconds=1)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert calls and calls[0] == 1
