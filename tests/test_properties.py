@@ -152,3 +152,25 @@ def test_message_payload_through_a_file_sink(spark, tmp_dir):
     write_messages(json_payload(recs, F.col("user"), ["item", "rank"]), fmt="json", path=tmp_dir + "/msgs")
     got = spark.read.json(tmp_dir + "/msgs").first()
     assert got["key"] == "u" and got["value"] == '{"item":"a","rank":1}'
+
+
+def test_sgd_shuffle_path_equals_broadcast_path(spark, monkeypatch):
+    """Weights beyond the broadcast limit take the shuffle join; the result must not change."""
+    import skein.config as cfg
+
+    feats = spark.createDataFrame(
+        [("u1", "a", 1.0, 2, "f:0", 1.0), ("u1", "a", 1.0, 2, "f:1", 0.5),
+         ("u2", "b", 0.0, 1, "f:1", 1.0), ("u2", "b", 0.0, 1, "f:2", 2.0)],
+        "user string, item string, label double, mult long, feat string, value double")
+    weights = spark.createDataFrame([("f", str(k), "", f"f:{k}", 0.1 * k) for k in range(3)],
+                                    "kind string, k1 string, k2 string, feat string, weight double")
+    fast = {r["feat"]: r["weight"] for r in TR.sgd(feats, weights, 3, 0.5, convergence_tol=0.0).collect()}
+    monkeypatch.setattr(cfg, "fits_broadcast", lambda df, max_rows=0: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        slow = {r["feat"]: r["weight"] for r in TR.sgd(feats, weights, 3, 0.5, convergence_tol=0.0).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert fast.keys() == slow.keys()
+    for k in fast:
+        assert math.isclose(fast[k], slow[k], rel_tol=1e-12, abs_tol=1e-15)
