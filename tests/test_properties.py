@@ -174,3 +174,23 @@ def test_sgd_shuffle_path_equals_broadcast_path(spark, monkeypatch):
     assert fast.keys() == slow.keys()
     for k in fast:
         assert math.isclose(fast[k], slow[k], rel_tol=1e-12, abs_tol=1e-15)
+
+
+def test_lbfgs_shuffle_path_equals_broadcast_path(spark, monkeypatch):
+    import skein.config as cfg
+
+    feats = spark.createDataFrame(
+        [("u1", "a", 1.0, 1, "f:0", 1.0), ("u1", "a", 1.0, 1, "f:1", -0.5), ("u2", "b", 0.0, 1, "f:1", 1.0),
+         ("u3", "c", 1.0, 1, "f:0", 0.3), ("u3", "c", 1.0, 1, "f:1", 0.7), ("u4", "d", 0.0, 1, "f:0", -0.2)],
+        "user string, item string, label double, mult long, feat string, value double")
+    weights = spark.createDataFrame([("f", str(k), "", f"f:{k}", 0.0) for k in range(2)],
+                                    "kind string, k1 string, k2 string, feat string, weight double")
+    fast = {r["feat"]: r["weight"] for r in TR.lbfgs(feats, weights, iterations=5, memory=3).collect()}
+    monkeypatch.setattr(cfg, "fits_broadcast", lambda df, max_rows=0: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        slow = {r["feat"]: r["weight"] for r in TR.lbfgs(feats, weights, iterations=5, memory=3).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for k in fast:
+        assert math.isclose(fast[k], slow[k], rel_tol=1e-9, abs_tol=1e-12)
