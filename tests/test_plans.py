@@ -91,3 +91,15 @@ def test_sgd_gradient_has_one_shuffle(spark):
     p = plan(TR.gradient(f, F.broadcast(w)))
     assert p.count("Exchange hashpartitioning") == 1     # the partially aggregated gradient per feature
     assert "BroadcastHashJoin" in p
+
+
+def test_scores_and_gradients_aggregate_before_the_shuffle(spark):
+    """A hot key (one user with a third of the rows) is combined map-side: the score
+    shuffle on (user, item) sits on a partial sum."""
+    s = Scenario(spark, SF001)
+    p = plan(RK.score_pairs(s.contributions()))
+    lines = p.splitlines()
+    score = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(user" in line and "item" in line]
+    assert score, p
+    assert all("HashAggregate" in lines[i + 1] for i in score), p    # partial aggregate below each
+    assert any("partial_sum" in lines[i + 1] for i in score), p      # the score sum among them
