@@ -22,7 +22,10 @@ QUICK = [
     "registry_load", "sparse_weights_load", "active_users_batch", "recommend_batch", "last_per_key",
 ]
 
-KEYS = sorted(E.oracle_sql()) if os.environ.get("SKEIN_FULL_ORACLE") else QUICK
+from skein.plans.registry import ORACLE, QUERIES, load_all
+
+load_all()
+KEYS = sorted(ORACLE) if os.environ.get("SKEIN_FULL_ORACLE") else QUICK
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +38,8 @@ def con():
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    q, o = E.queries(), E.oracle_sql()
+    q, o = QUERIES, ORACLE
+    assert set(q) <= set(E.queries()) and set(o) <= set(E.oracle_sql())
     assert len(q) == 114
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"lbfgs_train"}
