@@ -51,7 +51,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     configure(spark)
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    both = byte_bpe.decode(byte_bpe.encode(docs.select("doc_id", "text"), path, pattern), path, pattern)
+    both = byte_bpe.encode(docs.select("doc_id", "text"), path, pattern, decoded=True)
     return both.select(
         field("doc_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -24,7 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
@@ -33,8 +33,9 @@ from skein.llm.cuts import Recent, cuts, distinct, spell
 
 NONE = np.int32(2**31 - 1)
 LONG = 512
-CELLS = 1 << 20
-CACHE = 250_000
+CELLS = 1 << 18
+PIECE = 2 << 20  # bytes of text encoded at once
+CACHE = 80_000
 
 
 class Vocabulary:
@@ -57,7 +58,6 @@ class Vocabulary:
             self.text[r] = token
         pairs = [(a << 16 | b, r) for t, r in self.rank.items() for i in range(1, len(t)) if (a := self.rank.get(t[:i])) is not None and (b := self.rank.get(t[i:])) is not None]
         self._build(np.array([k for k, _ in pairs], np.uint32), np.array([r for _, r in pairs], np.int32))
-        self.pair = dict(pairs)
         self.cache = Recent(CACHE)
 
     def _build(self, keys: np.ndarray, merged: np.ndarray) -> None:
@@ -132,7 +132,10 @@ class Vocabulary:
     def _heap(self, piece: bytes) -> bytes:
         ids, n = self.byte[np.frombuffer(piece, np.uint8)].tolist(), len(piece)
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        pair = self.pair.get
+        def pair(key: int) -> int | None:
+            m = int(self.look_up(np.array([key >> 16], np.int32), np.array([key & 0xFFFF], np.int32))[0])
+            return None if m == NONE else m
+
         heap = [(m, i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := pair(ids[i] << 16 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
@@ -185,28 +188,43 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
     return Vocabulary(path, pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """``row`` (the input's columns but the text) and ``ids`` (array of int)."""
-    ship(docs.sparkSession)
+def _split(docs: DataFrame, text: str) -> tuple[DataFrame, Column]:
+    """(the other columns as struct ``k`` beside the text ``t``, that struct by their names)."""
     rest = [c for c in docs.columns if c != text]
     src = packed(docs).select(
         F.struct(F.lit(True).alias("here"), *[field(c).alias(f"c{i}") for i, c in enumerate(rest)]).alias("k"), field(text).alias("t"),
     )
+    back = F.struct(*[F.col("k").getField(f"c{i}").alias(c) for i, c in enumerate(rest)] or [F.lit(True).alias("here")])
+    return src, back.alias(ROW)
+
+
+def _lists(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
+
+
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False) -> DataFrame:
+    """``row`` (the input's columns but the text) and ``ids`` (array of int); with
+    ``decoded`` also the bytes that those ids decode to, made in the same task."""
+    ship(docs.sparkSession)
+    src, back = _split(docs, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = vocabulary(path, pattern)
-        for b in pieces(batches, "t", 4 << 20):
+        for b in pieces(batches, "t", PIECE):
             ids, offsets = voc.encode(*text_bytes(batch_rows(b, "t")))
-            yield with_columns(b, ["k"], {"ids": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))})
+            new = {"ids": _lists(ids, offsets)}
+            if decoded:
+                cut = offsets.tolist()
+                new["decoded"] = pa.array([voc.decode(ids[i:j]) for i, j in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
+            yield with_columns(b, ["k"], new)
 
-    schema = StructType([src.schema["k"], StructField("ids", ArrayType(IntegerType()))])
-    out = src.mapInArrow(run, schema)
-    back = F.struct(*[F.col("k").getField(f"c{i}").alias(c) for i, c in enumerate(rest)] or [F.lit(True).alias("here")])
-    return out.select(back.alias(ROW), "ids")
+    more = [StructField("decoded", BinaryType())] if decoded else []
+    schema = StructType([src.schema["k"], StructField("ids", ArrayType(IntegerType())), *more])
+    return src.mapInArrow(run, schema).select(back, "ids", *[f.name for f in more])
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The input of ``encode``'s form with ``decoded``, the bytes that its ids stand for."""
+    """The input (with a column ``ids``) and ``decoded``, the bytes that its ids stand for."""
     ship(encoded.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -66,7 +66,7 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents by the rank file, and what they decode to."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    both = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern), path, pattern)
+    both = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern, decoded=True)
     return both.select(
         field("doc_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
