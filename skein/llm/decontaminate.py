@@ -38,7 +38,10 @@ BLOCK_SHINGLES = 500_000
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+    """Words with A-Z in lower case; ``lower`` does just that to a text of ASCII alone."""
+    t = F.coalesce(text, F.lit(""))
+    lowered = F.when(F.octet_length(t) == F.length(t), F.lower(t)).otherwise(F.translate(t, UPPER, LOWER))
+    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
 def _shingle(words: Column, at: Column, width: int) -> Column:
