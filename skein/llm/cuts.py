@@ -2,8 +2,8 @@
 ``'s|...| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``.
 
 No match of that pattern crosses the places cut here: before a white space run, before the
-run's last character if a word follows, and before a word unless one space precedes it. A
-text's tokens are therefore those of its cuts one after another, and each distinct cut needs
+run's last character if a word follows, before a word unless one space precedes it, and
+between an ASCII letter and ASCII punctuation other than the apostrophe. A text's tokens are therefore those of its cuts one after another, and each distinct cut needs
 encoding only once.
 """
 
@@ -15,6 +15,10 @@ from skein.llm.common import word_names
 
 _ASCII = np.zeros(256, bool)
 _ASCII[[0x20, 9, 10, 11, 12, 13]] = True
+# 1: letter, 2: punctuation but the apostrophe, 0: anything else.
+_KIND = np.zeros(256, np.uint8)
+_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = 2
 
 
 def _wide_spaces(data: np.ndarray) -> list[tuple[int, np.ndarray]]:
@@ -48,6 +52,8 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     cut = np.zeros(n, bool)
     cut[1:] = space[1:] & ~space[:-1] | ~space[1:] & space[:-1] & (data[:-1] != 0x20)
     cut |= plain & word_next[:n]
+    kind = _KIND[data]
+    cut[1:] |= kind[1:] + kind[:-1] == 3
     for width, at in wide:
         cut[at[word_next[at + width - 1]]] = True
     cut[heads] = True

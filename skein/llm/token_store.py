@@ -23,10 +23,12 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import struct
 import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,18 @@ MAGIC = b"SKDAC001"
 SEGMENT = 1 << 20
 BLOCK = 512
 CACHE = 250_000
+PLAIN = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+
+
+def _byte_chars() -> dict[int, str]:
+    """The character that a byte-level vocabulary writes for each byte: printable bytes stand
+    for themselves, the others for the characters from 256 on, in order."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTE_CHARS = _byte_chars()
 
 
 class Encoder:
@@ -61,15 +75,31 @@ class Encoder:
         new = self.cache.missing(each)
         gc.disable()  # a million short-lived objects that hold no cycles
         try:
-            coded = {}
-            for a in range(0, len(new), 20_000):
-                part = new[a:a + 20_000]
-                done = self.tok.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
-                coded.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(part, done, strict=True))
+            coded = self._spelled(new)
         finally:
             gc.enable()
         return spell(self.cache.values(each, coded), which, first)
 
+    def _spelled(self, new: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of distinct cuts. A word of Latin letters is one piece of the pattern, so its
+        bytes, in the characters that stand for them, go to the model directly; other cuts
+        take the whole tokenizer."""
+        word, model, as_bytes = PLAIN.fullmatch, self.tok.model.tokenize, _BYTE_CHARS
+        plain, rest, ids, others = [], [], [], []
+        for c in new:
+            t = c.decode()
+            if word(t):
+                plain.append(c)
+                ids.append([x.id for x in model(c.decode("latin-1").translate(as_bytes))])
+            else:
+                rest.append(c)
+                others.append(t)
+        for a in range(0, len(rest), 20_000):
+            ids += [e.ids for e in self.tok.encode_batch_fast(others[a:a + 20_000], add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
+        stop = list(accumulate(4 * len(x) for x in ids))
+        return {c: flat[i:j] for c, i, j in zip(chain(plain, rest), [0, *stop], stop)}  # noqa: B905
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
@@ -128,6 +158,23 @@ class Segment:
         return out
 
 
+    def span(self, a: int, b: int) -> np.ndarray:
+        """The ids at the places a to b - 1: a run of places is a run on every level, whose
+        begin is one rank."""
+        out, who = np.zeros(b - a, np.uint32), np.arange(b - a)
+        for k, (chunks, bits, ranks) in enumerate(self.levels):
+            out[who] |= chunks[a:b].astype(np.uint32) << np.uint32(8 * k)
+            more = np.unpackbits(bits[a >> 3:(b + 7) >> 3], bitorder="little")[a & 7:(a & 7) + b - a].astype(bool)
+            who = who[more]
+            if not len(who):
+                break
+            block = a // BLOCK
+            inside = np.unpackbits(bits[block * (BLOCK // 8):(a >> 3) + 1], bitorder="little")[:a - block * BLOCK]
+            a = int(ranks[block]) + int(inside.sum())
+            b = a + len(who)
+        return out
+
+
 class Writer:
     """Streams documents into one file."""
 
@@ -202,7 +249,7 @@ class Reader:
         while a < b:
             i = a // SEGMENT
             stop = min(b, (i + 1) * SEGMENT)
-            parts.append(self.segment(i).at(np.arange(a - i * SEGMENT, stop - i * SEGMENT)))
+            parts.append(self.segment(i).span(a - i * SEGMENT, stop - i * SEGMENT))
             a = stop
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
@@ -214,7 +261,7 @@ def write_tokens(docs: DataFrame, folder: str, load: Callable[[], Encoder], id_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, out, path = TaskContext.get(), None, ""
-        for b in pieces(batches, "t", 8 << 20):
+        for b in pieces(batches, "t", 4 << 20):
             if out is None:
                 path = f"{folder}/part-{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}.dac"
                 out = Writer(path)
@@ -256,8 +303,8 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                     ], names=["id", "start", "n_tokens", "ids"])
                     step = stop
 
-    spread = files.repartition(F.col("path"))
-    return spread.mapInArrow(run, "id long, start long, n_tokens long, ids binary")
+    # A task for each file, whatever their sizes tell adaptive execution.
+    return files.repartitionByRange(max(1, manifest.count()), "path").mapInArrow(run, "id long, start long, n_tokens long, ids binary")
 
 
 def store(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:

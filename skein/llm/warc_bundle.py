@@ -193,8 +193,9 @@ def read_bundles(index: DataFrame) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
 
-    files = index.select("path").distinct().repartition(F.col("path"))
-    return files.mapInArrow(run, "id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    files = index.select("path").distinct()
+    # A task for each bundle, whatever their sizes tell adaptive execution.
+    return files.repartitionByRange(max(1, files.count()), "path").mapInArrow(run, "id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def archive(pages: DataFrame, id_col: str = "page_id", html: str = "html", url: str = "url", least: int = 1000) -> tuple[DataFrame, DataFrame]:
