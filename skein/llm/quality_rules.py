@@ -73,14 +73,16 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     step = step.select("*", F.when(n > GRAM, hashes).alias("hashes"))
     repeats = F.when(F.size(F.array_distinct("hashes")) < F.size("hashes"), _windows_twice(words, n)).otherwise(F.lit(0).cast("long"))
     spoken = [v for s in STOP_WORDS for v in (s, s.capitalize())]
-    return step.select(
-        ROW,
+    found = F.struct(
         n.cast("long").alias("n_words"), "word_chars", "n_symbols",
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeats.alias("n_repeat_words"),
         F.size(F.filter(words, lambda x: x.isin(spoken))).cast("long").alias("n_stop_words"),
     )
+    # A generator's output: a filter on a measure can't be pushed below it, where the words
+    # would be made anew for every element that a rule looks at.
+    return step.select(ROW, F.explode_outer(F.array(found)).alias("found")).select(ROW, "found.*")
 
 
 def compile_rules(rules=RULES) -> Column:

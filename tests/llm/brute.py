@@ -124,9 +124,53 @@ def bpe(docs, path):
 
 
 def warc(pages, least=1000):
-    best = {}
-    data = [(k, (h or "").encode()) for k, h in pages]
-    for k, h in data:
-        if len(h) >= least and k is not None:
-            best[h] = max(best.get(h, k), k)
-    return [(k, len(h), hashlib.sha1(h).hexdigest(), "revisit" if h in best and best[h] != k else "response", best[h] if h in best and best[h] != k else None) for k, h in data]
+    """pages: (page_id, html) in input order; of equal ids the first row is the response."""
+    best, data = {}, [(k, (h or "").encode()) for k, h in pages]
+    for n, (k, h) in enumerate(data):
+        if len(h) >= least:
+            best[h] = max(best.get(h, (-1, 0)), (-1 if k is None else k, -n))
+    out = []
+    for n, (k, h) in enumerate(data):
+        other = h in best and best[h] != (-1 if k is None else k, -n)
+        out.append((k, len(h), hashlib.sha1(h).hexdigest(), "revisit" if other else "response", best[h][0] if other and best[h][0] >= 0 else None))
+    return out
+
+
+def url_parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    return re.sub("[A-Z]", lambda m: m[0].lower(), host), re.match(r"[^?#]*", rest[len(host):])[0]
+
+
+def url_rule(host, path, rules):
+    fits = [(len(h) + len(p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits)[1:] if fits else (None, None)
+
+
+def rules_from(baskets, support, confidence):
+    """baskets: (tokens, verdict); every token set with its verdict, by plain counting."""
+    from itertools import combinations
+    every, labelled = Counter(), Counter()
+    for toks, verdict in baskets:
+        for size in range(1, len(toks) + 1):
+            for c in combinations(sorted(toks), size):
+                every[c] += 1
+                labelled[c, verdict] += 1
+    n = len(baskets)
+    return {(c, v): (m / every[c], m / n) for (c, v), m in labelled.items() if m >= support * n and m / every[c] >= confidence}
+
+
+def pipeline(docs, items, path, rules_keep):
+    """docs: (doc_id, text) with distinct ids; rules_keep: ids that the quality rules keep."""
+    docs = [d for d in docs if d[0] in rules_keep]
+    docs = [(k, t) for (k, t), (_, _, c) in zip(docs, simhash_groups(docs), strict=True) if k == c]
+    split = [(k, t, words(t)) for k, t in docs]
+    count = Counter(tuple(w[i:i + 35]) for _, _, w in split for i in range(len(w) - 34))
+    cut = []
+    for k, t, w in split:
+        gone = {i + j for i in range(len(w) - 34) if count[tuple(w[i:i + 35])] > 1 for j in range(35)}
+        cut.append((k, b" ".join(x for i, x in enumerate(w) if i not in gone).decode() if gone else t))
+    clean = [d for d, r in zip(cut, decontaminate(cut, items), strict=True) if not r[5]]
+    return bpe(clean, path)
