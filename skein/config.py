@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job relies on. They are only applied when the session has not set them.
 DEFAULTS = {
@@ -18,12 +17,11 @@ DEFAULTS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Fill in the settings above where the session leaves them unset."""
+    """Set the values above where the session does not state its own."""
+    stated = spark.conf.getAll
     for key, value in DEFAULTS.items():
-        if spark.conf.get(key, None) in (None, ""):
+        if key not in stated:
             spark.conf.set(key, value)
-    # Epoch conversions of naive timestamps assume UTC, as the event producers do.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
@@ -49,59 +47,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared folder for one written table."""
-    root = checkpoint_root(spark)
-    path = f"{root}/skein/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-    return path
+    return f"{checkpoint_root(spark)}/skein/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df):
-    """Spread a scan over the session's cores when it arrives in fewer partitions.
+def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet in the shared folder: the table read back and its path.
 
-    A source with few large files (or one row group) scans as a handful of tasks,
-    and per-row work after it (JSON parsing, tokenising whole texts) would run on
-    that many cores. Below the default parallelism the rows are redistributed
-    round-robin; on a cluster reading many files this is a no-op.
+    Cuts the lineage, prunes columns on later reads, and gives the planner real sizes.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
-# Row limit for a broadcast whose size depends on run-time parameters.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def fits_broadcast(df, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """The size check alone: at most ``max_rows + 1`` rows are read."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
-    """Broadcast ``df`` only after checking its size; above the limit return it unchanged
-    so the planner (and AQE, from runtime statistics) picks a shuffle join instead.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap for a large side.
-    """
-    from pyspark.sql import functions as F
-    if fits_broadcast(df, max_rows):
-        return F.broadcast(df)
-    return df
-
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
-def materialize_partitioned(df):
-    """Checkpoint ``df`` keeping its hash partitioning for later joins and aggregations.
 
-    A checkpoint remembers the partitioning of the plan that produced it, but adaptive
-    execution may coalesce that plan's partitions and then reports none; the write is
-    therefore planned with adaptive execution off (restored right after).
-    """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", prev)
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -9,7 +9,6 @@ CATEGORY_NAMES = [
 
 # --- fixed values: category-with-city vocabulary (name -> index, length 3) -------
 CITY_CATEGORY_INDEX = {"zzz": 0, "hhh": 2}
-CITY_CATEGORY_LENGTH = 3
 
 # --- fixed values: custom-category vocabulary (unknown names -> index 0) --------
 CUSTOM_CATEGORY_INDEX = {
@@ -18,7 +17,6 @@ CUSTOM_CATEGORY_INDEX = {
     "politics": 11, "education": 12, "national": 13, "local": 14,
 }
 CUSTOM_CATEGORY_OTHERS = 0
-CUSTOM_CATEGORY_LENGTH = 15
 
 # --- fixed values: event filters ---------------------------------------------
 READ_SOURCES = ["main", "hot", "trending"]

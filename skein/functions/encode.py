@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skein.constants import (
     CATEGORY_NAMES,
@@ -53,13 +54,6 @@ def encode_custom_category(names: Column) -> Column:
     return encode_names(names, CUSTOM_CATEGORY_INDEX, default=CUSTOM_CATEGORY_OTHERS)
 
 
-VOCABS = {
-    "category": encode_category,
-    "city": encode_category_city,
-    "custom": encode_custom_category,
-}
-
-
 def category_names(idx: Column) -> Column:
     """Slot index -> category name (FN-04); NULL outside the vocabulary."""
     return F.try_element_at(F.array(*[F.lit(n) for n in CATEGORY_NAMES]), idx.cast("int") + 1)
@@ -70,9 +64,14 @@ def normalise_entities(entities: Column) -> Column:
     return F.array_distinct(F.transform(entities, lambda x: F.lower(x.cast("string"))))
 
 
-def parse_vector(values: Column) -> Column:
-    """List -> doubles through their text form (FN-06); a bad element becomes NULL."""
-    return F.transform(values, lambda x: x.cast("string").try_cast("double"))
+def as_number(x: Column, kind: T.DataType | None = None) -> Column:
+    """A double through its text form; a bad value becomes NULL, a number stays one."""
+    return x.cast("double") if isinstance(kind, T.NumericType) else x.cast("string").try_cast("double")
+
+
+def parse_vector(values: Column, kind: T.DataType | None = None) -> Column:
+    """List -> doubles (FN-06); a bad element becomes NULL. ``kind``: the element type if known."""
+    return F.transform(values, lambda x: as_number(x, kind))
 
 
 def has_null_element(arr: Column) -> Column:

@@ -59,6 +59,9 @@ def is_read(line: Column) -> Column:
 
 
 def event_ts(line: Column) -> Column:
-    """``ts`` of either kind; a missing ``ts`` reads as 0 like an unset Int field."""
-    ts = F.when(is_read(line), parse_read(line)["ts"]).otherwise(parse_refresh(line)["ts"])
-    return F.coalesce(ts, F.lit(0))
+    """``ts`` of either kind; a missing ``ts`` reads as 0 like an unset Int field, a line that
+    does not parse gives NULL (it belongs to the rejects)."""
+    def of(parsed):
+        return F.when(parsed[CORRUPT].isNull(), F.coalesce(parsed["ts"], F.lit(0)))
+
+    return F.when(is_read(line), of(parse_read(line))).otherwise(of(parse_refresh(line)))

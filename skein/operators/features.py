@@ -38,27 +38,46 @@ def user_entity_set(instances: DataFrame, profiles: DataFrame, tfidf: DataFrame)
     return items.join(t.withColumnRenamed("article_seq_id", "item"), "item").select("user", "entity").distinct()
 
 
-def train_features(ex: DataFrame, profiles: DataFrame, tfidf: DataFrame, entity_scalar: float) -> DataFrame:
+ROWS_PER_SALT = 20_000
+
+
+def salted(left: DataFrame, right: DataFrame, key: str, spread_by: list[str], rows_per_salt: int = ROWS_PER_SALT) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join on ``key`` with a column ``salt`` to join on beside it.
+
+    A key with many rows on the left gets one salt per ``rows_per_salt`` of them: its left
+    rows are dealt over the salts and its right rows repeated for each. Other keys keep one.
+    """
+    hot = left.groupBy(key).agg((F.floor(F.count(F.lit(1)) / rows_per_salt) + 1).cast("int").alias("salts")).where("salts > 1")
+    salts = F.coalesce("salts", F.lit(1))
+    dealt = left.join(hot, key, "left").withColumn("salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int")).drop("salts")
+    repeated = right.join(hot, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    return dealt, repeated
+
+
+def train_features(ex: DataFrame, profiles: DataFrame, tfidf: DataFrame, entity_scalar: float, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """ML-01: long features ``(user, item, label, mult, kind, k1, k2, feat, value)`` per example.
 
-    Instances join profiles on item (left: an item without profile keeps only its item
-    feature, i.e. neutral category and tags). ``tfidf`` must already be limited to the
-    profiles (long form). Skewed items are split by AQE's skew join.
+    One join brings the categories (left: an item without profile keeps only its item
+    feature, i.e. neutral category and tags), one the tags. ``tfidf`` must already be
+    limited to the profiles (long form). Hot items are salted in both joins.
     """
-    prof = profiles.select(F.col("article_seq_id").alias("item"), "category_idx")
-    cat = ex.join(prof, "item").select(*EX, "mult", F.explode("category_idx").alias("c"))
-    g = cat.select(*EX, "mult", F.lit("g").alias("kind"), F.col("c").cast("string").alias("k1"), F.lit("").alias("k2"),
-                   F.lit(1.0).alias("value"))
-    u = cat.select(*EX, "mult", F.lit("u").alias("kind"), F.col("user").alias("k1"), F.col("c").cast("string").alias("k2"),
-                   F.lit(1.0).alias("value"))
-    i = ex.select(*EX, "mult", F.lit("i").alias("kind"), F.col("item").alias("k1"), F.lit("").alias("k2"),
-                  F.lit(1.0).alias("value"))
-    t = (
-        ex.join(tfidf.withColumnRenamed("article_seq_id", "item"), "item")
-        .select(*EX, "mult", F.lit("t").alias("kind"), F.col("user").alias("k1"), F.col("entity").alias("k2"),
-                (F.lit(entity_scalar) * F.col("tfidf")).alias("value"))
+    def row(kind, k1, k2):
+        return F.struct(F.lit(kind).alias("kind"), k1.cast("string").alias("k1"), k2.cast("string").alias("k2"))
+
+    dealt, prof = salted(ex, profiles.select(F.col("article_seq_id").alias("item"), "category_idx"), "item", ["user", "label"], rows_per_salt)
+    cats = F.coalesce("category_idx", F.array().cast("array<int>"))
+    rows = F.concat(
+        F.array(row("i", F.col("item"), F.lit(""))),
+        F.transform(cats, lambda c: row("g", c, F.lit(""))),
+        F.transform(cats, lambda c: row("u", F.col("user"), c)),
     )
-    out = g.unionByName(u).unionByName(i).unionByName(t)
+    base = dealt.join(prof, ["item", "salt"], "left").select(*EX, "mult", F.explode(rows).alias("f")).select(
+        *EX, "mult", "f.kind", "f.k1", "f.k2", F.lit(1.0).alias("value"))
+    dealt, tags = salted(ex, tfidf.withColumnRenamed("article_seq_id", "item"), "item", ["user", "label"], rows_per_salt)
+    t = dealt.join(tags, ["item", "salt"]).select(
+        *EX, "mult", F.lit("t").alias("kind"), F.col("user").alias("k1"), F.col("entity").alias("k2"),
+        (F.lit(entity_scalar) * F.col("tfidf")).alias("value"))
+    out = base.unionByName(t)
     return out.withColumn("feat", _feat_of(F.col("kind"), F.col("k1"), F.col("k2")))
 
 

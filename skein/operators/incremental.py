@@ -64,15 +64,22 @@ def keep_untouched(old: DataFrame, touched_keys: DataFrame, key: str) -> DataFra
     return old.join(touched_keys.select(key).distinct(), key, "left_anti")
 
 
-def snapshot(old: DataFrame, updates: DataFrame) -> DataFrame:
+def update_info(dictionary: DataFrame, start: int) -> DataFrame:
+    """What a dictionary update reports: its number of entries and the start of its scan."""
+    return dictionary.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(start).cast("bigint").alias("start_ms"))
+
+
+def snapshot(old: DataFrame, trained: DataFrame, only_positive_tags: bool = True) -> DataFrame:
     """INC-06 over the long state ``(kind, k1, k2, weight)``.
 
-    For each kind the save key is ``k1`` (user, item or category): old rows whose
-    (kind, k1) was updated are replaced by the update rows, others carry over.
+    ``trained``: every weight the batch trained, tags of any sign included. Exactly those
+    keys are replaced; a tag trained to zero or below is gone (``only_positive_tags``), and
+    what the batch did not train, also of its own users, carries over.
     """
-    touched = updates.select("kind", "k1").distinct()
-    kept = old.join(touched, ["kind", "k1"], "left_anti")
-    return updates.select(*old.columns).unionByName(kept)
+    from skein.operators.features import write_back
+
+    kept = old.join(trained.select("kind", "k1", "k2"), ["kind", "k1", "k2"], "left_anti")
+    return write_back(trained, only_positive_tags).select(*old.columns).unionByName(kept)
 
 
 def write_version(df: DataFrame, root: str, name: str, version: str, mode: str = "errorifexists") -> str:

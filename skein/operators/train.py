@@ -3,13 +3,14 @@
 SGD and L-BFGS run as DataFrame iterations: each step joins features with the
 current weights, sums margins per example, and sums gradients per feature
 (partial aggregation, so a hot feature such as a popular category combines
-map-side). Weights are checkpointed every iteration to cut lineage; only
-scalars (counts, losses, dot products) reach the driver.
+map-side). Every generation of weights is a written table, which cuts the
+lineage; only scalars (counts, losses, dot products) reach the driver.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,69 +54,59 @@ def gradient(features: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
-def partition_by_example(features: DataFrame) -> DataFrame:
-    """Features materialised hash-partitioned by the example key (see ``sgd``)."""
-    from skein.config import materialize_partitioned
+def _by_example(features: DataFrame) -> DataFrame:
+    """Stored features dealt by the example key: balanced, since examples are distinct, and
+    shared by the margin and the join back of one step (one exchange, reused)."""
     parts = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [c for c in ("kind", "k1", "k2") if c in features.columns]  # kept for the weight gather
-    base = features.select(*EX, "mult", *keys, "feat", "value").withColumn("y", F.col("label").cast("int"))
-    return materialize_partitioned(base.repartition(parts, *EXK))
+    base = features.select(*EX, "mult", "feat", "value").withColumn("y", F.col("label").cast("int"))
+    return base.repartition(parts, *EXK)
+
+
+def _sampled(by_ex: DataFrame, fraction: float, seed: int) -> DataFrame:
+    """The features of a sample of the rows: every copy of an example is drawn on its own,
+    by a hash of (example, copy, seed), so that a run repeats exactly."""
+    copies = by_ex.select(*EXK, "mult").distinct().withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("mult").cast("int"))))
+    u = F.shiftrightunsigned(F.xxhash64(*EXK, F.col("copy"), F.lit(seed)), 11).cast("double") / float(1 << 53)
+    drawn = copies.where(u < fraction).groupBy(*EXK).agg(F.count(F.lit(1)).alias("mult"))
+    return by_ex.drop("mult").join(drawn, EXK)
 
 
 def sgd(features: DataFrame, weights: DataFrame, iterations: int, step: float, fraction: float = 1.0,
-        convergence_tol: float = 0.001, seed: int = 42, partitioned: bool = False) -> DataFrame:
+        convergence_tol: float = 0.001, seed: int = 42) -> DataFrame:
     """ML-05: warm-start SGD, ``w ← w − step/√t · g/n`` (no regularisation).
 
-    ``fraction < 1`` samples examples by a seeded hash of (example, iteration), so a
-    run repeats exactly. Stops early when ``‖Δw‖ < tol · max(‖w‖, 1)`` from the
-    second iteration on (tol 0 disables it). ``weights``: ``(kind, k1, k2, feat, weight)``.
-
-    Layout: the features are materialised once, hash-partitioned by the example key
-    (balanced: examples are distinct). Each weight generation is checkpointed. When
-    the batch's weights pass the broadcast size check, an iteration joins them
-    map-side, sums margins, computes errors and joins them back all within the
-    example partitions, and its only shuffle is the partially aggregated gradient per
-    feature. Beyond the limit the weight join shuffles by feature, where AQE's skew
-    join splits a hot feature (a popular category) across tasks.
+    ``features``: a stored table (it is read once per iteration). Stops early when
+    ``‖Δw‖ < tol · max(‖w‖, 1)`` from the second iteration on (tol 0 disables it).
+    ``weights``: ``(kind, k1, k2, feat, weight)``.
+
+    Layout: each generation of weights is a small Parquet table, whose measured size
+    decides how it meets the features: broadcast, or a shuffle join by feature in which
+    adaptive execution splits a hot feature (a popular category). Margins and errors stay
+    inside the example partitions, and the gradient is partially summed before its shuffle.
     """
-    from skein.config import fits_broadcast
-
-    # ``partitioned``: the caller passes the output of ``partition_by_example``.
-    by_ex = features if partitioned else partition_by_example(features)
-    w = weights.select("kind", "k1", "k2", "feat", "weight").checkpoint(eager=True)
-    # Every generation has the same rows as the first: one size check decides the join.
-    small = fits_broadcast(w)
-    n_all = None
+    from skein.config import drop, store
+
+    spark, by_ex = features.sparkSession, _by_example(features)
+    w, path = store(weights.select("kind", "k1", "k2", "feat", "weight"), "weights")
+    count = lambda ex: ex.select(*EXK, "mult").distinct().agg(F.sum("mult")).first()[0] or 0
+    n_all = count(by_ex) if fraction >= 1.0 else None
     for t in range(1, iterations + 1):
-        ex = by_ex
-        if fraction < 1.0:
-            h = F.xxhash64(*[F.col(c) for c in EXK], F.lit(seed + t))
-            ex = by_ex.where((F.abs(h) % 1_000_000) < int(fraction * 1_000_000))
-            n = ex.select(*EXK, "mult").distinct().agg(F.sum("mult")).first()[0] or 0
-        else:
-            if n_all is None:
-                # One number per run: the example count (Σ mult) of the whole batch.
-                n_all = by_ex.select(*EXK, "mult").distinct().agg(F.sum("mult")).first()[0] or 0
-            n = n_all
+        ex = by_ex if fraction >= 1.0 else _sampled(by_ex, fraction, seed + t)
+        n = n_all if fraction >= 1.0 else count(ex)
         if n == 0:
             continue
-        wf = w.select("feat", "weight")
-        g = gradient(ex, F.broadcast(wf) if small else wf)
-        new = (
-            w.join(g, "feat", "left")
-            .select("kind", "k1", "k2", "feat",
-                    (F.col("weight") - F.lit(step / math.sqrt(t)) * F.coalesce(F.col("grad"), F.lit(0.0)) / F.lit(float(n)))
-                    .alias("weight"))
-        ).checkpoint(eager=True)
+        moved = F.col("weight") - F.lit(step / math.sqrt(t)) * F.coalesce(F.col("grad"), F.lit(0.0)) / F.lit(float(n))
+        new, new_path = store(w.join(gradient(ex, w), "feat", "left").select("kind", "k1", "k2", "feat", moved.alias("weight")), "weights")
+        done = False
         if convergence_tol > 0 and t > 1:
             d = new.join(w.select("feat", F.col("weight").alias("old")), "feat").agg(
                 F.sqrt(F.sum((F.col("weight") - F.col("old")) ** 2)).alias("diff"),
                 F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm")).first()
-            w = new
-            if d["diff"] < convergence_tol * max(d["norm"], 1.0):
-                break
-        else:
-            w = new
+            done = d["diff"] < convergence_tol * max(d["norm"], 1.0)
+        drop(spark, path)
+        w, path = new, new_path
+        if done:
+            break
     return w
 
 
@@ -132,35 +123,68 @@ def routing(features: DataFrame, iterations: int, step: float, fraction: float)
     return s.select("n_examples", "has_positive", route.alias("route"))
 
 
-def _loss_and_gradient(by_ex: DataFrame, weights: DataFrame, n: float, small: bool) -> tuple[float, DataFrame]:
-    """Mean logistic loss (a scalar) and mean gradient ``(feat, grad)`` at ``weights``.
+def _loss_and_gradient(by_ex: DataFrame, weights: DataFrame, n: float) -> tuple[float, DataFrame, str]:
+    """Mean logistic loss (a scalar), mean gradient ``(feat, grad)`` at ``weights``, and the
+    path of the table that the gradient reads."""
+    from skein.config import store
 
-    Same layout as an SGD step: weights broadcast after the size check, margins and
-    errors inside the example partitions, one partially aggregated shuffle per feature.
-    """
-    from skein.config import materialize_partitioned
-
-    wf = weights.select("feat", "weight")
     m = (
-        by_ex.join(F.broadcast(wf) if small else wf, "feat", "left")
+        by_ex.join(weights.select("feat", "weight"), "feat", "left")
         .groupBy(*EXK, "label", "mult")
         .agg(F.sum(F.col("value") * F.coalesce(F.col("weight"), F.lit(0.0))).alias("margin"))
     )
     mg = F.col("margin")
-    per = materialize_partitioned(m.select(
+    per, path = store(m.select(
         *EXK,
         (F.col("mult") * (sigmoid(mg) - F.col("label"))).alias("err"),
         # log(1 + e^m) − y·m, computed stably.
         (F.col("mult") * (F.log1p(F.exp(-F.abs(mg))) + F.greatest(mg, F.lit(0.0)) - F.col("label") * mg)).alias("loss"),
-    ))
+    ), "margins")
     loss = (per.agg(F.sum("loss")).first()[0] or 0.0) / n
     grad = (by_ex.select(*EXK, "feat", "value").join(per.select(*EXK, "err"), EXK)
             .groupBy("feat").agg((F.sum(F.col("err") * F.col("value")) / F.lit(n)).alias("grad")))
-    return loss, grad
+    return loss, grad, path
+
+
+@dataclass
+class Fit:
+    """What a fit ends with. ``reason``: why it stopped; only a converged one met a tolerance."""
+
+    weights: DataFrame
+    converged: bool
+    reason: str
+    iterations: int = 0
+    loss: float | None = None
+
+
+def _two_loop(gram: list[list[float]], at: dict[str, int], hist: list[int], eps: float) -> tuple[list[float], list[int]]:
+    """Coefficients of the search direction's opposite over (g, s..., y...), and the slots
+    whose curvature ``y·s`` was usable."""
+    size = len(gram)
+
+    def dot(u, v):
+        return sum(u[a] * gram[a][b] * v[b] for a in range(size) for b in range(size) if u[a] and v[b])
+
+    def unit(name):
+        e = [0.0] * size
+        e[at[name]] = 1.0
+        return e
+
+    ys = {i: gram[at[f"y{i}"]][at[f"s{i}"]] for i in hist}
+    used = [i for i in hist if ys[i] > eps * gram[at[f"y{i}"]][at[f"y{i}"]]]
+    q, alphas = unit("g"), {}
+    for i in reversed(used):
+        alphas[i] = dot(unit(f"s{i}"), q) / ys[i]
+        q[at[f"y{i}"]] -= alphas[i]
+    gamma = ys[used[-1]] / gram[at[f"y{used[-1]}"]][at[f"y{used[-1]}"]] if used else 1.0
+    r = [gamma * v for v in q]
+    for i in used:
+        r[at[f"s{i}"]] += alphas[i] - dot(unit(f"y{i}"), r) / ys[i]
+    return r, used
 
 
 def lbfgs(features: DataFrame, weights: DataFrame, iterations: int = 100, memory: int = 10,
-          tolerance: float = 1e-6, c1: float = 1e-4, max_halvings: int = 30) -> DataFrame:
+          tolerance: float = 1e-6, c1: float = 1e-4, max_halvings: int = 30) -> Fit:
     """ML-06: warm-start L-BFGS on the mean logistic loss, fully distributed.
 
     The weights, the gradient and the ``memory`` latest correction pairs (s, y) are
@@ -170,95 +194,87 @@ def lbfgs(features: DataFrame, weights: DataFrame, iterations: int = 100, memory
     column expression over the table. A backtracking (Armijo) line search evaluates
     loss and gradient like an SGD step. Only scalars reach the driver.
 
-    Returns ``(kind, k1, k2, feat, weight)``; without a positive label the starting
-    weights come back unchanged, as the routing prescribes.
+    It runs until the loss changes by less than ``tolerance`` of itself or the gradient
+    vanishes (converged), or until the iterations or the line search end (not converged;
+    ``reason`` says which). Pairs without positive curvature are left out. Without a
+    positive label the starting weights come back unchanged, as the routing prescribes.
     """
-    from skein.config import fits_broadcast, materialize_partitioned
+    from skein.config import drop, store
 
-    spark = features.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = features.select(*EX, "mult", "feat", "value").withColumn("y", F.col("label").cast("int"))
-    by_ex = materialize_partitioned(base.repartition(parts, *EXK))
-    start = weights.select("kind", "k1", "k2", "feat", "weight").checkpoint(eager=True)
-    small = fits_broadcast(start)
+    spark, by_ex = features.sparkSession, _by_example(features)
+    start, start_path = store(weights.select("kind", "k1", "k2", "feat", "weight"), "weights")
     if by_ex.where(F.col("label") > 0).isEmpty():
-        return start
+        return Fit(start, False, "no positive label")
     n = float(by_ex.select(*EXK, "mult").distinct().agg(F.sum("mult")).first()[0] or 0)
-    slots_s = [f"s{i}" for i in range(memory)]
-    slots_y = [f"y{i}" for i in range(memory)]
-    f, g = _loss_and_gradient(by_ex, start, n, small)
-    table = start.join(g, "feat", "left").select(
+    slots = [f"{v}{i}" for v in "sy" for i in range(memory)]
+    f, g, path = _loss_and_gradient(by_ex, start, n)
+    table, table_path = store(start.join(g, "feat", "left").select(
         "kind", "k1", "k2", "feat", F.col("weight").alias("w"), F.coalesce("grad", F.lit(0.0)).alias("g"),
-        *[F.lit(0.0).alias(c) for c in slots_s + slots_y]).checkpoint(eager=True)
+        *[F.lit(0.0).alias(c) for c in slots]), "lbfgs")
+    drop(spark, path)
     hist: list[int] = []  # slot numbers, oldest first
+    out = Fit(start, False, "iterations", iterations, f)
     for it in range(iterations):
         cols = ["g"] + [f"s{i}" for i in hist] + [f"y{i}" for i in hist]
-        idx = {c: k for k, c in enumerate(cols)}
-        sums = [F.sum(F.col(a) * F.col(b)).alias(f"{a}__{b}") for ai, a in enumerate(cols) for b in cols[ai:]]
-        row = table.agg(*sums).first()
-        gram = [[0.0] * len(cols) for _ in cols]
-        for ai, a in enumerate(cols):
-            for b in cols[ai:]:
-                gram[idx[a]][idx[b]] = gram[idx[b]][idx[a]] = row[f"{a}__{b}"] or 0.0
+        at = {c: k for k, c in enumerate(cols)}
+        row = table.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{a}__{b}") for k, a in enumerate(cols) for b in cols[k:]]).first()
+        gram = [[row[f"{cols[min(x, y)]}__{cols[max(x, y)]}"] or 0.0 for y in range(len(cols))] for x in range(len(cols))]
         if gram[0][0] <= 1e-30:
+            out = Fit(start, True, "gradient", it, f)
             break
-
-        def dot(u, v):
-            return sum(u[a] * gram[a][b] * v[b] for a in range(len(cols)) for b in range(len(cols)) if u[a] and v[b])
-
-        # Two-loop recursion on coefficient vectors over the base vectors.
-        q = [0.0] * len(cols)
-        q[0] = 1.0
-        alphas = {}
-        for i in reversed(hist):
-            e_s, e_y = [0.0] * len(cols), [0.0] * len(cols)
-            e_s[idx[f"s{i}"]], e_y[idx[f"y{i}"]] = 1.0, 1.0
-            rho = 1.0 / dot(e_y, e_s)
-            alphas[i] = rho * dot(e_s, q)
-            q[idx[f"y{i}"]] -= alphas[i]
-        if hist:
-            last = hist[-1]
-            ys = gram[idx[f"y{last}"]][idx[f"s{last}"]]
-            yy = gram[idx[f"y{last}"]][idx[f"y{last}"]]
-            gamma = ys / yy
-        else:
-            gamma = 1.0
-        r = [gamma * v for v in q]
-        for i in hist:
-            e_s, e_y = [0.0] * len(cols), [0.0] * len(cols)
-            e_s[idx[f"s{i}"]], e_y[idx[f"y{i}"]] = 1.0, 1.0
-            rho = 1.0 / dot(e_y, e_s)
-            beta = rho * dot(e_y, r)
-            r[idx[f"s{i}"]] += alphas[i] - beta
-        e_g = [0.0] * len(cols)
-        e_g[0] = 1.0
-        slope = -dot(e_g, r)  # g·d with d = −r
+        r, used = _two_loop(gram, at, hist, 1e-12)
+        slope = -sum(gram[0][k] * r[k] for k in range(len(cols)))  # g·d with d = −r
         if slope >= 0:  # not a descent direction: restart from steepest descent
-            r, slope, hist = [0.0] * len(cols), -gram[0][0], []
-            r[0] = 1.0
+            r, slope, used = [1.0] + [0.0] * (len(cols) - 1), -gram[0][0], []
+        hist = used
         direction = sum((F.lit(-c) * F.col(cols[k]) for k, c in enumerate(r) if c), F.lit(0.0))
         t = 1.0 if hist else min(1.0, 1.0 / math.sqrt(gram[0][0]))
         for _ in range(max_halvings):
             trial = table.select("feat", (F.col("w") + F.lit(t) * direction).alias("weight"))
-            f_new, g_new = _loss_and_gradient(by_ex, trial, n, small)
+            f_new, g_new, path = _loss_and_gradient(by_ex, trial, n)
             if f_new <= f + c1 * t * slope:
                 break
+            drop(spark, path)
             t *= 0.5
         else:
+            out = Fit(start, False, "line search", it, f)
             break
         slot = hist.pop(0) if len(hist) == memory else next(i for i in range(memory) if i not in hist)
         hist.append(slot)
-        step = F.lit(t) * direction
-        table = (
-            table.join(g_new.withColumnRenamed("grad", "g_new"), "feat", "left")
-            .select("kind", "k1", "k2", "feat", (F.col("w") + step).alias("w"),
-                    F.coalesce("g_new", F.lit(0.0)).alias("g"),
-                    *[(step.alias(c) if c == f"s{slot}" else F.col(c)) for c in slots_s],
-                    *[((F.coalesce("g_new", F.lit(0.0)) - F.col("g")).alias(c) if c == f"y{slot}" else F.col(c))
-                      for c in slots_y])
-        ).checkpoint(eager=True)
-        done = abs(f - f_new) <= tolerance * max(abs(f_new), abs(f), 1e-12)
-        f = f_new
-        if done:
+        step, grad = F.lit(t) * direction, F.coalesce("g_new", F.lit(0.0))
+        fresh = {f"s{slot}": step, f"y{slot}": grad - F.col("g")}
+        new, new_path = store(table.join(g_new.withColumnRenamed("grad", "g_new"), "feat", "left").select(
+            "kind", "k1", "k2", "feat", (F.col("w") + step).alias("w"), grad.alias("g"),
+            *[fresh.get(c, F.col(c)).alias(c) for c in slots]), "lbfgs")
+        drop(spark, path)
+        drop(spark, table_path)
+        table, table_path = new, new_path
+        change, f = abs(f - f_new), f_new
+        if change <= tolerance * max(abs(f), abs(f + change), 1e-12):
+            out = Fit(start, True, "loss", it + 1, f)
             break
-    return table.select("kind", "k1", "k2", "feat", F.col("w").alias("weight"))
+        out = Fit(start, False, "iterations", it + 1, f)
+    out.weights = table.select("kind", "k1", "k2", "feat", F.col("w").alias("weight"))
+    drop(spark, start_path)
+    return out
+
+
+def train_step(features: DataFrame, base: DataFrame, iterations: int, step: float, fraction: float,
+               registry: DataFrame | None = None, batch_dir: str | None = None) -> tuple[DataFrame, str]:
+    """ML-07: one batch's training by its route; the weights and the route taken.
+
+    The base weights come back when there is nothing to train. With a ``batch_dir`` the
+    weights, numbered by ``registry``, are saved there as sparse lines.
+    """
+    from skein.sinks.store import save_sparse_weights
+
+    route = routing(features, iterations, step, fraction).first()["route"]
+    if route == "base":
+        out = base
+    elif route == "lbfgs":
+        out = lbfgs(features, base).weights
+    else:
+        out = sgd(features, base, iterations, step, fraction)
+    if batch_dir is not None:
+        save_sparse_weights(registry.join(out.select("feat", "weight"), "feat"), f"{batch_dir}/sparse_weights")
+    return out, route

@@ -19,20 +19,31 @@ def instances(spark: SparkSession, d: str) -> DataFrame:
     return parse_instances(fx.lines(spark, d), fx.LANG)
 
 
-def window_profiles(spark: SparkSession, d: str) -> DataFrame:
-    """Usable profiles of the 3-day window with a valid category: (article_seq_id, category_idx)."""
-    return P.scan_profiles(fx.art(spark, d), ["category"], since=fx.WINDOW_START_TS, usable_only=True)
+def window_start(batch_ms: int | None = None):
+    """Start of the profile window of a batch: INC-00 from its time."""
+    from skein.operators.incremental import profile_start
+    return fx.WINDOW_START_TS if batch_ms is None else profile_start(batch_ms, -1)
 
 
-def window_tfidf(spark: SparkSession, d: str, profiles: DataFrame | None = None) -> DataFrame:
+def _window(spark: SparkSession, d: str, batch_ms: int | None, keep=()) -> DataFrame:
+    return P.latest_per_key(
+        P.scan_profiles(fx.art_crawls(spark, d), ["category", "crawled_at"], since=window_start(batch_ms), usable_only=True, keep=keep),
+        "article_seq_id", "crawled_at")
+
+
+def window_profiles(spark: SparkSession, d: str, batch_ms: int | None = None) -> DataFrame:
+    """Usable profiles of the 3-day window with a valid category, the latest crawl of each
+    article: (article_seq_id, category_idx)."""
+    return _window(spark, d, batch_ms).select("article_seq_id", "category_idx")
+
+
+def window_tfidf(spark: SparkSession, d: str, batch_ms: int | None = None) -> DataFrame:
     """Content tf-idf (long form) of the window profiles.
 
     The window predicate and the validity rule run before the entity lists are
     exploded, so only the window's articles are tokenised and counted.
     """
-    scanned = P.scan_profiles(fx.art(spark, d), ["category"], since=fx.WINDOW_START_TS, usable_only=True,
-                              keep=["content_name_entities"])
-    return fx.entity_tfidf(scanned, "content")
+    return fx.entity_tfidf(_window(spark, d, batch_ms, keep=["content_name_entities"]), "content")
 
 
 def active_users(spark: SparkSession, d: str) -> DataFrame:

@@ -6,7 +6,7 @@ and everything they depend on, in dependency order. The driver tables are views.
 
 from __future__ import annotations
 
-from skein.constants import CATEGORY_NAMES
+from skein.constants import CATEGORY_NAMES, CUSTOM_CATEGORY_INDEX
 from skein.sources.fixtures import SOURCE_NAMES
 
 
@@ -32,7 +32,7 @@ def enc_city(col: str) -> str:
             f"WHEN 'hhh' THEN 2 END), lambda x: x IS NOT NULL)))")
 
 
-CUSTOM = "['youtubes','sports','cricket','entertainment','auto','technology','lifestyle','health','business','world','politics','education','national','local']"
+CUSTOM = _lst(CUSTOM_CATEGORY_INDEX)
 
 
 def enc_custom(col: str) -> str:
@@ -95,13 +95,22 @@ SELECT article_seq_id, entity, CAST(count(*) AS DOUBLE)/max(n) AS tfidf
 FROM (SELECT article_seq_id, unnest(title_name_entities) AS entity, len(title_name_entities) AS n FROM art)
 GROUP BY 1, 2""", "art")
 
+cte("art_crawls", """
+SELECT * FROM art UNION ALL
+SELECT * REPLACE (crawled_at + INTERVAL 1 DAY AS crawled_at, ['health'] AS category) FROM art
+WHERE CAST(article_seq_id AS BIGINT) % 20 = 3""", "art")
+
+cte("ev_k", """
+SELECT *, CASE WHEN event_id%3=0 THEN k0 ELSE (event_id*31 + k0) % n END AS k
+FROM (SELECT *, CAST(regexp_extract(props,'[0-9]+') AS BIGINT) AS k0, (SELECT count(*) FROM documents) AS n FROM events)""")
+
 cte("lines", """
 SELECT event_id, CASE event_type
  WHEN 'click' THEN '{"user_seq_id":'||user_id||',"article_seq_id":'||k||',"article_type":"article","lang":"en","ts":'||CAST(floor(epoch(ts)) AS BIGINT)||',"source":"'||['main','hot','trending','push'][CAST(event_id%4 AS INT)+1]||'","custom_categories":["sports","local"]}'
- WHEN 'view' THEN '{"user_seq_id":'||user_id||',"article_seq_id":['||k||','||(k+1)%100||','||(k+2)%100||'],"article_type":"'||CASE WHEN event_id%5=0 THEN 'video' ELSE 'article' END||'","lang":"en","ts":1,"subtype":"x","req_mode":"'||CASE WHEN event_id%3=0 THEN 'offline' ELSE 'online' END||'","custom_categories":["cricket"]}'
+ WHEN 'view' THEN '{"user_seq_id":'||user_id||',"article_seq_id":['||k||','||(k+1)%n||','||(k+2)%n||'],"article_type":"'||CASE WHEN event_id%5=0 THEN 'video' ELSE 'article' END||'","lang":"en","ts":1,"subtype":"x","req_mode":"'||CASE WHEN event_id%3=0 THEN 'offline' ELSE 'online' END||'","custom_categories":["cricket"]}'
  WHEN 'error' THEN '{"user_seq_id":'||user_id||',"article_seq_id":'||k||',"lang":"hi","ts":1,"source":"main","custom_categories":[]}'
  ELSE '{"device_id":'||user_id||'}' END AS line
-FROM (SELECT *, CAST(regexp_extract(props,'[0-9]+') AS INT) AS k FROM events)""")
+FROM ev_k""", "ev_k")
 
 cte("topic_lines", """
 SELECT l.event_id, CASE WHEN e.event_type='click' THEN 'click' ELSE 'impression' END AS topic, l.line
@@ -114,9 +123,7 @@ SELECT event_id, '{"user_seq_id":'||user_id||CASE WHEN event_id%4=0 THEN '' ELSE
 FROM events WHERE event_type IN ('click','view')""")
 
 cte("rec_log", """
-SELECT DISTINCT CAST(e.user_id AS VARCHAR) AS "user", CAST(d.doc_id AS VARCHAR) AS item
-FROM (SELECT user_id, CAST(regexp_extract(props,'[0-9]+') AS INT) AS k FROM events WHERE event_type='purchase') e
-JOIN documents d ON d.doc_id%100 = e.k""")
+SELECT DISTINCT CAST(user_id AS VARCHAR) AS "user", CAST(k AS VARCHAR) AS item FROM ev_k WHERE event_type='purchase'""", "ev_k")
 
 cte("user_profile", """
 SELECT CAST(c_custkey AS VARCHAR) AS user_seq_id,
@@ -172,9 +179,10 @@ SELECT DISTINCT user_seq_id AS "user" FROM act WHERE version = 'v1' OR version I
 
 # --- the profile window used by training and ranking (usable, valid category) -------
 cte("prof", f"""
-SELECT article_seq_id, {enc('category')} AS cat FROM art
-WHERE crawled_at > {WINDOW} AND usable AND {no_null('category')}
-  AND article_seq_id IS NOT NULL AND article_seq_id <> ''""", "art")
+SELECT article_seq_id, cat FROM (
+  SELECT article_seq_id, {enc('category')} AS cat, row_number() OVER (PARTITION BY article_seq_id ORDER BY crawled_at DESC) AS rn
+  FROM art_crawls WHERE crawled_at > {WINDOW} AND usable AND {no_null('category')}
+    AND article_seq_id IS NOT NULL AND article_seq_id <> '') WHERE rn = 1""", "art_crawls")
 
 cte("prof_tfidf", """
 SELECT t.article_seq_id, t.entity, t.tfidf FROM art_tfidf t SEMI JOIN prof p ON p.article_seq_id = t.article_seq_id""",
@@ -196,7 +204,8 @@ def sql(body: str, *names: str) -> str:
     body = body.strip()
     if not order:
         return body
-    parts = [f"{n} AS ({CTES[n][0].strip()})" for n in order]
+    # Materialised: the cost does not depend on how the engine inlines them.
+    parts = [f"{n} AS MATERIALIZED ({CTES[n][0].strip()})" for n in order]
     if body[:5].upper() == "WITH ":
         # The body has CTEs of its own: one WITH clause holds both lists.
         return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
@@ -217,7 +226,9 @@ SELECT DISTINCT i."user", t.entity FROM (SELECT DISTINCT "user", item FROM inst)
 JOIN prof_tfidf t ON t.article_seq_id = i.item""", "inst", "prof_tfidf")
 
 cte("st_ue", """
-SELECT "user", entity, ((CAST("user" AS BIGINT)*5 + length(entity)*3)%21 - 10)/100.0 AS weight FROM ue_set""", "ue_set")
+SELECT "user", entity, ((CAST("user" AS BIGINT)*5 + length(entity)*3)%21 - 10)/100.0 AS weight
+FROM (SELECT "user", entity FROM ue_set UNION
+  SELECT CAST(c_custkey AS VARCHAR), unnest(['the', 'The', 'tag'||c_custkey%7]) FROM customer)""", "ue_set")
 
 cte("state", """
 SELECT 'g' AS kind, CAST(c AS VARCHAR) AS k1, '' AS k2, weight FROM st_global

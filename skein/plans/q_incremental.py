@@ -10,10 +10,9 @@ from skein.config import scratch_path
 from skein.constants import PROFILE_WINDOW_MS
 from skein.functions import encode as E
 from skein.functions.text import epoch_ms, r6, tsv_key
-from skein.operators import features as FT
 from skein.operators import incremental as INC
 from skein.plans import common as C
-from skein.plans.oracle_ctes import LAST, enc, idx_str, no_null, r6 as R6, fmt6, sql, vsum
+from skein.plans.oracle_ctes import LAST, enc, idx_str, no_null, r6 as R6, sql, vsum
 from skein.plans.registry import query
 from skein.plans.scenario import Scenario
 from skein.sinks import store as ST
@@ -71,19 +70,20 @@ def user_dict_upsert(spark, d):
 
 
 def _article_dict(spark, d, fields, inclusive, since_old, last, start):
-    a = fx.art(spark, d)
-    old = P.scan_profiles(a, fields + ["crawled_at"], since=since_old, inclusive=inclusive)
-    old = old.where(F.col("crawled_at") <= F.lit(last).cast("timestamp_ntz")).drop("crawled_at")
-    upd = P.scan_profiles(a, fields, since=start, inclusive=inclusive)
-    return INC.upsert(old, upd, "article_seq_id")
+    """The dictionary at ``last`` and the rescan from ``start``, each article by its latest crawl."""
+    a = fx.art_crawls(spark, d)
+    scan = lambda since: P.scan_profiles(a, fields + ["crawled_at"], since=since, inclusive=inclusive)
+    old = scan(since_old).where(F.col("crawled_at") <= F.lit(last).cast("timestamp_ntz"))
+    return INC.upsert(P.latest_per_key(old, "article_seq_id", "crawled_at"), scan(start), "article_seq_id", "crawled_at")
 
 
 def _dict_sql(select_cols, valid, op, since_old, last, start):
+    latest = "QUALIFY row_number() OVER (PARTITION BY article_seq_id ORDER BY crawled_at DESC) = 1"
     return sql(f"""
-WITH old AS (SELECT * FROM art WHERE crawled_at {op} TIMESTAMP '{since_old}' AND crawled_at <= TIMESTAMP '{last}' AND {valid}),
-upd AS (SELECT * FROM art WHERE crawled_at {op} TIMESTAMP '{start}' AND {valid})
+WITH old AS (SELECT * FROM art_crawls WHERE crawled_at {op} TIMESTAMP '{since_old}' AND crawled_at <= TIMESTAMP '{last}' AND {valid} {latest}),
+upd AS (SELECT * FROM art_crawls WHERE crawled_at {op} TIMESTAMP '{start}' AND {valid} {latest})
 SELECT {select_cols} FROM upd
-UNION ALL SELECT {select_cols} FROM old WHERE article_seq_id NOT IN (SELECT article_seq_id FROM upd)""", "art")
+UNION ALL SELECT {select_cols} FROM old WHERE article_seq_id NOT IN (SELECT article_seq_id FROM upd)""", "art_crawls")
 
 
 CAT_VALID = no_null("category") + " AND article_seq_id <> ''"
@@ -178,25 +178,20 @@ def last_per_key(spark, d):
     return out.select("key", epoch_ms(F.col("ts")).alias("ts_ms"), "value")
 
 
-def _updates(s: Scenario):
-    return FT.write_back(s.trained(2, 1.0, 1.0))
-
-
 @query("state_snapshot", sql(f"""
-WITH upd AS (SELECT kind, k1, k2, weight FROM w2 WHERE kind <> 't' OR weight > 0)
-SELECT kind, k1, k2, {R6('weight')} AS weight FROM upd
+SELECT kind, k1, k2, {R6('weight')} AS weight FROM w2 WHERE kind <> 't' OR weight > 0
 UNION ALL SELECT kind, k1, k2, {R6('weight')} FROM state s
-WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.kind = s.kind AND u.k1 = s.k1)""", "w2", "state"))
+WHERE NOT EXISTS (SELECT 1 FROM w2 u WHERE u.kind = s.kind AND u.k1 = s.k1 AND u.k2 = s.k2)""", "w2", "state"))
 def state_snapshot(spark, d):
-    """INC-06: write updates, carry over untouched keys, into a new state version."""
+    """INC-06: replace the trained keys, carry over the others, into a new state version."""
     s = Scenario(spark, d)
-    snap = INC.snapshot(s.state, _updates(s))
+    snap = INC.snapshot(s.state, s.trained(2, 1.0, 1.0))
     path = INC.write_version(snap, scratch_path(spark, "state"), "state", "1")
     return spark.read.parquet(path).select("kind", "k1", "k2", r6(F.col("weight")).alias("weight"))
 
 
 @query("keep_untouched", sql(f"""
-SELECT "user"||chr(9)||CAST(c AS VARCHAR)||chr(9)||{fmt6('weight')} AS value FROM st_user
+SELECT "user"||chr(9)||CAST(c AS VARCHAR)||chr(9)||CAST(weight AS VARCHAR) AS value FROM st_user
 WHERE "user" NOT IN (SELECT "user" FROM inst)""", "st_user", "inst"))
 def keep_untouched(spark, d):
     """JN-04: old state lines whose key (first TSV field) this batch did not update."""

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skein.config import broadcast_if_small
 from skein.functions import encode as E
 from skein.functions.explain import explain_agg
 from skein.functions.text import r6
@@ -76,8 +75,8 @@ def active_features(spark, d):
 @query("exists", sql("SELECT count(*) > 0 AS any_row, coalesce(max(label) > 0, false) AS any_positive FROM ex", "ex"))
 def exists_(spark, d):
     """AGG-08: is there any training row / any positive row."""
-    ex = Scenario(spark, d).examples
-    return ex.agg((F.count(F.lit(1)) > 0).alias("any_row"),
+    from skein.plans.common import instances
+    return instances(spark, d).agg((F.count(F.lit(1)) > 0).alias("any_row"),
                   F.coalesce(F.max(F.col("label")) > 0, F.lit(False)).alias("any_positive"))
 
 
@@ -106,19 +105,24 @@ def sgd_train(spark, d):
 
 @query("lbfgs_train")
 def lbfgs_train(spark, d):
-    """ML-06: warm-start L-BFGS, distributed (rows-only check; the optimum is tested against MLlib)."""
+    """ML-06: warm-start L-BFGS to its tolerance, distributed (rows-only check; the optimum is
+    tested against MLlib)."""
     s = Scenario(spark, d)
-    f = s.features().checkpoint(eager=True)
-    w = TR.lbfgs(f, s.initial_weights(f), iterations=10, memory=5)
-    return w.select("feat", r6(F.col("weight")).alias("weight"))
+    fit = TR.lbfgs(s.features(), s.initial_weights())
+    return fit.weights.select("feat", r6(F.col("weight")).alias("weight"), F.lit(fit.converged).alias("converged"))
 
 
-@query("train_routing", sql("""
-SELECT CAST(coalesce(sum(mult), 0) AS BIGINT) AS n_examples, coalesce(max(label) > 0, false) AS has_positive,
-  CASE WHEN coalesce(sum(mult), 0) = 0 THEN 'base' ELSE 'sgd' END AS route FROM ex""", "ex"))
+@query("train_routing", sql(f"""
+SELECT n_examples, has_positive, CASE WHEN n_examples = 0 THEN 'base' ELSE 'sgd' END AS route,
+  (SELECT count(*) FROM w2) AS n_weights, (SELECT {R6('sum(weight)')} FROM w2) AS weight_sum
+FROM (SELECT CAST(coalesce(sum(mult), 0) AS BIGINT) AS n_examples, coalesce(max(label) > 0, false) AS has_positive FROM ex)""", "ex", "w2"))
 def train_routing(spark, d):
-    """ML-07: which trainer runs (base / sgd / lbfgs) for the batch's examples."""
-    return TR.routing(Scenario(spark, d).features(), ITER, STEP, FRACTION)
+    """ML-07: the trainer that the batch's examples route to (base / sgd / lbfgs), run."""
+    s = Scenario(spark, d)
+    w, _ = TR.train_step(s.features(), s.initial_weights(), ITER, STEP, FRACTION)
+    done = w.agg(F.count(F.lit(1)).alias("n_weights"), r6(F.sum("weight")).alias("weight_sum"))
+    return TR.routing(s.features(), ITER, STEP, FRACTION).select(
+        "*", *[done.select(c).scalar().alias(c) for c in done.columns])
 
 
 @query("weights_write_back", sql(f"SELECT kind, k1, k2, {R6('weight')} AS weight FROM w2 WHERE kind <> 't' OR weight > 0", "w2"))
@@ -162,7 +166,7 @@ def candidate_topn(spark, d):
 def candidate_semi(spark, d):
     """JN-05: window profiles whose id is among the candidates."""
     s = Scenario(spark, d)
-    p = s.profiles.join(F.broadcast(s.candidates().select(F.col("item").alias("article_seq_id"))), "article_seq_id", "left_semi")
+    p = s.profiles.join(s.candidates().select(F.col("item").alias("article_seq_id")), "article_seq_id", "left_semi")
     return p.select("article_seq_id", E.idx_string("category_idx").alias("category_idx"))
 
 
@@ -180,7 +184,7 @@ def tag_whitelist(spark, d):
     """JN-07: user-tag weights of active users, only for tags present among candidates."""
     s = Scenario(spark, d)
     tags = RK.candidate_tags(s.candidates(), s.tfidf).select("entity").distinct()
-    ue = s.user_entity_w.join(s.users(), "user", "left_semi").join(broadcast_if_small(tags), "entity", "left_semi")
+    ue = s.user_entity_w.join(s.users(), "user", "left_semi").join(tags, "entity", "left_semi")
     return ue.select("user", "entity", r6(F.col("weight")).alias("weight"))
 
 

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from skein.config import scratch_path
+from skein.config import scratch_path, store
 from skein.functions.text import batch_path, fmt6, key_template, r6, tsv_key
 from skein.operators import features as FT
 from skein.plans import common as C
@@ -84,7 +84,7 @@ def sparse_weights_load(spark, d):
     """SRC-24: read sparse weight lines back into a vector of the registry's length (densified)."""
     s = Scenario(spark, d)
     path = scratch_path(spark, "sparse")
-    iw = _indexed_weights(s).checkpoint()
+    iw = store(_indexed_weights(s), "indexed")[0]
     ST.save_sparse_weights(iw, path)
     length = iw.count()
     return ST.load_sparse_weights(spark, path, length).select("idx", r6(F.col("weight")).alias("weight"))
@@ -175,7 +175,7 @@ def _ue_lines(s: Scenario):
     return ST.state_lines(s.user_entity_w, ["user", "entity", "weight"])
 
 
-UE_LINE = f'"user"||chr(9)||entity||chr(9)||{F6("weight")}'
+UE_LINE = '"user"||chr(9)||entity||chr(9)||CAST(weight AS VARCHAR)'
 
 
 @query("sized_output", sql(f"""
@@ -187,7 +187,7 @@ def sized_output(spark, d):
 
 
 @query("total_bytes", sql(f"""
-SELECT CAST(coalesce(sum(length("user"||chr(9)||CAST(c AS VARCHAR)||chr(9)||{F6('weight')}) + 1), 0) AS BIGINT) AS total_bytes
+SELECT CAST(coalesce(sum(length("user"||chr(9)||CAST(c AS VARCHAR)||chr(9)||CAST(weight AS VARCHAR)) + 1), 0) AS BIGINT) AS total_bytes
 FROM st_user""", "st_user"))
 def total_bytes(spark, d):
     """AGG-06: Σ(line length + 1) of the user-category state lines."""

@@ -1,10 +1,10 @@
 """The training and ranking scenario shared by the model queries.
 
 Base inputs of a batch (instances, window profiles, their tf-idf, the user-entity
-sets) are materialised once, on first use, with a reliable checkpoint in the
-shared folder: every later branch of the plan reads them instead of re-parsing
-events and re-tokenising texts, and the lineage is cut (the original persists
-its profile set per refresh for the same reason).
+sets, features, state) are written once, on first use, as Parquet in the shared
+folder: every later branch of the plan reads the columns it needs instead of
+re-parsing events and re-tokenising texts, and the lineage is cut (the original
+persists its profile set per refresh for the same reason).
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.config import checkpoint_root
+from skein.config import store
 from skein.operators import features as FT
 from skein.operators import rank as RK
 from skein.plans import common as C
@@ -23,22 +23,21 @@ from skein.sources import fixtures as fx
 class Scenario:
     def __init__(self, spark: SparkSession, d: str):
         self.spark, self.d = spark, d
-        checkpoint_root(spark)
         self.global_w = fx.state_global(spark)
         self.user_w = fx.state_user_inferred(spark, d)
         self.item_w = fx.state_item_inferred(spark, d)
 
     @cached_property
     def instances(self) -> DataFrame:
-        return C.instances(self.spark, self.d).checkpoint(eager=True)
+        return store(C.instances(self.spark, self.d), "instances")[0]
 
     @cached_property
     def profiles(self) -> DataFrame:
-        return C.window_profiles(self.spark, self.d).checkpoint(eager=True)
+        return store(C.window_profiles(self.spark, self.d), "profiles")[0]
 
     @cached_property
     def tfidf(self) -> DataFrame:
-        return C.window_tfidf(self.spark, self.d).checkpoint(eager=True)
+        return store(C.window_tfidf(self.spark, self.d), "tfidf")[0]
 
     @cached_property
     def examples(self) -> DataFrame:
@@ -52,25 +51,31 @@ class Scenario:
 
     @cached_property
     def user_entity_w(self) -> DataFrame:
-        return fx.state_user_entity(self.user_entities)
+        # The batch's tags and those from earlier batches, of all users.
+        return fx.state_user_entity(self.user_entities.unionByName(fx.old_user_tags(self.spark, self.d)).distinct())
 
     @cached_property
     def state(self) -> DataFrame:
-        return FT.state_long(self.global_w, self.user_w, self.item_w, self.user_entity_w)
+        """The model state as one stored table: it is read for the gather and for the snapshot."""
+        return store(FT.state_long(self.global_w, self.user_w, self.item_w, self.user_entity_w), "state")[0]
 
     # --- training ---------------------------------------------------------------
+    @cached_property
+    def _features(self) -> DataFrame:
+        return store(FT.train_features(self.examples, self.profiles, self.tfidf, fx.ENTITY_SCALAR), "features")[0]
+
     def features(self) -> DataFrame:
-        return FT.train_features(self.examples, self.profiles, self.tfidf, fx.ENTITY_SCALAR)
+        """The batch's features, stored once for every reader."""
+        return self._features
 
     def initial_weights(self, features: DataFrame | None = None) -> DataFrame:
         f = features if features is not None else self.features()
         return FT.gather_weights(FT.batch_symbols(f), self.state)
 
     def trained(self, iterations: int = 2, step: float = 1.0, fraction: float = 1.0, tol: float = 0.0) -> DataFrame:
-        """Warm-start SGD over features materialised once (checkpoint) and reused."""
+        """Warm-start SGD over the stored features."""
         from skein.operators import train as TR
-        f = TR.partition_by_example(self.features())
-        return TR.sgd(f, self.initial_weights(f), iterations, step, fraction, convergence_tol=tol, partitioned=True)
+        return TR.sgd(self.features(), self.initial_weights(), iterations, step, fraction, convergence_tol=tol)
 
     # --- ranking ----------------------------------------------------------------
     def prescored(self) -> DataFrame:
@@ -78,12 +83,12 @@ class Scenario:
 
     @cached_property
     def _candidates(self) -> DataFrame:
-        # At most N rows, read by several branches and the pair expansion: materialised once.
-        return RK.top_candidates(self.prescored(), fx.N_CANDIDATES).checkpoint(eager=True)
+        # At most N rows, read by several branches and the pair expansion: stored once.
+        return store(RK.top_candidates(self.prescored(), fx.N_CANDIDATES, rounded=True), "candidates")[0]
 
     def candidates(self, explain: bool = False) -> DataFrame:
         if explain:
-            return RK.top_candidates(self.prescored(), fx.N_CANDIDATES, self.global_w)
+            return RK.top_candidates(self.prescored(), fx.N_CANDIDATES, self.global_w, rounded=True)
         return self._candidates
 
     def users(self) -> DataFrame:
@@ -95,7 +100,7 @@ class Scenario:
                                      RK.candidate_tags(cands, self.tfidf), fx.ENTITY_SCALAR)
 
     def scored(self, explain: bool = False) -> DataFrame:
-        return RK.score_pairs(self.contributions(), explain)
+        return RK.score_pairs(self.contributions(), explain, rounded=True)
 
     def unshown(self, explain: bool = False) -> DataFrame:
         return RK.exclude_shown(self.scored(explain), fx.rec_log(self.spark, self.d), self.candidates())

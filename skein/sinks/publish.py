@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.constants import HOUR_SECONDS
-from skein.functions.text import fmt6, key_template
+from skein.functions.text import fmt6, key_template, r6
 
 
 def publish(old: DataFrame, batch_users: DataFrame, new_rows: DataFrame, batch_ms: int, expire_hours: int,
@@ -46,9 +46,7 @@ def json_payload(df: DataFrame, key: Column, fields: list[str]) -> DataFrame:
 
 def fixed_payload(df: DataFrame, key: Column) -> DataFrame:
     """SNK-11 serializer with fixed six-decimal scores (stable text across consumers)."""
-    value = F.concat(
-        F.lit('{"user":"'), F.col("user"), F.lit('","item":"'), F.col("item"), F.lit('","rank":'),
-        F.col("rank").cast("string"), F.lit(',"score":'), fmt6(F.col("score")), F.lit("}"))
+    value = F.to_json(F.struct("user", "item", "rank", r6(F.col("score")).cast("decimal(38,6)").alias("score")))
     return df.select(key.cast("string").alias("key"), value.alias("value"))
 
 
@@ -85,24 +83,33 @@ def publication_rows(batch_users: DataFrame, new_rows: DataFrame, batch_ms: int,
     return new.unionByName(tomb)
 
 
-def current_lists(log: DataFrame) -> DataFrame:
-    """The published lists now in force: for each user, the rows of the latest batch that touched it.
+def current_lists(log: DataFrame, now_ms: int | None = None) -> DataFrame:
+    """The published lists in force: for each user, the rows of the latest batch that touched
+    it, without those that have expired by ``now_ms`` (an expired list hides older ones too).
 
     ``log`` carries a ``batch_id`` column (the partition directory of each append). The
     per-user max combines map-side; the result is also what a compaction writes back.
     """
     latest = log.groupBy("user").agg(F.max("batch_id").alias("batch_id"))
-    return log.join(latest, ["user", "batch_id"]).where(F.col("item").isNotNull()).drop("batch_id")
+    rows = log.join(latest, ["user", "batch_id"]).where(F.col("item").isNotNull()).drop("batch_id")
+    return rows if now_ms is None else rows.where(F.col("expires_ms") > now_ms)
 
 
-def compact(log: DataFrame, upto_batch: int, path: str) -> str:
+def compact(log: DataFrame, upto_batch: int, path: str, now_ms: int | None = None) -> str:
     """Fold the log's batches ``<= upto_batch`` into one base partition under ``path``.
 
-    The base holds the lists in force at ``upto_batch`` (users with an empty list drop
-    out); later batches appended under the same root still win per user, so
-    ``current_lists`` over ``base + later batches`` equals it over the full log.
+    The base holds the lists in force at ``upto_batch`` and not expired (users with an
+    empty list drop out); later batches appended under the same root still win per user,
+    so ``current_lists`` over ``base + later batches`` equals it over the full log.
     """
-    base = current_lists(log.where(F.col("batch_id") <= upto_batch))
+    base = current_lists(log.where(F.col("batch_id") <= upto_batch), now_ms)
     out = f"{path}/batch_id={upto_batch}"
     base.write.mode("overwrite").parquet(out)
     return out
+
+
+def publish_model(spark, pointers: str, model_key: str, path: str, published_ms: int) -> None:
+    """Append one row to the pointer table: ``path`` is the newest model of ``model_key``."""
+    row = spark.range(1).select(F.lit(model_key).alias("model_key"), F.lit(published_ms).cast("bigint").alias("published_at"),
+                                F.lit(path).alias("path"))
+    row.write.mode("append").parquet(pointers)

@@ -1,8 +1,8 @@
 """File formats of the model store: registry lines, dense and sparse weights, text lines.
 
 Readers and writers are Spark jobs over the files; nothing is collected to the
-driver. Output sizing follows the original constants through ``maxRecordsPerFile``
-and ``coalesce``.
+driver. Output sizing follows the original constants through ``maxRecordsPerFile``;
+carried-over state is sized by adaptive execution.
 """
 
 from __future__ import annotations
@@ -88,10 +88,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def state_lines(rows: DataFrame, cols: list[str]) -> DataFrame:
-    """State rows as ``key<TAB>rest`` text lines."""
-    from skein.functions.text import fmt6
-    parts = [F.col(c).cast("string") for c in cols[:-1]] + [fmt6(F.col(cols[-1]))]
-    return rows.select(F.concat_ws("\t", *parts).alias("value"))
+    """State rows as ``key<TAB>rest`` text lines, weights in full precision."""
+    return rows.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in cols]).alias("value"))
 
 
 def total_bytes(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -106,8 +104,8 @@ def sized_output(lines: DataFrame, col: str = "value", bytes_per_file: int = STA
 
 
 def filter_save(lines: DataFrame, touched_keys: DataFrame, path: str, key_col: str = "key") -> None:
-    """Carry over state lines whose TSV key was not touched, sized by bytes (the original filterSave)."""
+    """Carry over state lines whose TSV key was not touched (the original filterSave); adaptive
+    execution sizes the files by the bytes of the join's result."""
     keyed = lines.withColumn("__k", tsv_key(F.col("value")))
     kept = keyed.join(touched_keys.select(F.col(key_col).alias("__k")).distinct(), "__k", "left_anti").select("value")
-    n = sized_output(kept).first()["n_files"]
-    kept.coalesce(int(n)).write.mode("overwrite").text(path)
+    kept.hint("rebalance").write.mode("overwrite").text(path)

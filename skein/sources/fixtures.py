@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.constants import CATEGORY_NAMES
 from skein.functions.text import epoch_s
 
 # Fixed parameters of the test scenario.
@@ -27,12 +28,8 @@ RESULT_TEMPLATE = "rec:%s"
 EXPIRE_HOURS = 6
 MODEL_KEY = "model_click"
 
-# Names of the 20 document sources: the first 13 are the known categories.
-SOURCE_NAMES = [
-    "others", "sports", "cricket", "entertainment", "auto", "technology", "lifestyle",
-    "health", "business", "world", "politics", "education", "national", "photo",
-    "video", "joke", "local", "quiz", "deal", "misc",
-]
+# Names of the 20 document sources: the known categories and seven others.
+SOURCE_NAMES = [*CATEGORY_NAMES, "photo", "video", "joke", "local", "quiz", "deal", "misc"]
 
 DATA_START_TS = dt.datetime(2024, 1, 1)
 
@@ -41,14 +38,20 @@ def _data_start() -> F.Column:
     return F.lit(DATA_START_TS).cast("timestamp_ntz")
 
 
-# Tables whose rows carry per-row work heavy enough to spread over all cores.
+# Tables whose rows carry heavy work; a bench over single-file tables may spread them.
 HEAVY = {"documents", "events"}
+SPREAD_CONF = "skein.fixtures.partitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from skein.config import spread
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in HEAVY else df
+    parts = spark.conf.get(SPREAD_CONF, None)
+    return df.repartition(int(parts)) if parts and name in HEAVY else df
+
+
+def n_documents(spark: SparkSession, sf_dir: str) -> int:
+    """Number of documents, over which event article ids are spread."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").count()
 
 
 def _hours_after_start(n) -> F.Column:
@@ -121,24 +124,33 @@ def entity_tfidf(profiles: DataFrame, kind: str = "content") -> DataFrame:
     )
 
 
-def art_tfidf(spark: SparkSession, sf_dir: str, kind: str = "content") -> DataFrame:
-    return entity_tfidf(art(spark, sf_dir), kind)
+def recrawled(profiles: DataFrame) -> DataFrame:
+    """Later crawls of some articles: a day on, under another category."""
+    again = profiles.where(F.col("article_seq_id").cast("bigint") % 20 == 3)
+    return again.withColumn("crawled_at", F.timestamp_add("DAY", F.lit(1), F.col("crawled_at"))).withColumn(
+        "category", F.array(F.lit("health")))
 
 
-def _events_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").withColumn(
-        "k", F.regexp_extract("props", "[0-9]+", 0).cast("int")
-    )
+def art_crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile collection with articles that were crawled twice."""
+    a = art(spark, sf_dir)
+    return a.unionByName(recrawled(a))
+
+
+def article_of(n_docs: int) -> F.Column:
+    """Article of an event: a third of the events meet 100 hot articles, the others any document."""
+    k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
+    return F.when(F.col("event_id") % 3 == 0, k.cast("bigint")).otherwise((F.col("event_id") * 31 + k) % n_docs)
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event lines (event_id, line): reads, refreshes, foreign-language reads, non-user lines."""
-    return lines_from_events(table(spark, sf_dir, "events"))
+    return lines_from_events(table(spark, sf_dir, "events"), n_documents(spark, sf_dir))
 
 
-def lines_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def lines_from_events(events: DataFrame, n_docs: int, keep: tuple[str, ...] = ()) -> DataFrame:
     """The event-line encoding of ``events`` rows (works on batch and streaming frames)."""
-    e = events.withColumn("k", F.regexp_extract("props", "[0-9]+", 0).cast("int"))
+    e = events.withColumn("k", article_of(n_docs))
     uid = F.col("user_id").cast("string")
     k = F.col("k").cast("string")
     src = F.element_at(F.array(*[F.lit(s) for s in ("main", "hot", "trending", "push")]),
@@ -150,7 +162,7 @@ def lines_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
     )
     view = F.concat(
         F.lit('{"user_seq_id":'), uid, F.lit(',"article_seq_id":['), k, F.lit(","),
-        ((F.col("k") + 1) % 100).cast("string"), F.lit(","), ((F.col("k") + 2) % 100).cast("string"),
+        ((F.col("k") + 1) % n_docs).cast("string"), F.lit(","), ((F.col("k") + 2) % n_docs).cast("string"),
         F.lit('],"article_type":"'),
         F.when(F.col("event_id") % 5 == 0, F.lit("video")).otherwise(F.lit("article")),
         F.lit('","lang":"en","ts":1,"subtype":"x","req_mode":"'),
@@ -173,8 +185,8 @@ def lines_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
 
 def lines_with_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with the topic they arrive on: clicks on one, everything else on impressions."""
-    e = table(spark, sf_dir, "events").select("event_id", "event_type")
-    return lines(spark, sf_dir).join(e, "event_id").select(
+    e = lines_from_events(table(spark, sf_dir, "events"), n_documents(spark, sf_dir), keep=("event_type",))
+    return e.select(
         "event_id",
         F.when(F.col("event_type") == "click", F.lit("click")).otherwise(F.lit("impression")).alias("topic"),
         "line",
@@ -201,14 +213,10 @@ def actions_from_events(events: DataFrame) -> DataFrame:
 
 
 def rec_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items already shown: (user, item), distinct."""
-    e = _events_k(spark, sf_dir).where(F.col("event_type") == "purchase").select("user_id", "k")
-    d = table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 100).cast("int").alias("k"))
-    return (
-        e.join(d, "k")
-        .select(F.col("user_id").cast("string").alias("user"), F.col("doc_id").cast("string").alias("item"))
-        .distinct()
-    )
+    """Items already shown: (user, item), one row per purchase at most."""
+    e = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    return e.select(F.col("user_id").cast("string").alias("user"),
+                    article_of(n_documents(spark, sf_dir)).cast("string").alias("item")).distinct()
 
 
 def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,8 +280,15 @@ def state_item_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def old_user_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags that every known user (customer) holds from earlier batches."""
+    tag = F.concat(F.lit("tag"), (F.col("c_custkey") % 7).cast("string"))
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("user"), F.explode(F.array(F.lit("the"), F.lit("The"), tag)).alias("entity"))
+
+
 def state_user_entity(user_entities: DataFrame) -> DataFrame:
-    """User-tag weights for each (user, entity) of the user-entity sets."""
+    """User-tag weights for each (user, entity)."""
     return user_entities.select(
         "user", "entity",
         ((((F.col("user").cast("bigint") * 5 + F.length("entity") * 3) % 21) - 10) / 100.0).alias("weight"),

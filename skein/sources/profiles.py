@@ -12,6 +12,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skein.functions import encode as E
 
@@ -39,7 +40,7 @@ def time_filter(df: DataFrame, since, inclusive: bool = False, col: str = "crawl
     return df.where(c >= _ts(since) if inclusive else c > _ts(since))
 
 
-def _checks(fields: Iterable[str]) -> tuple[list[Column], list[tuple[str, Column]]]:
+def _checks(fields: Iterable[str], schema: T.StructType) -> tuple[list[Column], list[tuple[str, Column]]]:
     """Projections and (reason, failed-predicate) pairs for the requested fields."""
     cols: list[Column] = []
     bad: list[tuple[str, Column]] = []
@@ -55,11 +56,12 @@ def _checks(fields: Iterable[str]) -> tuple[list[Column], list[tuple[str, Column
             bad.append((f, src.isNull() | E.has_null_element(src)))
         elif f in TFIDF_FIELDS:
             src = F.col(TFIDF_FIELDS[f])
-            vals = F.transform_values(src, lambda k, v: v.cast("string").try_cast("double"))
+            kind = schema[TFIDF_FIELDS[f]].dataType
+            vals = F.transform_values(src, lambda k, v: E.as_number(v, kind.valueType))
             cols.append(vals.alias(f))
             bad.append((f, src.isNull() | F.exists(F.map_values(vals), lambda v: v.isNull())))
         elif f in VECTOR_FIELDS:
-            parsed = E.parse_vector(F.col(f))
+            parsed = E.parse_vector(F.col(f), schema[f].dataType.elementType)
             cols.append(parsed.alias(f))
             bad.append((f, F.col(f).isNull() | E.has_null_element(parsed)))
         elif f == "crawled_at":
@@ -86,7 +88,7 @@ def scan_profiles(profiles: DataFrame, fields: Iterable[str], since=None, inclus
                   id_col: str = "article_seq_id", keep: Iterable[str] = ()) -> DataFrame:
     """Valid profile rows: ``id_col`` plus the coerced ``fields`` (and raw ``keep`` columns)."""
     fields = list(fields)
-    cols, bad = _checks(fields)
+    cols, bad = _checks(fields, profiles.schema)
     from skein.operators.instances import keep_where
 
     # Time, usable and id set are plain predicates: they reach the file scan (PushedFilters).
@@ -102,7 +104,7 @@ def scan_profiles(profiles: DataFrame, fields: Iterable[str], since=None, inclus
 def rejected_profiles(profiles: DataFrame, fields: Iterable[str], since=None, inclusive: bool = False,
                       usable_only: bool = False, id_col: str = "article_seq_id") -> DataFrame:
     """Rows a scan drops, with the first failing field as the reason (PRJ-02)."""
-    _, bad = _checks(list(fields))
+    _, bad = _checks(list(fields), profiles.schema)
     df = _filtered(profiles, since, inclusive, usable_only, None)
     reason = F.when(F.col(id_col).isNull() | (F.col(id_col).cast("string") == ""), F.lit("id"))
     for name, b in bad:
@@ -112,19 +114,25 @@ def rejected_profiles(profiles: DataFrame, fields: Iterable[str], since=None, in
     )
 
 
+def _sortable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _sortable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_sortable(f.dataType) for f in dtype)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
+
+
 def latest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
-    """One row per key: greatest ``order_col``, then greatest row text (Q5, AGG-09).
+    """One row per key: greatest ``order_col``, then the greatest other values (Q5, AGG-09).
 
-    A plain aggregate with ``max(struct)``, so it combines map-side and a hot key
-    does not pile up in one task.
+    A plain aggregate, so it combines map-side and a hot key does not pile up in one
+    task. Columns without an order (maps) break ties by their text.
     """
     others = [c for c in df.columns if c not in (key, order_col)]
-    packed = F.struct(F.col(order_col).alias("__o"), F.to_json(F.struct(*others)).alias("__t"),
-                      *[F.col(c) for c in others])
-    return (
-        df.groupBy(key).agg(F.max(packed).alias("__m"))
-        .select(key, F.col("__m.__o").alias(order_col), *[F.col(f"__m.{c}").alias(c) for c in others])
-    )
+    tie = [F.col(c) if _sortable(df.schema[c].dataType) else F.to_json(F.struct(c)) for c in others]
+    rank = F.struct(F.col(order_col), *[t.alias(f"t{i}") for i, t in enumerate(tie)])
+    best = F.max_by(F.struct(F.col(order_col), *[F.col(c) for c in others]), rank)
+    return df.groupBy(key).agg(best.alias("__m")).select(key, *[F.col(f"__m.{c}").alias(c) for c in (order_col, *others)])
 
 
 # --- presets (the original query functions) ----------------------------------------

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skein.constants import BATCH_DIR_PATTERN
 from skein.operators.instances import parse_instances
@@ -24,16 +27,28 @@ def batch_dir(base: str, when: dt.datetime, tag: str | None = None) -> str:
     return f"{path}/{tag}" if tag else path
 
 
-def dump_instances(output_dir: str | None):
+def batch_time(spark: SparkSession, root: str, batch_id: int, now_ms: Callable[[], int]) -> int:
+    """The time of a micro-batch: taken once, stored under ``root``, and read again when the
+    batch is retried, so that a retry writes where the first attempt wrote."""
+    path = f"{root}/_times/batch_id={batch_id}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        spark.range(1).select(F.lit(now_ms()).cast("bigint").alias("ms")).write.mode("overwrite").parquet(path)
+    return spark.read.schema("ms bigint").parquet(path).first()["ms"]
+
+
+def dump_instances(output_dir: str | None, now_ms: Callable[[], int] = lambda: int(time.time() * 1000)):
     """SNK-05: a ``foreachBatch`` handler writing each batch's instances below its batch path.
 
-    The batch id names the leaf so a retried batch overwrites its own output.
+    The path holds the stored time of the batch and its id: a retried batch overwrites its
+    own output.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if output_dir is None:
             return
-        when = dt.datetime.now(dt.timezone.utc)
+        ms = batch_time(batch.sparkSession, output_dir, batch_id, now_ms)
+        when = dt.datetime.fromtimestamp(ms / 1000, dt.timezone.utc)
         batch.write.mode("overwrite").parquet(f"{batch_dir(output_dir, when)}/data/instance/batch={batch_id}")
 
     return handle

@@ -4,26 +4,31 @@ Each ``foreachBatch`` call runs one DataFrame plan for the batch's distinct user
 (per-batch ``distinct``, not stateful de-duplication, Q8). Publications go to an
 append-only log partitioned by batch id: a batch writes only its own users' rows
 (and tombstones) into ``batch_id=<id>``, overwriting that directory if the batch is
-retried, so delivery is idempotent. ``current_lists`` gives the lists in force.
+retried, so delivery is idempotent; the batch's time is stored with it, so a retry has the
+same one. ``current_lists`` gives the lists in force.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.operators import instances as I
 from skein.operators import rank as RK
-from skein.sinks.publish import current_lists, publication_rows
+from skein.operators.incremental import profile_start
+from skein.sinks.publish import current_lists, latest_model_path, publication_rows, rec_feature_blocks
+from skein.sinks.store import save_lines
+from skein.streaming.instances import batch_dir, batch_time
 
 
-def refresh_due(batch_ms: Column, last_ms: Column, interval_ms: int) -> Column:
-    """STR-04: first batch (``last < 0``) or ``batch − last >= interval``."""
-    return (last_ms < 0) | (batch_ms - last_ms >= F.lit(interval_ms))
+def refresh_due(batch_ms, last_ms, interval_ms: int):
+    """STR-04: first batch (``last < 0``) or ``batch − last >= interval``; on columns or numbers."""
+    return (last_ms < 0) | (batch_ms - last_ms >= interval_ms)
 
 
 def active_users(actions: DataFrame, version: str, col: str = "line") -> DataFrame:
@@ -33,7 +38,7 @@ def active_users(actions: DataFrame, version: str, col: str = "line") -> DataFra
 
 @dataclass
 class Model:
-    """What a refresh loads: window profiles, their tf-idf, candidates, and the state tables."""
+    """What a batch ranks with: window profiles, their tf-idf, candidates, and the state tables."""
     profiles: DataFrame
     tfidf: DataFrame
     global_w: DataFrame
@@ -45,6 +50,11 @@ class Model:
 
 @dataclass
 class Recommender:
+    """``load_model(batch_ms)`` gives the window's profiles and the state; with ``pointers``
+    (the model pointer table) the state is read again, by the newest path, in every batch:
+    ``load_state(path)`` returns the four tables global, user_inferred, item_inferred and
+    user_entity. ``dump_root`` turns on the per-batch dumps."""
+
     spark: SparkSession
     load_model: Callable[[int], Model]
     rec_log: Callable[[], DataFrame]
@@ -58,8 +68,16 @@ class Recommender:
     result_template: str
     last_refresh_ms: int = -1
     model: Model | None = None
-    published: list[str] = field(default_factory=list)
     now_ms: Callable[[], int] = field(default=lambda: int(time.time() * 1000))
+    pointers: Callable[[], DataFrame] | None = None
+    model_key: str | None = None
+    load_state: Callable[[str], dict[str, DataFrame]] | None = None
+    dump_root: str | None = None
+    tag: str | None = None
+    rounded: bool = False
+
+    def __post_init__(self):
+        self.times_root = f"{self.published_root}_info"
 
     def refresh(self, batch_ms: int) -> None:
         """Reload and persist the profiles of the window ending at ``batch_ms`` (spill to disk allowed)."""
@@ -70,42 +88,82 @@ class Recommender:
         m = self.load_model(batch_ms)
         m.profiles = m.profiles.persist()
         m.tfidf = m.tfidf.persist()
-        m.candidates = RK.top_candidates(RK.prescore(m.profiles, m.item_w), self.n_candidates).persist()
         self.model = m
+        self._choose()
         self.last_refresh_ms = batch_ms
 
-    def rank(self, users: DataFrame) -> DataFrame:
+    def _choose(self) -> None:
+        m = self.model
+        if m.candidates is not None:
+            m.candidates.unpersist()
+        m.candidates = RK.top_candidates(RK.prescore(m.profiles, m.item_w), self.n_candidates, rounded=self.rounded).persist()
+
+    def use_newest_model(self) -> str | None:
+        """Point the state at the newest published model; its path (null without pointers)."""
+        if self.pointers is None:
+            return None
+        found = latest_model_path(self.pointers().where(F.col("model_key") == self.model_key)).first()
+        if found is None:
+            return None
+        state = self.load_state(found["path"])
+        m = self.model
+        m.global_w, m.user_w, m.item_w, m.user_entity_w = (state[k] for k in ("global", "user_inferred", "item_inferred", "user_entity"))
+        self._choose()
+        return found["path"]
+
+    def rank(self, users: DataFrame, explain: bool = False) -> DataFrame:
         m = self.model
         cands = m.candidates
         contrib = RK.pair_contributions(users, cands, m.global_w, m.user_w, m.user_entity_w,
                                         RK.candidate_tags(cands, m.tfidf), self.entity_scalar)
-        scored = RK.score_pairs(contrib)
+        scored = RK.score_pairs(contrib, explain, rounded=self.rounded)
         return RK.top_per_user(RK.exclude_shown(scored, self.rec_log(), cands), self.n_top)
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
-        batch_ms = self.now_ms()
-        if self.model is None or batch_ms - self.last_refresh_ms >= self.interval_ms:
+        batch_ms = batch_time(self.spark, self.times_root, batch_id, self.now_ms)
+        due = self.model is None or refresh_due(batch_ms, self.last_refresh_ms, self.interval_ms)
+        if due:
             self.refresh(batch_ms)
+        path = self.use_newest_model()
         users = active_users(batch, self.version).persist()
-        recs = self.rank(users)
-        path = f"{self.published_root}/batch_id={batch_id}"
+        recs = self.rank(users, explain=self.dump_root is not None).persist()
         rows = publication_rows(users, recs, batch_ms, self.expire_hours, self.result_template)
-        rows.write.mode("overwrite").parquet(path)
-        self.published.append(path)
+        rows.write.mode("overwrite").parquet(f"{self.published_root}/batch_id={batch_id}")
+        if self.dump_root is not None:
+            self._dump(batch_ms, users, recs, path, due)
+        recs.unpersist()
         users.unpersist()
 
-    def current(self) -> DataFrame:
-        """The lists in force after the batches so far."""
-        return current_lists(self.spark.read.parquet(self.published_root))
-
-    def compact(self, new_root: str, upto_batch: int) -> None:
+    def _dump(self, batch_ms: int, users: DataFrame, recs: DataFrame, path: str | None, refreshed: bool) -> None:
+        """Below the batch's path: info, users, explained lists and candidates, and after a
+        refresh the profiles with their count."""
+        base = batch_dir(self.dump_root, dt.datetime.fromtimestamp(batch_ms / 1000, dt.timezone.utc), self.tag)
+        m = self.model
+        note = users.agg(F.concat(F.lit("#user = "), F.count(F.lit(1)).cast("string")).alias("value"))
+        first = self.spark.range(1).select(F.lit(f"model_path = {path}").alias("value"))
+        save_lines(first.unionByName(note), f"{base}/info")
+        save_lines(users, f"{base}/users", "user")
+        save_lines(rec_feature_blocks(recs), f"{base}/rec_feature", "block")
+        save_lines(m.candidates.select(F.concat_ws("\t", "item", F.col("score").cast("string")).alias("value")), f"{base}/candidate")
+        if refreshed:
+            start = profile_start(batch_ms, -1)
+            n = m.profiles.agg(F.concat(F.count(F.lit(1)).cast("string"), F.lit(f" since {start}")).alias("value"))
+            save_lines(n, f"{base}/profile_info")
+            m.profiles.join(m.tfidf.groupBy("article_seq_id").agg(F.map_from_entries(F.collect_list(F.struct("entity", "tfidf"))).alias("tfidf")),
+                            "article_seq_id", "left").write.mode("overwrite").parquet(f"{base}/profile_dump")
+
+    def current(self, now_ms: int | None = None) -> DataFrame:
+        """The lists in force after the batches so far (at ``now_ms``, if given)."""
+        return current_lists(self.spark.read.parquet(self.published_root), now_ms)
+
+    def compact(self, new_root: str, upto_batch: int, now_ms: int | None = None) -> None:
         """Fold the log into a base under ``new_root`` and publish from there on.
 
         Batches after ``upto_batch`` already written are copied over as they are.
         """
         from skein.sinks.publish import compact
         log = self.spark.read.parquet(self.published_root)
-        compact(log, upto_batch, new_root)
+        compact(log, upto_batch, new_root, now_ms)
         later = log.where(F.col("batch_id") > upto_batch)
         later.write.mode("append").partitionBy("batch_id").parquet(new_root)
         self.published_root = new_root

@@ -99,7 +99,7 @@ def test_lbfgs_reaches_the_mllib_optimum(spark):
         "user string, item string, label double, mult long, feat string, value double")
     weights = spark.createDataFrame([("f", str(k), "", f"f:{k}", 0.0) for k in range(4)],
                                     "kind string, k1 string, k2 string, feat string, weight double")
-    ours = {r["feat"]: r["weight"] for r in TR.lbfgs(feats, weights, iterations=60, memory=5, tolerance=1e-12).collect()}
+    ours = {r["feat"]: r["weight"] for r in TR.lbfgs(feats, weights, iterations=60, memory=5, tolerance=1e-12).weights.collect()}
 
     def loss(w):
         tot = 0.0
@@ -154,43 +154,160 @@ def test_message_payload_through_a_file_sink(spark, tmp_dir):
     assert got["key"] == "u" and got["value"] == '{"item":"a","rank":1}'
 
 
-def test_sgd_shuffle_path_equals_broadcast_path(spark, monkeypatch):
-    """Weights beyond the broadcast limit take the shuffle join; the result must not change."""
-    import skein.config as cfg
-
-    feats = spark.createDataFrame(
-        [("u1", "a", 1.0, 2, "f:0", 1.0), ("u1", "a", 1.0, 2, "f:1", 0.5),
-         ("u2", "b", 0.0, 1, "f:1", 1.0), ("u2", "b", 0.0, 1, "f:2", 2.0)],
-        "user string, item string, label double, mult long, feat string, value double")
-    weights = spark.createDataFrame([("f", str(k), "", f"f:{k}", 0.1 * k) for k in range(3)],
-                                    "kind string, k1 string, k2 string, feat string, weight double")
-    fast = {r["feat"]: r["weight"] for r in TR.sgd(feats, weights, 3, 0.5, convergence_tol=0.0).collect()}
-    monkeypatch.setattr(cfg, "fits_broadcast", lambda df, max_rows=0: False)
+def _forced_shuffle(spark, run):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        slow = {r["feat"]: r["weight"] for r in TR.sgd(feats, weights, 3, 0.5, convergence_tol=0.0).collect()}
+        return run()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert fast.keys() == slow.keys()
-    for k in fast:
-        assert math.isclose(fast[k], slow[k], rel_tol=1e-12, abs_tol=1e-15)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_lbfgs_shuffle_path_equals_broadcast_path(spark, monkeypatch):
-    import skein.config as cfg
-
+def test_training_is_alike_by_broadcast_and_by_shuffle(spark):
     feats = spark.createDataFrame(
-        [("u1", "a", 1.0, 1, "f:0", 1.0), ("u1", "a", 1.0, 1, "f:1", -0.5), ("u2", "b", 0.0, 1, "f:1", 1.0),
+        [("u1", "a", 1.0, 2, "f:0", 1.0), ("u1", "a", 1.0, 2, "f:1", -0.5), ("u2", "b", 0.0, 1, "f:1", 1.0),
          ("u3", "c", 1.0, 1, "f:0", 0.3), ("u3", "c", 1.0, 1, "f:1", 0.7), ("u4", "d", 0.0, 1, "f:0", -0.2)],
         "user string, item string, label double, mult long, feat string, value double")
-    weights = spark.createDataFrame([("f", str(k), "", f"f:{k}", 0.0) for k in range(2)],
+    weights = spark.createDataFrame([("f", str(k), "", f"f:{k}", 0.1 * k) for k in range(2)],
                                     "kind string, k1 string, k2 string, feat string, weight double")
-    fast = {r["feat"]: r["weight"] for r in TR.lbfgs(feats, weights, iterations=5, memory=3).collect()}
-    monkeypatch.setattr(cfg, "fits_broadcast", lambda df, max_rows=0: False)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        slow = {r["feat"]: r["weight"] for r in TR.lbfgs(feats, weights, iterations=5, memory=3).collect()}
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    for k in fast:
-        assert math.isclose(fast[k], slow[k], rel_tol=1e-9, abs_tol=1e-12)
+    for run in (lambda: TR.sgd(feats, weights, 3, 0.5, convergence_tol=0.0),
+                lambda: TR.lbfgs(feats, weights, iterations=4, memory=3).weights):
+        fast = {r["feat"]: r["weight"] for r in run().collect()}
+        slow = _forced_shuffle(spark, lambda: {r["feat"]: r["weight"] for r in run().collect()})  # noqa: B023
+        assert fast.keys() == slow.keys()
+        for k in fast:
+            assert math.isclose(fast[k], slow[k], rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_lbfgs_reports_how_it_ended(spark):
+    feats = spark.createDataFrame(
+        [("u1", "a", 1.0, 1, "f:0", 1.0), ("u2", "b", 0.0, 1, "f:0", 1.0), ("u3", "b", 1.0, 1, "f:0", 1.0)],
+        "user string, item string, label double, mult long, feat string, value double")
+    weights = spark.createDataFrame([("f", "0", "", "f:0", 0.0)], "kind string, k1 string, k2 string, feat string, weight double")
+    fit = TR.lbfgs(feats, weights)
+    assert fit.converged and fit.reason in ("loss", "gradient")
+    assert math.isclose(fit.weights.first()["weight"], math.log(2), rel_tol=1e-2)
+    short = TR.lbfgs(feats, weights, iterations=1)
+    assert not short.converged and short.reason == "iterations"
+    none = TR.lbfgs(feats.where("label < 0"), weights)
+    assert not none.converged and none.reason == "no positive label"
+
+
+def test_mini_batches_draw_copies_on_their_own(spark):
+    feats = spark.createDataFrame([("u", "i", 1.0, 1000, "f:0", 1.0)],
+                                  "user string, item string, label double, mult long, feat string, value double")
+    n = TR._sampled(TR._by_example(feats), 0.3, 1).first()["mult"]
+    assert 200 < n < 400
+    assert TR._sampled(TR._by_example(feats), 1e-9, 1).count() == 0
+
+
+def test_snapshot_keeps_untrained_weights_and_drops_negative_tags(spark):
+    """A user with 13 category weights of which one is trained keeps the other 12."""
+    old = [("u", "5", str(c), 0.1 * c) for c in range(13)] + [("t", "5", "a", 0.5), ("t", "5", "b", 0.6), ("t", "7", "c", 0.7), ("g", "1", "", 0.2)]
+    schema = "kind string, k1 string, k2 string, weight double"
+    trained = [("u", "5", "3", 0.9), ("t", "5", "a", 0.4), ("t", "7", "c", -0.1), ("t", "7", "d", 0.3)]
+    got = {r[:3]: r[3] for r in _set(INC.snapshot(spark.createDataFrame(old, schema), spark.createDataFrame(trained, schema)))}
+    assert sum(k[0] == "u" for k in got) == 13 and got["u", "5", "3"] == 0.9
+    assert got["t", "5", "a"] == 0.4 and got["t", "5", "b"] == 0.6          # the unseen tag stays
+    assert ("t", "7", "c") not in got and got["t", "7", "d"] == 0.3
+    both = INC.snapshot(spark.createDataFrame(old, schema), spark.createDataFrame(trained, schema), only_positive_tags=False)
+    assert ("t", "7", "c", -0.1) in _set(both)
+
+
+def test_state_lines_keep_full_precision(spark, tmp_dir):
+    from skein.sinks import store as ST
+    rows = spark.createDataFrame([("u", 4e-7), ("v", 1 / 3)], "user string, weight double")
+    ST.save_lines(ST.state_lines(rows, ["user", "weight"]), tmp_dir + "/s")
+    back = {line.split("\t")[0]: float(line.split("\t")[1]) for (line,) in ST.read_lines(spark, tmp_dir + "/s").collect()}
+    assert back == {"u": 4e-7, "v": 1 / 3}
+
+
+def test_latest_per_key_takes_map_columns(spark):
+    from skein.sources import profiles as P
+    df = spark.createDataFrame([("a", 1, {"x": 0.1}), ("a", 2, {"y": 0.2}), ("b", 1, {})], "k string, t int, m map<string,double>")
+    assert _set(P.latest_per_key(df, "k", "t").select("k", "t", F.to_json("m"))) == [("a", 2, '{"y":0.2}'), ("b", 1, "{}")]
+
+
+def test_dictionary_update_reports_count_and_start(spark):
+    d = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    assert tuple(INC.update_info(d, 77).first()) == (2, 77)
+
+
+def test_scenario_data_exercises_the_model(spark):
+    """Features of all four kinds, replaced and carried state of each, categories, exclusions."""
+    s = Scenario(spark, SF001)
+    kinds = {r["kind"]: r["count"] for r in s.features().groupBy("kind").count().collect()}
+    assert set(kinds) == {"g", "u", "i", "t"}
+    key = ["kind", "k1", "k2"]
+    trained = s.features().select(*key).distinct()
+    replaced = {r["kind"] for r in s.state.join(trained, key, "left_semi").select("kind").distinct().collect()}
+    carried = {r["kind"] for r in s.state.join(trained, key, "left_anti").select("kind").distinct().collect()}
+    assert replaced == {"g", "u", "i", "t"} and {"u", "i", "t"} <= carried
+    assert s.profiles.where(F.size("category_idx") > 0).join(s.instances, F.col("article_seq_id") == F.col("item"), "left_semi").count() > 0
+    shown = fx.rec_log(spark, SF001)
+    assert shown.count() <= spark.read.parquet(f"{SF001}/events.parquet").where("event_type = 'purchase'").count()
+    assert s.scored().join(shown, ["user", "item"], "left_semi").count() > 0
+    assert s.profiles.groupBy("article_seq_id").count().where("count > 1").count() == 0
+
+
+def test_two_batches_train_save_reload_and_rank(spark, tmp_dir):
+    """The solution protocol: the second batch starts from the weights that the first saved."""
+    from skein.operators.solution import CategoryEntitySolution
+    prof = spark.createDataFrame([("a", [1]), ("b", [2])], "article_seq_id string, category_idx array<int>")
+    tags = spark.createDataFrame([("a", "x", 1.0), ("b", "y", 1.0)], "article_seq_id string, entity string, tfidf double")
+    spark.createDataFrame([], "kind string, k1 string, k2 string, weight double").write.parquet(tmp_dir + "/m0/state")
+    sol = CategoryEntitySolution(spark, lambda start: (prof, tags), 0.5)
+    sol.set_info_dir(tmp_dir + "/info")
+    sol.init(tmp_dir + "/m0")
+    sol.prepare(10 * 24 * 3600 * 1000)
+    inst = spark.createDataFrame([("u", "a", 1.0), ("u", "b", 0.0), ("v", "b", 1.0)], "user string, item string, label double")
+    seen = []
+    for k in (1, 2):
+        f = sol.features(inst)
+        base = sol.gen_weights()
+        seen.append({r["feat"]: r["weight"] for r in base.collect()})
+        reg = base.select("feat").distinct().withColumn("idx", F.monotonically_increasing_id())
+        w, route = TR.train_step(f, base, 2, 1.0, 1.0, reg, f"{tmp_dir}/batch{k}")
+        assert route == "sgd"
+        sol.update_by_weights(w)
+        sol.save(f"{tmp_dir}/m{k}")
+        sol.init(f"{tmp_dir}/m{k}")
+    assert set(seen[0].values()) == {0.0} and seen[1]["i:a"] > 0
+    assert spark.read.text(f"{tmp_dir}/batch1/sparse_weights").count() > 0
+    ranked = {(r["user"], r["item"]): r["score"] for r in sol.rank(spark.createDataFrame([("u",), ("v",)], "user string"), 10).collect()}
+    assert ranked["u", "a"] > ranked["u", "b"] and ranked["v", "b"] > ranked["u", "b"]
+    assert sol.latest_weights().count() > 0
+    assert spark.read.text(tmp_dir + "/info/profile_info").first()[0].startswith("2 since")
+
+
+def test_expired_lists_are_not_in_force(spark, tmp_dir):
+    from skein.sinks.publish import compact, current_lists, publication_rows
+    hour = 3600 * 1000
+    schema = "user string, item string, rank int, score double"
+    for b, at in ((0, 0), (1, 5 * hour)):
+        user = spark.createDataFrame([(f"u{b}",)], "user string")
+        publication_rows(user, spark.createDataFrame([(f"u{b}", "x", 1, 0.5)], schema), at, 6, "rec:%s").write.parquet(f"{tmp_dir}/log/batch_id={b}")
+    log = spark.read.parquet(tmp_dir + "/log")
+    users = lambda now: sorted(r["user"] for r in current_lists(log, now).collect())
+    assert users(None) == users(hour) == ["u0", "u1"] and users(7 * hour) == ["u1"] and users(12 * hour) == []
+    compact(log, 1, tmp_dir + "/base", 7 * hour)
+    assert [r["user"] for r in spark.read.parquet(tmp_dir + "/base").collect()] == ["u1"]
+
+
+def test_messages_are_valid_json(spark):
+    import json
+    from skein.sinks.publish import fixed_payload
+    recs = spark.createDataFrame([('u"x', "a\\b", 1, 0.0)], "user string, item string, rank bigint, score double")
+    assert json.loads(fixed_payload(recs, F.col("user")).first()["value"]) == {"user": 'u"x', "item": "a\\b", "rank": 1, "score": 0.0}
+
+
+def test_malformed_lines_have_no_time_and_strict_mode_fails(spark):
+    import pytest
+    from skein.functions.events import event_ts
+    from skein.operators.instances import parse_instances
+    lines = spark.createDataFrame([('{"user_seq_id": "x", "source": 1',), ('{"user_seq_id": 1, "ts": 5}',), ('{"user_seq_id": 1}',)], "line string")
+    assert [r[0] for r in lines.select(event_ts(F.col("line"))).collect()] == [None, 5, 0]
+    assert parse_instances(lines, "en").count() == 0
+    with pytest.raises(Exception, match="malformed event line"):
+        parse_instances(lines, "en", strict=True).collect()

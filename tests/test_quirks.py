@@ -174,4 +174,4 @@ def test_lbfgs_without_positive_returns_base(spark):
     from skein.operators import train as TR
     f = spark.createDataFrame([("u", "i", 0.0, 1, "i:i", 1.0)], "user string, item string, label double, mult long, feat string, value double")
     w = spark.createDataFrame([("i", "i", "", "i:i", 0.25)], "kind string, k1 string, k2 string, feat string, weight double")
-    assert rows(TR.lbfgs(f, w), "feat", "weight") == [("i:i", 0.25)]
+    assert rows(TR.lbfgs(f, w).weights, "feat", "weight") == [("i:i", 0.25)]

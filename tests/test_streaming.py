@@ -86,6 +86,46 @@ def test_recommender_refreshes_on_interval_and_publishes_each_batch(spark, tmp_d
     assert cur == [("7", 1, "a"), ("7", 2, "b"), ("8", 1, "b")]
 
 
+def test_a_retried_batch_overwrites_its_own_dump(spark, tmp_dir):
+    times = iter([0, 3_600_000])
+    dump = SI.dump_instances(tmp_dir + "/dump", lambda: next(times))
+    rows = spark.createDataFrame([("1", "10", 1.0)], "user string, item string, label double")
+    dump(rows, 4)
+    dump(rows, 4)          # the retry comes later, yet has the time of the batch
+    assert spark.read.parquet(tmp_dir + "/dump/*/*/data/instance/*").count() == 1
+
+
+def test_recommender_reads_the_pointer_in_every_batch_and_dumps(spark, tmp_dir):
+    from skein.operators.features import split_state
+    from skein.sinks.publish import publish_model
+    from skein.streaming.recommend import Model, Recommender
+    schema = "kind string, k1 string, k2 string, weight double"
+    for v, best in ((1, "a"), (2, "b")):
+        spark.createDataFrame([("i", best, "", 1.0)], schema).write.parquet(f"{tmp_dir}/m{v}")
+    state = split_state(spark.createDataFrame([], schema))
+
+    def load_model(batch_ms):
+        return Model(spark.createDataFrame([("a", [1]), ("b", [1])], "article_seq_id string, category_idx array<int>"),
+                     spark.createDataFrame([("a", "x", 0.5)], "article_seq_id string, entity string, tfidf double"),
+                     state["global"], state["user_inferred"], state["item_inferred"], state["user_entity"])
+
+    pointers = tmp_dir + "/pointers"
+    rec = Recommender(spark, load_model, lambda: spark.createDataFrame([], "user string, item string"), tmp_dir + "/out", "v1",
+                      n_top=1, n_candidates=2, entity_scalar=0.5, interval_ms=10**9, expire_hours=6, result_template="rec:%s",
+                      now_ms=lambda: 1_000, pointers=lambda: spark.read.parquet(pointers), model_key="m",
+                      load_state=lambda p: split_state(spark.read.parquet(p)), dump_root=tmp_dir + "/dump")
+    users = spark.createDataFrame([(json.dumps({"user_seq_id": 7}),)], "line string")
+    for v, best in ((1, "a"), (2, "b")):
+        publish_model(spark, pointers, "m", f"{tmp_dir}/m{v}", v)
+        rec.handle(users, v)
+        assert [r["item"] for r in rec.current().collect()] == [best]
+    info = sorted(r[0] for r in spark.read.text(tmp_dir + "/dump/*/*/info").collect())
+    assert "#user = 1" in info and f"model_path = {tmp_dir}/m2" in info
+    for name in ("users", "rec_feature", "candidate", "profile_info"):
+        assert spark.read.text(f"{tmp_dir}/dump/*/*/{name}").count() > 0, name
+    assert spark.read.parquet(tmp_dir + "/dump/*/*/profile_dump").count() == 2
+
+
 def test_start_recommender_with_processing_time_trigger(spark, tmp_dir):
     from skein.streaming.recommend import start_recommender
 
