@@ -1,12 +1,16 @@
 """URL filtering by association rules.
 
 Given rules (host, path, verdict) come first. For the other urls, Spark's FP-growth mines
-combinations of url tokens from labelled urls; rules that conclude a label are pruned by
+combinations of url tokens from all urls; rules that conclude a label are pruned by
 confidence and support and matched by an inverted index: every rule is listed under its
 rarest token, a url looks up its tokens, and a listed rule fires if the url has all its
 tokens. Of the firing rules the most confident decides, then the longer, then the better
 supported, then block; a url on which none fires is allowed.
 
+Confidence and support are shares of all urls: those without a label are baskets too and
+count against every rule whose tokens they have, so a rule holds outside the given rules'
+own selection or goes.
+
 Urls that share their token set are matched once. All steps are DataFrame operations; the
 size of the rule table is bounded by the support, not by the number of urls.
 
@@ -79,10 +83,11 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
 
 def mine(labelled: DataFrame, scratch: Scratch, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """Rules (tokens, verdict, confidence, support, key) from ``labelled(tokens, verdict)``;
-    ``key`` is the rule's rarest token."""
+    ``key`` is the rule's rarest token. Rows of null verdict are background: they have no
+    label and count in every confidence and support."""
     spark = labelled.sparkSession
     empty = spark.createDataFrame([], "tokens array<string>, verdict string, confidence double, support double, key string")
-    baskets = scratch.write(labelled.select(F.array_append("tokens", F.concat(F.lit(LABEL), "verdict")).alias("items")), "baskets")
+    baskets = scratch.write(labelled.select(F.when(F.isnull("verdict"), F.col("tokens")).otherwise(F.array_append("tokens", F.concat(F.lit(LABEL), "verdict"))).alias("items")), "baskets")
     if baskets.isEmpty():
         return empty
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
@@ -105,8 +110,8 @@ def match(baskets: DataFrame, rules: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, labelled: DataFrame | None = None, id_col: str = "page_id", url: str = "url", rules=GIVEN, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """id, host, path, rule and verdict of every url.
 
-    ``labelled(url, verdict)``: urls to learn from; by default those on which a given rule
-    decides.
+    ``labelled(url, verdict)``: urls to learn from, those of null verdict as background; by
+    default all urls of ``pages``, with the verdicts of the given rules.
     """
     scratch = Scratch(pages.sparkSession, "urls")
     host, path = parts(F.col("url"))
@@ -114,7 +119,7 @@ def judge(pages: DataFrame, labelled: DataFrame | None = None, id_col: str = "pa
     read = lambda df: df.select("*", host.alias("host"), path.alias("path")).select("*", tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens"))
     seen = read(pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url}`").alias("url"))).select("id", "host", "path", "tokens", rule.alias("rule"), verdict.alias("given"))
     seen = scratch.write(seen, "seen")
-    known = seen.where("given is not null").select("tokens", F.col("given").alias("verdict")) if labelled is None else read(labelled.select("url", "verdict")).select("tokens", "verdict")
+    known = seen.select("tokens", F.col("given").alias("verdict")) if labelled is None else read(labelled.select("url", "verdict")).select("tokens", "verdict")
     mined = match(seen.where("given is null").select("tokens").distinct(), mine(known, scratch, support, confidence))
     out = seen.join(mined, "tokens", "left")
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("given", "mined", F.lit("allow")).alias("verdict"))

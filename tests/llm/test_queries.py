@@ -96,6 +96,28 @@ def test_url_verdicts(spark, edge, where):
     assert rows == want
 
 
+def test_undecided_urls_count_against_mined_rules(spark):
+    """Verdicts by plain counting over all pages; what the given rules only select stays allowed."""
+    pages = spark.read.parquet(f"{SF001}/pages.parquet").select("page_id", "url")
+    host, path = url_rules.parts(F.col("url"))
+    toks = {r.page_id: (r.url, tuple(r.t)) for r in pages.select("page_id", "url", url_rules.tokens(F.col("url"), host, path).alias("t")).collect()}
+    told = {k: brute.url_rule(*brute.url_parts(u), url_rules.GIVEN)[1] for k, (u, _) in toks.items()}
+    mined = {r: x for r, x in brute.rules_from([(t, told[k]) for k, (_, t) in toks.items()], url_rules.SUPPORT, url_rules.CONFIDENCE).items() if r[1]}
+    got = {r.page_id: r.verdict for r in QUERIES["op4_url_rules"](spark, SF001).collect()}
+    for k, (_, t) in toks.items():
+        fire = [(conf, len(c), sup, v) for (c, v), (conf, sup) in mined.items() if set(c) <= set(t)]
+        assert got[k] == (told[k] or (max(fire)[3] if fire else "allow"))
+    undecided = [k for k, v in told.items() if v is None]
+    assert undecided and {got[k] for k in undecided} == {"allow"}
+
+
+def test_a_rule_that_holds_among_all_urls_still_fires(spark):
+    urls = [(f"http://a{i}.org/x/{i}.exe", "block") for i in range(19)] + [("http://b.org/x/1.exe", None)] + [(f"http://c{i}.org/x/{i}", None) for i in range(20)]
+    told = spark.createDataFrame(urls, "url string, verdict string")
+    pages = spark.createDataFrame([(1, "http://new.org/y/9.exe"), (2, "http://new.org/x/9")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in url_rules.judge(pages, told).collect()} == {1: "block", 2: "allow"}
+
+
 def test_quality_scores_find_the_labels(spark):
     d = "/root/testdata/sf0.01"
     rows = QUERIES["op5_quality_knn"](spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").collect()
