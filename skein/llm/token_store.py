@@ -15,7 +15,8 @@ sorts, encodes and writes as it goes; a file's name holds the task attempt, and
 that the committed manifest names are read, so a repeated attempt does no harm. Reading:
 one task a file, with the tokens before it from the manifest (a row per file).
 
-Defined results: a null or empty text has the end id alone; null document ids come first;
+Defined results: the string of an added token (``<|endoftext|>``) in a text is that token's
+id, as the library has it by default; a null or empty text has the end id alone; null document ids come first;
 rows that repeat an id keep the order of the input; an empty table writes no file.
 """
 
@@ -58,18 +59,49 @@ _BYTE_CHARS = _byte_chars()
 
 
 class Encoder:
-    """Whole texts to ids with the tokenizers library; distinct cuts are encoded once."""
+    """Whole texts to ids with the tokenizers library; distinct cuts are encoded once. A text
+    that holds the string of an added token goes through the library whole, since cuts may
+    fall inside that string."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         self.cache = Recent(CACHE)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets)."""
+        held = self._holds_added(data, offsets)
+        if not held.any():
+            return self._by_cuts(data, offsets)
+        size = np.diff(offsets)
+        ids, at = self._by_cuts(data[np.repeat(~held, size)], np.concatenate([[0], np.cumsum(np.where(held, 0, size))]))
+        whole = [data[offsets[i]:offsets[i + 1]].tobytes().decode() for i in np.flatnonzero(held).tolist()]
+        whole = [e.ids for e in self.tok.encode_batch_fast(whole, add_special_tokens=False)]
+        n = np.diff(at)
+        n[held] = [len(x) for x in whole]
+        mine = np.repeat(held, n)
+        out = np.empty(len(mine), "<u4")
+        out[~mine] = ids
+        out[mine] = np.fromiter(chain.from_iterable(whole), "<u4")
+        return out, np.concatenate([[0], np.cumsum(n)])
+
+    def _holds_added(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which texts hold the string of an added token."""
+        held, raw = np.zeros(len(offsets) - 1, bool), data.tobytes()
+        for t in self.added:
+            at = raw.find(t)
+            while at >= 0:
+                i = int(np.searchsorted(offsets, at, "right")) - 1
+                inside = at + len(t) <= offsets[i + 1]  # not over the end of a text
+                held[i] |= inside
+                at = raw.find(t, int(offsets[i + 1]) if inside else at + 1)
+        return held
+
+    def _by_cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of texts without added tokens, offsets)."""
         starts, first = cuts(data, offsets)
         each, which = distinct(data, starts)
         new = self.cache.missing(each)

@@ -52,6 +52,27 @@ def test_cached_cuts_encode_like_whole_texts(texts):
     assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == whole
 
 
+def test_added_tokens_in_texts_encode_like_the_library():
+    from tokenizers import Tokenizer
+    path, end = P.path("byte_bpe_50k.json"), "<|endoftext|>"
+    tok = Tokenizer.from_file(path)  # as the library sets it
+    assert tok.encode(f"a {end} b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    texts = [f"a {end} b", "plain text, it's", "", None, end, f"{end}{end}x  {end}\n\ny", "cut <|endof", "text|> over texts", f"é{end[:-1]} {end[1:]}", f"end{end}", "last one"]
+    for some in (texts, texts[::-1], [end], ["", end, ""]):
+        ids, offsets = token_store.Encoder(path).encode(*text_bytes(pa.array(some, pa.string())))
+        assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [tok.encode(t or "", add_special_tokens=False).ids for t in some]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|", "endoftext", "|>", " ", "a", "é", "\n", "it's"]), max_size=8).map("".join), max_size=6))
+def test_texts_around_added_tokens_encode_like_the_library(texts):
+    from tokenizers import Tokenizer
+    path = P.path("byte_bpe_50k.json")
+    ids, offsets = token_store.encoder(path).encode(*text_bytes(pa.array(texts, pa.string())))
+    whole = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == whole
+
+
 def test_recent_keeps_a_bounded_number(vocabulary):
     from skein.llm.cuts import Recent
     r = Recent(10)
