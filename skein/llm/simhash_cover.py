@@ -178,35 +178,40 @@ def stars(edges: DataFrame, scratch: Scratch) -> DataFrame:
     return cur
 
 
-def components(prints: DataFrame, key: str, scratch: Scratch, radius: int = 3, bucket: int = BUCKET) -> DataFrame:
+def components(prints: DataFrame, key: str, scratch: Scratch, radius: int = 3, bucket: int = BUCKET, roots: bool = False) -> DataFrame:
     """``prints(fp, ..., key)`` with ``component_id``: the smallest ``key`` reachable over
-    fingerprints within ``radius`` bits, the row's own included."""
+    fingerprints within ``radius`` bits, the row's own included; with ``roots`` also
+    ``root``, the fingerprint that stands for the component alone."""
     nodes = scratch.write(prints.groupBy("fp").agg(F.min(key).alias("low")), "nodes")
     star = stars(links(nodes.select("fp"), radius, scratch, bucket), scratch)
     member = nodes.join(star.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"),
     )
     label = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = scratch.write(member.join(label, "root").select("fp", "component_id"), "named")
+    named = scratch.write(member.join(label, "root").select("fp", "component_id", *["root"] * roots), "named")
     scratch.drop("members", "sizes")
     return prints.join(named, "fp")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 3, seed: int = 42, bucket: int = BUCKET) -> DataFrame:
-    """``row`` (the input without its text), ``text_hash``, ``fingerprint`` (long) and
-    ``component_id`` of every input row."""
+def _grouped(docs: DataFrame, id_col: str, text: str, shingle: int = 3, radius: int = 3, seed: int = 42, bucket: int = BUCKET, roots: bool = False) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "simhash")
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").alias("text"))
     prints = scratch.write(fingerprints(slim, "text", shingle, seed).select(field("id").alias("id"), field("text_hash").alias("text_hash"), "fp"), "prints")
-    return components(prints, "id", scratch, radius, bucket).select(F.col("id").alias(id_col), "text_hash", F.col("fp").alias("fingerprint"), "component_id")
+    return components(prints, "id", scratch, radius, bucket, roots)
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The id, ``text_hash``, ``fingerprint`` (long) and ``component_id`` of every input row."""
+    return _grouped(docs, id_col, text, **options).select(F.col("id").alias(id_col), "text_hash", F.col("fp").alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The input's rows with one document of each near-duplicate group: that with the
-    smallest id (of rows that repeat both id and text, one; a group of null ids keeps one
-    row per text)."""
-    found = near_duplicates(docs, id_col, text, **options)
-    keep = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.xxhash64(id_col).alias("k1"), F.col("text_hash").alias("k2")).distinct()
+    smallest id, null after all others, and of rows that share it that with the smallest
+    hash of its text (of rows that repeat both id and text, one)."""
+    found = _grouped(docs, id_col, text, roots=True, **options)
+    least = found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("root", "id").agg(F.min("text_hash").alias("k2"))
+    keep = least.select(F.xxhash64("id").alias("k1"), "k2")
     src = packed(docs).select(ROW, F.xxhash64(field(id_col)).alias("k1"), F.xxhash64(field(text)).alias("k2"))
     kept = src.join(keep, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     return kept.select(*[field(c).alias(c) for c in docs.columns])

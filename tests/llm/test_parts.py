@@ -151,6 +151,21 @@ def test_one_document_of_each_group_stays(spark):
     assert got == [(1, "a b c d e"), (2, "other words here now"), (None, "")] or len(got) == 4 and (1, "a b c d e") in got
 
 
+def test_one_document_of_each_group_with_repeated_and_null_ids(spark):
+    """Near-equal texts under one id, or under none, are one group; far texts are not."""
+    base = " ".join(f"w{i}" for i in range(400))
+    near, far = [base + " " + x for x in ("", "x", "y")], "nothing like the others at all"
+    rows = [(1, near[0]), (1, near[1]), (1, near[1]), (2, near[2]), (1, far)]
+    prints = {t: brute.simhash(t) for t in (*near, far)}
+    assert all((prints[a] ^ prints[b]).bit_count() <= 3 for a in near for b in near) and (prints[far] ^ prints[base + " "]).bit_count() > 3
+    keep = lambda rows: [(r.doc_id, r.text) for r in simhash_cover.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    got = keep(rows)
+    assert len(got) == 2 and (1, far) in got and all(k == 1 for k, _ in got)
+    got = keep([(None, t) for _, t in rows])
+    assert len(got) == 2 and (None, far) in got
+    assert keep([(None, near[0]), (3, near[1])]) == [(3, near[1])]
+
+
 def _leaves(tree, keys, spark):
     from pyspark.sql import functions as F
     return [r[0] for r in spark.createDataFrame([(k,) for k in keys], "k long").coalesce(1).select(sharding.place(F.col("k"), tree)).collect()]
