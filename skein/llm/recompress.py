@@ -13,9 +13,9 @@ therefore holds, in its middle, only symbols that occur at least twice in the co
    rows is one entry a batch). Each range finds the symbols met twice.
    A run longer than the window counts twice: it alone repeats a window.
 3. Only windows whose middle consists of such shared symbols are candidates. Their
-   128-bit names take the same way and verify the repeats: a window counts only if its
-   whole word sequence starts somewhere else too.
-4. Every batch removes the words of its repeated windows.
+   128-bit names (hashes of the whole word sequence, not its words) take the same way and
+   verify the repeats: a window counts only if its name starts somewhere else too.
+4. Every batch removes the words of its repeated windows, by all 128 bits.
 
 Both exchanges are cut into ranges by the size of the corpus, so that a range has a bounded
 share of it. Answers return as tables partitioned by batch in the shared folder.
@@ -102,7 +102,8 @@ def _packed(batch: int, ranges: int, *cols: np.ndarray) -> pa.RecordBatch:
 
 
 def _shared(group: pa.Table) -> pa.Table:
-    """Of one range: the names that occur twice or more, for every batch that has them."""
+    """Of one range: the names that occur twice or more, for every batch that has them; the
+    parts of a name lie one after another."""
     cols = [c for c in group.column_names if c[0] == "v"]
     blobs = {c: group.column(c).to_pylist() for c in cols}
     size = np.array([len(x) // 8 for x in blobs["v0"]])
@@ -113,12 +114,12 @@ def _shared(group: pa.Table) -> pa.Table:
     twice = np.zeros(len(order), bool)
     twice[1:] |= same
     twice[:-1] |= same
-    value, owner = joined[0][order][twice], owner[order][twice]
-    by = np.lexsort((value, owner))
-    value, owner = value[by], owner[by]
+    value, owner = [c[order][twice] for c in joined], owner[order][twice]
+    by = np.lexsort((*reversed(value), owner))
+    value, owner = np.stack([c[by] for c in value], axis=1), owner[by]
     if len(value):
         keep = np.ones(len(value), bool)
-        keep[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
+        keep[1:] = (value[1:] != value[:-1]).any(axis=1) | (owner[1:] != owner[:-1])
         value, owner = value[keep], owner[keep]
     batches, first = np.unique(owner, return_index=True)
     cut = [*first.tolist(), len(value)]
@@ -126,12 +127,13 @@ def _shared(group: pa.Table) -> pa.Table:
 
 
 class _Answers:
-    """The shared names of one batch, read from its folder in the shared store."""
+    """The shared names of one batch, read from its folder in the shared store: a sorted
+    array for each of the ``parts`` of a name."""
 
-    def __init__(self, root: str):
-        self.root, self.batch, self.names = root, None, np.zeros(0, np.uint64)
+    def __init__(self, root: str, parts: int = 1):
+        self.root, self.parts, self.batch, self.names = root, parts, None, []
 
-    def of(self, batch: int) -> np.ndarray:
+    def of(self, batch: int) -> list[np.ndarray]:
         if batch != self.batch:
             import pyarrow.parquet as pq
             from pyarrow import fs
@@ -142,7 +144,9 @@ class _Answers:
             for f in files:
                 with store.open_input_file(f) as source:
                     blobs += pq.ParquetFile(source).read(columns=["names"]).column(0).to_pylist()
-            self.names = np.unique(np.frombuffer(b"".join(blobs), "<u8").astype(np.uint64))
+            rows = np.frombuffer(b"".join(blobs), "<u8").astype(np.uint64).reshape(-1, self.parts)
+            rows = rows[np.lexsort(tuple(reversed(rows.T)))]
+            self.names = [np.ascontiguousarray(c) for c in rows.T]
             self.batch = batch
         return self.names
 
@@ -155,6 +159,21 @@ def _member(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[at] == values
 
 
+def _member_pairs(one: np.ndarray, other: np.ndarray, sorted_pairs: list[np.ndarray]) -> np.ndarray:
+    """Whether both halves of a name are those of one pair of the set."""
+    first, second = sorted_pairs
+    hit = np.zeros(len(one), bool)
+    who = np.flatnonzero(_member(one, first))
+    at = np.searchsorted(first, one[who])
+    while len(who):  # pairs of equal first halves, one after another: as a rule there is one
+        hit[who] |= second[at] == other[who]
+        at = at + 1
+        more = at < len(first)
+        more[more] = first[at[more]] == one[who[more]]
+        who, at = who[more], at[more]
+    return hit
+
+
 def _by_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
     """Pieces of rows of one batch number."""
     for b in pieces(batches, "t", PIECE):
@@ -238,7 +257,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35, keep_l
                 names = word_names(data, starts, stops, 1)
                 sym, at = compress(names, doc, rounds)
                 size = np.diff(np.append(at, len(names)))
-                lone = np.repeat(~_member(sym, answers.of(number)), size)  # words of symbols met once
+                lone = np.repeat(~_member(sym, answers.of(number)[0]), size)  # words of symbols met once
                 seen = np.concatenate([[0], np.cumsum(lone)])
                 start, one = window_names(names, first, window, 1)
                 ok = seen[start + window - loss] == seen[start + loss]
@@ -251,16 +270,18 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35, keep_l
     at_windows = _meet(kept.select("t", "batch").mapInArrow(windows, "part int, batch long, v0 binary, v1 binary"), scratch, "windows")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        answers = _Answers(at_windows)
+        answers = _Answers(at_windows, 2)
         for number, piece in _by_batch(batches):
             data, starts, stops, first = _words(piece)
             cover = np.zeros(len(starts) + 1, np.int64)
             repeated = answers.of(number)
-            if len(repeated) and len(starts):
+            if len(repeated[0]) and len(starts):
                 start, one = window_names(word_names(data, starts, stops, 1), first, window, 1)
-                hit = start[_member(one, repeated)]
-                np.add.at(cover, hit, 1)
-                np.add.at(cover, hit + window, -1)
+                if _member(one, repeated[0]).any():
+                    other = window_names(word_names(data, starts, stops, 2), first, window, 2)[1]
+                    hit = start[_member_pairs(one, other, repeated)]
+                    np.add.at(cover, hit, 1)
+                    np.add.at(cover, hit + window, -1)
             gone = np.concatenate([[0], np.cumsum(np.cumsum(cover[:-1]) > 0)])
             removed = gone[first[1:]] - gone[first[:-1]]
             n = np.diff(first)

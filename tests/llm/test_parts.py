@@ -166,6 +166,21 @@ def test_one_document_of_each_group_with_repeated_and_null_ids(spark):
     assert keep([(None, near[0]), (3, near[1])]) == [(3, near[1])]
 
 
+def test_repeated_windows_are_told_by_both_halves_of_their_names():
+    import skein.llm.recompress as R
+    send = {0: [(7, 1), (7, 3), (9, 9)], 1: [(7, 1), (8, 5), (9, 9)], 2: [(7, 2), (8, 6)], 3: [(9, 9), (7, 2)]}
+    sent = pa.concat_tables([pa.Table.from_batches([R._packed(k, 1, *np.array(rows, np.uint64).T)]) for k, rows in send.items()])
+    got = R._shared(sent)
+    told = {}
+    for blob, batch in zip(got["names"].to_pylist(), got["batch"].to_pylist(), strict=True):
+        told[batch] = list(map(tuple, np.frombuffer(blob, "<u8").reshape(-1, 2).tolist()))
+    assert told == {0: [(7, 1), (9, 9)], 1: [(7, 1), (9, 9)], 2: [(7, 2)], 3: [(7, 2), (9, 9)]}
+    pairs = [np.array(c, np.uint64) for c in zip((7, 1), (7, 2), (9, 9), strict=True)]
+    asked = [(7, 2), (7, 3), (9, 9), (9, 1), (8, 1), (7, 1), (10, 1)]
+    assert R._member_pairs(*np.array(asked, np.uint64).T, pairs).tolist() == [True, False, True, False, False, True, False]
+    assert not R._member_pairs(*np.array(asked, np.uint64).T, [np.zeros(0, np.uint64)] * 2).any()
+
+
 def _leaves(tree, keys, spark):
     from pyspark.sql import functions as F
     return [r[0] for r in spark.createDataFrame([(k,) for k in keys], "k long").coalesce(1).select(sharding.place(F.col("k"), tree)).collect()]
