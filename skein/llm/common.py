@@ -172,15 +172,16 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, first word of each document) of the words ``[^\\x20\\x09-\\x0D]+``.
 
-    ``offsets`` cut ``data`` into documents; a word never crosses a cut.
+    ``offsets`` cut ``data`` into documents; a word never crosses a cut. ``between``: for
+    each byte whether it lies between words.
     """
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    solid = ~_SPACE[data]
+    solid = ~between[data]
     begins, ends = solid.copy(), np.empty(n + 1, bool)
     begins[1:] &= ~solid[:-1]
     cuts = offsets[(offsets > 0) & (offsets < n)]
@@ -236,6 +237,24 @@ def window_names(names: np.ndarray, first: np.ndarray, width: int, seed: int) ->
     return at, mix64((total[at + width] - total[at]) * back[at])
 
 
+#: Bytes with A-Z in lower case.
+LOWER_BYTES = np.arange(256, dtype=np.uint8)
+LOWER_BYTES[65:91] += 32
+
+
+def scaled(count: Column, total: Column, thousands: int) -> Column:
+    """floor(1000**thousands * count / total) for 0 <= count <= total, exact in 64 bits.
+
+    Long division by digits of 1000: no product passes 1000 * total, so it holds for totals up
+    to 9e15, and beyond that ANSI arithmetic fails instead of giving a wrong number.
+    """
+    whole = lambda x: F.call_function("div", x, total)
+    out, rest = whole(count), count % total
+    for _ in range(thousands):
+        out, rest = out * 1000 + whole(rest * 1000), (rest * 1000) % total
+    return out
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)

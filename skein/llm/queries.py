@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.config import configure
-from skein.llm import byte_bpe, decontaminate, quality_knn, quality_rules, recompress, sharding, simhash_cover, token_store, url_rules, warc_bundle
+from skein.llm import (
+    byte_bpe, collocations, decontaminate, piece_bpe, quality_knn, quality_rules, recompress, sharding, simhash_cover, source_divergence,
+    token_store, url_rules, warc_bundle,
+)
 from skein.llm.common import field, table
 
 SHARDS = 16
@@ -79,6 +82,24 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of all documents, and what they decode to."""
+    both = piece_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"), decoded=True)
+    return both.select(
+        field("doc_id").alias("doc_id"), F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each lang differ in their terms."""
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most bound phrases of each lang."""
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
 def _ready(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(configure(spark), sf_dir.rstrip("/"))
@@ -98,6 +119,9 @@ QUERIES = {
     "op8_simhash_cover": _ready(_op8),
     "op9_byte_bpe": _ready(_op9),
     "op10_warc_bundles": _ready(_op10),
+    "op11_piece_bpe": _ready(_op11),
+    "op12_source_divergence": _ready(_op12),
+    "op13_collocations": _ready(_op13),
 }
 
 _UP, _LOW = decontaminate.UPPER, decontaminate.LOWER
@@ -158,4 +182,38 @@ r AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
   CASE WHEN best <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN best <> page_id THEN best END AS refers_to
 FROM r""",
+    "op12_source_divergence": f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+o AS MATERIALIZED (SELECT lang, source, term, rid, count(*) AS n FROM (SELECT rid, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+k AS MATERIALIZED (SELECT lang, term, sum(n) AS nl FROM o GROUP BY ALL HAVING count(*) >= {source_divergence.DOCUMENTS}),
+l AS (SELECT lang, count(*) AS v, sum(nl) AS tl FROM k GROUP BY ALL),
+c AS MATERIALIZED (SELECT lang, source, term, sum(n) AS n FROM o SEMI JOIN k USING (lang, term) GROUP BY ALL),
+t AS (SELECT lang, source, sum(n) AS t FROM c GROUP BY ALL),
+g AS MATERIALIZED (SELECT lang, source, coalesce(t, 0) AS t FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN t USING (lang, source)),
+s AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 1))::HUGEINT // (g.t + l.v)::HUGEINT AS p,
+    1 + (1000000000 * (k.nl + 1))::HUGEINT // (l.tl + l.v)::HUGEINT AS q
+  FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM s WHERE n > 0 AND p > q),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM s AS a JOIN s AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) AS x
+    ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+r AS (SELECT lang, source, 'term' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms QUALIFY rank <= {source_divergence.RANKS}
+  UNION ALL SELECT lang, source, 'pair', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM pairs)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r""",
+    "op13_collocations": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang, regexp_split_to_array(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[.,;:!?\\x0A-\\x0D]') AS ps FROM documents),
+p AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (SELECT lang, unnest(ps) AS piece FROM d)),
+g AS (SELECT lang, k, array_to_string(w[i + 1 : i + k], ' ') AS phrase, any_value(w[i + 1 : i + k]) AS ws, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(0, len(w) - k + 1)) AS i FROM p, (VALUES (1), (2), (3), (4)) AS ks(k) WHERE len(w) >= k) GROUP BY 1, 2, 3),
+n AS (SELECT lang, sum(f) AS n FROM g WHERE k = 1 GROUP BY lang),
+f AS MATERIALIZED (SELECT * FROM g WHERE f >= {collocations.LEAST}),
+cuts AS (SELECT lang, phrase, k, f, c, array_to_string(ws[1:c], ' ') AS x, array_to_string(ws[c + 1 : k], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS c FROM f WHERE k > 1)),
+scored AS (SELECT cuts.lang, cuts.phrase, cuts.k, cuts.f AS a, a.f AS l, b.f AS r, 2000000::HUGEINT * cuts.f // (a.f + b.f) AS score, c
+  FROM cuts JOIN f AS a ON a.lang = cuts.lang AND a.phrase = x AND a.k = c JOIN f AS b ON b.lang = cuts.lang AND b.phrase = y AND b.k = cuts.k - c),
+low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inside AS (SELECT lang, array_to_string(ws[i + 1 : i + m], ' ') AS phrase, max(f) AS over FROM (SELECT *, unnest(range(0, k - m + 1)) AS i FROM f, (VALUES (2), (3)) AS ms(m) WHERE m < k) GROUP BY 1, 2),
+kept AS (SELECT low.* FROM low LEFT JOIN inside USING (lang, phrase) WHERE over IS NULL OR 100 * over < {collocations.SHARE} * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN n USING (lang) QUALIFY rank <= {collocations.TOP}""",
 }

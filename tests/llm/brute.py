@@ -21,7 +21,6 @@ def tokens(docs, tokenizer_path):
     """op2: docs is a list of (doc_id, text) in input order."""
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(tokenizer_path)
-    tok.encode_special_tokens = True
     out, start = [], 0
     for key, text in sorted(docs, key=lambda x: (x[0] is not None, x[0] or 0)):
         ids = tok.encode(text or "", add_special_tokens=False).ids + [0]
@@ -162,6 +161,64 @@ def rules_from(baskets, support, confidence):
     return {(c, v): (m / every[c], m / n) for (c, v), m in labelled.items() if m >= support * n and m / every[c] >= confidence}
 
 
+def sentencepiece_ids(docs, path):
+    import sentencepiece
+    lib = sentencepiece.SentencePieceProcessor(model_file=path)
+    out = []
+    for key, text in docs:
+        ids = lib.encode(text or "", add_bos=True, add_eos=True)
+        out.append((key, len(ids), sha(b"".join(i.to_bytes(4, "little") for i in ids)), sha(lib.decode(ids).encode())))
+    return out
+
+
+def divergence(docs, documents=3, ranks=200):
+    """op12 over dense tables: docs is a list of (lang, source, text)."""
+    split = [(a or "", b or "", re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))) for a, b, t in docs]
+    out = []
+    for lang in {a for a, _, _ in split}:
+        mine = [(b, w) for a, b, w in split if a == lang]
+        df = Counter(t for _, w in mine for t in set(w))
+        kept = [t for t, n in df.items() if n >= documents]
+        count = {b: Counter() for b, _ in mine}
+        for b, w in mine:
+            count[b].update(t for t in w if df[t] >= documents)
+        every = sum(count.values(), Counter())
+        share = lambda c: {t: 1 + 10**9 * (c[t] + 1) // (c.total() + len(kept)) for t in kept}  # noqa: E731, B023
+        p, q = {b: share(c) for b, c in count.items()}, share(every)
+        f = lambda x, y: (x - y) ** 2 // y
+        for b in count:
+            pair = [(sum(f(p[b][t], p[o][t]) for t in kept), o) for o in count if o != b]
+            term = [(f(p[b][t], q[t]), t) for t in kept if count[b][t] and p[b][t] > q[t]]
+            for part, rows, most in (("pair", pair, None), ("term", term, ranks)):
+                for rank, (v, item) in enumerate(sorted(rows, key=lambda x: (-x[0], x[1].encode()))[:most], 1):
+                    out.append((lang, b, part, item, v, rank))
+    return out
+
+
+def collocations(docs, least=30, longest=4, share=80, top=2000):
+    """op13 by counting every phrase: docs is a list of (lang, text)."""
+    count, total = defaultdict(Counter), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+            w = re.findall("[^\x20\x09]+", piece)
+            total[lang] += len(w)
+            count[lang].update(tuple(w[i:i + k]) for k in range(1, longest + 1) for i in range(len(w) - k + 1))
+    out = []
+    for lang, f in count.items():
+        found = [c for c, n in f.items() if len(c) > 1 and n >= least]
+        rows = []
+        for c in found:
+            inside = [x for x in found if len(x) > len(c) and any(x[i:i + len(c)] == c for i in range(len(x) - len(c) + 1))]
+            if any(100 * f[x] >= share * f[c] for x in inside):
+                continue
+            score, k = min((2_000_000 * f[c] // (f[c[:k]] + f[c[k:]]), k) for k in range(1, len(c)))
+            rows.append((-score, -f[c], " ".join(c).encode(), f[c[:k]], f[c[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(rows)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, total[lang], -score))
+    return out
+
+
 def pipeline(docs, items, path, rules_keep):
     """docs: (doc_id, text) with distinct ids; rules_keep: ids that the quality rules keep."""
     docs = [d for d in docs if d[0] in rules_keep]

@@ -23,6 +23,7 @@ def _texts():
         "Unicode \u2003 spaces\u3000and \U0001F389 emoji \x1c file separators", "don't I'll we've 's 12a3 !!?? it's--that (word's)",
         prose(30_000), "the " + prose(200) + " the benchmark item says that seven plus five is twelve every day of the week " + prose(3),
         "THE BENCHMARK ITEM SAYS THAT SEVEN PLUS FIVE IS TWELVE EVERY", "short item", "a short item here",
+        "tokens <|endoftext|>and<|endoftext|> inside a text", "\u2581\u2581 lower \u2581bar  two   three    spaces ", "Stop here. stop here, stop here! " * 20,
     ]
 
 
@@ -37,7 +38,8 @@ def edge_tables(spark, d):
     texts = _texts()
     rows = [(i, t) for i, t in enumerate(texts)]
     rows += [(8, texts[8]), (8, texts[8]), (5, "other text under a used id"), (None, texts[8]), (None, None), (None, "some null id")]
-    docs = [(k, t, "en", f"src{n % 3}" if n % 5 else None, None if t is None else len(t)) for n, (k, t) in enumerate(rows)]
+    langs = ("en", "en", "de", None, "", "en", "und")
+    docs = [(k, t, langs[n % 7], f"src{n % 3}" if n % 5 else None, None if t is None else len(t)) for n, (k, t) in enumerate(rows)]
     _clash(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)).write.parquet(f"{d}/documents.parquet")
     items = [(1, "The benchmark item says that seven plus five is twelve every day of the week"), (2, "short item"), (3, None), (4, ""), (5, "SHORT ITEM"),
              (None, "benchmark item says that seven plus five is twelve every"), (7, "words that are nowhere at all in any of the documents here"), (7, "three")]

@@ -13,6 +13,7 @@ from skein.llm import url_rules
 from skein.llm.queries import QUERIES
 
 BPE = P.path("byte_bpe_multi_50k.tiktoken")
+PIECES = P.path("piece_bpe_32k.model")
 
 
 def _tables(spark, d):
@@ -29,6 +30,7 @@ EXPECT = {
     "op7_quality_rules": lambda docs, items, pages: brute.base_counts(docs),
     "op8_simhash_cover": lambda docs, items, pages: brute.simhash_groups(docs),
     "op9_byte_bpe": lambda docs, items, pages: brute.bpe(docs, BPE),
+    "op11_piece_bpe": lambda docs, items, pages: brute.sentencepiece_ids(docs, PIECES),
     "op10_warc_bundles": lambda docs, items, pages: brute.warc([(k, h) for k, _, h in pages]),
 }
 
