@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Tables bucketed by one column meet on that and further columns without a shuffle.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -61,6 +63,26 @@ def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def store_bucketed(df: DataFrame, name: str, buckets: int, key: str, deal: bool = False) -> tuple[DataFrame, str]:
+    """Write ``df`` bucketed by ``key`` in the shared folder: the table read back and its name.
+
+    Tables of the same number of buckets join and aggregate by ``key`` without a shuffle.
+    ``deal``: shuffle ``df`` by ``key`` first, where it is not in that order already.
+    """
+    spark = df.sparkSession
+    table = f"skein_{name}_{uuid.uuid4().hex}"
+    writer = (df.repartition(buckets, key) if deal else df).write.bucketBy(buckets, key).format("parquet")
+    writer.option("path", scratch_path(spark, name)).saveAsTable(table)
+    return spark.table(table), table
+
+
+def drop_bucketed(spark: SparkSession, table: str) -> None:
+    """Forget a bucketed table that nothing reads any more, and delete its files."""
+    path = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
+    spark.sql(f"DROP TABLE {table}")
+    drop(spark, path)
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete a stored table that nothing reads any more."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

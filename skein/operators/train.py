@@ -1,10 +1,9 @@
 """Incremental logistic regression on long-form features (ML-05..07, AGG-08, AGG-10).
 
-SGD and L-BFGS run as DataFrame iterations: each step joins features with the
-current weights, sums margins per example, and sums gradients per feature
-(partial aggregation, so a hot feature such as a popular category combines
-map-side). Every generation of weights is a written table, which cuts the
-lineage; only scalars (counts, losses, dot products) reach the driver.
+SGD and L-BFGS run as DataFrame iterations over features, weights and gradients that were
+dealt into common buckets once (``operators/dealt.py``): a step moves neither features nor
+weights. Every generation of weights is a written table, which cuts the lineage; only
+scalars (counts, losses, dot products) reach the driver.
 """
 
 from __future__ import annotations
@@ -12,14 +11,17 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from skein.config import drop_bucketed, store
+from skein.operators.dealt import Dealt, back_parts, deal, drawn, gradient_parts, margins, sigmoid
 from skein.operators.features import EX
 
 
-def sigmoid(x):
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
+#: Tables that one iteration reads twice.
+HELD = StorageLevel.MEMORY_AND_DISK
 
 
 def active_examples(features: DataFrame) -> DataFrame:
@@ -33,8 +35,8 @@ EXK = ["user", "item", "y"]  # example key with an integer label: hash-partition
 def gradient(features: DataFrame, weights: DataFrame) -> DataFrame:
     """AGG-10: ``g_f = Σ_ex mult · (σ(w·x) − y) · x_f`` per feature.
 
-    ``features``: ``(user, item, label, mult, feat, value)``, best partitioned by the
-    example key (see ``sgd``). Products are summed into a margin per example, the
+    ``features``: ``(user, item, label, mult, feat, value)``. The plain form for one use; training
+    goes through ``operators/dealt.py``. Products are summed into a margin per example, the
     error per example meets the features again by example, and gradients are summed
     per feature — partial aggregation first, so a hot feature combines map-side.
     """
@@ -54,60 +56,45 @@ def gradient(features: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
-def _by_example(features: DataFrame) -> DataFrame:
-    """Stored features dealt by the example key: balanced, since examples are distinct, and
-    shared by the margin and the join back of one step (one exchange, reused)."""
-    parts = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = features.select(*EX, "mult", "feat", "value").withColumn("y", F.col("label").cast("int"))
-    return base.repartition(parts, *EXK)
-
-
-def _sampled(by_ex: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """The features of a sample of the rows: every copy of an example is drawn on its own,
-    by a hash of (example, copy, seed), so that a run repeats exactly."""
-    copies = by_ex.select(*EXK, "mult").distinct().withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("mult").cast("int"))))
-    u = F.shiftrightunsigned(F.xxhash64(*EXK, F.col("copy"), F.lit(seed)), 11).cast("double") / float(1 << 53)
-    drawn = copies.where(u < fraction).groupBy(*EXK).agg(F.count(F.lit(1)).alias("mult"))
-    return by_ex.drop("mult").join(drawn, EXK)
-
-
 def sgd(features: DataFrame, weights: DataFrame, iterations: int, step: float, fraction: float = 1.0,
-        convergence_tol: float = 0.001, seed: int = 42) -> DataFrame:
+        convergence_tol: float = 0.001, seed: int = 42, dealt: Dealt | None = None) -> DataFrame:
     """ML-05: warm-start SGD, ``w ← w − step/√t · g/n`` (no regularisation).
 
-    ``features``: a stored table (it is read once per iteration). Stops early when
-    ``‖Δw‖ < tol · max(‖w‖, 1)`` from the second iteration on (tol 0 disables it).
-    ``weights``: ``(kind, k1, k2, feat, weight)``.
+    ``features``: a stored table, dealt into buckets once (``dealt``: that has been done).
+    Stops early when ``‖Δw‖ < tol · max(‖w‖, 1)`` from the second iteration on (tol 0 disables
+    it). ``weights``: ``(kind, k1, k2, feat, weight)``.
 
-    Layout: each generation of weights is a small Parquet table, whose measured size
-    decides how it meets the features: broadcast, or a shuffle join by feature in which
-    adaptive execution splits a hot feature (a popular category). Margins and errors stay
-    inside the example partitions, and the gradient is partially summed before its shuffle.
+    An iteration is one pass over the features within their buckets (``operators/dealt.py``):
+    neither features nor weights are shuffled, only the partial gradients of features that
+    several buckets share. Each generation of weights is a stored table.
     """
-    from skein.config import drop, store
-
-    spark, by_ex = features.sparkSession, _by_example(features)
-    w, path = store(weights.select("kind", "k1", "k2", "feat", "weight"), "weights")
-    count = lambda ex: ex.select(*EXK, "mult").distinct().agg(F.sum("mult")).first()[0] or 0
-    n_all = count(by_ex) if fraction >= 1.0 else None
+    d = dealt or deal(features, weights)
+    spark, w, table = d.spark, d.weights, None
+    n = d.examples.agg(F.sum("mult")).first()[0] or 0
     for t in range(1, iterations + 1):
-        ex = by_ex if fraction >= 1.0 else _sampled(by_ex, fraction, seed + t)
-        n = n_all if fraction >= 1.0 else count(ex)
-        if n == 0:
+        copies = None if fraction >= 1.0 else drawn(fraction, seed + t)
+        count = n if copies is None else d.examples.agg(F.sum(copies)).first()[0] or 0
+        if count == 0:
             continue
-        moved = F.col("weight") - F.lit(step / math.sqrt(t)) * F.coalesce(F.col("grad"), F.lit(0.0)) / F.lit(float(n))
-        new, new_path = store(w.join(gradient(ex, w), "feat", "left").select("kind", "k1", "k2", "feat", moved.alias("weight")), "weights")
+        parts = gradient_parts(d, w, copies).persist(HELD)
+        moved = F.col("w") - F.lit(step / math.sqrt(t)) * F.coalesce("grad", F.lit(0.0)) / F.lit(float(count))
+        new, new_table = d.keep(w.select("b", "fid", "shared", "lead", "w").join(d.total(w, parts).hint("shuffle_hash"), ["b", "fid"], "left").select("b", "fid", "shared", "lead", moved.alias("w"), F.col("w").alias("old")), "weights")
         done = False
         if convergence_tol > 0 and t > 1:
-            d = new.join(w.select("feat", F.col("weight").alias("old")), "feat").agg(
-                F.sqrt(F.sum((F.col("weight") - F.col("old")) ** 2)).alias("diff"),
-                F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm")).first()
-            done = d["diff"] < convergence_tol * max(d["norm"], 1.0)
-        drop(spark, path)
-        w, path = new, new_path
+            r = new.where("lead").agg(F.sqrt(F.sum((F.col("w") - F.col("old")) ** 2)).alias("diff"), F.sqrt(F.sum(F.col("w") ** 2)).alias("norm")).first()
+            done = r["diff"] < convergence_tol * max(r["norm"], 1.0)
+        parts.unpersist()
+        if table:
+            drop_bucketed(spark, table)
+        w, table = new, new_table
         if done:
             break
-    return w
+    out = store(d.named(w), "weights")[0]
+    if table:
+        drop_bucketed(spark, table)
+    if dealt is None:
+        d.close()
+    return out
 
 
 def routing(features: DataFrame, iterations: int, step: float, fraction: float) -> DataFrame:
@@ -123,27 +110,9 @@ def routing(features: DataFrame, iterations: int, step: float, fraction: float)
     return s.select("n_examples", "has_positive", route.alias("route"))
 
 
-def _loss_and_gradient(by_ex: DataFrame, weights: DataFrame, n: float) -> tuple[float, DataFrame, str]:
-    """Mean logistic loss (a scalar), mean gradient ``(feat, grad)`` at ``weights``, and the
-    path of the table that the gradient reads."""
-    from skein.config import store
-
-    m = (
-        by_ex.join(weights.select("feat", "weight"), "feat", "left")
-        .groupBy(*EXK, "label", "mult")
-        .agg(F.sum(F.col("value") * F.coalesce(F.col("weight"), F.lit(0.0))).alias("margin"))
-    )
-    mg = F.col("margin")
-    per, path = store(m.select(
-        *EXK,
-        (F.col("mult") * (sigmoid(mg) - F.col("label"))).alias("err"),
-        # log(1 + e^m) − y·m, computed stably.
-        (F.col("mult") * (F.log1p(F.exp(-F.abs(mg))) + F.greatest(mg, F.lit(0.0)) - F.col("label") * mg)).alias("loss"),
-    ), "margins")
-    loss = (per.agg(F.sum("loss")).first()[0] or 0.0) / n
-    grad = (by_ex.select(*EXK, "feat", "value").join(per.select(*EXK, "err"), EXK)
-            .groupBy("feat").agg((F.sum(F.col("err") * F.col("value")) / F.lit(n)).alias("grad")))
-    return loss, grad, path
+def _loss(margin: Column) -> Column:
+    """An example's loss log(1 + e^m) − y·m, computed stably, for each of its copies."""
+    return F.col("mult") * (F.log1p(F.exp(-F.abs(margin))) + F.greatest(margin, F.lit(0.0)) - F.col("label") * margin)
 
 
 @dataclass
@@ -155,6 +124,7 @@ class Fit:
     reason: str
     iterations: int = 0
     loss: float | None = None
+    start_loss: float | None = None
 
 
 def _two_loop(gram: list[list[float]], at: dict[str, int], hist: list[int], eps: float) -> tuple[list[float], list[int]]:
@@ -183,98 +153,134 @@ def _two_loop(gram: list[list[float]], at: dict[str, int], hist: list[int], eps:
     return r, used
 
 
-def lbfgs(features: DataFrame, weights: DataFrame, iterations: int = 100, memory: int = 10,
-          tolerance: float = 1e-6, c1: float = 1e-4, max_halvings: int = 30) -> Fit:
-    """ML-06: warm-start L-BFGS on the mean logistic loss, fully distributed.
+def _products(new: list[str], cols: list[str]) -> dict[tuple[str, str], Column]:
+    """The dot products of ``cols`` that involve a new vector, over one copy of each feature."""
+    lead = lambda a, b: F.sum(F.when(F.col("lead"), F.col(a) * F.col(b)))
+    return {(a, b): lead(a, b).alias(f"{a}__{b}") for i, a in enumerate(cols) for b in cols[i:] if a in new or b in new}
 
-    The weights, the gradient and the ``memory`` latest correction pairs (s, y) are
-    columns of one table keyed by feature ("vector-free" L-BFGS, Chen et al. 2014):
-    each iteration one aggregate gives the Gram matrix of those vectors, the two-loop
-    recursion runs on that (2m+1)² matrix of scalars, and the search direction is a
-    column expression over the table. A backtracking (Armijo) line search evaluates
-    loss and gradient like an SGD step. Only scalars reach the driver.
 
-    It runs until the loss changes by less than ``tolerance`` of itself or the gradient
-    vanishes (converged), or until the iterations or the line search end (not converged;
+def lbfgs(features: DataFrame, weights: DataFrame, iterations: int = 100, memory: int = 10, tolerance: float = 1e-6,
+          c1: float = 1e-4, max_halvings: int = 30, dealt: Dealt | None = None, gradient_tolerance: float = 0.0) -> Fit:
+    """ML-06: warm-start L-BFGS on the mean logistic loss, fully distributed.
+
+    The weights, the gradient and the ``memory`` latest correction pairs (s, y) are columns
+    of one table beside the features ("vector-free" L-BFGS, Chen et al. 2014): the two-loop
+    recursion runs on the Gram matrix of those vectors, of which an iteration observes only
+    the products with the three new ones, while it writes them; the direction d is a column
+    expression.
+
+    The line search has no pass over the features: margins are linear in the step, so a
+    table of ``X·w`` and ``X·d`` by example gives the loss at all step sizes 1, 1/2, 1/4, ...
+    in one aggregate, and the first that meets Armijo's condition is taken. An iteration
+    reads the features twice, for ``X·d`` and for the gradient, without an exchange of them.
+    Only scalars reach the driver.
+
+    It runs until the loss changes by less than ``tolerance`` of what it was at first (the
+    usual rule of such trainers), or the gradient vanishes or its norm falls to
+    ``gradient_tolerance`` of what it was at first (converged), or until the iterations or the line search end (not converged;
     ``reason`` says which). Pairs without positive curvature are left out. Without a
     positive label the starting weights come back unchanged, as the routing prescribes.
     """
-    from skein.config import drop, store
-
-    spark, by_ex = features.sparkSession, _by_example(features)
-    start, start_path = store(weights.select("kind", "k1", "k2", "feat", "weight"), "weights")
-    if by_ex.where(F.col("label") > 0).isEmpty():
-        return Fit(start, False, "no positive label")
-    n = float(by_ex.select(*EXK, "mult").distinct().agg(F.sum("mult")).first()[0] or 0)
+    if features.where(F.col("label") > 0).isEmpty():
+        return Fit(store(weights.select("kind", "k1", "k2", "feat", "weight"), "weights")[0], False, "no positive label")
+    d = dealt or deal(features, weights)
+    spark = d.spark
+    n = float(d.examples.agg(F.sum("mult")).first()[0])
     slots = [f"{v}{i}" for v in "sy" for i in range(memory)]
-    f, g, path = _loss_and_gradient(by_ex, start, n)
-    table, table_path = store(start.join(g, "feat", "left").select(
-        "kind", "k1", "k2", "feat", F.col("weight").alias("w"), F.coalesce("grad", F.lit(0.0)).alias("g"),
-        *[F.lit(0.0).alias(c) for c in slots]), "lbfgs")
-    drop(spark, path)
-    hist: list[int] = []  # slot numbers, oldest first
-    out = Fit(start, False, "iterations", iterations, f)
+    steps = [0.5 ** k for k in range(max_halvings)]
+
+    def advance(table: DataFrame, m: DataFrame, margin: Column, new: list[str], cols: list[str], *columns) -> tuple[DataFrame, str]:
+        """The next table, from the gradient at the examples' ``margin``; the dot products of its
+        new vectors are observed while it is written."""
+        err = F.col("mult") * (sigmoid(margin) - F.col("label"))
+        parts = back_parts(d, m.select("b", "ex", err.alias("err"))).persist(HELD)
+        grad = d.total(table, parts).select("b", "fid", (F.col("grad") / n).alias("g_new"))
+        seen = Observation()
+        after = table.join(grad.hint("shuffle_hash"), ["b", "fid"]).select("b", "fid", "shared", "lead", *columns)
+        stored = d.keep(after.observe(seen, *_products(new, cols).values()), "lbfgs")
+        parts.unpersist()
+        for a, b in _products(new, cols):
+            gram[a, b] = gram[b, a] = seen.get[f"{a}__{b}"] or 0.0
+        return stored
+
+    gram: dict[tuple[str, str], float] = {}
+    hist: list[int] = []                 # slot numbers, oldest first
+    g_start = 0.0
+    m = margins(d, d.weights, m=F.col("w")).persist(HELD)
+    f = f_start = m.agg(F.sum(_loss(F.col("m")))).first()[0] / n
+    table, table_name = advance(d.weights, m, F.col("m"), ["g"], ["g"], "w", F.col("g_new").alias("g"), *[F.lit(0.0).alias(c) for c in slots])
+    out = Fit(None, False, "iterations", iterations, f)
     for it in range(iterations):
         cols = ["g"] + [f"s{i}" for i in hist] + [f"y{i}" for i in hist]
-        at = {c: k for k, c in enumerate(cols)}
-        row = table.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{a}__{b}") for k, a in enumerate(cols) for b in cols[k:]]).first()
-        gram = [[row[f"{cols[min(x, y)]}__{cols[max(x, y)]}"] or 0.0 for y in range(len(cols))] for x in range(len(cols))]
-        if gram[0][0] <= 1e-30:
-            out = Fit(start, True, "gradient", it, f)
+        matrix = [[gram[a, b] for b in cols] for a in cols]
+        g_start = matrix[0][0] if it == 0 else g_start
+        if matrix[0][0] <= max(1e-30, gradient_tolerance ** 2 * g_start if it else 0.0):
+            out = Fit(None, True, "gradient", it, f)
             break
-        r, used = _two_loop(gram, at, hist, 1e-12)
-        slope = -sum(gram[0][k] * r[k] for k in range(len(cols)))  # g·d with d = −r
+        r, used = _two_loop(matrix, {c: k for k, c in enumerate(cols)}, hist, 1e-12)
+        slope = -sum(matrix[0][k] * r[k] for k in range(len(cols)))  # g·d with d = −r
         if slope >= 0:  # not a descent direction: restart from steepest descent
-            r, slope, used = [1.0] + [0.0] * (len(cols) - 1), -gram[0][0], []
+            r, slope, used = [1.0] + [0.0] * (len(cols) - 1), -matrix[0][0], []
         hist = used
         direction = sum((F.lit(-c) * F.col(cols[k]) for k, c in enumerate(r) if c), F.lit(0.0))
-        t = 1.0 if hist else min(1.0, 1.0 / math.sqrt(gram[0][0]))
-        for _ in range(max_halvings):
-            trial = table.select("feat", (F.col("w") + F.lit(t) * direction).alias("weight"))
-            f_new, g_new, path = _loss_and_gradient(by_ex, trial, n)
-            if f_new <= f + c1 * t * slope:
-                break
-            drop(spark, path)
-            t *= 0.5
-        else:
-            out = Fit(start, False, "line search", it, f)
+        first = 1.0 if hist else min(1.0, 1.0 / math.sqrt(matrix[0][0]))
+        m.unpersist()
+        m = margins(d, table, m=F.col("w"), md=direction).persist(HELD)
+        tried = m.withColumn("t", F.explode(F.array(*[F.lit(first * t) for t in steps])))
+        losses = dict(tried.groupBy("t").agg(F.sum(_loss(F.col("m") + F.col("t") * F.col("md")))).collect())
+        found = next(((t, losses[t] / n) for t in sorted(losses, reverse=True) if losses[t] / n <= f + c1 * t * slope), None)
+        if found is None:
+            out = Fit(None, False, "line search", it, f)
             break
+        t, f_new = found
         slot = hist.pop(0) if len(hist) == memory else next(i for i in range(memory) if i not in hist)
         hist.append(slot)
-        step, grad = F.lit(t) * direction, F.coalesce("g_new", F.lit(0.0))
-        fresh = {f"s{slot}": step, f"y{slot}": grad - F.col("g")}
-        new, new_path = store(table.join(g_new.withColumnRenamed("grad", "g_new"), "feat", "left").select(
-            "kind", "k1", "k2", "feat", (F.col("w") + step).alias("w"), grad.alias("g"),
-            *[fresh.get(c, F.col(c)).alias(c) for c in slots]), "lbfgs")
-        drop(spark, path)
-        drop(spark, table_path)
-        table, table_path = new, new_path
+        step = F.lit(t) * direction
+        fresh = {f"s{slot}": step, f"y{slot}": F.col("g_new") - F.col("g")}
+        cols = ["g"] + [f"s{i}" for i in hist] + [f"y{i}" for i in hist]
+        new_table, new_name = advance(table, m, F.col("m") + F.lit(t) * F.col("md"), ["g", *fresh], cols,
+                                      (F.col("w") + step).alias("w"), F.col("g_new").alias("g"), *[fresh.get(c, F.col(c)).alias(c) for c in slots])
+        drop_bucketed(spark, table_name)
+        table, table_name = new_table, new_name
         change, f = abs(f - f_new), f_new
-        if change <= tolerance * max(abs(f), abs(f + change), 1e-12):
-            out = Fit(start, True, "loss", it + 1, f)
+        if change <= tolerance * max(f_start, 1e-12):
+            out = Fit(None, True, "loss", it + 1, f)
             break
-        out = Fit(start, False, "iterations", it + 1, f)
-    out.weights = table.select("kind", "k1", "k2", "feat", F.col("w").alias("weight"))
-    drop(spark, start_path)
+        out = Fit(None, False, "iterations", it + 1, f)
+    m.unpersist()
+    out.weights = store(d.named(table), "weights")[0]
+    out.start_loss = f_start
+    drop_bucketed(spark, table_name)
+    if dealt is None:
+        d.close()
     return out
 
 
+@dataclass
+class Step:
+    """What a training step did: the weights, the route taken, and how the fit ended (L-BFGS)."""
+
+    weights: DataFrame
+    route: str
+    fit: Fit | None = None
+
+
 def train_step(features: DataFrame, base: DataFrame, iterations: int, step: float, fraction: float,
-               registry: DataFrame | None = None, batch_dir: str | None = None) -> tuple[DataFrame, str]:
-    """ML-07: one batch's training by its route; the weights and the route taken.
+               registry: DataFrame | None = None, batch_dir: str | None = None) -> Step:
+    """ML-07: one batch's training by its route, and how it ended: a fit that did not converge
+    says so (``fit.converged``, ``fit.reason``).
 
     The base weights come back when there is nothing to train. With a ``batch_dir`` the
     weights, numbered by ``registry``, are saved there as sparse lines.
     """
     from skein.sinks.store import save_sparse_weights
 
-    route = routing(features, iterations, step, fraction).first()["route"]
-    if route == "base":
-        out = base
-    elif route == "lbfgs":
-        out = lbfgs(features, base).weights
-    else:
-        out = sgd(features, base, iterations, step, fraction)
+    out = Step(base, routing(features, iterations, step, fraction).first()["route"])
+    if out.route == "lbfgs":
+        out.fit = lbfgs(features, base)
+        out.weights = out.fit.weights
+    elif out.route == "sgd":
+        out.weights = sgd(features, base, iterations, step, fraction)
     if batch_dir is not None:
-        save_sparse_weights(registry.join(out.select("feat", "weight"), "feat"), f"{batch_dir}/sparse_weights")
-    return out, route
+        save_sparse_weights(registry.join(out.weights.select("feat", "weight"), "feat"), f"{batch_dir}/sparse_weights")
+    return out

@@ -42,7 +42,7 @@ def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(q) <= set(E.queries()) and set(o) <= set(E.oracle_sql())
     assert len(q) == 114
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"lbfgs_train"}
+    assert set(q) == set(o)
 
 
 @pytest.mark.parametrize("key", KEYS)

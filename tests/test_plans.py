@@ -70,16 +70,24 @@ def test_no_forced_broadcast_of_sized_data_and_no_adaptive_switch():
         assert "adaptive.enabled\", \"false" not in text and ".limit(" not in text.replace(".limit(n)", ""), f
 
 
-def test_sgd_step_shares_one_exchange_of_the_features(spark, tmp_dir):
-    from skein.operators import train as TR
-    spark.createDataFrame([("u", "i", 1.0, 1, "a", 1.0), ("u", "j", 0.0, 1, "b", 1.0)],
-                          "user string, item string, label double, mult long, feat string, value double").write.parquet(tmp_dir + "/f")
-    spark.createDataFrame([("a", 0.1), ("b", 0.2)], "feat string, weight double").write.parquet(tmp_dir + "/w")
-    g = TR.gradient(TR._by_example(spark.read.parquet(tmp_dir + "/f")), spark.read.parquet(tmp_dir + "/w"))
-    p = plan(g)
-    # The features once by example (twice in the initial plan, reused at run time), the gradient once by feature.
-    assert p.count("REPARTITION_BY_NUM") <= 2 and p.count("hashpartitioning(feat") == 1
-    assert "BroadcastHashJoin" in p          # a small weight table is broadcast by its measured size
+def test_training_passes_do_not_move_features_or_weights(spark):
+    """Every pass over dealt features runs within their buckets; only shared features' sums travel."""
+    from pyspark.sql import functions as F
+    from skein.operators import dealt as D
+    rows = [(f"u{k % 7}", f"i{k % 5}", float(k % 2), 1, f, 1.0) for k in range(60) for f in ("g:1", f"i:i{k % 5}", f"t:u{k % 7}:{k % 3}")]
+    feats = spark.createDataFrame(list(dict.fromkeys(rows)), "user string, item string, label double, mult long, feat string, value double")
+    weights = feats.select(F.lit("x").alias("kind"), F.lit("").alias("k1"), F.lit("").alias("k2"), "feat", F.lit(0.1).alias("weight")).distinct()
+    d = D.deal(feats, weights)
+    parts, _ = d.keep(D.gradient_parts(d, d.weights), "parts")
+    errors = d.features.groupBy("b", "ex").agg(F.first("label").alias("err"))
+    for df in (D.gradient_parts(d, d.weights), D.gradient_parts(d, d.weights, D.drawn(0.5, 1)), D.margins(d, d.weights, m=F.col("w"), md=F.col("w") * 2), D.back_parts(d, errors)):
+        text = plan(df)
+        assert "Exchange" not in text.replace("BroadcastExchange", ""), text
+    total = plan(d.total(d.weights, parts))
+    assert total.count("Exchange hashpartitioning(b") == 1 and "value" not in total      # the way back; no feature rows
+    moved = plan(d.weights.join(d.total(d.weights, parts), ["b", "fid"], "left"))
+    assert moved.count("Exchange hashpartitioning(b") == 1                                # weights stay where they are
+    d.close()
 
 
 def test_hot_items_are_salted(spark):

@@ -2,11 +2,14 @@
 
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF001
 from skein.operators import incremental as INC
 from skein.operators import train as TR
+from skein.operators.dealt import deal, drawn, gradient_parts
 from skein.plans.scenario import Scenario
 from skein.sources import fixtures as fx
 
@@ -180,6 +183,62 @@ def test_training_is_alike_by_broadcast_and_by_shuffle(spark):
             assert math.isclose(fast[k], slow[k], rel_tol=1e-9, abs_tol=1e-12)
 
 
+def test_shared_and_split_features_train_like_the_plain_gradient(spark):
+    """Features of one bucket, of many, and of a hot user spread over buckets: the same sums."""
+    import random
+    import skein.operators.dealt as D
+    rnd = random.Random(8)
+    rows = []
+    for e in range(400):
+        u, i, y, m = ("hot" if e % 3 == 0 else f"u{rnd.randint(0, 40)}"), f"i{e}", float(rnd.random() < 0.4), rnd.randint(1, 3)
+        for f in {f"g:{rnd.randint(0, 2)}", f"i:{i}", f"t:{u}:{rnd.randint(0, 5)}"}:
+            rows.append((u, i, y, m, f, round(rnd.uniform(-1, 1), 3)))
+    feats = spark.createDataFrame(rows, "user string, item string, label double, mult long, feat string, value double")
+    names = sorted({r[4] for r in rows}) + ["g:unused"]
+    weights = spark.createDataFrame([(f[0], f[2:], "", f, round(rnd.uniform(-1, 1), 3)) for f in names], "kind string, k1 string, k2 string, feat string, weight double")
+    old, D.LEAST_HOT = D.LEAST_HOT, 10
+    try:
+        d = deal(feats, weights, buckets=5)
+    finally:
+        D.LEAST_HOT = old
+    assert d.features.where("b >= 0").select("b").distinct().count() > 5
+    assert d.weights.groupBy("fid").agg({"b": "count"}).where("`count(b)` > 1").count() > 3
+    got = {r["feat"]: r["grad"] for r in d.total(d.weights, gradient_parts(d, d.weights)).join(d.weights.where("lead"), ["b", "fid"]).join(d.symbols, "fid").collect()}
+    want = {r["feat"]: r["grad"] for r in TR.gradient(feats, weights).collect()} | {"g:unused": 0.0}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9, abs_tol=1e-12) for k in want)
+    # The copies of a shared feature stay equal through training.
+    w = {r["feat"]: r["weight"] for r in TR.sgd(feats, weights, 2, 1.0, convergence_tol=0.0, dealt=d).collect()}
+    plain = {r["feat"]: r["weight"] for r in TR.sgd(feats, weights, 2, 1.0, convergence_tol=0.0).collect()}
+    assert w.keys() == plain.keys() == set(names) and all(math.isclose(w[k], plain[k], rel_tol=1e-9, abs_tol=1e-12) for k in w)
+    d.close()
+
+
+@pytest.mark.parametrize("bad", [1, 3])
+def test_clashing_keys_get_others(spark, monkeypatch, bad):
+    """Hashes that clash under the first seed, or under all: other keys, the same sums."""
+    import skein.operators.dealt as D
+    plain = D.hashed
+    monkeypatch.setattr(D, "hashed", lambda cols, seed: F.pmod(plain(cols, seed), F.lit(3)) if seed < bad else plain(cols, seed))
+    rows = [(f"u{k % 5}", f"i{k % 7}", float(k % 2), 1, f, 0.5) for k in range(70) for f in (f"i:{k % 7}", f"u:{k % 5}:{k % 2}")]
+    feats = spark.createDataFrame(sorted(set(rows)), "user string, item string, label double, mult long, feat string, value double")
+    weights = feats.select(F.lit("x").alias("kind"), F.lit("").alias("k1"), F.lit("").alias("k2"), "feat", F.lit(0.1).alias("weight")).distinct()
+    d = deal(feats, weights, buckets=3)
+    got = {r["feat"]: r["grad"] for r in d.total(d.weights, gradient_parts(d, d.weights)).join(d.weights.where("lead"), ["b", "fid"]).join(d.symbols, "fid").collect()}
+    want = {r["feat"]: r["grad"] for r in TR.gradient(feats, weights).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9, abs_tol=1e-12) for k in want)
+    d.close()
+
+
+def test_train_step_says_how_a_fit_ended(spark):
+    feats = spark.createDataFrame([("u1", "a", 1.0, 1, "f:0", 1.0), ("u2", "b", 0.0, 1, "f:0", 1.0), ("u3", "b", 1.0, 1, "f:0", 1.0)],
+                                  "user string, item string, label double, mult long, feat string, value double")
+    weights = spark.createDataFrame([("f", "0", "", "f:0", 0.0)], "kind string, k1 string, k2 string, feat string, weight double")
+    done = TR.train_step(feats, weights, -1, 1.0, 1.0)
+    assert done.route == "lbfgs" and done.fit.converged and done.weights is done.fit.weights
+    none = TR.train_step(feats.withColumn("label", F.lit(0.0)), weights, -1, 1.0, 1.0)
+    assert none.route == "base" and none.fit is None and none.weights is weights
+
+
 def test_lbfgs_reports_how_it_ended(spark):
     feats = spark.createDataFrame(
         [("u1", "a", 1.0, 1, "f:0", 1.0), ("u2", "b", 0.0, 1, "f:0", 1.0), ("u3", "b", 1.0, 1, "f:0", 1.0)],
@@ -197,9 +256,14 @@ def test_lbfgs_reports_how_it_ended(spark):
 def test_mini_batches_draw_copies_on_their_own(spark):
     feats = spark.createDataFrame([("u", "i", 1.0, 1000, "f:0", 1.0)],
                                   "user string, item string, label double, mult long, feat string, value double")
-    n = TR._sampled(TR._by_example(feats), 0.3, 1).first()["mult"]
-    assert 200 < n < 400
-    assert TR._sampled(TR._by_example(feats), 1e-9, 1).count() == 0
+    weights = spark.createDataFrame([("f", "0", "", "f:0", 0.0)], "kind string, k1 string, k2 string, feat string, weight double")
+    d = deal(feats, weights)
+    n = d.examples.select(drawn(0.3, 1)).first()[0]
+    assert 200 < n < 400 and d.examples.select(drawn(0.3, 1)).first()[0] == n
+    assert gradient_parts(d, d.weights, drawn(1e-9, 1)).count() == 0
+    part = gradient_parts(d, d.weights, drawn(0.3, 1)).first()["part"]
+    assert math.isclose(part, -0.5 * n)
+    d.close()
 
 
 def test_snapshot_keeps_untrained_weights_and_drops_negative_tags(spark):
@@ -268,8 +332,9 @@ def test_two_batches_train_save_reload_and_rank(spark, tmp_dir):
         base = sol.gen_weights()
         seen.append({r["feat"]: r["weight"] for r in base.collect()})
         reg = base.select("feat").distinct().withColumn("idx", F.monotonically_increasing_id())
-        w, route = TR.train_step(f, base, 2, 1.0, 1.0, reg, f"{tmp_dir}/batch{k}")
-        assert route == "sgd"
+        done = TR.train_step(f, base, 2, 1.0, 1.0, reg, f"{tmp_dir}/batch{k}")
+        w = done.weights
+        assert done.route == "sgd" and done.fit is None
         sol.update_by_weights(w)
         sol.save(f"{tmp_dir}/m{k}")
         sol.init(f"{tmp_dir}/m{k}")
