@@ -4,16 +4,20 @@ An occurrence relation holds, sorted by piece and position, which group (a word
 at each place. It is persisted as packed rows, one a part of the corpus and lang: a part is
 ``PART`` words that one task has met, its groups numbered from 0, a break between pieces. A round is
 
-1. group-count: the parts' distinct groups with their counts are rows of a table, which Spark
-   adds up over the corpus; groups of at least ``least`` occurrences are frequent and get an id;
-2. semi-join: each part's groups meet the frequent ones in a sort-merge join and return to the part;
+1. group-count: the parts' distinct groups with their counts are rows of a table; Spark sorts
+   them by group and adds them up. Groups of at least ``least`` occurrences are frequent;
+   a group's id is its first place (the smallest part, and its number there);
+2. semi-join: the rows of frequent groups, with their ids, return to their parts;
 3. merge-join: the part's relation, cut to frequent groups, meets itself at the next position.
    Two phrases of k words that overlap in k - 1 are one phrase of k + 1; its key is the
    pair of their ids, exact and of fixed size whatever the words.
 
+The rows of a round are shuffled once by group, where one sort serves both the counts and
+the semi-join, and what is left of them once by part.
+
 A phrase of k + 1 words is frequent only if both of its phrases of k words are, so nothing is
 lost. Counting rows are distinct within a part, so a word pair of a third of all rows is one
-row a part. A frequent phrase carries the counts of all its heads and tails from its parents,
+row a part of ``PART`` words. A frequent phrase carries the counts of all its heads and tails from its parents,
 so cuts need no further join.
 
 Defined results: a null lang reads as ``und``, a null text as empty; repeated rows count each
@@ -31,8 +35,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
-from pyspark.sql.types import BinaryType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from skein.llm.common import LOWER_BYTES, Scratch, batch_rows, field, packed, pieces, scaled, ship, text_bytes, word_bounds
 from skein.llm.cuts import distinct
@@ -41,6 +44,8 @@ LEAST, LONGEST = 30, 4
 SHARE = 80          # percent of a phrase's count that a longer one needs to take its place
 TOP = 2000
 PART = 4 << 20      # words of an occurrence relation held at once
+PARTS = 1 << 12     # parts of a task at most
+PLACES = 1 << 31    # groups of a part at most
 CHUNK = 2 << 20     # bytes of text cut at once
 ROWS = 200_000      # counting rows a record batch
 
@@ -106,7 +111,17 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrence relations of the words, and their counts in each part."""
     from pyspark import TaskContext
 
-    number, held, size = TaskContext.get().partitionId() << 32, {}, 0
+    task, used, held, size = TaskContext.get().partitionId() * PARTS, 0, {}, 0
+
+    def full() -> Iterator[pa.RecordBatch]:
+        nonlocal used, held, size
+        for lang, part in held.items():
+            if used >= PARTS:
+                raise ValueError("a task of more parts than it can number: read the corpus in smaller partitions")
+            yield from part.batches(task + used, lang)
+            used += 1
+        held, size = {}, 0
+
     for b in pieces(batches, "text", CHUNK):
         langs = batch_rows(b, "lang")
         for lang in pc.unique(langs).to_pylist():
@@ -116,13 +131,8 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held.setdefault(lang, _Part()).add(each, seq)
                 size += len(seq)
         if size >= PART:
-            for lang, part in held.items():
-                yield from part.batches(number, lang)
-                number += 1
-            held, size = {}, 0
-    for lang, part in held.items():
-        yield from part.batches(number, lang)
-        number += 1
+            yield from full()
+    yield from full()
 
 
 def _extend(last: bool):
@@ -158,32 +168,43 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, share:
     scratch = Scratch(spark, "collocations")
     read = packed(docs).select(F.coalesce(field("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(field("text").cast("string"), F.lit("")).alias("text"))
     held = scratch.write(read.mapInArrow(_words, WORDS), "words")
-    counted = scratch.write(held.where("word is not null").groupBy("lang", "word").agg(F.sum("n").alias("f")), "counted")
-    total = counted.groupBy("lang").agg(F.sum("f").alias("n"))
-    one = counted.where(F.col("f") >= least).select(
-        F.monotonically_increasing_id().alias("id"), "lang", "f", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("f").alias("heads"), F.array("f").alias("tails"))
-    frequent = [scratch.write(one, "frequent-1")]
-    back = held.where("word is not null").select("part", "lang", "word", "local").join(frequent[0].select("lang", F.col("phrase").alias("word"), "id"), ["lang", "word"])
+    total = held.where("word is not null").groupBy("lang").agg(F.sum("n").alias("n"))
+    back = scratch.write(_frequent(held.where("word is not null"), ["lang", "word"], least), "back-1")
+    one = _first(back).select("id", "lang", "f", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("f").alias("heads"), F.array("f").alias("tails"))
+    found = [scratch.write(one, "frequent-1")]
+    total = scratch.write(total, "total")
     for words in range(2, longest + 1):
         relation = held.where("seq is not null").select("part", "seq")
-        joined = relation.groupBy("part").cogroup(back.select(F.col("part").alias("to"), "local", "id").groupBy("to")).applyInArrow(_extend(words == longest), PHRASES)
+        answers = back.select(F.col("part").alias("to"), "local", "id")
+        joined = relation.groupBy("part").cogroup(answers.groupBy("to")).applyInArrow(_extend(words == longest), PHRASES)
         held = scratch.write(joined, f"held-{words}")
-        groups = held.where("seq is null").select("part", "local", "head", "tail", "n")
-        found = groups.groupBy("head", "tail").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-        frequent.append(scratch.write(_phrase(found, frequent[-1]), f"frequent-{words}"))
-        scratch.drop("words" if words == 2 else f"held-{words - 1}")
-        back = groups.select("part", "local", "head", "tail").join(frequent[-1].select("head", "tail", "id"), ["head", "tail"])
-    scratch.drop(f"held-{longest}")
-    return _ranked(frequent, total, share, top)
+        scratch.drop("words" if words == 2 else f"held-{words - 1}", f"back-{words - 1}")
+        back = scratch.write(_frequent(held.where("seq is null"), ["head", "tail"], least), f"back-{words}")
+        found.append(scratch.write(_phrase(_first(back), found[-1]), f"frequent-{words}"))
+    scratch.drop(f"held-{longest}", f"back-{longest}")
+    return _ranked(found, total, share, top)
+
+
+def _frequent(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """Group-count and semi-join: the parts' rows of frequent groups with the group's count and id."""
+    group = Window.partitionBy(*keys)
+    place = F.col("part") * PLACES + F.col("local")
+    counted = rows.select("part", "local", *keys, F.sum("n").over(group).alias("f"), F.min(place).over(group).alias("id"))
+    return counted.where(F.col("f") >= least)
+
+
+def _first(rows: DataFrame) -> DataFrame:
+    """One row a group: that of its first place."""
+    return rows.where(F.col("id") == F.col("part") * PLACES + F.col("local"))
 
 
-def _phrase(found: DataFrame, parents: DataFrame) -> DataFrame:
+def _phrase(pairs: DataFrame, parents: DataFrame) -> DataFrame:
     """Frequent pairs of overlapping phrases with their words and the counts of their heads and tails."""
     head = parents.select(F.col("id").alias("head"), "lang", F.col("phrase").alias("begins"), "heads")
     tail = parents.select(F.col("id").alias("tail"), "last", "tails")
-    both = found.join(head, "head").join(tail, "tail")
+    both = pairs.select("id", "head", "tail", "f").join(head, "head").join(tail, "tail")
     return both.select(
-        F.monotonically_increasing_id().alias("id"), "head", "tail", "lang", "f", F.concat("begins", F.lit(" "), "last").alias("phrase"), "last",
+        "id", "head", "tail", "lang", "f", F.concat("begins", F.lit(" "), "last").alias("phrase"), "last",
         F.array_append("heads", F.col("f")).alias("heads"), F.array_append("tails", F.col("f")).alias("tails"))
 
 

@@ -114,9 +114,9 @@ def test_a_part_ends_when_it_is_full(monkeypatch):
     monkeypatch.setattr(TaskContext, "get", staticmethod(lambda: type("T", (), {"partitionId": lambda self: 3})()))
     b = [pa.RecordBatch.from_pydict({"lang": ["a", "b"], "text": ["one two. one", "B b"]})] * 2
     rows = [r for x in collocations._words(iter(b)) for r in x.to_pylist()]
-    assert [(r["part"] - (3 << 32), r["lang"]) for r in rows if r["seq"]] == [(0, "a"), (1, "b"), (2, "a"), (3, "b")]
+    assert [(r["part"] - 3 * collocations.PARTS, r["lang"]) for r in rows if r["seq"]] == [(0, "a"), (1, "b"), (2, "a"), (3, "b")]
     assert np.frombuffer(rows[0]["seq"], np.int32).tolist() == [0, 1, -1, 0, -1]
-    assert [(r["word"], r["n"]) for r in rows if r["part"] == 3 << 32 and r["word"]] == [("one", 2), ("two", 1)]
+    assert [(r["word"], r["n"]) for r in rows if r["part"] == 3 * collocations.PARTS and r["word"]] == [("one", 2), ("two", 1)]
 
 
 @pytest.mark.parametrize("total", [1, 3, 10**9 + 7, 9 * 10**15])
