@@ -148,7 +148,8 @@ def test_components_with_split_buckets(spark, bucket):
 def test_one_document_of_each_group_stays(spark):
     df = spark.createDataFrame([(3, "a b c d e"), (1, "a b c d e"), (1, "a b c d e"), (2, "other words here now"), (None, None), (None, "")], "doc_id long, text string")
     got = sorted(((r.doc_id, r.text) for r in simhash_cover.one_of_each(df).collect()), key=repr)
-    assert got == [(1, "a b c d e"), (2, "other words here now"), (None, "")] or len(got) == 4 and (1, "a b c d e") in got
+    assert len(got) == 3 and got[:2] == [(1, "a b c d e"), (2, "other words here now")]
+    assert got[2][0] is None and not got[2][1]      # null and empty text are one group
 
 
 def test_one_document_of_each_group_with_repeated_and_null_ids(spark):
