@@ -108,6 +108,26 @@ def compact(log: DataFrame, upto_batch: int, path: str, now_ms: int | None = Non
     return out
 
 
+POINTER = "log_root string, folded long, refresh_ms long, v long"
+
+
+def load_pointer(spark, root: str):
+    """The newest row of a publisher's pointer (log_root, folded, refresh_ms, v), or None."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    rows = spark.read.schema(POINTER).parquet(root)
+    return rows.orderBy(F.desc("v")).first()
+
+
+def save_pointer(spark, root: str, log_root: str, folded: int, refresh_ms: int) -> None:
+    """A new version of the pointer: where the log is, the last batch folded into its base, and
+    when the profiles were last loaded. The version counts once its one file is committed."""
+    last = load_pointer(spark, root)
+    row = spark.range(1).coalesce(1).select(F.lit(log_root).alias("log_root"), F.lit(folded).cast("long").alias("folded"), F.lit(refresh_ms).cast("long").alias("refresh_ms"))
+    row.write.mode("overwrite").parquet(f"{root}/v={0 if last is None else last['v'] + 1}")
+
+
 def publish_model(spark, pointers: str, model_key: str, path: str, published_ms: int) -> None:
     """Append one row to the pointer table: ``path`` is the newest model of ``model_key``."""
     row = spark.range(1).select(F.lit(model_key).alias("model_key"), F.lit(published_ms).cast("bigint").alias("published_at"),

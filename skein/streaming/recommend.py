@@ -6,6 +6,10 @@ append-only log partitioned by batch id: a batch writes only its own users' rows
 (and tombstones) into ``batch_id=<id>``, overwriting that directory if the batch is
 retried, so delivery is idempotent; the batch's time is stored with it, so a retry has the
 same one. ``current_lists`` gives the lists in force.
+
+What a restart must know is in a versioned pointer beside the log: the root that a compaction
+moved the log to, the last batch folded into its base (a retry of such a batch changes
+nothing), and the time of the last refresh (a restarted recommender loads that window again).
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark.sql import functions as F
 from skein.operators import instances as I
 from skein.operators import rank as RK
 from skein.operators.incremental import profile_start
-from skein.sinks.publish import current_lists, latest_model_path, publication_rows, rec_feature_blocks
+from skein.sinks.publish import current_lists, latest_model_path, load_pointer, publication_rows, rec_feature_blocks, save_pointer
 from skein.sinks.store import save_lines
 from skein.streaming.instances import batch_dir, batch_time
 
@@ -78,9 +82,22 @@ class Recommender:
 
     def __post_init__(self):
         self.times_root = f"{self.published_root}_info"
+        self.pointer_root = f"{self.published_root}_pointer"
+        self.folded = -1
+        last = load_pointer(self.spark, self.pointer_root)
+        if last is not None:
+            self.published_root, self.folded, self.last_refresh_ms = last["log_root"], last["folded"], last["refresh_ms"]
+
+    def _note(self) -> None:
+        save_pointer(self.spark, self.pointer_root, self.published_root, self.folded, self.last_refresh_ms)
 
     def refresh(self, batch_ms: int) -> None:
         """Reload and persist the profiles of the window ending at ``batch_ms`` (spill to disk allowed)."""
+        self._load(batch_ms)
+        self.last_refresh_ms = batch_ms
+        self._note()
+
+    def _load(self, batch_ms: int) -> None:
         if self.model is not None:
             for df in (self.model.profiles, self.model.tfidf, self.model.candidates):
                 if df is not None:
@@ -90,7 +107,6 @@ class Recommender:
         m.tfidf = m.tfidf.persist()
         self.model = m
         self._choose()
-        self.last_refresh_ms = batch_ms
 
     def _choose(self) -> None:
         m = self.model
@@ -120,10 +136,14 @@ class Recommender:
         return RK.top_per_user(RK.exclude_shown(scored, self.rec_log(), cands), self.n_top)
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
+        if batch_id <= self.folded:
+            return      # published before, and part of the base since: a retry has nothing to add
         batch_ms = batch_time(self.spark, self.times_root, batch_id, self.now_ms)
-        due = self.model is None or refresh_due(batch_ms, self.last_refresh_ms, self.interval_ms)
+        due = refresh_due(batch_ms, self.last_refresh_ms, self.interval_ms)
         if due:
             self.refresh(batch_ms)
+        elif self.model is None:
+            self._load(self.last_refresh_ms)
         path = self.use_newest_model()
         users = active_users(batch, self.version).persist()
         recs = self.rank(users, explain=self.dump_root is not None).persist()
@@ -159,14 +179,16 @@ class Recommender:
     def compact(self, new_root: str, upto_batch: int, now_ms: int | None = None) -> None:
         """Fold the log into a base under ``new_root`` and publish from there on.
 
-        Batches after ``upto_batch`` already written are copied over as they are.
+        Batches after ``upto_batch`` already written are copied over as they are. Every step
+        overwrites what a failed try has left, and the move counts once the pointer is written.
         """
         from skein.sinks.publish import compact
         log = self.spark.read.parquet(self.published_root)
         compact(log, upto_batch, new_root, now_ms)
         later = log.where(F.col("batch_id") > upto_batch)
-        later.write.mode("append").partitionBy("batch_id").parquet(new_root)
-        self.published_root = new_root
+        later.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(new_root)
+        self.published_root, self.folded = new_root, upto_batch
+        self._note()
 
 
 def start_recommender(actions: DataFrame, recommender: Recommender, checkpoint: str, batch_seconds: int | None = None):

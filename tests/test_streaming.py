@@ -1,6 +1,8 @@
 """Batch/stream twins and the per-batch distinct of user actions (Q8)."""
 
 import json
+
+import pytest
 import os
 
 from pyspark.sql import functions as F
@@ -126,6 +128,56 @@ def test_recommender_reads_the_pointer_in_every_batch_and_dumps(spark, tmp_dir):
     assert spark.read.parquet(tmp_dir + "/dump/*/*/profile_dump").count() == 2
 
 
+def test_a_restart_after_a_compaction_goes_on_where_it_was(spark, tmp_dir, monkeypatch):
+    """The new log root, folded batches and refresh time outlive the recommender; failed tries leave nothing."""
+    import skein.sinks.publish as PUB
+    from skein.operators.features import split_state
+    from skein.streaming.recommend import Model, Recommender
+    state = split_state(spark.createDataFrame([], "kind string, k1 string, k2 string, weight double"))
+    loads, clock = [], [1_000]
+
+    def load_model(batch_ms):
+        loads.append(batch_ms)
+        return Model(spark.createDataFrame([("a", [1]), ("b", [1])], "article_seq_id string, category_idx array<int>"),
+                     spark.createDataFrame([("a", "x", 0.5)], "article_seq_id string, entity string, tfidf double"),
+                     state["global"], state["user_inferred"], state["item_inferred"], state["user_entity"])
+
+    def start():
+        return Recommender(spark, load_model, lambda: spark.createDataFrame([], "user string, item string"), tmp_dir + "/out", "v1",
+                           n_top=1, n_candidates=2, entity_scalar=0.5, interval_ms=10_000, expire_hours=6, result_template="rec:%s", now_ms=lambda: clock[0])
+
+    def lists(rec):
+        return sorted(tuple(r) for r in rec.current().select("user", "item", "score", "expires_ms").collect())
+
+    batch = lambda *users: spark.createDataFrame([(json.dumps({"user_seq_id": u}),) for u in users], "line string")
+    rec = start()
+    for k, users in enumerate([(7, 8), (8, 9), (9, 10)]):
+        clock[0] = 1_000 * (k + 1)
+        rec.handle(batch(*users), k)
+    before = lists(rec)
+    assert [u for u, *_ in before] == ["10", "7", "8", "9"] and loads == [1_000]
+
+    save = PUB.save_pointer
+    with monkeypatch.context() as m:     # the first try dies before the move counts
+        m.setattr("skein.streaming.recommend.save_pointer", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            rec.compact(tmp_dir + "/out2", 1)
+    assert lists(start()) == before and start().published_root == tmp_dir + "/out"
+    again = start()
+    again.compact(tmp_dir + "/out2", 1)
+    assert spark.read.parquet(tmp_dir + "/out2").where("batch_id = 2").count() == spark.read.parquet(tmp_dir + "/out").where("batch_id = 2").count()
+
+    restarted = start()
+    assert restarted.published_root == tmp_dir + "/out2" and restarted.last_refresh_ms == 1_000
+    assert lists(restarted) == before
+    restarted.handle(batch(1), 1)        # a retry of a folded batch must not write over the base
+    assert lists(restarted) == before
+    clock[0] = 5_000
+    restarted.handle(batch(7), 3)        # not due: the same window as before the restart
+    assert loads == [1_000, 1_000] and [u for u, *_ in lists(restarted)] == ["10", "7", "8", "9"]
+    assert save is PUB.save_pointer
+
+
 def test_start_recommender_with_processing_time_trigger(spark, tmp_dir):
     from skein.streaming.recommend import start_recommender
 
