@@ -13,15 +13,15 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Tables bucketed by one column meet on that and further columns without a shuffle.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
+#: Tables bucketed by one column meet on that and further columns without a shuffle.
+BUCKETED = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 
 
-def configure(spark: SparkSession) -> SparkSession:
+def configure(spark: SparkSession, values: dict[str, str] = DEFAULTS) -> SparkSession:
     """Set the values above where the session does not state its own."""
     stated = spark.conf.getAll
-    for key, value in DEFAULTS.items():
+    for key, value in values.items():
         if key not in stated:
             spark.conf.set(key, value)
     return spark

@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.config import drop, drop_bucketed, store, store_bucketed
+from skein.config import BUCKETED, configure, drop, drop_bucketed, store, store_bucketed
 
 BUCKET_BYTES = 64 << 20   # stored features of a bucket, about
 MOST_BUCKETS = 1 << 17
@@ -118,7 +118,7 @@ def deal(features: DataFrame, weights: DataFrame, buckets: int | None = None) ->
 
     A feature without a starting weight takes no part in training.
     """
-    spark = features.sparkSession
+    spark = configure(features.sparkSession, BUCKETED)
     key = ["user", "item", "y"]
     named, named_path = store(weights.select("kind", "k1", "k2", "feat", F.col("weight").alias("w")), "weights")
     symbols, symbol_path, feat_seed = _numbered(named, ["feat"], "fid", "symbols")
