@@ -105,7 +105,7 @@ def sgd_train(spark, d):
 
 
 #: The registered L-BFGS run ends when the gradient's norm has fallen to this share of its first.
-STATIONARY = 0.02
+STATIONARY = 0.05
 
 
 @query("lbfgs_train", sql(f"""

@@ -204,11 +204,11 @@ def profile_text(spark, d):
     return df.select("article_seq_id", *_vec("text_vector"))
 
 
-@query("profile_scan_any", sql("SELECT doc_id, lang, source, n_chars FROM documents"))
+@query("profile_scan_any", sql("SELECT doc_id, text, lang, source, n_chars FROM documents"))
 def profile_scan_any(spark, d):
     """SRC-16: a whole collection through a configurable data source."""
     df = P.read_collection(spark, f"{d}/documents.parquet", fmt="parquet")
-    return df.select("doc_id", "lang", "source", "n_chars")
+    return df.select("doc_id", "text", "lang", "source", "n_chars")
 
 
 @query("encode_category", sql(f"SELECT article_seq_id, {CAT} FROM art WHERE {_valid()}", "art"))
