@@ -63,7 +63,7 @@ def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def store_bucketed(df: DataFrame, name: str, buckets: int, key: str, deal: bool = False) -> tuple[DataFrame, str]:
+def store_bucketed(df: DataFrame, name: str, buckets: int, key: str | list[str], deal: bool = False) -> tuple[DataFrame, str]:
     """Write ``df`` bucketed by ``key`` in the shared folder: the table read back and its name.
 
     Tables of the same number of buckets join and aggregate by ``key`` without a shuffle.
@@ -71,7 +71,8 @@ def store_bucketed(df: DataFrame, name: str, buckets: int, key: str, deal: bool
     """
     spark = df.sparkSession
     table = f"skein_{name}_{uuid.uuid4().hex}"
-    writer = (df.repartition(buckets, key) if deal else df).write.bucketBy(buckets, key).format("parquet")
+    keys = [key] if isinstance(key, str) else key
+    writer = (df.repartition(buckets, *keys) if deal else df).write.bucketBy(buckets, *keys).format("parquet")
     writer.option("path", scratch_path(spark, name)).saveAsTable(table)
     return spark.table(table), table
 

@@ -3,7 +3,9 @@
 Built-in Parquet has no MERGE, so state lives in versioned directories: a new
 version is ``updates UNION (old LEFT ANTI updated keys)`` written to a fresh
 path, and a pointer table names the current one. Writing a version is also
-the lineage cut between batches.
+the lineage cut between batches. Where the state is large beside a batch, the
+``*_delta`` forms keep it in a keyed table (``sinks/keyed.py``) and write only what
+the batch touched.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.constants import PROFILE_WINDOW_MS
+from skein.sinks.keyed import KeyedTable
 from skein.sources.profiles import latest_per_key
 
 MARGIN_MS = 0
@@ -82,6 +85,22 @@ def snapshot(old: DataFrame, trained: DataFrame, only_positive_tags: bool = True
     return write_back(trained, only_positive_tags).select(*old.columns).unionByName(kept)
 
 
+def snapshot_delta(table: KeyedTable, trained: DataFrame, batch: int, only_positive_tags: bool = True) -> bool:
+    """INC-06 as a delta of a stored state ``(kind, k1, k2, weight)``: writes the trained keys
+    alone; a tag trained to zero or below is taken out (``only_positive_tags``)."""
+    from skein.operators.features import write_back
+
+    gone = trained.where((F.col("kind") == "t") & (F.col("weight") <= 0)) if only_positive_tags else None
+    return table.apply(write_back(trained, only_positive_tags), batch, gone)
+
+
+def upsert_delta(table: KeyedTable, updates: DataFrame, batch: int, order_col: str | None = None) -> bool:
+    """SET-03 as a delta of a stored dictionary: writes the updated keys alone."""
+    if order_col is not None:
+        updates = latest_per_key(updates, table.key[0], order_col)
+    return table.apply(updates, batch)
+
+
 def write_version(df: DataFrame, root: str, name: str, version: str, mode: str = "errorifexists") -> str:
     """Write one state version to ``root/name/v=<version>`` and return the path."""
     path = f"{root}/{name}/v={version}"

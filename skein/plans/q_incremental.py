@@ -10,12 +10,14 @@ from skein.config import scratch_path
 from skein.constants import PROFILE_WINDOW_MS
 from skein.functions import encode as E
 from skein.functions.text import epoch_ms, r6, tsv_key
+from skein.operators import features as FT
 from skein.operators import incremental as INC
 from skein.plans import common as C
 from skein.plans.oracle_ctes import LAST, enc, idx_str, no_null, r6 as R6, sql, vsum
 from skein.plans.registry import query
 from skein.plans.scenario import Scenario
 from skein.sinks import store as ST
+from skein.sinks.keyed import KeyedTable
 from skein.sources import fixtures as fx
 from skein.sources import profiles as P
 
@@ -178,10 +180,13 @@ def last_per_key(spark, d):
     return out.select("key", epoch_ms(F.col("ts")).alias("ts_ms"), "value")
 
 
-@query("state_snapshot", sql(f"""
+STATE_SQL = sql(f"""
 SELECT kind, k1, k2, {R6('weight')} AS weight FROM w2 WHERE kind <> 't' OR weight > 0
 UNION ALL SELECT kind, k1, k2, {R6('weight')} FROM state s
-WHERE NOT EXISTS (SELECT 1 FROM w2 u WHERE u.kind = s.kind AND u.k1 = s.k1 AND u.k2 = s.k2)""", "w2", "state"))
+WHERE NOT EXISTS (SELECT 1 FROM w2 u WHERE u.kind = s.kind AND u.k1 = s.k1 AND u.k2 = s.k2)""", "w2", "state")
+
+
+@query("state_snapshot", STATE_SQL)
 def state_snapshot(spark, d):
     """INC-06: replace the trained keys, carry over the others, into a new state version."""
     s = Scenario(spark, d)
@@ -190,6 +195,47 @@ def state_snapshot(spark, d):
     return spark.read.parquet(path).select("kind", "k1", "k2", r6(F.col("weight")).alias("weight"))
 
 
+def _state_table(spark, s):
+    """The scenario's state as a keyed table: base of batch 0."""
+    table = KeyedTable(spark, scratch_path(spark, "statetable"), ["kind", "k1", "k2"], s.state.select("kind", "k1", "k2", "weight").schema)
+    table.apply(s.state, 0)
+    return table
+
+
+@query("state_deltas", STATE_SQL)
+def state_deltas(spark, d):
+    """INC-06 merge-on-read: the batch writes its trained keys as a delta of the bucketed state."""
+    s = Scenario(spark, d)
+    table = _state_table(spark, s)
+    INC.snapshot_delta(table, s.trained(2, 1.0, 1.0), 1)
+    return table.read().select("kind", "k1", "k2", r6(F.col("weight")).alias("weight"))
+
+
+@query("state_lookup", sql(f"SELECT feat, {R6('weight')} AS weight FROM w0", "w0"))
+def state_lookup(spark, d):
+    """JN-06/ML-03: the batch's weights from the bucketed state, which is not shuffled."""
+    s = Scenario(spark, d)
+    found = _state_table(spark, s).lookup(FT.batch_symbols(s.features()))
+    return found.select("feat", r6(F.coalesce("weight", F.lit(0.0))).alias("weight"))
+
+
+@query("dict_deltas", _dict_sql("article_seq_id, " + CAT, CAT_VALID, ">", "2024-01-24 00:00:00",
+                                "2024-01-27 00:00:00", "2024-01-28 00:00:00"))
+def dict_deltas(spark, d):
+    """INC-02/SET-03 merge-on-read: base, a delta for each of two rescans, folded between them."""
+    a = fx.art_crawls(spark, d)
+    scan = P.latest_per_key(P.scan_profiles(a, ["category", "crawled_at"], since=dt.datetime(2024, 1, 24)).where(
+        F.col("crawled_at") <= F.lit(INC02_LAST).cast("timestamp_ntz")), "article_seq_id", "crawled_at")
+    table = KeyedTable(spark, scratch_path(spark, "dicttable"), ["article_seq_id"], scan.schema)
+    table.apply(scan, 0)
+    start = INC.article_dict_start(BATCH_MS, _ms(INC02_LAST), dict_empty=False)
+    new, cut = P.scan_profiles(a, ["category", "crawled_at"], since=start), F.lit(dt.datetime(2024, 1, 30)).cast("timestamp_ntz")
+    INC.upsert_delta(table, new.where(F.col("crawled_at") <= cut), 1, "crawled_at")
+    table.compact()
+    INC.upsert_delta(table, new.where(F.col("crawled_at") > cut), 2, "crawled_at")
+    return table.read().select("article_seq_id", E.idx_string("category_idx").alias("category_idx"))
+
+
 @query("keep_untouched", sql(f"""
 SELECT "user"||chr(9)||CAST(c AS VARCHAR)||chr(9)||CAST(weight AS VARCHAR) AS value FROM st_user
 WHERE "user" NOT IN (SELECT "user" FROM inst)""", "st_user", "inst"))
