@@ -79,6 +79,21 @@ def rejected_events(lines: DataFrame, col: str = "line") -> DataFrame:
     return parsed.where(F.col("p.corrupt").isNotNull()).select(*[c for c in lines.columns], "kind")
 
 
+def routed_lines(lines: DataFrame, lang: str, col: str = "line") -> DataFrame:
+    """Every line once, with where it goes: ``out`` is ``instances`` (accepted, ``items`` holds its
+    articles, perhaps none), ``rejected`` (fails its kind's schema, ``reason`` names the kind) or
+    ``skipped`` (no user line, or well formed but not this model's; null lines too). One parse a line."""
+    ev = parse_events(lines, col)
+    p, user = F.col("p"), F.coalesce(F.col(col).contains("user_seq_id"), F.lit(False))
+    out = F.when(~user, "skipped").when(p["corrupt"].isNotNull(), "rejected").when(_accepted(lang), "instances").otherwise("skipped")
+    taken = F.col("out") == "instances"
+    return ev.withColumn("out", out).select(
+        *lines.columns, "out", F.when(F.col("out") == "rejected", F.col("kind")).alias("reason"),
+        F.when(taken, F.coalesce(p["user_seq_id"], F.lit(0)).cast("string")).alias("user"),
+        F.when(taken, F.coalesce(F.transform(p["articles"], lambda a: F.coalesce(a, F.lit(0)).cast("string")), F.array().cast("array<string>"))).alias("items"),
+        F.when(taken, F.when(F.col("kind") == "read", 1.0).otherwise(0.0)).alias("label"))
+
+
 def _instances(lines: DataFrame, lang: str, col: str, plus: bool, strict: bool = False) -> DataFrame:
     # Accepted lines keep their article list, others an empty one; the explode then drops
     # them. No Filter references the parsed struct, so the optimizer cannot push a copy of

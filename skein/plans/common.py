@@ -25,9 +25,9 @@ def window_start(batch_ms: int | None = None):
     return fx.WINDOW_START_TS if batch_ms is None else profile_start(batch_ms, -1)
 
 
-def _window(spark: SparkSession, d: str, batch_ms: int | None, keep=()) -> DataFrame:
+def _window(spark: SparkSession, d: str, batch_ms: int | None, keep=(), ids: DataFrame | None = None) -> DataFrame:
     return P.latest_per_key(
-        P.scan_profiles(fx.art_crawls(spark, d), ["category", "crawled_at"], since=window_start(batch_ms), usable_only=True, keep=keep),
+        P.scan_profiles(fx.art_crawls(spark, d, ids), ["category", "crawled_at"], since=window_start(batch_ms), usable_only=True, keep=keep),
         "article_seq_id", "crawled_at")
 
 
@@ -37,13 +37,23 @@ def window_profiles(spark: SparkSession, d: str, batch_ms: int | None = None) ->
     return _window(spark, d, batch_ms).select("article_seq_id", "category_idx")
 
 
-def window_tfidf(spark: SparkSession, d: str, batch_ms: int | None = None) -> DataFrame:
-    """Content tf-idf (long form) of the window profiles.
+def window_tfidf(spark: SparkSession, d: str, batch_ms: int | None = None, ids: DataFrame | None = None) -> DataFrame:
+    """Content tf-idf (long form) of the window profiles, or of those among ``ids``.
 
-    The window predicate and the validity rule run before the entity lists are
-    exploded, so only the window's articles are tokenised and counted.
+    The window predicate, the ids and the validity rule run before the entity lists are
+    exploded, so only those articles are tokenised and counted.
     """
-    return fx.entity_tfidf(_window(spark, d, batch_ms, keep=["content_name_entities"]), "content")
+    return fx.entity_tfidf(_window(spark, d, batch_ms, keep=["content_name_entities"], ids=ids), "content")
+
+
+def window_entities(spark: SparkSession, d: str, batch_ms: int | None = None) -> DataFrame:
+    """(article_seq_id, entity): the distinct content entities of the window profiles, uncounted.
+
+    A list is reduced where it is scanned: nothing is grouped by article and entity.
+    """
+    lists = _window(spark, d, batch_ms, keep=["content_name_entities"])
+    return lists.select("article_seq_id", F.explode_outer(F.array_distinct("content_name_entities")).alias("entity")).where(
+        F.col("entity").isNotNull())
 
 
 def active_users(spark: SparkSession, d: str) -> DataFrame:

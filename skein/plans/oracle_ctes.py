@@ -112,6 +112,9 @@ SELECT event_id, CASE event_type
  ELSE '{"device_id":'||user_id||'}' END AS line
 FROM ev_k""", "ev_k")
 
+cte("torn", """
+SELECT event_id, CASE WHEN event_id%11=0 THEN left(line, length(line)-1) ELSE line END AS line, line AS whole FROM lines""", "lines")
+
 cte("topic_lines", """
 SELECT l.event_id, CASE WHEN e.event_type='click' THEN 'click' ELSE 'impression' END AS topic, l.line
 FROM lines l JOIN events e ON e.event_id = l.event_id""", "lines")

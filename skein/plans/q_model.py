@@ -190,7 +190,7 @@ def candidate_semi(spark, d):
 def distinct_tags(spark, d):
     """AGG-03: distinct entity keys over the candidates."""
     s = Scenario(spark, d)
-    return RK.candidate_tags(s.candidates(), s.tfidf).select("entity").distinct()
+    return s.candidate_tfidf.select("entity").distinct()
 
 
 @query("tag_whitelist", sql(f"""
@@ -199,7 +199,7 @@ WHERE entity IN (SELECT entity FROM cand_tfidf) AND "user" IN (SELECT "user" FRO
 def tag_whitelist(spark, d):
     """JN-07: user-tag weights of active users, only for tags present among candidates."""
     s = Scenario(spark, d)
-    tags = RK.candidate_tags(s.candidates(), s.tfidf).select("entity").distinct()
+    tags = s.candidate_tfidf.select("entity").distinct()
     ue = s.user_entity_w.join(s.users(), "user", "left_semi").join(tags, "entity", "left_semi")
     return ue.select("user", "entity", r6(F.col("weight")).alias("weight"))
 

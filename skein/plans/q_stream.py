@@ -61,6 +61,17 @@ def instance_dump(spark, d):
     return spark.read.parquet(f"{out}/dump/*/*/data/instance/*").select("user", "item", "label")
 
 
+@query("stream_dead_letters", sql("""
+SELECT line, CASE WHEN whole LIKE '%source%' THEN 'read' ELSE 'refresh' END AS reason
+FROM torn WHERE event_id%11=0 AND whole LIKE '%user_seq_id%'""", "torn"))
+def stream_dead_letters(spark, d):
+    """STR-01: malformed lines of the event stream, kept apart in the same write as its instances."""
+    root = scratch_path(spark, "routes")
+    lines = fx.torn_lines(fx.lines_from_events(_events(spark, d), fx.n_documents(spark, d)))
+    run_available(lines.select("line"), f"{root}_ckpt", batch_fn=SI.route_batches(root, fx.LANG))
+    return SI.dead_letters(spark, root).select("line", "reason")
+
+
 @query("active_users_batch", sql('SELECT "user" FROM active', "active"))
 def active_users_batch(spark, d):
     """STR-02: parse actions, filter the version, distinct users within each micro-batch."""

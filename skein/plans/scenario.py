@@ -39,6 +39,17 @@ class Scenario:
     def tfidf(self) -> DataFrame:
         return store(C.window_tfidf(self.spark, self.d), "tfidf")[0]
 
+    @cached_property
+    def entities(self) -> DataFrame:
+        # Articles with their entities, uncounted: all that the users' tags need.
+        return store(C.window_entities(self.spark, self.d), "entities")[0]
+
+    @cached_property
+    def candidate_tfidf(self) -> DataFrame:
+        """Tf-idf of the candidates alone: they are chosen before any text is counted."""
+        ids = self.candidates().select("item")
+        return store(C.window_tfidf(self.spark, self.d, ids=ids), "candtfidf")[0]
+
     @cached_property
     def examples(self) -> DataFrame:
         return FT.examples(self.instances)
@@ -47,7 +58,7 @@ class Scenario:
     def user_entities(self) -> DataFrame:
         # Left lazy: ranking reads only active users' rows for candidate tags, and the
         # optimizer pushes those semi joins into this derivation instead of building it all.
-        return FT.user_entity_set(self.instances, self.profiles, self.tfidf)
+        return FT.user_entity_set(self.instances, self.profiles, self.entities)
 
     @cached_property
     def user_entity_w(self) -> DataFrame:
@@ -91,13 +102,18 @@ class Scenario:
             return RK.top_candidates(self.prescored(), fx.N_CANDIDATES, self.global_w, rounded=True)
         return self._candidates
 
+    @cached_property
+    def _users(self) -> DataFrame:
+        # One narrow row a user; four branches of a ranking read it, so actions are parsed once.
+        return store(C.active_users(self.spark, self.d), "users")[0]
+
     def users(self) -> DataFrame:
-        return C.active_users(self.spark, self.d)
+        return self._users
 
     def contributions(self) -> DataFrame:
         cands = self.candidates()
         return RK.pair_contributions(self.users(), cands, self.global_w, self.user_w, self.user_entity_w,
-                                     RK.candidate_tags(cands, self.tfidf), fx.ENTITY_SCALAR)
+                                     self.candidate_tfidf, fx.ENTITY_SCALAR)
 
     def scored(self, explain: bool = False) -> DataFrame:
         return RK.score_pairs(self.contributions(), explain, rounded=True)

@@ -58,9 +58,12 @@ def _hours_after_start(n) -> F.Column:
     return F.timestamp_add("HOUR", n.cast("int"), _data_start())
 
 
-def art(spark: SparkSession, sf_dir: str, with_maps: bool = False) -> DataFrame:
-    """Article profiles: one row per document (the profile collection)."""
+def art(spark: SparkSession, sf_dir: str, with_maps: bool = False, ids: DataFrame | None = None) -> DataFrame:
+    """Article profiles: one row per document (the profile collection), or of the articles ``ids`` alone."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    if ids is not None:
+        # Here, since the optimizer does not push a semi join below the tokenising projection.
+        d = d.join(ids.select(F.col(ids.columns[0]).cast("bigint").alias("doc_id")), "doc_id", "left_semi")
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
     emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     names = F.array(*[F.lit(n) for n in SOURCE_NAMES])
@@ -131,9 +134,9 @@ def recrawled(profiles: DataFrame) -> DataFrame:
         "category", F.array(F.lit("health")))
 
 
-def art_crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
+def art_crawls(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
     """The profile collection with articles that were crawled twice."""
-    a = art(spark, sf_dir)
+    a = art(spark, sf_dir, ids=ids)
     return a.unionByName(recrawled(a))
 
 
@@ -183,6 +186,12 @@ def lines_from_events(events: DataFrame, n_docs: int, keep: tuple[str, ...] = ()
     return e.select("event_id", *keep, line.alias("line"))
 
 
+def torn_lines(lines: DataFrame) -> DataFrame:
+    """Event lines of which every eleventh has lost its last character."""
+    torn = F.col("line").substr(F.lit(1), F.length("line") - 1)
+    return lines.withColumn("line", F.when(F.col("event_id") % 11 == 0, torn).otherwise(F.col("line")))
+
+
 def lines_with_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with the topic they arrive on: clicks on one, everything else on impressions."""
     e = lines_from_events(table(spark, sf_dir, "events"), n_documents(spark, sf_dir), keep=("event_type",))

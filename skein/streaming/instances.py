@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.constants import BATCH_DIR_PATTERN
-from skein.operators.instances import parse_instances
+from skein.operators.instances import parse_instances, routed_lines
 
 _PY_PATTERN = BATCH_DIR_PATTERN.replace("yyyy", "%Y").replace("MM", "%m").replace("dd", "%d") \
     .replace("HH", "%H").replace("mm", "%M").replace("ss", "%S")
@@ -52,3 +52,34 @@ def dump_instances(output_dir: str | None, now_ms: Callable[[], int] = lambda: i
         batch.write.mode("overwrite").parquet(f"{batch_dir(output_dir, when)}/data/instance/batch={batch_id}")
 
     return handle
+
+
+def route_batches(root: str, lang: str, col: str = "line"):
+    """STR-01 with a home for every line: a ``foreachBatch`` handler that parses a batch once and
+    writes instances, rejected and skipped lines below ``root/batch_id=<id>``.
+
+    One job writes all outputs, so they appear together; a retried batch overwrites its own.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        routed_lines(batch.select(col), lang, col).write.mode("overwrite").partitionBy("out").parquet(f"{root}/batch_id={batch_id}")
+
+    return handle
+
+
+ROUTED = "line string, reason string, user string, items array<string>, label double, batch_id long, out string"
+
+
+def routed(spark: SparkSession, root: str, out: str) -> DataFrame:
+    """The lines that ``route_batches`` sent to ``out``, with their batch; only its folders are read."""
+    return spark.read.schema(ROUTED).parquet(root).where(F.col("out") == out).drop("out")
+
+
+def routed_instances(spark: SparkSession, root: str) -> DataFrame:
+    """The instances of all batches, as ``instance_stream`` gives them."""
+    return routed(spark, root, "instances").select("user", F.explode("items").alias("item"), "label")
+
+
+def dead_letters(spark: SparkSession, root: str) -> DataFrame:
+    """The malformed lines of all batches, with the kind whose schema they fail."""
+    return routed(spark, root, "rejected").select("batch_id", "line", "reason")

@@ -115,3 +115,18 @@ def test_scores_and_gradients_aggregate_before_the_shuffle(spark):
     assert score, p
     assert all("HashAggregate" in lines[i + 1] for i in score), p    # partial aggregate below each
     assert any("partial_sum" in lines[i + 1] for i in score), p      # the score sum among them
+
+
+def test_only_candidates_are_tokenised_for_their_tfidf(spark):
+    from skein.plans import common as C
+    ids = spark.createDataFrame([("1",), ("2",)], "item string")
+    tree = plan(C.window_tfidf(spark, SF001, ids=ids)).splitlines()
+    tokenised = [i for i, line in enumerate(tree) if "regexp_extract_all" in line]
+    cut = [i for i, line in enumerate(tree) if "LeftSemi" in line]
+    assert len(cut) == len(tokenised) == 2          # one for the crawls, one for the later crawls
+    assert all(t < c for t, c in zip(tokenised, cut))
+
+
+def test_a_ranking_parses_actions_once(spark):
+    s = Scenario(spark, SF001)
+    assert "from_json" not in plan(s.scored())

@@ -196,3 +196,38 @@ def test_start_recommender_with_processing_time_trigger(spark, tmp_dir):
     finally:
         q.stop()
     assert calls and calls[0] == 1
+
+
+def test_every_line_has_one_home_also_after_a_retry(spark, tmp_dir):
+    read = json.dumps({"user_seq_id": 1, "article_seq_id": 10, "article_type": "article", "lang": "en", "ts": 5,
+                       "source": "hot", "custom_categories": []})
+    refresh = {"user_seq_id": 2, "article_seq_id": [20, 21], "article_type": "article", "lang": "en", "ts": 6,
+               "subtype": "x", "req_mode": "online", "custom_categories": []}
+    _write(tmp_dir + "/in", "a.txt", [read, read, json.dumps(refresh), read[:-1], "", "{\"device_id\":1}"])
+    _write(tmp_dir + "/in", "b.txt", [json.dumps({**refresh, "lang": "hi"}), json.dumps({**refresh, "article_seq_id": []}),
+                                      json.dumps({**refresh, "article_seq_id": "x"})])
+    src = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(tmp_dir + "/in").withColumnRenamed("value", "line")
+    handle, root = SI.route_batches(tmp_dir + "/out", "en"), tmp_dir + "/out"
+
+    def twice(batch, batch_id):
+        handle(batch, batch_id)
+        handle(batch, batch_id)
+
+    q = (src.writeStream.foreachBatch(twice).option("checkpointLocation", tmp_dir + "/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    lines = spark.read.text(tmp_dir + "/in").withColumnRenamed("value", "line")
+    kept = [SI.routed(spark, root, out).select("line") for out in ("instances", "rejected", "skipped")]
+    assert [k.count() for k in kept] == [4, 2, 3]
+    together = kept[0].unionByName(kept[1]).unionByName(kept[2])
+    assert sorted(r[0] for r in together.collect()) == sorted(r[0] for r in lines.collect())
+    assert sorted(map(tuple, SI.routed_instances(spark, root).collect())) == sorted(map(tuple, I.parse_instances(lines, "en").collect()))
+    bad = SI.dead_letters(spark, root).select("line", "reason")
+    assert sorted(map(tuple, bad.collect())) == sorted(map(tuple, I.rejected_events(lines).select("line", "kind").collect()))
+
+
+def test_null_lines_are_skipped_and_lines_are_parsed_once(spark):
+    df = spark.createDataFrame([(None,), ("{",), ('{"user_seq_id":',)], "line string")
+    got = I.routed_lines(df, "en")
+    assert sorted((str(r["line"]), r["out"], r["reason"]) for r in got.collect()) == [
+        ("None", "skipped", None), ("{", "skipped", None), ('{"user_seq_id":', "rejected", "refresh")]
+    assert got._jdf.queryExecution().executedPlan().toString().count("from_json") == 2
