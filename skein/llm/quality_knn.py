@@ -11,9 +11,14 @@ its ``NEIGHBOURS`` nearest vote with weights that grow with the similarity.
 Weights, basis and labelled vectors are fitted on that bounded sample; all documents are
 scored, each in the task that reads it, without a shuffle.
 
+Weights, basis and vectors are whole numbers (steps of 1 / ``STEP``, ``UNIT``), held as float64,
+and every product is a sum of whole numbers below 2^53: it is exact, so a score does not depend
+on the other texts of its block or on the order of a sum.
+
 Defined results: a text without words has no vector and gets the sample's share of label 1;
-equal texts get equal scores; an id with several labels has the least; without any labelled
-row every score is 0.5.
+equal texts get equal scores; of equally near rows the one of smaller id votes; an id with
+several labels has the least, one with several texts that of the least hash; without any
+labelled row every score is 0.5.
 """
 
 from __future__ import annotations
@@ -34,6 +39,9 @@ SHAPES = 1024  # of the bins, those of shapes and marks
 RANK = 64
 NEIGHBOURS = 15
 SHARPNESS = 4
+STEP = 1 << 12  # of a weighted term share: at most 1 times ln(TRAIN + 1) + 1, below 2^16 steps
+UNIT = 1 << 18  # of the basis and of a vector's coordinates
+MOST = 1 << 16  # labelled rows: a product of vectors and a row's number share 53 bits
 
 _SHAPE = np.arange(256, dtype=np.uint8)
 _SHAPE[ord("a"):ord("z") + 1] = ord("a")
@@ -71,27 +79,31 @@ def term_shares(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 @dataclass
 class Model:
     weights: np.ndarray  # of the bins
-    basis: np.ndarray  # BINS x RANK
-    vectors: np.ndarray  # labelled rows x RANK, of length 1
+    basis: np.ndarray  # BINS x RANK, in units
+    vectors: np.ndarray  # labelled rows x RANK, of length 1, in units, by id
     labels: np.ndarray
     prior: float
 
     def project(self, shares: np.ndarray) -> np.ndarray:
-        x = (shares * self.weights) @ self.basis
-        size = np.linalg.norm(x, axis=1, keepdims=True)
-        return x / np.where(size > 0, size, 1)
+        x = np.rint(shares * (self.weights * STEP)).astype(np.float64) @ self.basis
+        x /= np.maximum(np.abs(x).max(axis=1, keepdims=True), 1)
+        size = np.sqrt((x * x).sum(axis=1, keepdims=True))
+        return np.rint(x * (UNIT / np.where(size > 0, size, 1)))
 
     def score(self, shares: np.ndarray) -> np.ndarray:
         """Votes of the nearest labelled rows, in blocks of documents."""
         out = np.full(len(shares), self.prior)
-        if not len(self.vectors):
+        n = len(self.vectors)
+        if not n:
             return out
-        k = min(NEIGHBOURS, len(self.vectors))
+        k = min(NEIGHBOURS, n)
+        later = np.arange(n, dtype=np.float64)
         for a in range(0, len(shares), 512):
             x = self.project(shares[a:a + 512])
             near = x @ self.vectors.T
-            who = np.argpartition(-near, k - 1, axis=1)[:, :k]
-            w = np.maximum(np.take_along_axis(near, who, axis=1), 0).astype(np.float64) ** SHARPNESS
+            rank = near * MOST - later  # distinct whole numbers: ties go to the smaller id
+            who = np.sort(np.argpartition(-rank, k - 1, axis=1)[:, :k], axis=1)
+            w = np.maximum(np.take_along_axis(near, who, axis=1) / UNIT**2, 0) ** SHARPNESS
             total = w.sum(axis=1)
             vote = (w * self.labels[who]).sum(axis=1) / np.where(total > 0, total, 1)
             some = (total > 0) & (np.abs(x).sum(axis=1) > 0)
@@ -102,16 +114,19 @@ class Model:
 def fit(shares: np.ndarray, labels: np.ndarray, seed: int = 7) -> Model:
     """A model from the labelled rows; the basis comes from a randomised SVD."""
     n = len(shares)
+    if n > MOST:
+        raise ValueError(f"at most {MOST} labelled rows")
     if n == 0:
-        return Model(np.ones(BINS, np.float32), np.zeros((BINS, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5)
+        return Model(np.ones(BINS, np.float32), np.zeros((BINS, 1)), np.zeros((0, 1)), labels, 0.5)
     weights = np.log((n + 1) / ((shares > 0).sum(axis=0) + 1)).astype(np.float32) + 1
     a = shares * weights
     rank = min(RANK, n)
     q = np.linalg.qr(a @ np.random.default_rng(seed).standard_normal((BINS, rank + 16)).astype(np.float32))[0]
     for _ in range(4):
         q = np.linalg.qr(a @ (a.T @ q))[0]
-    basis = np.linalg.svd(q.T @ a, full_matrices=False)[2][:rank].T.astype(np.float32)
-    model = Model(weights, basis, np.zeros((0, rank), np.float32), labels.astype(np.float64), float(labels.mean()))
+    basis = np.linalg.svd(q.T @ a, full_matrices=False)[2][:rank].T
+    basis = np.rint(basis.astype(np.float64) * UNIT)
+    model = Model(weights, basis, np.zeros((0, rank)), labels.astype(np.float64), float(labels.mean()))
     model.vectors = model.project(shares)
     return model
 
@@ -126,7 +141,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, la
     known = labels.where(~held_out(key) & key.isNotNull() & F.col(label).isNotNull()).groupBy(key.alias("id")).agg(F.min(label).cast("int").alias("label"))
     sample = known.orderBy(F.xxhash64("id"), "id").limit(rows)  # the documented bound
     src = docs.select(key.alias("id"), F.col(f"`{text}`").alias("t"))
-    return src.join(F.broadcast(sample), "id").dropDuplicates(["id"])
+    return src.join(F.broadcast(sample), "id").groupBy("id").agg(F.min_by("t", F.xxhash64("t")).alias("t"), F.min("label").alias("label"))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality", rows: int = TRAIN) -> Model:

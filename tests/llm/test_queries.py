@@ -146,11 +146,25 @@ def test_neighbour_votes_equal_a_plain_loop():
     y[3] = 0
     got = model.score(y)
     for i, line in enumerate(model.project(y)):
-        sims = sorted(((float(line @ v), n) for n, v in enumerate(model.vectors)), reverse=True)[:K.NEIGHBOURS]
+        sims = sorted(((float(line @ v) / K.UNIT**2, -n) for n, v in enumerate(model.vectors)), reverse=True)[:K.NEIGHBOURS]
+        sims = [(s, -n) for s, n in sims]
         w = [(max(s, 0) ** K.SHARPNESS, n) for s, n in sims]
         total = sum(a for a, _ in w)
         want = model.prior if i == 3 else sum(a * model.labels[n] for a, n in w) / total
-        assert abs(got[i] - want) < 1e-5
+        assert abs(got[i] - want) < 1e-9
+    assert [model.score(y[i:i + 1])[0] for i in range(len(y))] == got.tolist()
+    assert model.score(y[::-1]).tolist() == got[::-1].tolist()
+
+
+def test_quality_model_does_not_depend_on_the_order_of_texts(spark):
+    import numpy as np
+    from skein.llm import quality_knn as K
+    docs = [(i, f"word{i % 7} some text {i}") for i in range(60)] + [(i, f"other words here {i}") for i in range(0, 60, 3)] + [(5, None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    models = [K.train(spark.createDataFrame(d, "doc_id long, text string").repartition(n), labels)
+              for d, n in ((docs, 3), (docs[::-1], 1), (docs + docs, 5))]
+    for m in models[1:]:
+        assert np.array_equal(m.vectors, models[0].vectors) and np.array_equal(m.labels, models[0].labels)
 
 
 def test_pipeline_equals_brute_force(spark):
