@@ -11,8 +11,9 @@ Confidence and support are shares of all urls: those without a label are baskets
 count against every rule whose tokens they have, so a rule holds outside the given rules'
 own selection or goes.
 
-Urls that share their token set are matched once. All steps are DataFrame operations; the
-size of the rule table is bounded by the support, not by the number of urls.
+The index is one map, a scalar subquery bounded by the support (``index``) and not by the number
+of urls; every url is matched in the stage that reads it, so no url is shuffled, however many
+share their tokens. All steps are DataFrame operations.
 
 Defined results: null urls and urls without ``://`` have empty host and path, no tokens and
 no given rule, and are allowed; equal rows get equal results; without labelled urls no rule
@@ -38,6 +39,7 @@ GIVEN = (
 )
 SUPPORT = 0.01
 CONFIDENCE = 0.9
+WIDTH = 9  # tokens of a url at most
 LABEL = "="
 
 
@@ -99,12 +101,23 @@ def mine(labelled: DataFrame, scratch: Scratch, support: float = SUPPORT, confid
     return scratch.write(found.join(rarest, ["tokens", "verdict"]).select("tokens", "verdict", "confidence", "support", "key"), "rules")
 
 
-def match(baskets: DataFrame, rules: DataFrame) -> DataFrame:
-    """(tokens, verdict) of the distinct token sets on which a rule fires."""
-    index = rules.select(F.col("key").alias("token"), F.col("tokens").alias("needs"), "verdict", "confidence", "support")
-    met = baskets.select("tokens", F.explode("tokens").alias("token")).join(index, "token").where(F.size(F.array_except("needs", "tokens")) == 0)
-    rank = F.struct("confidence", F.size("needs").alias("n"), "support", "verdict")
-    return met.groupBy("tokens").agg(F.max(rank)["verdict"].alias("mined"))
+def index(rules: DataFrame) -> DataFrame:
+    """One row: a map from token to the rules whose rarest token it is.
+
+    Support bounds it: a url has at most ``WIDTH`` tokens, so at most 2^WIDTH sets of them, and
+    every rule's set is in a share ``support`` of all urls: at most 2^WIDTH / support rules.
+    """
+    by_key = rules.groupBy("key").agg(F.collect_list(F.struct("confidence", F.size("tokens").alias("n"), "support", "verdict", "tokens")).alias("rules"))
+    return by_key.agg(F.map_from_entries(F.collect_list(F.struct("key", "rules"))).alias("index"))
+
+
+def match(tokens: Column, found: Column) -> Column:
+    """The verdict of the best rule whose tokens are all there (null: none), by the inverted index."""
+    rule = "struct<confidence:double,n:int,support:double,verdict:string,tokens:array<string>>"
+    none = F.array().cast(f"array<{rule}>")
+    met = F.flatten(F.transform(tokens, lambda t: F.coalesce(F.try_element_at(found, t), none)))
+    fits = F.filter(met, lambda r: F.size(F.array_except(r["tokens"], tokens)) == 0)
+    return F.array_max(F.transform(fits, lambda r: F.struct(r["confidence"], r["n"], r["support"], r["verdict"].alias("verdict"))))["verdict"]
 
 
 def judge(pages: DataFrame, labelled: DataFrame | None = None, id_col: str = "page_id", url: str = "url", rules=GIVEN, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
@@ -120,6 +133,6 @@ def judge(pages: DataFrame, labelled: DataFrame | None = None, id_col: str = "pa
     seen = read(pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url}`").alias("url"))).select("id", "host", "path", "tokens", rule.alias("rule"), verdict.alias("given"))
     seen = scratch.write(seen, "seen")
     known = seen.select("tokens", F.col("given").alias("verdict")) if labelled is None else read(labelled.select("url", "verdict")).select("tokens", "verdict")
-    mined = match(seen.where("given is null").select("tokens").distinct(), mine(known, scratch, support, confidence))
-    out = seen.join(mined, "tokens", "left")
-    return out.select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("given", "mined", F.lit("allow")).alias("verdict"))
+    out = seen.withColumn("index", index(mine(known, scratch, support, confidence)).scalar())
+    mined = F.when(F.isnull("given"), match(F.col("tokens"), F.col("index")))
+    return out.select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("given", mined, F.lit("allow")).alias("verdict"))

@@ -121,6 +121,12 @@ def test_a_rule_that_holds_among_all_urls_still_fires(spark):
     assert {r.page_id: r.verdict for r in url_rules.judge(pages, told).collect()} == {1: "block", 2: "allow"}
 
 
+def test_urls_are_matched_without_an_exchange(spark):
+    out = url_rules.judge(spark.read.parquet(f"{SF001}/pages.parquet"))
+    main = out._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    assert "Exchange" not in main and "Join" not in main
+
+
 def test_quality_scores_find_the_labels(spark):
     d = "/root/testdata/sf0.01"
     rows = QUERIES["op5_quality_knn"](spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").collect()
