@@ -41,7 +41,10 @@ class Scenario:
 
     @cached_property
     def entities(self) -> DataFrame:
-        # Articles with their entities, uncounted: all that the users' tags need.
+        # Articles with their entities, uncounted: all that the users' tags need. Where training
+        # has counted the window's texts already, they are not tokenised again.
+        if "tfidf" in vars(self):
+            return self.tfidf.select("article_seq_id", "entity")
         return store(C.window_entities(self.spark, self.d), "entities")[0]
 
     @cached_property
@@ -68,6 +71,7 @@ class Scenario:
     @cached_property
     def state(self) -> DataFrame:
         """The model state as one stored table: it is read for the gather and for the snapshot."""
+        self.tfidf      # training reads it too: the users' tags come from it
         return store(FT.state_long(self.global_w, self.user_w, self.item_w, self.user_entity_w), "state")[0]
 
     # --- training ---------------------------------------------------------------
