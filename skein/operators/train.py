@@ -154,25 +154,26 @@ def _two_loop(gram: list[list[float]], at: dict[str, int], hist: list[int], eps:
 
 
 def _products(new: list[str], cols: list[str]) -> dict[tuple[str, str], Column]:
-    """The dot products of ``cols`` that involve a new vector, over one copy of each feature."""
-    lead = lambda a, b: F.sum(F.when(F.col("lead"), F.col(a) * F.col(b)))
-    return {(a, b): lead(a, b).alias(f"{a}__{b}") for i, a in enumerate(cols) for b in cols[i:] if a in new or b in new}
+    """The dot products of ``cols`` that involve a new vector: of one's coefficients and the other's margins."""
+    return {(a, b): F.sum(F.col(f"a_{a}") * F.col(f"x_{b}")).alias(f"{a}__{b}") for i, a in enumerate(cols) for b in cols[i:] if a in new or b in new}
 
 
 def lbfgs(features: DataFrame, weights: DataFrame, iterations: int = 100, memory: int = 10, tolerance: float = 1e-6,
           c1: float = 1e-4, max_halvings: int = 30, dealt: Dealt | None = None, gradient_tolerance: float = 0.0) -> Fit:
     """ML-06: warm-start L-BFGS on the mean logistic loss, fully distributed.
 
-    The weights, the gradient and the ``memory`` latest correction pairs (s, y) are columns
-    of one table beside the features ("vector-free" L-BFGS, Chen et al. 2014): the two-loop
-    recursion runs on the Gram matrix of those vectors, of which an iteration observes only
-    the products with the three new ones, while it writes them; the direction d is a column
-    expression.
-
-    The line search has no pass over the features: margins are linear in the step, so a
-    table of ``X·w`` and ``X·d`` by example gives the loss at all step sizes 1, 1/2, 1/4, ...
-    in one aggregate, and the first that meets Armijo's condition is taken. An iteration
-    reads the features twice, for ``X·d`` and for the gradient, without an exchange of them.
+    A gradient is ``Xᵀe / n`` of the examples' errors e, and each step and correction pair (s, y) a sum
+    of such ones. So a vector v is kept by example, not by feature: as its coefficients a
+    (``v = Xᵀa``) and its margins ``x = X·v``, two columns of one table of the examples. The two-loop
+    recursion runs on the Gram matrix of the gradient and the ``memory`` latest pairs ("vector-free"
+    L-BFGS, Chen et al. 2014): ``u·v = a_u·x_v`` sums over examples, and an iteration observes only the
+    products with the three new vectors, while it writes them. The direction and its margins are column
+    expressions.
+
+    The line search has no pass over the features: margins are linear in the step, so the
+    table gives the loss at all step sizes 1, 1/2, 1/4, ... in one aggregate, and the first that
+    meets Armijo's condition is taken. An iteration reads the features twice, for the gradient and
+    for its margins, without an exchange of them; the weights are made once, at the end.
     Only scalars reach the driver.
 
     It runs until the loss changes by less than ``tolerance`` of what it was at first (the
@@ -186,17 +187,17 @@ def lbfgs(features: DataFrame, weights: DataFrame, iterations: int = 100, memory
     d = dealt or deal(features, weights)
     spark = d.spark
     n = float(d.examples.agg(F.sum("mult")).first()[0])
-    slots = [f"{v}{i}" for v in "sy" for i in range(memory)]
     steps = [0.5 ** k for k in range(max_halvings)]
-
-    def advance(table: DataFrame, m: DataFrame, margin: Column, new: list[str], cols: list[str], *columns) -> tuple[DataFrame, str]:
-        """The next table, from the gradient at the examples' ``margin``; the dot products of its
-        new vectors are observed while it is written."""
-        err = F.col("mult") * (sigmoid(margin) - F.col("label"))
-        parts = back_parts(d, m.select("b", "ex", err.alias("err"))).persist(HELD)
-        grad = d.total(table, parts).select("b", "fid", (F.col("grad") / n).alias("g_new"))
+    both = lambda v, a, x: [a.alias(f"a_{v}"), x.alias(f"x_{v}")]
+    err = lambda margin: F.col("mult") * (sigmoid(margin) - F.col("label")) / n
+
+    def advance(table: DataFrame, new: list[str], cols: list[str], columns: list[Column]) -> tuple[DataFrame, str]:
+        """The next table, from one with the new margins ``m`` and the gradient's coefficients
+        ``e``; the dot products of its new vectors are observed while it is written."""
+        parts = back_parts(d, table.select("b", "ex", F.col("e").alias("err"))).persist(HELD)
+        back = margins(d, d.total(d.weights, parts), u=F.col("grad")).select("b", "ex", "u")
         seen = Observation()
-        after = table.join(grad.hint("shuffle_hash"), ["b", "fid"]).select("b", "fid", "shared", "lead", *columns)
+        after = table.join(back.hint("shuffle_hash"), ["b", "ex"]).select("b", "ex", "label", "mult", "m", "a_w", *columns)
         stored = d.keep(after.observe(seen, *_products(new, cols).values()), "lbfgs")
         parts.unpersist()
         for a, b in _products(new, cols):
@@ -206,9 +207,11 @@ def lbfgs(features: DataFrame, weights: DataFrame, iterations: int = 100, memory
     gram: dict[tuple[str, str], float] = {}
     hist: list[int] = []                 # slot numbers, oldest first
     g_start = 0.0
+    gradient_now = both("g", F.col("e"), F.col("u"))
     m = margins(d, d.weights, m=F.col("w")).persist(HELD)
     f = f_start = m.agg(F.sum(_loss(F.col("m")))).first()[0] / n
-    table, table_name = advance(d.weights, m, F.col("m"), ["g"], ["g"], "w", F.col("g_new").alias("g"), *[F.lit(0.0).alias(c) for c in slots])
+    table, table_name = advance(m.select("b", "ex", "label", "mult", "m", F.lit(0.0).alias("a_w"), err(F.col("m")).alias("e")), ["g"], ["g"], gradient_now)
+    m.unpersist()
     out = Fit(None, False, "iterations", iterations, f)
     for it in range(iterations):
         cols = ["g"] + [f"s{i}" for i in hist] + [f"y{i}" for i in hist]
@@ -222,11 +225,9 @@ def lbfgs(features: DataFrame, weights: DataFrame, iterations: int = 100, memory
         if slope >= 0:  # not a descent direction: restart from steepest descent
             r, slope, used = [1.0] + [0.0] * (len(cols) - 1), -matrix[0][0], []
         hist = used
-        direction = sum((F.lit(-c) * F.col(cols[k]) for k, c in enumerate(r) if c), F.lit(0.0))
+        a_d, x_d = (sum((F.lit(-c) * F.col(f"{kind}_{cols[k]}") for k, c in enumerate(r) if c), F.lit(0.0)) for kind in "ax")
         first = 1.0 if hist else min(1.0, 1.0 / math.sqrt(matrix[0][0]))
-        m.unpersist()
-        m = margins(d, table, m=F.col("w"), md=direction).persist(HELD)
-        tried = m.withColumn("t", F.explode(F.array(*[F.lit(first * t) for t in steps])))
+        tried = table.select("label", "mult", "m", x_d.alias("md")).withColumn("t", F.explode(F.array(*[F.lit(first * t) for t in steps])))
         losses = dict(tried.groupBy("t").agg(F.sum(_loss(F.col("m") + F.col("t") * F.col("md")))).collect())
         found = next(((t, losses[t] / n) for t in sorted(losses, reverse=True) if losses[t] / n <= f + c1 * t * slope), None)
         if found is None:
@@ -235,11 +236,13 @@ def lbfgs(features: DataFrame, weights: DataFrame, iterations: int = 100, memory
         t, f_new = found
         slot = hist.pop(0) if len(hist) == memory else next(i for i in range(memory) if i not in hist)
         hist.append(slot)
-        step = F.lit(t) * direction
-        fresh = {f"s{slot}": step, f"y{slot}": F.col("g_new") - F.col("g")}
+        moved = table.select(
+            "*", (F.lit(t) * a_d).alias("a_step"), (F.lit(t) * x_d).alias("x_step"), (F.col("m") + F.lit(t) * x_d).alias("m_new")).select(
+            *[c for c in table.columns if c not in ("m", "a_w")], "a_step", "x_step", F.col("m_new").alias("m"), (F.col("a_w") + F.col("a_step")).alias("a_w"), err(F.col("m_new")).alias("e"))
+        fresh = {f"s{slot}": both(f"s{slot}", F.col("a_step"), F.col("x_step")),
+                 f"y{slot}": both(f"y{slot}", F.col("e") - F.col("a_g"), F.col("u") - F.col("x_g"))}
         cols = ["g"] + [f"s{i}" for i in hist] + [f"y{i}" for i in hist]
-        new_table, new_name = advance(table, m, F.col("m") + F.lit(t) * F.col("md"), ["g", *fresh], cols,
-                                      (F.col("w") + step).alias("w"), F.col("g_new").alias("g"), *[fresh.get(c, F.col(c)).alias(c) for c in slots])
+        new_table, new_name = advance(moved, ["g", *fresh], cols, gradient_now + [c for v in cols[1:] for c in fresh.get(v, [F.col(f"a_{v}"), F.col(f"x_{v}")])])
         drop_bucketed(spark, table_name)
         table, table_name = new_table, new_name
         change, f = abs(f - f_new), f_new
@@ -247,8 +250,10 @@ def lbfgs(features: DataFrame, weights: DataFrame, iterations: int = 100, memory
             out = Fit(None, True, "loss", it + 1, f)
             break
         out = Fit(None, False, "iterations", it + 1, f)
-    m.unpersist()
-    out.weights = store(d.named(table), "weights")[0]
+    parts = back_parts(d, table.select("b", "ex", F.col("a_w").alias("err"))).persist(HELD)
+    final = d.weights.select("b", "fid", "lead", "w").join(d.total(d.weights, parts).hint("shuffle_hash"), ["b", "fid"])
+    out.weights = store(d.named(final.select("fid", "lead", (F.col("w") + F.col("grad")).alias("w"))), "weights")[0]
+    parts.unpersist()
     out.start_loss = f_start
     drop_bucketed(spark, table_name)
     if dealt is None:
