@@ -104,12 +104,14 @@ def _seed(rows: DataFrame, cols: list[str]) -> int | None:
     return None
 
 
-def _numbered(rows: DataFrame, cols: list[str], key: str, name: str) -> tuple[DataFrame, str, int | None]:
-    """Stored ``rows`` with a 64-bit ``key`` for ``cols``: their hash under a seed without
-    collisions (so that other tables need no join to get it), else a running number."""
+def _numbered(rows: DataFrame, cols: list[str], key: str, name: str) -> tuple[DataFrame, str | None, int | None]:
+    """The stored table ``rows`` with a 64-bit ``key`` for ``cols``: their hash under a seed without
+    collisions (so that other tables need no join to get it, and it need not be stored), else a
+    running number, in a stored table."""
     seed = _seed(rows, cols)
-    numbers = F.monotonically_increasing_id() if seed is None else hashed(cols, seed)
-    return *store(rows.withColumn(key, numbers), name), seed
+    if seed is not None:
+        return rows.withColumn(key, hashed(cols, seed)), None, seed
+    return *store(rows.withColumn(key, F.monotonically_increasing_id()), name), seed
 
 
 def deal(features: DataFrame, weights: DataFrame, buckets: int | None = None) -> Dealt:
@@ -143,15 +145,15 @@ def deal(features: DataFrame, weights: DataFrame, buckets: int | None = None) ->
     used = dealt.select("b", "fid").distinct()
     where = used.groupBy("fid").agg(F.min("b").alias("first"), F.count(F.lit(1)).alias("c"))
     # A starting weight that no example uses has a place of its own beside the others.
-    homes = symbols.select("fid", "w").join(where, "fid", "left")
-    copies = homes.join(used.select("fid", F.col("b").alias("at")), "fid", "left").select(
-        F.coalesce("at", F.pmod("fid", F.lit(n * SLOTS)).cast("int")).alias("b"), "fid", F.coalesce(F.col("c") > 1, F.lit(False)).alias("shared"),
-        F.coalesce(F.col("at") == F.col("first"), F.lit(True)).alias("lead"), "w")
+    own = symbols.select("fid", "w").join(where, "fid", "left").where(F.coalesce("c", F.lit(0)) < 2).select(
+        F.coalesce("first", F.pmod("fid", F.lit(n * SLOTS)).cast("int")).alias("b"), "fid", F.lit(False).alias("shared"), F.lit(True).alias("lead"), "w")
+    # Only the features of several buckets meet the buckets again.
+    shared = symbols.select("fid", "w").join(where.where("c > 1"), "fid").join(used, "fid").select(
+        "b", "fid", F.lit(True).alias("shared"), (F.col("b") == F.col("first")).alias("lead"), "w")
+    copies = own.unionByName(shared)
     w, w_table = store_bucketed(copies, "weights", n, "b", deal=True)
-    drop(spark, named_path)
-    drop(spark, seen_path)
     examples = rows.select("ex", F.xxhash64(*key).alias("h"), "label", "mult")
-    return Dealt(spark, n, dealt, w, examples, symbols.drop("w"), [dealt_table, w_table], [symbol_path, row_path])
+    return Dealt(spark, n, dealt, w, examples, symbols.drop("w"), [dealt_table, w_table], [p for p in (named_path, seen_path, symbol_path, row_path) if p])
 
 
 def gradient_parts(d: Dealt, weights: DataFrame, mult: Column | None = None) -> DataFrame:

@@ -31,11 +31,13 @@ def examples(instances: DataFrame) -> DataFrame:
     return instances.groupBy(*EX).agg(F.count(F.lit(1)).alias("mult"))
 
 
-def user_entity_set(instances: DataFrame, profiles: DataFrame, tfidf: DataFrame) -> DataFrame:
-    """AGG-01: (user, entity) over each user's instances that have a profile, any label."""
+def user_entity_set(instances: DataFrame, profiles: DataFrame, tfidf: DataFrame, older: DataFrame | None = None) -> DataFrame:
+    """AGG-01: (user, entity) over each user's instances that have a profile, any label, and
+    those of ``older``; one shuffle makes all of them distinct."""
     items = instances.select("user", "item").distinct()
     t = tfidf.join(profiles.select("article_seq_id"), "article_seq_id", "left_semi")
-    return items.join(t.withColumnRenamed("article_seq_id", "item"), "item").select("user", "entity").distinct()
+    held = items.join(t.withColumnRenamed("article_seq_id", "item"), "item").select("user", "entity")
+    return (held if older is None else held.unionByName(older)).distinct()
 
 
 ROWS_PER_SALT = 20_000
@@ -97,15 +99,29 @@ def state_long(global_w: DataFrame, user_w: DataFrame, item_w: DataFrame, user_e
     )
 
 
-def batch_symbols(features: DataFrame) -> DataFrame:
-    """Distinct features of a batch: ``(kind, k1, k2, feat)``."""
-    return features.select("kind", "k1", "k2", "feat").distinct()
+#: Key of the state, and the name of its hash.
+KEY, KEY_HASH = ["kind", "k1", "k2"], "__key"
+
+
+def with_key_hash(rows: DataFrame) -> DataFrame:
+    """``rows`` with a hash of their key, to join on before the key itself: a sort compares whole
+    numbers, and strings only where the hashes are equal."""
+    return rows if KEY_HASH in rows.columns else rows.withColumn(KEY_HASH, F.xxhash64(*KEY))
+
+
+def batch_symbols(features: DataFrame, key_hash: bool = False) -> DataFrame:
+    """Distinct features of a batch: ``(kind, k1, k2, feat)``. ``key_hash``: with the hash by which
+    they were shuffled, so that ``gather_weights`` does not shuffle them again."""
+    named = [*KEY, _feat_of(F.col("kind"), F.col("k1"), F.col("k2")).alias("feat")]
+    if not key_hash:
+        return features.select(*KEY).distinct().select(*named)
+    return with_key_hash(features.select(*KEY)).select(KEY_HASH, *KEY).distinct().select(KEY_HASH, *named)
 
 
 def gather_weights(symbols: DataFrame, state: DataFrame) -> DataFrame:
     """JN-06 / ML-03: weight per batch feature from the state, 0 when new."""
-    return symbols.join(state, ["kind", "k1", "k2"], "left").select(
-        "kind", "k1", "k2", "feat", F.coalesce(F.col("weight"), F.lit(0.0)).alias("weight"))
+    return with_key_hash(symbols).join(with_key_hash(state.select(*KEY, "weight")), [KEY_HASH, *KEY], "left").select(
+        *KEY, "feat", F.coalesce(F.col("weight"), F.lit(0.0)).alias("weight"))
 
 
 def dense_index(df: DataFrame, order_col: str, idx_col: str = "idx") -> DataFrame:

@@ -79,9 +79,9 @@ def snapshot(old: DataFrame, trained: DataFrame, only_positive_tags: bool = True
     keys are replaced; a tag trained to zero or below is gone (``only_positive_tags``), and
     what the batch did not train, also of its own users, carries over.
     """
-    from skein.operators.features import write_back
+    from skein.operators.features import KEY, KEY_HASH, with_key_hash, write_back
 
-    kept = old.join(trained.select("kind", "k1", "k2"), ["kind", "k1", "k2"], "left_anti")
+    kept = with_key_hash(old).join(with_key_hash(trained.select(*KEY)), [KEY_HASH, *KEY], "left_anti").select(*old.columns)
     return write_back(trained, only_positive_tags).select(*old.columns).unionByName(kept)
 
 

@@ -66,7 +66,7 @@ class Scenario:
     @cached_property
     def user_entity_w(self) -> DataFrame:
         # The batch's tags and those from earlier batches, of all users.
-        return fx.state_user_entity(self.user_entities.unionByName(fx.old_user_tags(self.spark, self.d)).distinct())
+        return fx.state_user_entity(FT.user_entity_set(self.instances, self.profiles, self.entities, fx.old_user_tags(self.spark, self.d)))
 
     @cached_property
     def state(self) -> DataFrame:
@@ -85,7 +85,7 @@ class Scenario:
 
     def initial_weights(self, features: DataFrame | None = None) -> DataFrame:
         f = features if features is not None else self.features()
-        return FT.gather_weights(FT.batch_symbols(f), self.state)
+        return FT.gather_weights(FT.batch_symbols(f, key_hash=True), self.state)
 
     def trained(self, iterations: int = 2, step: float = 1.0, fraction: float = 1.0, tol: float = 0.0) -> DataFrame:
         """Warm-start SGD over the stored features."""

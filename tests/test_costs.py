@@ -25,3 +25,46 @@ def test_lbfgs_keeps_its_vectors_by_example(spark, monkeypatch):
     fit = TR.lbfgs(feats, weights, iterations=2, memory=2, tolerance=0.0)
     assert kept and all("ex" in cols and "fid" not in cols for cols in kept)
     assert fit.loss < fit.start_loss and fit.weights.count() == weights.count()
+
+
+def test_names_are_stored_once(spark, monkeypatch):
+    """Where a hash numbers features and examples, they are not stored again beside it."""
+    feats, weights = _feats(spark)
+    stored, store = [], D.store
+    monkeypatch.setattr(D, "store", lambda df, name: stored.append(name) or store(df, name))
+    d = D.deal(feats, weights, buckets=3)
+    assert sorted(stored) == ["examples", "weights"]
+    assert d.symbols.count() == weights.count() and d.examples.count() == feats.select("user", "item", "label").distinct().count()
+    d.close()
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_symbols_meet_the_state_after_one_shuffle(spark):
+    """Null and repeated keys as in a plain join: null keys meet nothing, repeated ones every time."""
+    rows = [("t", "u1", "a"), ("t", "u1", "a"), ("t", "u2", None), ("g", "3", ""), ("i", "x", "")]
+    feats = spark.createDataFrame(rows, "kind string, k1 string, k2 string").withColumn("feat", FT._feat_of(F.col("kind"), F.col("k1"), F.col("k2")))
+    state = spark.createDataFrame([("t", "u1", "a", 0.5), ("t", "u1", "a", 0.25), ("t", "u2", None, 0.75), ("g", "3", "", 1.0)],
+                                  "kind string, k1 string, k2 string, weight double")
+    want = sorted([("t:u1:a", 0.25), ("t:u1:a", 0.5), ("t:u2", 0.0), ("g:3", 1.0), ("i:x", 0.0)])
+    for key_hash in (False, True):
+        got = FT.gather_weights(FT.batch_symbols(feats, key_hash), state)
+        assert got.columns == ["kind", "k1", "k2", "feat", "weight"]
+        assert sorted((r["feat"], r["weight"]) for r in got.collect()) == want
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _shuffles(FT.gather_weights(FT.batch_symbols(feats, key_hash=True), state)) == 2   # symbols, state
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_older_tags_are_made_distinct_with_the_others(spark):
+    inst = spark.createDataFrame([("u", "a", 1.0), ("u", "b", 0.0), ("v", "a", 0.0)], "user string, item string, label double")
+    prof = spark.createDataFrame([("a",), ("b",)], "article_seq_id string")
+    tags = spark.createDataFrame([("a", "x", 0.5), ("a", "y", 0.5), ("b", "x", 1.0)], "article_seq_id string, entity string, tfidf double")
+    older = spark.createDataFrame([("u", "x"), ("w", "z"), ("w", "z")], "user string, entity string")
+    out = FT.user_entity_set(inst, prof, tags, older)
+    assert sorted(tuple(r) for r in out.collect()) == [("u", "x"), ("u", "y"), ("v", "x"), ("v", "y"), ("w", "z")]
