@@ -13,7 +13,8 @@ at each place. It is persisted as packed rows, one a part of the corpus and lang
    pair of their ids, exact and of fixed size whatever the words.
 
 The rows of a round are shuffled once by group, where one sort serves both the counts and
-the semi-join, and what is left of them once by part.
+the semi-join, and what is left of them once by part. A round's shuffle files are deleted when its
+table is written.
 
 A phrase of k + 1 words is frequent only if both of its phrases of k words are, so nothing is
 lost. Counting rows are distinct within a part, so a word pair of a third of all rows is one
@@ -165,7 +166,7 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, share:
     least bound to each other, without those that a longer phrase mostly takes the place of."""
     spark = docs.sparkSession
     ship(spark)
-    scratch = Scratch(spark, "collocations")
+    scratch = Scratch(spark, "collocations", drop_shuffles=True)
     read = packed(docs).select(F.coalesce(field("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(field("text").cast("string"), F.lit("")).alias("text"))
     held = scratch.write(read.mapInArrow(_words, WORDS), "words")
     total = held.where("word is not null").groupBy("lang").agg(F.sum("n").alias("n"))

@@ -12,6 +12,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import nullcontext
 from functools import lru_cache
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.config import checkpoint_root
+from skein.config import checkpoint_root, shuffles_dropped
 
 ROW = "row"  # struct with every column of the input, so that no name can clash
 
@@ -51,8 +52,8 @@ def let(value: Column, body) -> Column:
 class Scratch:
     """Tables and files of one run of an operator, below the shared folder."""
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, name: str, drop_shuffles: bool = False):
+        self.spark, self.drop_shuffles = spark, drop_shuffles
         self.root = f"{checkpoint_root(spark)}/skein-llm/{name}-{uuid.uuid4().hex[:12]}"
 
     def path(self, name: str) -> str:
@@ -63,7 +64,8 @@ class Scratch:
         writer = df.write.option("compression", codec)
         if partition_by:
             writer = writer.partitionBy(partition_by)
-        writer.parquet(self.path(name))
+        with shuffles_dropped(self.spark) if self.drop_shuffles else nullcontext():
+            writer.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

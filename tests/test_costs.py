@@ -68,3 +68,22 @@ def test_older_tags_are_made_distinct_with_the_others(spark):
     older = spark.createDataFrame([("u", "x"), ("w", "z"), ("w", "z")], "user string, entity string")
     out = FT.user_entity_set(inst, prof, tags, older)
     assert sorted(tuple(r) for r in out.collect()) == [("u", "x"), ("u", "y"), ("v", "x"), ("v", "y"), ("w", "z")]
+
+
+def test_scratch_tables_leave_no_shuffle_files(spark):
+    from skein.llm.common import Scratch
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles().mkString("\n").split("\n")
+        return {f for f in found if "/shuffle_" in f}
+
+    before = files()
+    scratch = Scratch(spark, "costs", drop_shuffles=True)
+    out = scratch.write(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+    assert out.count() == 7 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") != "true"
