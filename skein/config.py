@@ -92,6 +92,12 @@ def store_bucketed(df: DataFrame, name: str, buckets: int, key: str | list[str],
     return spark.table(table), table
 
 
+def append_bucketed(df: DataFrame, table: str, buckets: int, key: str) -> DataFrame:
+    """Add rows, in bucket order, to a table that ``store_bucketed`` wrote: the table read back."""
+    df.write.mode("append").bucketBy(buckets, key).format("parquet").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def drop_bucketed(spark: SparkSession, table: str) -> None:
     """Forget a bucketed table that nothing reads any more, and delete its files."""
     path = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]

@@ -23,7 +23,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.config import BUCKETED, configure, drop, drop_bucketed, store, store_bucketed
+from skein.config import BUCKETED, append_bucketed, configure, drop, drop_bucketed, store, store_bucketed
+from skein.operators.features import with_feat
 
 BUCKET_BYTES = 64 << 20   # stored features of a bucket, about
 MOST_BUCKETS = 1 << 17
@@ -67,6 +68,7 @@ class Dealt:
     symbols: DataFrame
     _tables: list[str] = field(default_factory=list)
     _paths: list[str] = field(default_factory=list)
+    placed: bool = False   # dealt from a batch in buckets (``operators/placed.py``): weights carry their names
 
     def keep(self, df: DataFrame, name: str) -> tuple[DataFrame, str]:
         """Store a table that is in bucket order already."""
@@ -80,6 +82,32 @@ class Dealt:
         back = sums.select(F.explode("bs").alias("b"), "fid", "total").repartition(self.buckets, "b")
         return here.join(back.hint("shuffle_hash"), ["b", "fid"], "left").select("b", "fid", F.coalesce("total", "part").alias("grad"))
 
+    def moved(self, weights: DataFrame, errors: DataFrame, moved: Column) -> tuple[DataFrame, str]:
+        """The next weights of a placed batch, ``moved`` by each feature's ``grad`` of the examples'
+        ``errors`` (b, ex, err): own features' in their buckets, in one pass; the shared
+        features' sums are added up and meet the copies."""
+        errors, error_table = self.keep(errors, "errors")
+        total = F.sum(F.col("err") * F.col("value")).alias("grad")
+        cols = ["b", "fid", "shared", "lead", moved.alias("w"), F.col("w").alias("old"), "kind", "k1", "k2"]
+
+        def met(rows: str) -> DataFrame:
+            return self.features.where(rows).select("b", "ex", "fid", "value").join(errors.hint("shuffle_hash"), ["b", "ex"])
+
+        w = weights.drop("old")
+        here = w.where("not shared").join(met("own").groupBy("b", "fid").agg(total).hint("shuffle_hash"), ["b", "fid"], "left")
+        away = w.where("shared").join(met("not own").groupBy("fid").agg(total), "fid", "left")
+        table = self.keep(here.select(*cols), "weights")[1]
+        new = append_bucketed(away.select(*cols).repartition(self.buckets, "b"), table, self.buckets, "b")
+        drop_bucketed(self.spark, error_table)
+        return new, table
+
+    def stored(self, weights: DataFrame) -> DataFrame:
+        """(kind, k1, k2, feat, weight) from (b, fid, lead, w), stored. Of a placed batch the weights
+        have their names and stay as they are, with ``b`` and ``own``."""
+        if not self.placed:
+            return store(self.named(weights), "weights")[0]
+        return with_feat(weights.where("lead").select("b", (~F.col("shared")).alias("own"), "kind", "k1", "k2", F.col("w").alias("weight")))
+
     def named(self, weights: DataFrame) -> DataFrame:
         """(kind, k1, k2, feat, weight) from (b, fid, lead, w)."""
         return weights.where("lead").select("fid", F.col("w").alias("weight")).join(self.symbols, "fid").select("kind", "k1", "k2", "feat", "weight")
@@ -157,10 +185,15 @@ def deal(features: DataFrame, weights: DataFrame, buckets: int | None = None) ->
 def gradient_parts(d: Dealt, weights: DataFrame, mult: Column | None = None) -> DataFrame:
     """The buckets' gradient sums (b, fid, part) at ``weights``. ``mult`` counts an example's
     copies anew (a sample)."""
+    return back_parts(d, example_errors(d, weights, mult))
+
+
+def example_errors(d: Dealt, weights: DataFrame, mult: Column | None = None) -> DataFrame:
+    """The examples' errors (b, ex, err) at ``weights``."""
     m = margins(d, weights, m=F.col("w"))
     if mult is not None:
         m = m.withColumn("mult", mult).where("mult > 0")
-    return back_parts(d, m.select("b", "ex", (F.col("mult") * (sigmoid(F.col("m")) - F.col("label"))).alias("err")))
+    return m.select("b", "ex", (F.col("mult") * (sigmoid(F.col("m")) - F.col("label"))).alias("err"))
 
 
 def margins(d: Dealt, vectors: DataFrame, **values: Column) -> DataFrame:

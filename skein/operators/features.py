@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skein.config import store
+
 EX = ["user", "item", "label"]
 
 
@@ -79,14 +81,18 @@ def train_features(ex: DataFrame, profiles: DataFrame, tfidf: DataFrame, entity_
     t = dealt.join(tags, ["item", "salt"]).select(
         *EX, "mult", F.lit("t").alias("kind"), F.col("user").alias("k1"), F.col("entity").alias("k2"),
         (F.lit(entity_scalar) * F.col("tfidf")).alias("value"))
-    out = base.unionByName(t)
-    return out.withColumn("feat", _feat_of(F.col("kind"), F.col("k1"), F.col("k2")))
+    return with_feat(base.unionByName(t))
 
 
 def _feat_of(kind: Column, k1: Column, k2: Column) -> Column:
     return F.when(k2 == "", F.concat_ws(":", kind, k1)).otherwise(F.concat_ws(":", kind, k1, k2))
 
 
+def with_feat(rows: DataFrame) -> DataFrame:
+    """``rows`` (kind, k1, k2, ...) with their printable key."""
+    return rows.withColumn("feat", _feat_of(F.col("kind"), F.col("k1"), F.col("k2")))
+
+
 def state_long(global_w: DataFrame, user_w: DataFrame, item_w: DataFrame, user_entity_w: DataFrame) -> DataFrame:
     """The four state tables viewed as one keyed table ``(kind, k1, k2, weight)``."""
     return (
@@ -130,12 +136,12 @@ def dense_index(df: DataFrame, order_col: str, idx_col: str = "idx") -> DataFram
     Range-partition and sort, tag rows with ``monotonically_increasing_id`` (partition id
     in the upper bits), count rows per partition (one small row per partition), turn
     the counts into offsets, and add them back through a broadcast of that small table.
-    The sorted, tagged rows are checkpointed so both uses see the same rows.
+    The sorted, tagged rows are stored so both uses see the same rows.
     """
     from pyspark.sql import Window
 
     tagged = df.orderBy(order_col).withColumn("__mid", F.monotonically_increasing_id())
-    tagged = tagged.withColumn("__pid", F.shiftright("__mid", 33)).checkpoint(eager=True)
+    tagged = store(tagged.withColumn("__pid", F.shiftright("__mid", 33)), "indexed")[0]
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # One row per partition: the window runs over at most spark.sql.shuffle.partitions rows.
     offsets = counts.select("__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off"))
@@ -151,6 +157,17 @@ def feature_registry(features: DataFrame) -> DataFrame:
     return dense_index(features.select("feat").distinct(), "feat")
 
 
+def indexed_weights(features: DataFrame, weights: DataFrame, parts: int) -> DataFrame:
+    """The registry with its weights (feat, weight, idx). ``weights``: those of the features, as
+    ``gather_weights`` gives them, so that one exchange by range numbers them where they lie."""
+    each = weights.repartitionByRange(parts, "feat").groupBy("feat").agg(F.max("weight").alias("weight"), F.count(F.lit(1)).alias("n"))
+    out = dense_index(each, "feat")
+    if out.where("n > 1").isEmpty():
+        return out.drop("n")
+    # A feature of several weights (the state's key repeats) keeps them all under its one index.
+    return feature_registry(features).join(weights.select("feat", "weight"), "feat")
+
+
 def write_back(weights: DataFrame, only_positive_tags: bool = True) -> DataFrame:
     """ML-04: trained weights split by group; tag weights kept only when positive if asked."""
     keep = F.lit(True)

@@ -81,8 +81,16 @@ def snapshot(old: DataFrame, trained: DataFrame, only_positive_tags: bool = True
     """
     from skein.operators.features import KEY, KEY_HASH, with_key_hash, write_back
 
-    kept = with_key_hash(old).join(with_key_hash(trained.select(*KEY)), [KEY_HASH, *KEY], "left_anti").select(*old.columns)
-    return write_back(trained, only_positive_tags).select(*old.columns).unionByName(kept)
+    cols = [c for c in old.columns if c != "b"]
+    if "b" in old.columns and "own" in trained.columns:   # in the buckets of a placed batch
+        owned, others = F.col("kind").isin("u", "t"), trained.where("not own").select(*KEY)
+        kept = old.where(owned).join(trained.where("own").select("b", *KEY).hint("shuffle_hash"), ["b", *KEY], "left_anti").select(*cols)
+        if not others.where(owned).isEmpty():   # of users that are spread over the buckets
+            kept = kept.join(others.where(owned), KEY, "left_anti")
+        kept = kept.unionByName(old.where(~owned).join(others, KEY, "left_anti").select(*cols))
+    else:
+        kept = with_key_hash(old).join(with_key_hash(trained.select(*KEY)), [KEY_HASH, *KEY], "left_anti").select(*cols)
+    return write_back(trained, only_positive_tags).select(*cols).unionByName(kept)
 
 
 def snapshot_delta(table: KeyedTable, trained: DataFrame, batch: int, only_positive_tags: bool = True) -> bool:

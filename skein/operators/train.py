@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from skein.config import drop_bucketed, store
-from skein.operators.dealt import Dealt, back_parts, deal, drawn, gradient_parts, margins, sigmoid
+from skein.operators.dealt import Dealt, back_parts, deal, drawn, example_errors, gradient_parts, margins, sigmoid
 from skein.operators.features import EX
 
 
@@ -76,21 +76,27 @@ def sgd(features: DataFrame, weights: DataFrame, iterations: int, step: float, f
         count = n if copies is None else d.examples.agg(F.sum(copies)).first()[0] or 0
         if count == 0:
             continue
-        parts = gradient_parts(d, w, copies).persist(HELD)
         moved = F.col("w") - F.lit(step / math.sqrt(t)) * F.coalesce("grad", F.lit(0.0)) / F.lit(float(count))
-        new, new_table = d.keep(w.select("b", "fid", "shared", "lead", "w").join(d.total(w, parts).hint("shuffle_hash"), ["b", "fid"], "left").select("b", "fid", "shared", "lead", moved.alias("w"), F.col("w").alias("old")), "weights")
+        if d.placed:
+            new, new_table = d.moved(w, example_errors(d, w, copies), moved)
+        else:
+            parts = gradient_parts(d, w, copies).persist(HELD)
+            new, new_table = d.keep(w.select("b", "fid", "shared", "lead", "w").join(d.total(w, parts).hint("shuffle_hash"), ["b", "fid"], "left").select("b", "fid", "shared", "lead", moved.alias("w"), F.col("w").alias("old")), "weights")
+            parts.unpersist()
         done = False
         if convergence_tol > 0 and t > 1:
             r = new.where("lead").agg(F.sqrt(F.sum((F.col("w") - F.col("old")) ** 2)).alias("diff"), F.sqrt(F.sum(F.col("w") ** 2)).alias("norm")).first()
             done = r["diff"] < convergence_tol * max(r["norm"], 1.0)
-        parts.unpersist()
         if table:
             drop_bucketed(spark, table)
         w, table = new, new_table
         if done:
             break
-    out = store(d.named(w), "weights")[0]
-    if table:
+    if d.placed and not table:
+        table = d.keep(w, "weights")[1]
+        w = spark.table(table)
+    out = d.stored(w)
+    if table and not d.placed:
         drop_bucketed(spark, table)
     if dealt is None:
         d.close()
@@ -271,7 +277,7 @@ class Step:
 
 
 def train_step(features: DataFrame, base: DataFrame, iterations: int, step: float, fraction: float,
-               registry: DataFrame | None = None, batch_dir: str | None = None) -> Step:
+               registry: DataFrame | None = None, batch_dir: str | None = None, dealt: Dealt | None = None) -> Step:
     """ML-07: one batch's training by its route, and how it ended: a fit that did not converge
     says so (``fit.converged``, ``fit.reason``).
 
@@ -282,10 +288,10 @@ def train_step(features: DataFrame, base: DataFrame, iterations: int, step: floa
 
     out = Step(base, routing(features, iterations, step, fraction).first()["route"])
     if out.route == "lbfgs":
-        out.fit = lbfgs(features, base)
+        out.fit = lbfgs(features, base, dealt=dealt)
         out.weights = out.fit.weights
     elif out.route == "sgd":
-        out.weights = sgd(features, base, iterations, step, fraction)
+        out.weights = sgd(features, base, iterations, step, fraction, dealt=dealt)
     if batch_dir is not None:
         save_sparse_weights(registry.join(out.weights.select("feat", "weight"), "feat"), f"{batch_dir}/sparse_weights")
     return out

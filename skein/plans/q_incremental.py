@@ -215,7 +215,7 @@ def state_deltas(spark, d):
 def state_lookup(spark, d):
     """JN-06/ML-03: the batch's weights from the bucketed state, which is not shuffled."""
     s = Scenario(spark, d)
-    found = _state_table(spark, s).lookup(FT.batch_symbols(s.features()))
+    found = _state_table(spark, s).lookup(s.batch.symbols())
     return found.select("feat", r6(F.coalesce("weight", F.lit(0.0))).alias("weight"))
 
 

@@ -84,7 +84,7 @@ def exists_(spark, d):
 def gradient_sum(spark, d):
     """AGG-10: Σ mult·(σ(w·x) − y)·x per feature at the starting weights."""
     s = Scenario(spark, d)
-    return TR.gradient(s.features(), s.initial_weights()).select("feat", r6(F.col("grad")).alias("grad"))
+    return s.batch.gradient(*s.batch.gather(s.state)).select("feat", r6(F.col("grad")).alias("grad"))
 
 
 @query("sparse_dot", sql(f"""
@@ -94,7 +94,8 @@ def sparse_dot(spark, d):
     """FN-17: x·w per example, by a join on the feature. Nine decimals first: sums of decimal
     weights end in exact halves of the sixth, which summation order would round either way."""
     s = Scenario(spark, d)
-    return FT.sparse_dot(s.features(), s.initial_weights()).withColumn("dot", r6(F.round("dot", 9)))
+    dots = s.batch.dots(*s.batch.gather(s.state))
+    return dots.select("user", "item", "label", r6(F.round("dot", 9)).alias("dot"))
 
 
 @query("sgd_train", sql(f"SELECT feat, {R6('weight')} AS weight FROM w2", "w2"))
@@ -135,7 +136,8 @@ FROM (SELECT CAST(coalesce(sum(mult), 0) AS BIGINT) AS n_examples, coalesce(max(
 def train_routing(spark, d):
     """ML-07: the trainer that the batch's examples route to (base / sgd / lbfgs), run."""
     s = Scenario(spark, d)
-    w = TR.train_step(s.features(), s.initial_weights(), ITER, STEP, FRACTION).weights
+    with s.dealt() as dealt:
+        w = TR.train_step(s.features(), s.initial_weights(), ITER, STEP, FRACTION, dealt=dealt).weights
     done = w.agg(F.count(F.lit(1)).alias("n_weights"), r6(F.sum("weight")).alias("weight_sum"))
     return TR.routing(s.features(), ITER, STEP, FRACTION).select(
         "*", *[done.select(c).scalar().alias(c) for c in done.columns])

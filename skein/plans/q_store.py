@@ -22,7 +22,7 @@ WINDOW_MS = int(fx.WINDOW_START_TS.replace(tzinfo=dt.timezone.utc).timestamp() *
 
 
 def _registry(s: Scenario):
-    return FT.feature_registry(s.features())
+    return FT.feature_registry(s.batch.symbols())
 
 
 @query("registry_save", sql("SELECT '('||feat||','||CAST(idx AS VARCHAR)||')' AS value FROM registry", "registry"))
@@ -46,9 +46,8 @@ def registry_sorted(spark, d):
 
 
 def _indexed_weights(s: Scenario, trained: bool = False):
-    reg = _registry(s)
-    w = s.trained(2, 1.0, 1.0) if trained else s.initial_weights()
-    return reg.join(w.select("feat", "weight"), "feat")
+    w = s.trained(2, 1.0, 1.0) if trained else store(s.initial_weights().select("feat", "weight"), "weights")[0]
+    return FT.indexed_weights(s.features(), w, s.batch.buckets)
 
 
 @query("weights_save", sql(f"SELECT r.idx, {R6('CAST(CAST(w.weight AS FLOAT) AS DOUBLE)')} AS weight "

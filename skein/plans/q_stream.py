@@ -91,7 +91,7 @@ def recommend_batch(spark, d):
     s = Scenario(spark, d)
     root = scratch_path(spark, "rec_stream")
     # The state is stored as a model version and published; every batch reads the pointer.
-    INC.write_version(s.state, f"{root}/models", fx.MODEL_KEY, "1")
+    INC.write_version(s.state.select(*FT.KEY, "weight"), f"{root}/models", fx.MODEL_KEY, "1")
     pointers = f"{root}/pointers"
     PB.publish_model(spark, pointers, fx.MODEL_KEY, f"{root}/models/{fx.MODEL_KEY}/v=1", BATCH_MS)
 

@@ -9,13 +9,18 @@ persists its profile set per refresh for the same reason).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skein.config import store
 from skein.operators import features as FT
+from skein.operators import placed as PL
 from skein.operators import rank as RK
+from skein.operators.dealt import Dealt
 from skein.plans import common as C
 from skein.sources import fixtures as fx
 
@@ -70,27 +75,45 @@ class Scenario:
 
     @cached_property
     def state(self) -> DataFrame:
-        """The model state as one stored table: it is read for the gather and for the snapshot."""
-        self.tfidf      # training reads it too: the users' tags come from it
-        return store(FT.state_long(self.global_w, self.user_w, self.item_w, self.user_entity_w), "state")[0]
+        """The model state as one stored table, in the batch's buckets: it is read for the gather and
+        for the snapshot. Its tags are those of ``user_entity_w``, from the placed batch."""
+        own = fx.state_user_entity(self.batch.user_entities(), "b").select("b", F.lit("t").alias("kind"), F.col("user").alias("k1"), F.col("entity").alias("k2"), "weight")
+
+        def others(stored: DataFrame) -> DataFrame:
+            held = stored.select("b", F.col("k1").alias("user"), F.col("k2").alias("entity"))
+            more = self.batch.more_entities(held, fx.old_user_tags(self.spark, self.d))
+            return FT.state_long(self.global_w, self.user_w, self.item_w, fx.state_user_entity(more))
+
+        return self.batch.keep(own, others, "state")
 
     # --- training ---------------------------------------------------------------
     @cached_property
-    def _features(self) -> DataFrame:
-        return store(FT.train_features(self.examples, self.profiles, self.tfidf, fx.ENTITY_SCALAR), "features")[0]
+    def batch(self) -> PL.Placed:
+        """The batch's features, stored once for every reader, in buckets by user."""
+        return PL.place(self.examples, self.profiles, self.tfidf, fx.ENTITY_SCALAR)
 
     def features(self) -> DataFrame:
-        """The batch's features, stored once for every reader."""
-        return self._features
-
-    def initial_weights(self, features: DataFrame | None = None) -> DataFrame:
-        f = features if features is not None else self.features()
-        return FT.gather_weights(FT.batch_symbols(f, key_hash=True), self.state)
+        return self.batch.features()
+
+    def initial_weights(self) -> DataFrame:
+        own, others = self.batch.gather(self.state)
+        return FT.with_feat(own.drop("b").unionByName(others)).select(*FT.KEY, "feat", "weight")
+
+    @contextmanager
+    def dealt(self) -> Iterator[Dealt | None]:
+        """The batch dealt for training; None where its keys need numbers (``placed.deal_placed``)."""
+        d = PL.deal_placed(self.batch, *self.batch.gather(self.state))
+        try:
+            yield d
+        finally:
+            if d is not None:
+                d.close()
 
     def trained(self, iterations: int = 2, step: float = 1.0, fraction: float = 1.0, tol: float = 0.0) -> DataFrame:
         """Warm-start SGD over the stored features."""
         from skein.operators import train as TR
-        return TR.sgd(self.features(), self.initial_weights(), iterations, step, fraction, convergence_tol=tol)
+        with self.dealt() as d:
+            return TR.sgd(self.features(), self.initial_weights(), iterations, step, fraction, convergence_tol=tol, dealt=d)
 
     # --- ranking ----------------------------------------------------------------
     def prescored(self) -> DataFrame:

@@ -296,10 +296,10 @@ def old_user_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").cast("string").alias("user"), F.explode(F.array(F.lit("the"), F.lit("The"), tag)).alias("entity"))
 
 
-def state_user_entity(user_entities: DataFrame) -> DataFrame:
-    """User-tag weights for each (user, entity)."""
+def state_user_entity(user_entities: DataFrame, *more: str) -> DataFrame:
+    """User-tag weights for each (user, entity), with the columns ``more``."""
     return user_entities.select(
-        "user", "entity",
+        *more, "user", "entity",
         ((((F.col("user").cast("bigint") * 5 + F.length("entity") * 3) % 21) - 10) / 100.0).alias("weight"),
     )
 

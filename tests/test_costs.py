@@ -87,3 +87,70 @@ def test_scratch_tables_leave_no_shuffle_files(spark):
         time.sleep(0.2)
     assert not files() - before
     assert out.count() == 7 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") != "true"
+
+
+def _batch(spark):
+    rows = [(f"{k % 7 if k % 3 else 99}", f"{k % 11}", float(k % 2), 1 + k % 2) for k in range(90)]
+    ex = spark.createDataFrame(list(dict.fromkeys(rows)), "user string, item string, label double, mult long").dropDuplicates(["user", "item", "label"])
+    prof = spark.createDataFrame([(str(k), [k % 3, 5]) for k in range(8)], "article_seq_id string, category_idx array<int>")
+    tags = spark.createDataFrame([(str(k), e, 0.25) for k in range(8) for e in ("a", f"e{k % 2}")], "article_seq_id string, entity string, tfidf double")
+    return ex, prof, tags
+
+
+def _rows(df):
+    return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+
+
+def test_a_placed_batch_is_the_same_and_moves_no_own_features(spark, monkeypatch):
+    """In buckets by user, also with a user that is spread over them: the features, the weights, the gradient
+    and the training of the plain forms; own features and weights meet without an exchange."""
+    from skein.operators import incremental as INC
+    from skein.operators import placed as PL
+    ex, prof, tags = _batch(spark)
+    plain = FT.train_features(ex, prof, tags, 0.5)
+    state = [("t", "1", "a", 0.5), ("t", "99", "a", -0.5), ("t", "99", "z", 0.125), ("u", "99", "5", 0.25), ("u", "2", "5", 0.75), ("g", "5", "", 1.0), ("i", "3", "", -1.0)]
+    state = spark.createDataFrame(state, "kind string, k1 string, k2 string, weight double")
+    weights = FT.gather_weights(FT.batch_symbols(plain), state)
+    trained = TR.sgd(plain, weights, 2, 1.0, convergence_tol=0.0)
+    for hot in (1000, 5):
+        monkeypatch.setattr(PL, "LEAST_HOT", hot)
+        p = PL.place(ex, prof, tags, 0.5, buckets=4, rows_per_salt=10)
+        assert (p.hot is not None) == (hot == 5)
+        assert _rows(p.features().select(*plain.columns)) == _rows(plain)
+        none = state.where("false")
+        stored = p.keep(none.withColumn("b", F.lit(0)), lambda _: state, "state")
+        own, others = p.gather(stored)
+        got = FT.with_feat(own.drop("b").unionByName(others)).select("feat", "weight")
+        assert _rows(got) == _rows(weights.select("feat", "weight"))
+        for df in (own, own.groupBy("b").count()):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert _rows(p.gradient(own, others)) == _rows(TR.gradient(plain, weights))
+        assert _rows(p.dots(own, others).select("user", "item", "label", "dot")) == _rows(FT.sparse_dot(plain, weights))
+        d = PL.deal_placed(p, own, others)
+        new = TR.sgd(plain, weights, 2, 1.0, convergence_tol=0.0, dealt=d)
+        d.close()
+        assert _rows(new.select("feat", "weight")) == _rows(trained.select("feat", "weight"))
+        assert _rows(INC.snapshot(stored, new).select("kind", "k1", "k2", "weight")) == _rows(INC.snapshot(state, trained))
+        assert _rows(p.symbols().select("feat")) == _rows(plain.select("feat").distinct())
+
+
+def test_tags_of_a_placed_batch_are_those_of_the_set(spark, monkeypatch):
+    from skein.operators import placed as PL
+    from skein.config import store
+    ex, prof, tags = _batch(spark)
+    older = spark.createDataFrame([("99", "a"), ("1", "a"), ("1", "z"), ("1", "z"), ("nobody", "a")], "user string, entity string")
+    want = _rows(FT.user_entity_set(ex, prof, tags, older))
+    for hot in (1000, 5):
+        monkeypatch.setattr(PL, "LEAST_HOT", hot)
+        p = PL.place(ex, prof, tags, 0.5, buckets=4)
+        held = store(p.user_entities(), "held")[0]
+        assert _rows(held.select("user", "entity").unionByName(p.more_entities(held, older))) == want
+
+
+def test_a_repeated_weight_keeps_its_index(spark):
+    """One index a feature, in key order, also where a feature has two weights."""
+    feats = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "feat string")
+    one = spark.createDataFrame([("b", 1.0), ("a", 2.0), ("c", 3.0)], "feat string, weight double")
+    assert _rows(FT.indexed_weights(feats, one, 2).select("idx", "feat", "weight")) == [(0, "a", 2.0), (1, "b", 1.0), (2, "c", 3.0)]
+    two = one.unionByName(spark.createDataFrame([("b", 4.0)], one.schema))
+    assert _rows(FT.indexed_weights(feats, two, 2).select("idx", "feat", "weight")) == [(0, "a", 2.0), (1, "b", 1.0), (1, "b", 4.0), (2, "c", 3.0)]
