@@ -22,7 +22,7 @@ from skein.operators.dealt import LEAST_HOT, SLOTS, Dealt, sigmoid
 
 ROWS_A_BUCKET = 1_000_000   # features, about: what a join holds of a bucket at once
 AT = ["b", *FT.KEY]
-OWNED = F.col("kind").isin("u", "t")
+OWNED, UNOWNED = "kind in ('u', 't')", "kind not in ('u', 't')"
 
 
 @dataclass
@@ -95,7 +95,7 @@ class Placed:
         weight = F.coalesce(F.col("weight"), F.lit(0.0)).alias("weight")
         stored = state.select(*AT, "weight")
         own = self.own_symbols().join(stored.where(OWNED).hint("shuffle_hash"), AT, "left").select(*AT, weight)
-        shared = stored.where(~OWNED)
+        shared = stored.where(UNOWNED)
         if self.hot is not None:
             shared = shared.unionByName(stored.where(OWNED).join(F.broadcast(self.hot.select(F.col("user").alias("k1"))), "k1", "left_semi").select(*AT, "weight"))
         others = self.other_symbols().join(shared.drop("b"), FT.KEY, "left").select(*FT.KEY, weight)
