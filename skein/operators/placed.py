@@ -5,7 +5,7 @@ and ``t``). So an example's features are stored as one nested row in the bucket
 a state's row in the bucket of its ``k1``: the *own* features find their weights, are made distinct and
 are trained without an exchange. What travels is one row an example (its features nested) when the
 batch is placed, and the other features: those of categories and items, which many users share, and
-those of a user of very many examples, who is spread over the buckets by item.
+those of a user of very many examples or features, who is spread over the buckets by item.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from skein.operators import features as FT
 from skein.operators.dealt import LEAST_HOT, SLOTS, Dealt, sigmoid
 
 ROWS_A_BUCKET = 1_000_000   # features, about: what a join holds of a bucket at once
+MOST_NESTED = 1_000_000     # features of a user that is not spread
 AT = ["b", *FT.KEY]
 OWNED, UNOWNED = "kind in ('u', 't')", "kind not in ('u', 't')"
 
@@ -51,7 +52,17 @@ class Placed:
 
     def own_symbols(self) -> DataFrame:
         """The distinct own features (b, kind, k1, k2), in their buckets."""
-        return self.features().where("own").select(*AT).distinct()
+        cats = F.transform(F.filter("rows", lambda f: f["kind"] == "u"), lambda f: f["k"])
+        each = self._users(cats=cats, tags=F.col("tags.k"))
+        each = each.select("b", "user", F.size("cats").alias("n"), F.posexplode(F.concat("cats", "tags")).alias("at", "k2"))
+        return each.select("b", F.when(F.col("at") < F.col("n"), "u").otherwise("t").alias("kind"), F.col("user").alias("k1"), "k2")
+
+    def _users(self, **lists: Column) -> DataFrame:
+        """A row a user in their place (b, user, ...): what ``lists`` of strings of the examples hold,
+        each once. Made distinct by user, since hardly any of a user's features repeat: a table of all
+        features would be hashed twice. A list has ``MOST_NESTED`` features at most; users of more are spread."""
+        whole = self.examples.where("not spread").groupBy("b", "user")
+        return whole.agg(*[F.array_distinct(F.flatten(F.collect_list(c))).alias(name) for name, c in lists.items()])
 
     def other_symbols(self) -> DataFrame:
         """The distinct other features (kind, k1, k2)."""
@@ -67,7 +78,7 @@ class Placed:
 
     def user_entities(self) -> DataFrame:
         """AGG-01 over the placed batch: (b, user, entity) of the users in their place."""
-        return self.features().where("own and kind = 't'").select("b", "user", F.col("k2").alias("entity")).distinct()
+        return self._users(tags=F.col("tags.k")).select("b", "user", F.explode("tags").alias("entity"))
 
     def more_entities(self, held: DataFrame, older: DataFrame) -> DataFrame:
         """(user, entity) of the spread users and of ``older`` that are not among the stored ``held``
@@ -142,12 +153,13 @@ def place(ex: DataFrame, profiles: DataFrame, tfidf: DataFrame, entity_scalar: f
     items = store(profiles.select(F.col("article_seq_id").alias("item"), "category_idx").join(tags, "item", "full"), "items")[0]
     one = F.lit(1.0)
     cats = F.coalesce("category_idx", F.array().cast("array<int>"))
-    count, rows = ex.groupBy("item").agg(F.count(F.lit(1)).alias("c")).join(
-        items.select("item", (1 + 2 * F.size(cats) + F.coalesce(F.size("tags"), F.lit(0))).alias("size")), "item", "left").agg(
-        F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(F.col("c") * F.coalesce("size", F.lit(1))), F.lit(0))).first()
+    size = items.select("item", (1 + 2 * F.size(cats) + F.coalesce(F.size("tags"), F.lit(0))).alias("size"))
+    users = store(ex.select("user", "item").join(size, "item", "left").groupBy("user").agg(
+        F.count(F.lit(1)).alias("c"), F.sum(F.coalesce("size", F.lit(1))).alias("rows")), "users")[0]
+    count, rows = users.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
     n = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_A_BUCKET))
     # At most n * SLOTS users have more than that share of the examples.
-    hot = store(ex.groupBy("user").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > max(LEAST_HOT, count // (n * SLOTS))).select("user"), "hot")[0]
+    hot = users.where((F.col("c") > max(LEAST_HOT, count // (n * SLOTS))) | (F.col("rows") > MOST_NESTED)).select("user")
     hot = None if hot.isEmpty() else hot
     dealt, parts = FT.salted(ex, items, "item", ["user", "label"], rows_per_salt)
     spread = F.lit(False)
@@ -174,9 +186,9 @@ def deal_placed(p: Placed, own: DataFrame, others: DataFrame) -> Dealt | None:
     examples = p.examples.select("b", F.xxhash64(*FT.EX[:2], F.col("label").cast("int")).alias("ex"), "label", "mult")
     if not (others.groupBy("fid").count().where("count > 1").isEmpty() and examples.groupBy("b", "ex").count().where("count > 1").isEmpty()):
         return None
-    h = F.xxhash64(*key)
-    f = p.features().withColumn("y", F.col("label").cast("int")).select("b", h.alias("ex"), h.alias("h"), "label", "mult", fid().alias("fid"), "value", "own")
+    f = p.features().withColumn("y", F.col("label").cast("int")).select("b", F.xxhash64(*key).alias("ex"), "label", "mult", fid().alias("fid"), "value", "own")
     features, f_table = store_bucketed(f, "dealt", p.buckets, "b")
+    features = features.withColumn("h", F.col("ex"))
     cols = ["b", "fid", "shared", "lead", F.col("weight").alias("w"), *FT.KEY]
     held = own.withColumn("fid", fid()).withColumn("shared", F.lit(False)).withColumn("lead", F.lit(True))
     w_table = store_bucketed(held.select(*cols), "weights", p.buckets, "b")[1]

@@ -147,6 +147,24 @@ def test_tags_of_a_placed_batch_are_those_of_the_set(spark, monkeypatch):
         assert _rows(held.select("user", "entity").unionByName(p.more_entities(held, older))) == want
 
 
+def test_own_features_are_made_distinct_by_user(spark, monkeypatch):
+    """Not by hashing a table of all features; a user of too many features for one list is spread."""
+    from skein.operators import placed as PL
+    ex, prof, tags = _batch(spark)
+    plain = FT.train_features(ex, prof, tags, 0.5)
+    want, many = _rows(plain.select("kind", "k1", "k2").distinct()), {r["user"] for r in plain.groupBy("user").count().where("count > 50").collect()}
+    assert 0 < len(many) < 8
+    for most in (1000, 50):
+        monkeypatch.setattr(PL, "MOST_NESTED", most)
+        p = PL.place(ex, prof, tags, 0.5, buckets=4)
+        assert (set() if p.hot is None else {r["user"] for r in p.hot.collect()}) == (many if most == 50 else set())
+        for df in (p.own_symbols(), p.user_entities()):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "HashAggregate" not in plan.replace("ObjectHashAggregate", "") and "Exchange" not in plan
+        assert _rows(p.own_symbols().drop("b").unionByName(p.other_symbols())) == want
+        assert _rows(p.features().select(*plain.columns)) == _rows(plain)
+
+
 def test_a_repeated_weight_keeps_its_index(spark):
     """One index a feature, in key order, also where a feature has two weights."""
     feats = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "feat string")
