@@ -30,16 +30,28 @@ def configure(spark: SparkSession, values: dict[str, str] = DEFAULTS) -> SparkSe
 
 
 @contextmanager
-def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Jobs inside delete their shuffle files when they end (what they write is stored), instead of
-    at some later collection of garbage."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+def _set(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings that hold inside."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def shuffles_dropped(spark: SparkSession):
+    """Jobs inside delete their shuffle files when they end (what they write is stored), instead of
+    at some later collection of garbage."""
+    return _set(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
+def buckets_scanned(spark: SparkSession):
+    """Tables in buckets are read one bucket a task inside, also where no join asks for it: what is
+    written from one has a file a bucket, however many tasks its bytes would make."""
+    return _set(spark, {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"})
 
 
 def checkpoint_root(spark: SparkSession) -> str:

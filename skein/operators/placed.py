@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.config import BUCKETED, append_bucketed, configure, store, store_bucketed
+from skein.config import BUCKETED, append_bucketed, buckets_scanned, configure, store, store_bucketed
 from skein.operators import features as FT
 from skein.operators.dealt import LEAST_HOT, SLOTS, Dealt, sigmoid
 
@@ -187,7 +187,8 @@ def deal_placed(p: Placed, own: DataFrame, others: DataFrame) -> Dealt | None:
     if not (others.groupBy("fid").count().where("count > 1").isEmpty() and examples.groupBy("b", "ex").count().where("count > 1").isEmpty()):
         return None
     f = p.features().withColumn("y", F.col("label").cast("int")).select("b", F.xxhash64(*key).alias("ex"), "label", "mult", fid().alias("fid"), "value", "own")
-    features, f_table = store_bucketed(f, "dealt", p.buckets, "b")
+    with buckets_scanned(p.spark):
+        features, f_table = store_bucketed(f, "dealt", p.buckets, "b")
     features = features.withColumn("h", F.col("ex"))
     cols = ["b", "fid", "shared", "lead", F.col("weight").alias("w"), *FT.KEY]
     held = own.withColumn("fid", fid()).withColumn("shared", F.lit(False)).withColumn("lead", F.lit(True))

@@ -165,6 +165,18 @@ def test_own_features_are_made_distinct_by_user(spark, monkeypatch):
         assert _rows(p.features().select(*plain.columns)) == _rows(plain)
 
 
+def test_a_table_in_buckets_is_scanned_by_them(spark):
+    """Also by a plain projection, which Spark would read by bytes: each task would hold parts of many buckets."""
+    from skein.config import buckets_scanned, drop_bucketed, store_bucketed
+    key = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = spark.conf.get(key, None)
+    df, name = store_bucketed(spark.range(1000).select(F.col("id").alias("b"), "id"), "scanned", 16, "b", deal=True)
+    with buckets_scanned(spark):
+        assert df.where("id > 3").select("b").rdd.getNumPartitions() == 16
+    assert spark.conf.get(key, None) == before
+    drop_bucketed(spark, name)
+
+
 def test_a_repeated_weight_keeps_its_index(spark):
     """One index a feature, in key order, also where a feature has two weights."""
     feats = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "feat string")
