@@ -74,13 +74,15 @@ class Dealt:
         """Store a table that is in bucket order already."""
         return store_bucketed(df, name, self.buckets, "b")
 
-    def total(self, weights: DataFrame, parts: DataFrame) -> DataFrame:
+    def total(self, weights: DataFrame, parts: DataFrame, *more: str) -> DataFrame:
         """Gradients of all copies (b, fid, grad) from the buckets' sums (b, fid, part): those of
-        shared features are added up and go back to every bucket that holds a copy."""
-        here = weights.select("b", "fid", "shared").join(parts.hint("shuffle_hash"), ["b", "fid"], "left").select("b", "fid", "shared", F.coalesce("part", F.lit(0.0)).alias("part"))
+        shared features are added up and go back to every bucket that holds a copy. ``more``:
+        columns of ``weights`` that stay beside them."""
+        kept = list(dict.fromkeys(["shared", *more]))
+        here = weights.select("b", "fid", *kept).join(parts.hint("shuffle_hash"), ["b", "fid"], "left").select("b", "fid", *kept, F.coalesce("part", F.lit(0.0)).alias("part"))
         sums = here.where("shared").groupBy("fid").agg(F.sum("part").alias("total"), F.collect_list("b").alias("bs"))
         back = sums.select(F.explode("bs").alias("b"), "fid", "total").repartition(self.buckets, "b")
-        return here.join(back.hint("shuffle_hash"), ["b", "fid"], "left").select("b", "fid", F.coalesce("total", "part").alias("grad"))
+        return here.join(back.hint("shuffle_hash"), ["b", "fid"], "left").select("b", "fid", *more, F.coalesce("total", "part").alias("grad"))
 
     def moved(self, weights: DataFrame, errors: DataFrame, moved: Column) -> tuple[DataFrame, str]:
         """The next weights of a placed batch, ``moved`` by each feature's ``grad`` of the examples'
@@ -205,6 +207,15 @@ def margins(d: Dealt, vectors: DataFrame, **values: Column) -> DataFrame:
     return met.groupBy("b", "ex").agg(*[F.max(c).alias(c) for c in ("h", "label", "mult")], *sums)
 
 
+def scaled(d: Dealt) -> tuple[DataFrame, str]:
+    """The starting weights (b, fid, shared, lead, w) with each feature's ``scale``, stored: one over the
+    sum of its squares over the examples (0 where there are none, since it never moves). Squares need no join with the examples."""
+    squares = d.features.groupBy("b", "fid").agg(F.sum(F.col("mult") * F.col("value") * F.col("value")).alias("part"))
+    scale = F.when(F.col("grad") > 0, F.lit(1.0) / F.col("grad")).otherwise(F.lit(0.0)).alias("scale")
+    cols = ["b", "fid", "shared", "lead", "w"]
+    return store_bucketed(d.total(d.weights, squares, "shared", "lead", "w").select(*cols, scale), "scaled", d.buckets, "b")
+
+
 def back_parts(d: Dealt, errors: DataFrame) -> DataFrame:
     """The buckets' gradient sums (b, fid, part) of the examples' errors (b, ex, err), in one
     pass over the features."""

@@ -184,3 +184,19 @@ def test_a_repeated_weight_keeps_its_index(spark):
     assert _rows(FT.indexed_weights(feats, one, 2).select("idx", "feat", "weight")) == [(0, "a", 2.0), (1, "b", 1.0), (2, "c", 3.0)]
     two = one.unionByName(spark.createDataFrame([("b", 4.0)], one.schema))
     assert _rows(FT.indexed_weights(feats, two, 2).select("idx", "feat", "weight")) == [(0, "a", 2.0), (1, "b", 1.0), (1, "b", 4.0), (2, "c", 3.0)]
+
+
+def test_lbfgs_needs_few_iterations_for_features_of_unlike_scale(spark):
+    """Features that few examples have, and with small values, beside one that all have: scaled, they need no more
+    iterations for it. The weights are those of the features as they are."""
+    rows = []
+    for u in range(40):
+        for i in range(3):
+            own = [(f"t:{u}:{k}", 0.02 * (1 + (u * k) % 7)) for k in range(4) if (u + i + k) % 3]
+            rows += [(f"u{u}", f"i{i}", float((u + i) % 2), 1, f, v) for f, v in [("g:1", 1.0), (f"i:{i}", 1.0), *own]]
+    feats = spark.createDataFrame(rows, FEATS)
+    weights = feats.select(F.lit("x").alias("kind"), F.lit("").alias("k1"), F.lit("").alias("k2"), "feat", F.lit(0.1).alias("weight")).distinct()
+    fit = TR.lbfgs(feats, weights, iterations=6, tolerance=0.0, gradient_tolerance=0.05)
+    assert fit.converged and fit.reason == "gradient" and fit.loss < fit.start_loss
+    norm = [g.agg(F.sqrt(F.sum(F.col("grad") ** 2))).first()[0] for g in (TR.gradient(feats, weights), TR.gradient(feats, fit.weights))]
+    assert norm[1] <= 0.05 * norm[0]
