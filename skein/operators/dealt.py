@@ -28,7 +28,7 @@ from skein.operators.features import with_feat
 
 BUCKET_BYTES = 64 << 20   # stored features of a bucket, about
 MOST_BUCKETS = 1 << 17
-SLOTS = 4                 # values of ``b`` for a bucket: evens out their hashing
+SLOTS = 64                # values of ``b`` for a bucket: evens out their hashing (of 4, the fullest of many buckets has thrice its share)
 LEAST_HOT = 10_000        # examples of a user that may be spread
 COPIES = 4                # features of the examples for one of the model, about
 SEEDS = 3

@@ -20,8 +20,8 @@ from skein.config import BUCKETED, append_bucketed, buckets_scanned, configure,
 from skein.operators import features as FT
 from skein.operators.dealt import LEAST_HOT, SLOTS, Dealt, sigmoid
 
-ROWS_A_BUCKET = 1_000_000   # features, about: what a join holds of a bucket at once
-MOST_NESTED = 1_000_000     # features of a user that is not spread
+ROWS_A_BUCKET = 250_000     # features, about: a task hashes a bucket's state and its weights at once, 200 bytes a row and more
+MOST_NESTED = ROWS_A_BUCKET   # features of a user that is not spread
 AT = ["b", *FT.KEY]
 OWNED, UNOWNED = "kind in ('u', 't')", "kind not in ('u', 't')"
 

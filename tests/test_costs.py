@@ -200,3 +200,15 @@ def test_lbfgs_needs_few_iterations_for_features_of_unlike_scale(spark):
     assert fit.converged and fit.reason == "gradient" and fit.loss < fit.start_loss
     norm = [g.agg(F.sqrt(F.sum(F.col("grad") ** 2))).first()[0] for g in (TR.gradient(feats, weights), TR.gradient(feats, fit.weights))]
     assert norm[1] <= 0.05 * norm[0]
+
+
+def test_buckets_of_a_batch_are_even(spark):
+    """What a task hashes of its bucket has to fit in memory: the fullest of many buckets has no multiple of its share."""
+    from skein.operators import placed as PL
+    ex = spark.range(20_000).select(F.col("id").cast("string").alias("user"), F.lit("i").alias("item"), F.lit(1.0).alias("label"), F.lit(1).cast("long").alias("mult"))
+    _, prof, tags = _batch(spark)
+    n = 40
+    p = PL.place(ex, prof, tags, 0.5, buckets=n)
+    held = [r["count"] for r in p.examples.groupBy(F.pmod(F.hash("b"), F.lit(n))).count().collect()]
+    assert sum(held) == 20_000 and len(held) == n
+    assert max(held) <= 1.5 * 20_000 / n
