@@ -212,3 +212,24 @@ def test_buckets_of_a_batch_are_even(spark):
     held = [r["count"] for r in p.examples.groupBy(F.pmod(F.hash("b"), F.lit(n))).count().collect()]
     assert sum(held) == 20_000 and len(held) == n
     assert max(held) <= 1.5 * 20_000 / n
+
+
+def test_a_bucket_holds_what_two_hashed_relations_may(spark):
+    """``dots`` hashes a bucket's state and its weights in one task: 600,000 features are too many for one bucket, and
+    for one user's place. The products are those of the plain form."""
+    from skein.operators import placed as PL
+    ex = spark.range(600).select(F.when(F.col("id") < 300, "a").otherwise("b").alias("user"), F.concat(F.lit("i"), F.col("id") % 300).alias("item"),
+                                 (F.col("id") % 2).cast("double").alias("label"), F.lit(1).cast("long").alias("mult"))
+    prof = spark.range(300).select(F.concat(F.lit("i"), "id").alias("article_seq_id"), F.array(F.lit(1)).alias("category_idx"))
+    tags = prof.select("article_seq_id", F.explode(F.sequence(F.lit(1), F.lit(1000))).alias("entity"), F.lit(0.001).alias("tfidf")).withColumn("entity", F.col("entity").cast("string"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        p = PL.place(ex, prof, tags, 0.5)
+        assert p.buckets == 3 and {r["user"] for r in p.hot.collect()} == {"a", "b"}
+        state = spark.createDataFrame([("t", "a", "7", 0.5), ("u", "b", "1", 0.25), ("g", "1", "", 1.0)], "kind string, k1 string, k2 string, weight double")
+        stored = p.keep(state.where("false").withColumn("b", F.lit(0)), lambda _: state, "state")
+        got = p.dots(*p.gather(stored)).groupBy("user", F.round("dot", 9).alias("dot")).count()
+        assert _rows(got) == [("a", 1.00025, 300), ("b", 1.25, 300)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
