@@ -135,7 +135,7 @@ SELECT t.event_id, CASE WHEN whole NOT LIKE '%user_seq_id%' THEN 'skipped' WHEN
   CASE WHEN whole LIKE '%user_seq_id%' AND t.event_id%11=0 THEN CASE WHEN whole LIKE '%source%' THEN 'read' ELSE 'refresh' END END AS reason,
   CAST(CASE WHEN o.event_id IS NULL OR t.event_id%11=0 THEN 0 WHEN o.is_read THEN 1
     ELSE len(CAST(o.line->'$.article_seq_id' AS INT[])) END AS BIGINT) AS n_items
-FROM torn t LEFT JOIN ev_ok o ON o.event_id = t.event_id""", "torn", "ev_ok"))
+FROM torn t LEFT JOIN ev_ok o ON o.event_id = t.event_id""", "torn", "ev_ok"), own=True)
 def line_routes(spark, d):
     """STR-01: where each line goes (instances, rejected, skipped), torn lines among them."""
     r = I.routed_lines(fx.torn_lines(fx.lines(spark, d)), fx.LANG)

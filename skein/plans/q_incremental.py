@@ -202,7 +202,7 @@ def _state_table(spark, s):
     return table
 
 
-@query("state_deltas", STATE_SQL)
+@query("state_deltas", STATE_SQL, own=True)
 def state_deltas(spark, d):
     """INC-06 merge-on-read: the batch writes its trained keys as a delta of the bucketed state."""
     s = Scenario(spark, d)
@@ -211,7 +211,7 @@ def state_deltas(spark, d):
     return table.read().select("kind", "k1", "k2", r6(F.col("weight")).alias("weight"))
 
 
-@query("state_lookup", sql(f"SELECT feat, {R6('weight')} AS weight FROM w0", "w0"))
+@query("state_lookup", sql(f"SELECT feat, {R6('weight')} AS weight FROM w0", "w0"), own=True)
 def state_lookup(spark, d):
     """JN-06/ML-03: the batch's weights from the bucketed state, which is not shuffled."""
     s = Scenario(spark, d)
@@ -220,7 +220,7 @@ def state_lookup(spark, d):
 
 
 @query("dict_deltas", _dict_sql("article_seq_id, " + CAT, CAT_VALID, ">", "2024-01-24 00:00:00",
-                                "2024-01-27 00:00:00", "2024-01-28 00:00:00"))
+                                "2024-01-27 00:00:00", "2024-01-28 00:00:00"), own=True)
 def dict_deltas(spark, d):
     """INC-02/SET-03 merge-on-read: base, a delta for each of two rescans, folded between them."""
     a = fx.art_crawls(spark, d)

@@ -63,7 +63,7 @@ def instance_dump(spark, d):
 
 @query("stream_dead_letters", sql("""
 SELECT line, CASE WHEN whole LIKE '%source%' THEN 'read' ELSE 'refresh' END AS reason
-FROM torn WHERE event_id%11=0 AND whole LIKE '%user_seq_id%'""", "torn"))
+FROM torn WHERE event_id%11=0 AND whole LIKE '%user_seq_id%'""", "torn"), own=True)
 def stream_dead_letters(spark, d):
     """STR-01: malformed lines of the event stream, kept apart in the same write as its instances."""
     root = scratch_path(spark, "routes")

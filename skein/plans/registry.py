@@ -1,4 +1,5 @@
-"""Registry of query keys: ``QUERIES[key] = fn(spark, sf_dir)`` and ``ORACLE[key] = sql``."""
+"""Registry of query keys: ``QUERIES[key] = fn(spark, sf_dir)`` and ``ORACLE[key] = sql`` of the keys of
+SURVEY §2, ``OWN_QUERIES`` and ``OWN_ORACLE`` of this library's own."""
 
 from __future__ import annotations
 
@@ -8,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+OWN_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+OWN_ORACLE: dict[str, str] = {}
 
 
-def query(key: str, oracle: str | None = None):
-    """Register a plan builder under ``key`` with its DuckDB oracle (None: rows-only check)."""
+def query(key: str, oracle: str | None = None, own: bool = False):
+    """Register a plan builder under ``key`` with its DuckDB oracle (None: rows-only check). ``own``:
+    a key that SURVEY does not have."""
+    queries, oracles = (OWN_QUERIES, OWN_ORACLE) if own else (QUERIES, ORACLE)
 
     def wrap(fn):
-        if key in QUERIES:
+        if key in QUERIES or key in OWN_QUERIES:
             raise ValueError(f"duplicate query key {key}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,9 +28,9 @@ def query(key: str, oracle: str | None = None):
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
-        QUERIES[key] = run
+        queries[key] = run
         if oracle is not None:
-            ORACLE[key] = oracle
+            oracles[key] = oracle
         return fn
 
     return wrap
